@@ -173,8 +173,9 @@ TIMESTAMP_FORMATS = (
 def parse_ts(c: str | Column) -> Column:
     """NULL-safe timestamp parse to TIMESTAMP_NTZ; unparsable text -> NULL."""
     s = F.trim(col(c).cast("string"))
-    tries = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    tries = [s.try_cast("timestamp_ntz")]
+    tries += [F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_FORMATS]
+    return F.coalesce(*tries)
 
 
 def null_safe_key(left, right, keys: Iterable[str]) -> Column:

@@ -92,9 +92,57 @@ dates AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)"""
 PROD = """
 prod AS (SELECT * FROM wl WHERE service_flow NOT IN ('NC Sort', 'RO') AND service_flow IS NOT NULL)"""
 
+def _report_sql() -> str:
+    from ..sources.fixtures import WORKSTATION_REPORT_HEADERS as H
+    cells = []
+    for name, header in H.items():
+        if name.endswith("_time"):
+            text = f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')"
+            if name == "history_station_start_time":
+                text = f"CASE WHEN first_station_start_time IS NULL THEN '' ELSE {text} END"
+        elif name == "service_flow":
+            text = "coalesce(service_flow, 'nan')"
+        elif name == "operator":
+            text = "' ' || operator || '  '"
+        else:
+            text = name
+        cells.append(f'coalesce({text}, \'\') AS "{header}"')
+    day = ("CASE WHEN id >= 1000000000 THEN strftime(created_at, '%Y-%m-%d') "
+           "ELSE strftime(history_station_end_time, '%Y-%m-%d') END AS \"Day\"")
+    label = ("concat(CAST(isoyear(history_station_end_time) AS VARCHAR), '-W', "
+             "lpad(CAST(week(history_station_end_time) AS VARCHAR), 2, '0'))")
+    return ("wl_report AS (SELECT " + ", ".join(cells) + ", " + day
+            + f", 'workstation_' || {label} || '.csv' AS source_file, id AS row_ordinal FROM wl_raw)")
+
+
+def _conf_sql(fallback: bool) -> str:
+    from ..sources.fixtures import WORKSTATION_REPORT_HEADERS as H
+    out = []
+    for name, header in H.items():
+        t = f'trim("{header}")'
+        if name.endswith("_time"):
+            v = f"TRY_CAST(NULLIF({t}, '') AS TIMESTAMP)"
+            if name == "history_station_start_time" and fallback:
+                end = H["history_station_end_time"]
+                v = f"coalesce({v}, TRY_CAST(NULLIF(trim(\"{end}\"), '') AS TIMESTAMP))"
+        else:
+            v = f"CASE WHEN {t} IN ('', 'nan', 'NaT', 'None') THEN NULL ELSE {t} END"
+        out.append(f"{v} AS {name}")
+    view = "wl_conf" if fallback else "wl_conf_raw"
+    return (f"{view} AS (SELECT " + ", ".join(out)
+            + ", 'workstation' AS data_source, source_file, row_ordinal FROM wl_report)")
+
+
+WL_REPORT = _report_sql()
+WL_CONF = _conf_sql(True)
+WL_CONF_RAW = _conf_sql(False)
+
 _ORDER = [("wl", WL), ("tb", TB), ("sf", SF), ("wl_raw", WL_RAW), ("tb_raw", TB_RAW),
-          ("wl_old", WL_OLD), ("wl_new", WL_NEW), ("dates", DATES), ("prod", PROD)]
-_DEPS = {"sf": {"tb"}, "tb_raw": {"tb"}, "wl_raw": {"wl"}, "wl_old": {"wl"}, "wl_new": {"wl"}, "prod": {"wl"}}
+          ("wl_old", WL_OLD), ("wl_new", WL_NEW), ("dates", DATES), ("prod", PROD),
+          ("wl_report", WL_REPORT), ("wl_conf", WL_CONF), ("wl_conf_raw", WL_CONF_RAW)]
+_DEPS = {"sf": {"tb"}, "tb_raw": {"tb"}, "wl_raw": {"wl"}, "wl_old": {"wl"}, "wl_new": {"wl"}, "prod": {"wl"},
+         "wl_report": {"wl_raw", "wl"}, "wl_conf": {"wl_report", "wl_raw", "wl"},
+         "wl_conf_raw": {"wl_report", "wl_raw", "wl"}}
 
 
 def with_views(names: str, body: str) -> str:

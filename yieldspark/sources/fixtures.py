@@ -140,3 +140,49 @@ def workstation_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ship_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct calendar dates spanning several year ends (week-label checks)."""
     return tables.read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d")).distinct()
+
+
+# Column headers of the exported workstation report, in export order.
+WORKSTATION_REPORT_HEADERS = {
+    "sn": "SN", "pn": "PN", "model": "Model", "workstation_name": "Workstation Name",
+    "history_station_start_time": "History Station Start Time",
+    "history_station_end_time": "History Station End Time",
+    "history_station_passing_status": "History Station Passing Status",
+    "operator": "Operator", "customer_pn": "Customer PN", "outbound_version": "Outbound Version",
+    "hours": "Hours", "service_flow": "Service-Flow", "passing_station_method": "Passing Station Method",
+    "first_station_start_time": "First Station Start Time",
+}
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def workstation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw log rendered as an exported report: text cells, human headers, one file per ISO week.
+
+    Export artefacts reproduced: empty cells for NULL, the text ``nan`` for a
+    missing service flow (old exports, Q1), padded operator cells, a blank
+    start-time cell whenever the unit has no first-station time (start falls
+    back to end, B25), and a ``Day`` column that differs between the two
+    copies of re-exported rows (ignored by the in-file de-duplication, E4).
+    """
+    raw = workstation_raw(spark, sf_dir)
+    end = F.col("history_station_end_time")
+    cells = []
+    for name, header in WORKSTATION_REPORT_HEADERS.items():
+        c = F.col(name)
+        if name.endswith("_time"):
+            text = F.date_format(c, TS_TEXT)
+            if name == "history_station_start_time":
+                text = F.when(F.col("first_station_start_time").isNull(), F.lit("")).otherwise(text)
+        elif name == "service_flow":
+            text = F.coalesce(c, F.lit("nan"))
+        elif name == "operator":
+            text = F.concat(F.lit(" "), c, F.lit("  "))
+        else:
+            text = c
+        cells.append(F.coalesce(text, F.lit("")).alias(header))
+    day = F.when(F.col("id") >= REISSUE_ID_OFFSET, F.date_format("created_at", "yyyy-MM-dd")) \
+        .otherwise(F.date_format(end, "yyyy-MM-dd"))
+    from ..functions.columns import iso_week_label
+    return raw.select(*cells, day.alias("Day"),
+                      F.concat(F.lit("workstation_"), iso_week_label(end), F.lit(".csv")).alias("source_file"),
+                      F.col("id").alias("row_ordinal"))
