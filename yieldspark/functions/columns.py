@@ -155,27 +155,30 @@ def strip_to_null(c: str | Column, null_tokens: Iterable[str] = ()) -> Column:
     return F.when(cond, F.lit(None)).otherwise(t)
 
 
-# Accepted text layouts of spreadsheet timestamps, tried in order.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy h:mm a",
-    "yyyy-MM-dd",
-    "M/d/yyyy",
-)
+# Accepted text layouts of spreadsheet timestamps besides ISO-8601.
+SLASH_YMD_FORMATS = ("yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd")
+SLASH_MDY_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy")
+SLASH_MDY_AMPM_FORMATS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a")
 
 
 def parse_ts(c: str | Column) -> Column:
-    """NULL-safe timestamp parse to TIMESTAMP_NTZ; unparsable text -> NULL."""
+    """NULL-safe timestamp parse to TIMESTAMP_NTZ; blank or unparsable text -> NULL.
+
+    The text shape picks the parser first (ISO, year-first with slashes,
+    month-first with or without AM/PM), so each value costs one or two parse
+    attempts instead of a cascade of failing ones.
+    """
     s = F.trim(col(c).cast("string"))
-    tries = [s.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_FORMATS]
-    return F.coalesce(*tries)
+
+    def attempt(fmts):
+        return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in fmts])
+
+    return (F.when((s == "") | s.isNull(), F.lit(None).cast("timestamp_ntz"))
+            .when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), s.try_cast("timestamp_ntz"))
+            .when(s.rlike(r"^\d{4}/"), attempt(SLASH_YMD_FORMATS))
+            .when(s.rlike(r"(?i)[ap]m$"), attempt(SLASH_MDY_AMPM_FORMATS))
+            .when(s.rlike(r"^\d{1,2}/"), attempt(SLASH_MDY_FORMATS))
+            .otherwise(s.try_cast("timestamp_ntz")))
 
 
 def null_safe_key(left, right, keys: Iterable[str]) -> Column:

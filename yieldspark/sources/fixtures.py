@@ -164,7 +164,10 @@ def workstation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     back to end, B25), and a ``Day`` column that differs between the two
     copies of re-exported rows (ignored by the in-file de-duplication, E4).
     """
-    raw = workstation_raw(spark, sf_dir)
+    # A drop directory holds many report files, so its scan is split many ways;
+    # the rendered fixture comes from one parquet row group, so spread it the
+    # same way before the per-row text work (map-only, no key skew possible).
+    raw = workstation_raw(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
     end = F.col("history_station_end_time")
     cells = []
     for name, header in WORKSTATION_REPORT_HEADERS.items():
