@@ -13,14 +13,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _fixed_width(dt: T.DataType) -> bool:
+    return isinstance(dt, _FIXED_WIDTH) or (isinstance(dt, T.DecimalType) and dt.precision <= 18)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("id",)) -> DataFrame:
-    """One row per distinct key: the row with the smallest ``order`` value."""
+    """One row per distinct key: the row with the smallest ``order`` value (unique per row).
+
+    With one fixed-width order column and fixed-width payload columns the
+    plan is a HashAggregate (``min`` + ``min_by``); otherwise a ``min`` over a
+    struct, which Spark runs as a sort-based aggregate. Both combine map-side.
+    """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order = [c for c in order if c in rest]
     others = [c for c in rest if c not in order]
+    if len(order) == 1 and all(_fixed_width(df.schema[c].dataType) for c in rest):
+        o = order[0]
+        out = df.groupBy(*keys).agg(F.min(o).alias(o), *[F.min_by(c, o).alias(c) for c in others])
+        return out.select(*df.columns)
     packed = F.min(F.struct(*[F.col(c) for c in order + others])).alias("_first")
     out = df.groupBy(*keys).agg(packed)
     return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order + others]).select(*df.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import session
 from ..config import FIXTURE_AS_OF, LATEST_DAILY_ROWS
 from ..functions import columns as C
 from ..operators import tpy
@@ -290,8 +291,13 @@ LEFT JOIN summary ON summary.week_start = w.week_start
 
 
 def _weekly(spark, sf_dir):
-    wl, ud, fa = _base(spark, sf_dir)
-    sd = tpy.station_day(wl)
+    # The record combines ~10 aggregates of two base tables: materialise the
+    # bases once (reliable checkpoint in the shared checkpoint dir), so the
+    # log is scanned twice instead of once per derived aggregate.
+    wl = fx.workstation_log(spark, sf_dir)
+    ud = session.cut_lineage(tpy.unit_day(wl))
+    sd = session.cut_lineage(tpy.station_day(wl))
+    fa = tpy.first_activity(ud)
     return tpy.tpy_weekly(ud, sd, tpy.tpy_daily(sd, tpy.starters_by_week(fa)))
 
 

@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of lineage cuts are removed once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
