@@ -192,37 +192,50 @@ def _stations_json(entries: Column) -> Column:
                                        F.transform(entries, lambda x: x["throughput_yield"].cast("decimal(7,2)"))))
 
 
-def tpy_fixed(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Fixed four-station TPY per (week, model): ordered product of rounded yields, NULL unless all present."""
-    per_model = wsy.filter(F.col("level") == 0).withColumn("ord", _fixed_order(cfg)).filter(F.col("ord").isNotNull())
+def tpy_per_model(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Fixed-list and dynamic TPY per (week, tracked model) from ONE aggregate.
+
+    Each (week, model) collects its station yields once (one entry per
+    station, a list bounded by the station catalogue); the fixed formula
+    takes the configured stations in formula order, the dynamic one takes
+    all stations in the source report's order (visits descending, then
+    name). A model without rows gets 100.00 over 0 stations (dynamic) and
+    NULL (fixed); the fixed TPY is NULL unless every formula station is there.
+    """
+    per_model = wsy.filter(F.col("level") == 0).withColumn("ord", _fixed_order(cfg))
+    entry = F.struct((-F.col("total_parts")).alias("k"), "workstation_name", "throughput_yield", "ord")
+    found = per_model.groupBy("week_start", "model").agg(F.collect_list(entry).alias("e"))
     need = F.create_map(*[x for m, st in cfg.fixed_tpy_stations.items() for x in (F.lit(m), F.lit(len(st)))])
-    found = (per_model.groupBy("week_start", "model")
-             .agg(F.array_sort(F.collect_list(F.struct("ord", "workstation_name", "throughput_yield"))).alias("e")))
+    empty = F.array().cast(found.schema["e"].dataType)
+    e = F.coalesce(F.col("e"), empty)
+    dyn = F.array_sort(e)
+    fixed = F.array_sort(F.transform(F.filter(e, lambda x: x["ord"].isNotNull()),
+                                     lambda x: F.struct(x["ord"].alias("ord"), x["workstation_name"].alias(
+                                         "workstation_name"), x["throughput_yield"].alias("throughput_yield"))))
+    yields = lambda a: F.transform(a, lambda x: x["throughput_yield"])
     return (_week_model_spine(wsy, cfg).join(found, ["week_start", "model"], "left")
             .select(C.iso_week_label("week_start").alias("week_id"), "week_start", "model",
-                    F.coalesce(F.size("e"), F.lit(0)).cast("long").alias("stations_found"),
-                    F.when(F.size("e") == F.element_at(need, F.col("model")),
-                           C.ordered_product_pct(F.transform("e", lambda x: x["throughput_yield"])))
-                    .alias("tpy"),
-                    F.coalesce(_stations_json("e"), F.lit("{}")).alias("stations_json")))
+                    F.size(fixed).cast("long").alias("stations_found"),
+                    F.when(F.size(fixed) == F.element_at(need, F.col("model")),
+                           C.ordered_product_pct(yields(fixed))).alias("fixed_tpy"),
+                    _stations_json(fixed).alias("fixed_stations_json"),
+                    F.size(dyn).cast("long").alias("station_count"),
+                    C.ordered_product_pct(yields(dyn)).alias("dynamic_tpy"),
+                    _stations_json(dyn).alias("dynamic_stations_json")))
 
 
-def tpy_dynamic(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """All-station TPY per (week, model); a model without rows gives 100.00 over 0 stations.
+def tpy_fixed(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Fixed four-station TPY per (week, model)."""
+    return tpy_per_model(wsy, cfg).select("week_id", "week_start", "model", "stations_found",
+                                          F.col("fixed_tpy").alias("tpy"),
+                                          F.col("fixed_stations_json").alias("stations_json"))
 
-    Multiplication order follows the station order of the source report:
-    total visits descending, then station name.
-    """
-    per_model = wsy.filter(F.col("level") == 0)
-    found = (per_model.groupBy("week_start", "model")
-             .agg(F.array_sort(F.collect_list(F.struct((-F.col("total_parts")).alias("k"), "workstation_name",
-                                                        "throughput_yield"))).alias("e")))
-    return (_week_model_spine(wsy, cfg).join(found, ["week_start", "model"], "left")
-            .withColumn("e", F.coalesce("e", F.array().cast(found.schema["e"].dataType)))
-            .select(C.iso_week_label("week_start").alias("week_id"), "week_start", "model",
-                    F.size("e").cast("long").alias("station_count"),
-                    C.ordered_product_pct(F.transform("e", lambda x: x["throughput_yield"])).alias("tpy"),
-                    _stations_json("e").alias("stations_json")))
+
+def tpy_dynamic(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """All-station TPY per (week, model)."""
+    return tpy_per_model(wsy, cfg).select("week_id", "week_start", "model", "station_count",
+                                          F.col("dynamic_tpy").alias("tpy"),
+                                          F.col("dynamic_stations_json").alias("stations_json"))
 
 
 def weekly_overall_yield(daily_kpi: DataFrame) -> DataFrame:
@@ -276,20 +289,17 @@ def tpy_weekly(ud: DataFrame, sd: DataFrame, daily_kpi: DataFrame, cfg: YieldCon
     fpy = weekly_fpy(ud).drop("week_id")
     ovr = weekly_overall_yield(daily_kpi).drop("week_id")
     summ = weekly_station_summary(wsy).drop("week_id")
-    fixed, dyn = tpy_fixed(wsy, cfg), tpy_dynamic(wsy, cfg)
-    pivots = []
+    per_model = tpy_per_model(wsy, cfg)
+    pick = []
     for m in cfg.tracked_models:
-        s = _short(cfg, m)
-        pivots.append(fixed.filter(F.col("model") == m).select(
-            "week_start", F.col("stations_json").alias(f"tpy_hardcoded_{s}_stations"),
-            F.col("tpy").alias(f"tpy_hardcoded_{s}_tpy")))
-        pivots.append(dyn.filter(F.col("model") == m).select(
-            "week_start", F.col("stations_json").alias(f"tpy_dynamic_{s}_stations"),
-            F.col("tpy").alias(f"tpy_dynamic_{s}_tpy"),
-            F.col("station_count").alias(f"tpy_dynamic_{s}_station_count")))
-    out = weeks.join(fpy, "week_start", "left").join(ovr, "week_start", "left").join(summ, "week_start", "left")
-    for p in pivots:
-        out = out.join(p, "week_start", "left")
+        s_ = _short(cfg, m)
+        for src, dst in (("fixed_stations_json", f"tpy_hardcoded_{s_}_stations"), ("fixed_tpy", f"tpy_hardcoded_{s_}_tpy"),
+                         ("dynamic_stations_json", f"tpy_dynamic_{s_}_stations"), ("dynamic_tpy", f"tpy_dynamic_{s_}_tpy"),
+                         ("station_count", f"tpy_dynamic_{s_}_station_count")):
+            pick.append(F.max(F.when(F.col("model") == m, F.col(src))).alias(dst))
+    wide = per_model.groupBy("week_start").agg(*pick)  # one row per week, one column set per model
+    out = (weeks.join(fpy, "week_start", "left").join(ovr, "week_start", "left")
+           .join(summ, "week_start", "left").join(wide, "week_start", "left"))
     zero = F.lit(0).cast("long")
     return out.select(
         C.iso_week_label("week_start").alias("week_id"), "week_start",

@@ -41,7 +41,8 @@ def health_gate(tables: dict[str, DataFrame | None], required: tuple[str, ...] =
 
 
 def _bases(wl: DataFrame, cfg: YieldConfig) -> tuple[DataFrame, DataFrame]:
-    return session.cut_lineage(tpy.unit_day(wl, cfg)), session.cut_lineage(tpy.station_day(wl, cfg))
+    return (session.cut_lineage(tpy.unit_day(wl, cfg), "unit_day"),
+            session.cut_lineage(tpy.station_day(wl, cfg), "station_day"))
 
 
 def _table(spark: SparkSession, root: str, name: str, keys) -> VersionedTable:

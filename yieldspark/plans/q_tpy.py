@@ -295,8 +295,8 @@ def _weekly(spark, sf_dir):
     # bases once (reliable checkpoint in the shared checkpoint dir), so the
     # log is scanned twice instead of once per derived aggregate.
     wl = fx.workstation_log(spark, sf_dir)
-    ud = session.cut_lineage(tpy.unit_day(wl))
-    sd = session.cut_lineage(tpy.station_day(wl))
+    ud = session.cut_lineage(tpy.unit_day(wl), "unit_day")
+    sd = session.cut_lineage(tpy.station_day(wl), "station_day")
     fa = tpy.first_activity(ud)
     return tpy.tpy_weekly(ud, sd, tpy.tpy_daily(sd, tpy.starters_by_week(fa)))
 

@@ -2,7 +2,7 @@
 
 Each workbook is one row of the binary scan, so files are parsed in
 parallel across executors; the parser is a small per-file helper over the
-standard library (an .xlsx file is a zip of XML parts). Output is long-lived
+standard library (an .xlsx file is a zip of XML parts). Output is plain
 text: one row per sheet row with a ``cells`` map of normalised header ->
 text, which ``cells_to_columns`` turns into the columns ``conform`` expects.
 Dates stored as Excel serial numbers are rendered as ISO text.
@@ -95,7 +95,7 @@ def _parse_books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({FILE_COL: path, ROW_COL: range(1, len(out) + 1), "cells": out})
 
 
-def scan_workbooks(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+def scan_workbooks(spark: SparkSession, path: str, glob: str = "*.[xX][lL][sS][xX]") -> DataFrame:
     """Every workbook under ``path`` (recursive, case-insensitive ``.xlsx`` by default)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", glob).load(path).select("path", "content"))
