@@ -38,7 +38,7 @@ def _sn(u: Column) -> Column:
 
 
 def workstation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _unit(tables.read(spark, sf_dir, "events"))
+    e = _unit(tables.read(spark, sf_dir, "events", spread_by="event_id"))
     u, k, ts = F.col("u"), (F.col("event_id") % 8).cast("int"), F.col("ts")
     station = (F.when(k == 0, "RECEIVE").when(k == 1, "VI2").when(k == 2, "ASSY2").when(k == 3, "BBD")
                .when(k == 4, "TEST").when(k == 5, "FI").when(k == 6, "FQC")
@@ -72,7 +72,7 @@ def workstation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def testboard_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _unit(tables.read(spark, sf_dir, "events"))
+    e = _unit(tables.read(spark, sf_dir, "events", spread_by="event_id"))
     u, eid, uid, ts = F.col("u"), F.col("event_id"), F.col("user_id"), F.col("ts")
     is_err = F.col("event_type") == "error"
     return e.select(
@@ -164,10 +164,7 @@ def workstation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     back to end, B25), and a ``Day`` column that differs between the two
     copies of re-exported rows (ignored by the in-file de-duplication, E4).
     """
-    # A drop directory holds many report files, so its scan is split many ways;
-    # the rendered fixture comes from one parquet row group, so spread it the
-    # same way before the per-row text work (map-only, no key skew possible).
-    raw = workstation_raw(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    raw = workstation_raw(spark, sf_dir)
     end = F.col("history_station_end_time")
     cells = []
     for name, header in WORKSTATION_REPORT_HEADERS.items():

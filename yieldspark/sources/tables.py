@@ -14,6 +14,17 @@ def path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; Spark prunes columns and pushes filters into the scan."""
-    return spark.read.parquet(path(sf_dir, name))
+def read(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """One driver table; Spark prunes columns and pushes filters into the scan.
+
+    ``spread_by`` names a unique column: when the scan yields fewer splits
+    than the session's parallelism (a small file written as one row group),
+    rows are hash-spread on it so the per-row work that follows uses every
+    core. A large table has many splits and is left alone (no extra shuffle).
+    """
+    df = spark.read.parquet(path(sf_dir, name))
+    if spread_by is not None:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want, spread_by)
+    return df
