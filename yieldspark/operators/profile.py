@@ -92,6 +92,12 @@ def date_top_stations(wl: DataFrame, k: int = 10, cfg: YieldConfig = DEFAULT) ->
     return _top_per(agg, "test_date", k, [F.desc("n"), F.col(C.STATION)])
 
 
+def date_model_counts(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Per date: production rows by model."""
+    return (wl.filter(C.is_production(cfg=cfg))
+            .groupBy(C.to_day(C.END).alias("test_date"), "model").agg(F.count(F.lit(1)).alias("record_count")))
+
+
 def busy_dates(wl: DataFrame, min_rows: int = 100, k: int = 10, cfg: YieldConfig = DEFAULT) -> DataFrame:
     """Dates with at least ``min_rows`` production rows, busiest k."""
     agg = (wl.filter(F.col(C.END).isNotNull() & C.is_production(cfg=cfg))
@@ -134,8 +140,9 @@ def quality_profile(wl: DataFrame, top_flows: int = 10, top_stations: int = 15,
                     cfg: YieldConfig = DEFAULT) -> DataFrame:
     """One frequency table over model, production flow, station and status.
 
-    Each field is a separate small aggregate; the rank window runs over the
-    distinct values of one field, never over raw rows.
+    One scan: each row is unpivoted into (field, value) pairs for the fields
+    whose filter it passes, then a single aggregate counts them (map-side
+    combined). The rank window runs over the distinct values of one field.
     """
     flow = F.col(C.FLOW)
     not_excluded = ~flow.isin(*cfg.non_production_flows)  # NULL flow drops out here as well (B1b)
@@ -145,13 +152,16 @@ def quality_profile(wl: DataFrame, top_flows: int = 10, top_stations: int = 15,
         ("workstation_name", F.col(C.STATION), F.col(C.STATION).isNotNull() & not_excluded, top_stations),
         ("history_station_passing_status", F.col(C.STATUS), F.col(C.STATUS).isNotNull() & not_excluded, None),
     ]
-    out = None
-    for name, value, cond, k in specs:
-        agg = (wl.filter(cond).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("record_count"))
-               .withColumn("field", F.lit(name)))
-        ranked = _top_per(agg, "field", k if k else 1 << 30, [F.desc("record_count"), F.col("value")])
-        out = ranked if out is None else out.unionByName(ranked)
-    return out.select("field", "value", "record_count", "rank")
+    pairs = F.array(*[F.when(cond, F.struct(F.lit(name).alias("field"), value.cast("string").alias("value")))
+                      for name, value, cond, _ in specs])
+    counts = (wl.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
+              .groupBy("p.field", "p.value").agg(F.count(F.lit(1)).alias("record_count")))
+    ranked = _top_per(counts, "field", 1 << 30, [F.desc("record_count"), F.col("value")])
+    limit = F.lit(1 << 30)
+    for name, _, _, k in specs:
+        if k:
+            limit = F.when(F.col("field") == name, F.lit(k)).otherwise(limit)
+    return ranked.filter(F.col("rank") <= limit).select("field", "value", "record_count", "rank")
 
 
 def receive_by_hour(wl: DataFrame, hours: tuple[int, int] = (20, 24), day: _dt.date | None = None,

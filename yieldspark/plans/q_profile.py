@@ -70,6 +70,20 @@ def q_date_profile(spark, sf_dir):
     return profile.date_profile(fx.workstation_log(spark, sf_dir))
 
 
+@register("date_top_stations", with_views("prod", f"""
+SELECT CAST({END} AS DATE) AS test_date, workstation_name, count(*) AS n,
+  row_number() OVER (PARTITION BY CAST({END} AS DATE) ORDER BY count(*) DESC, workstation_name) AS rank
+FROM prod GROUP BY 1, 2 QUALIFY rank <= {config.TOP_STATIONS_DATE}"""))
+def q_date_top_stations(spark, sf_dir):
+    return profile.date_top_stations(fx.workstation_log(spark, sf_dir), config.TOP_STATIONS_DATE)
+
+
+@register("date_model_counts", with_views("prod", f"""
+SELECT CAST({END} AS DATE) AS test_date, model, count(*) AS record_count FROM prod GROUP BY ALL"""))
+def q_date_model_counts(spark, sf_dir):
+    return profile.date_model_counts(fx.workstation_log(spark, sf_dir))
+
+
 @register("busy_dates", with_views("prod", f"""
 SELECT CAST({END} AS DATE) AS test_date, count(*) AS record_count, count(DISTINCT sn) AS unique_parts,
   count(CASE WHEN workstation_name = 'PACKING' THEN 1 END) AS packing_records
