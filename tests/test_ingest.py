@@ -140,3 +140,10 @@ def test_scan_reports_from_csv_drop(spark, scratch):
     conformed = ingest.conform(scanned, schemas.WORKSTATION_LOG, "workstation", start_falls_back_to_end=True)
     assert conformed.filter(F.col("history_station_end_time").isNull()).count() == 0
     assert conformed.count() == rep.count()
+
+
+def test_renormalize_drops_and_adds_columns(spark):
+    df = spark.createDataFrame([("S1", "x", "2024-01-01")], "sn string, day string, model string")
+    out = ingest.renormalize(df, schemas.SNFN_LOG)
+    assert out.columns == [f.name for f in schemas.SNFN_LOG.fields]
+    assert out.first().sn == "S1" and out.first().model == "2024-01-01" and out.first().fixture_no is None

@@ -95,3 +95,28 @@ def test_dedup_within_watermark(spark, scratch):
          .trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert spark.table("dedup_out").count() == fx.workstation_log(spark, SF).count()
+
+
+def test_testboard_drop_ingest_with_extra_usage_column(spark, scratch):
+    from pyspark.sql import types as T
+    from yieldspark.functions import columns as C
+    tb = fx.testboard_log(spark, SF)
+    names = [f.name for f in schemas.TESTBOARD_LOG.fields if f.name not in ("id", "created_at", "data_source")]
+    header = {n: n.replace("_", " ").title() for n in names}
+    cells = [F.coalesce(F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS") if n.endswith("_time") else F.col(n),
+                        F.lit("")).alias(header[n]) for n in names]
+    usage = (F.col("id") % 5).cast("string").alias("Number of Times Baseboard is Used")
+    drop = os.path.join(scratch, "tbdrop")
+    tb.select(*cells, usage).coalesce(2).write.option("header", True).csv(drop)
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in list(header.values())
+                           + ["Number of Times Baseboard is Used"]])
+    q = stream.start_report_ingest(spark, drop, os.path.join(scratch, "tblog"), os.path.join(scratch, "ck"),
+                                   kind="testboard", report_schema=schema)
+    q.awaitTermination(300)
+    log = spark.read.parquet(os.path.join(scratch, "tblog"))
+    assert log.count() == tb.count()
+    assert "number_of_times_baseboard_is_used" not in log.columns
+    key = list(schemas.TESTBOARD_KEY)
+    assert sorted(tuple(r) for r in log.select(*key).collect()) == sorted(tuple(r) for r in tb.select(*key).collect())
+    got = spark.createDataFrame([("3",), ("3.0",), ("x",), (None,)], "s string").select(C.safe_int("s").alias("n"))
+    assert [r.n for r in got.collect()] == [3, 3, None, None]

@@ -181,6 +181,11 @@ def parse_ts(c: str | Column) -> Column:
             .otherwise(s.try_cast("timestamp_ntz")))
 
 
+def safe_int(c: str | Column) -> Column:
+    """Integer from text or number, NULL when not numeric; ``"3.0"`` -> 3."""
+    return F.trim(col(c).cast("string")).try_cast("double").cast("int")
+
+
 def null_safe_key(left, right, keys: Iterable[str]) -> Column:
     """Conjunction of ``left.k <=> right.k`` over keys (Q3)."""
     cond = None

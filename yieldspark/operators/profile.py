@@ -31,9 +31,15 @@ def required_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return base.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def record_counts(logs: dict[str, DataFrame]) -> DataFrame:
-    """Per table: rows and exact distinct serial numbers."""
-    parts = [df.agg(F.count(F.lit(1)).alias("total_records"), F.countDistinct("sn").alias("unique_sn"))
+def record_counts(logs: dict[str, DataFrame], approx_rsd: float | None = None) -> DataFrame:
+    """Per table: rows and distinct serial numbers.
+
+    Exact by default; ``approx_rsd`` switches to HyperLogLog++
+    (``approx_count_distinct``) for a health check that must stay one cheap pass.
+    """
+    distinct = (F.countDistinct("sn") if approx_rsd is None
+                else F.approx_count_distinct("sn", rsd=approx_rsd))
+    parts = [df.agg(F.count(F.lit(1)).alias("total_records"), distinct.alias("unique_sn"))
              .select(F.lit(name).alias("table_name"), "total_records", "unique_sn")
              for name, df in logs.items()]
     out = parts[0]

@@ -46,34 +46,48 @@ def report_stream(spark: SparkSession, drop_dir: str, schema: T.StructType = REP
     return reader.load(drop_dir).withColumn(FILE_COL, F.input_file_name())
 
 
-def ingest_batch(batch: DataFrame, log: LogStore, cfg: YieldConfig = DEFAULT) -> int:
+# NOT NULL columns of each log (rows missing one go to quarantine, Q21).
+REQUIRED = {
+    "workstation": ("sn", "workstation_name", C.START, C.END),
+    "testboard": ("sn", "workstation_name", C.START, C.END),
+    "snfn": ("workstation_name", "sn", C.START, C.END),
+}
+
+
+def ingest_batch(batch: DataFrame, log: LogStore, cfg: YieldConfig = DEFAULT, kind: str = "workstation") -> int:
     """One micro-batch: conform -> in-file first-row-wins -> anti join against the log -> append.
 
     The micro-batch is a static DataFrame, so the in-file row ordinal is
-    assigned here (increasing in file order within each file split).
+    assigned here (increasing in file order within each file split). Only
+    the workstation report lets a missing start time fall back to the end
+    time (B25); the other logs quarantine such rows.
     """
+    schema, key = schemas.LOGS[kind]
     if ROW_COL not in batch.columns:
         batch = batch.withColumn(ROW_COL, F.monotonically_increasing_id())
-    conformed = ingest.conform(batch, schemas.WORKSTATION_LOG, "workstation", cfg,
-                               start_falls_back_to_end=True)
-    good, _bad = ingest.quarantine_split(conformed, ["sn", "workstation_name", C.START, C.END])
-    first = ingest.infile_dedup(good, list(schemas.WORKSTATION_KEY))
-    stamped = first.drop(FILE_COL).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
+    conformed = ingest.conform(batch, schema, kind, cfg, start_falls_back_to_end=(kind == "workstation"))
+    good, _bad = ingest.quarantine_split(conformed, list(REQUIRED[kind]))
+    first = ingest.infile_dedup(good, list(key))
+    stamped = first.drop(FILE_COL)
+    if "created_at" in schema.fieldNames():
+        stamped = stamped.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
     return log.append(stamped)
 
 
 def start_report_ingest(spark: SparkSession, drop_dir: str, log_path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str = "10 seconds",
-                        on_batch: Callable[[int, int], None] | None = None):
-    """Start the file-drop import stream (I1); returns the StreamingQuery."""
-    log = LogStore(spark, log_path, schemas.WORKSTATION_KEY)
+                        on_batch: Callable[[int, int], None] | None = None, kind: str = "workstation",
+                        report_schema: T.StructType = REPORT_SCHEMA, fmt: str = "csv"):
+    """Start the file-drop import stream for one log kind (I1); returns the StreamingQuery."""
+    log = LogStore(spark, log_path, schemas.LOGS[kind][1])
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        n = ingest_batch(batch, log)
+        n = ingest_batch(batch, log, kind=kind)
         if on_batch:
             on_batch(batch_id, n)
 
-    w = report_stream(spark, drop_dir).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    w = (report_stream(spark, drop_dir, report_schema, fmt).writeStream.foreachBatch(fn)
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
