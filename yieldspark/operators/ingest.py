@@ -63,14 +63,29 @@ def infile_dedup(df: DataFrame, keys: Sequence[str], file_col: str = FILE_COL,
     return dedup.keep_first(df, [file_col, *keys], order=(order_col,))
 
 
+def log_days_of(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The log rows that can match ``incoming`` at all.
+
+    The key holds the end timestamp, so only log rows of a day present in
+    the incoming rows can match. The set of days is bounded by the calendar
+    (a few thousand rows at most), so it is broadcast and the filter runs on
+    the mappers of the log scan; for a log partitioned by day the
+    ``LogStore`` prunes partitions instead.
+    """
+    if C.END not in keys:
+        return log
+    days = incoming.select(C.to_day(C.END).alias("_day")).distinct()
+    return log.join(F.broadcast(days), C.to_day(log[C.END]) == days["_day"], "left_semi")
+
+
 def new_rows(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not in the log, NULL-safe on every column.
 
-    The log side is reduced to its distinct keys first, so copies of one row
-    in the log (however many) cost one partial-aggregated row each before the
-    join, and the join never multiplies incoming rows.
+    The log is cut to the incoming days, then reduced to its distinct keys,
+    so copies of one row in the log (however many) cost one partial-aggregated
+    row each before the join, and the join never multiplies incoming rows.
     """
-    lk = log.select(*keys).distinct()
+    lk = log_days_of(incoming, log, keys).select(*keys).distinct()
     return incoming.join(lk, C.null_safe_key(incoming, lk, keys), "left_anti")
 
 
@@ -82,7 +97,7 @@ def insert_ignore(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> D
 
 def load_report(incoming: DataFrame, log: DataFrame, keys: Sequence[str], file_col: str = FILE_COL) -> DataFrame:
     """Per incoming file: rows read, rows already in the log, new rows."""
-    lk = log.select(*keys).distinct().withColumn("_hit", F.lit(1))
+    lk = log_days_of(incoming, log, keys).select(*keys).distinct().withColumn("_hit", F.lit(1))
     matched = incoming.join(lk, C.null_safe_key(incoming, lk, keys), "left")
     return (matched.groupBy(file_col)
             .agg(F.count(F.lit(1)).alias("rows_read"),
