@@ -88,7 +88,7 @@ def date_profile(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
 
 def _top_per(df: DataFrame, part: str, k: int, order) -> DataFrame:
     w = Window.partitionBy(part).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
 
 
 def date_top_stations(wl: DataFrame, k: int = 10, cfg: YieldConfig = DEFAULT) -> DataFrame:
