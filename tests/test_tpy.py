@@ -138,3 +138,13 @@ def test_all_time_equals_union_of_recent_windows(spark):
     key = lambda r: (r.pack_date, r.model, r.part_number)
     merged = {key(r): r.packed_count for r in parts.collect()}
     assert merged == {key(r): r.packed_count for r in full.collect()}
+
+
+def test_fold_keeps_packing_total(spark):
+    from yieldspark.sources import fixtures as fx
+    wl = fx.workstation_log(spark, "/root/testdata/sf0.01")
+    folded = packing.packing_daily(wl).agg(F.sum("packed_count")).first()[0]
+    raw = wl.filter((F.col("workstation_name") == "PACKING")
+                    & (F.col("history_station_passing_status") == "Pass")).count()
+    assert folded == raw
+    assert packing.packing_daily(wl).filter(F.dayofweek("pack_date").isin(1, 7)).count() == 0

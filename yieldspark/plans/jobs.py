@@ -54,6 +54,13 @@ def daily(spark: SparkSession, wl: DataFrame, out_root: str, tb: DataFrame | Non
     """K1: daily TPY (all dates, or as_of and the two days before), packing, hourly counts,
     daily completions / FPY and the test-board tables. Returns table -> written version."""
     health_gate({"workstation_master_log": wl, "testboard_master_log": tb}, ("workstation_master_log",))
+    try:
+        return _daily(spark, wl, out_root, tb, as_of, cfg)
+    finally:
+        session.clear_cuts(spark)
+
+
+def _daily(spark, wl, out_root, tb, as_of, cfg) -> dict[str, int]:
     ud, sd = _bases(wl, cfg)
     fa = tpy.first_activity(ud)
     daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))
@@ -87,6 +94,13 @@ def weekly(spark: SparkSession, wl: DataFrame, out_root: str, as_of: _dt.date |
            cfg: YieldConfig = DEFAULT) -> dict[str, int]:
     """K2: the weekly KPI record (all weeks, or the week of ``as_of``) and the sort-test counts."""
     health_gate({"workstation_master_log": wl}, ("workstation_master_log",))
+    try:
+        return _weekly(spark, wl, out_root, as_of, cfg)
+    finally:
+        session.clear_cuts(spark)
+
+
+def _weekly(spark, wl, out_root, as_of, cfg) -> dict[str, int]:
     ud, sd = _bases(wl, cfg)
     fa = tpy.first_activity(ud)
     daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))

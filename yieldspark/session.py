@@ -58,9 +58,27 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _CUTS.append(path)
     return spark.read.parquet(path)
 
 
+_CUTS: list[str] = []
+
+
+def clear_cuts(spark: SparkSession) -> int:
+    """Delete the lineage-cut tables written so far (call once their readers are done)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _CUTS:
+        p = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
