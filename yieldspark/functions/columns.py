@@ -30,6 +30,11 @@ def is_production(flow: str | Column = FLOW, cfg: YieldConfig = DEFAULT) -> Colu
     return c.isNotNull() & ~c.isin(*cfg.non_production_flows)
 
 
+def ts_lit(t) -> Column:
+    """A zone-less TIMESTAMP_NTZ literal from a ``datetime`` (no session / process zone involved)."""
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def in_range(c: str | Column, lo, hi) -> Column:
     """Half-open range ``lo <= c < hi`` (B2); bounds may be literals or Columns."""
     c = col(c)

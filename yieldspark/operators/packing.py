@@ -43,7 +43,7 @@ def recent_bounds(as_of: _dt.date, days: int) -> tuple[_dt.datetime, _dt.datetim
 def packing_recent(wl: DataFrame, as_of: _dt.date, days: int = 7, cfg: YieldConfig = DEFAULT) -> DataFrame:
     """Rolling-window packing counts for an upsert (D4); the time predicate reaches the scan."""
     lo, hi = recent_bounds(as_of, days)
-    return packing_daily(wl.filter(C.in_range(C.END, F.lit(lo), F.lit(hi))), cfg)
+    return packing_daily(wl.filter(C.in_range(C.END, C.ts_lit(lo), C.ts_lit(hi))), cfg)
 
 
 def packing_proof(wl: DataFrame, day: _dt.date | None = None, cfg: YieldConfig = DEFAULT) -> DataFrame:
@@ -83,7 +83,7 @@ def sort_test_daily(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
 def sort_test_recent(wl: DataFrame, as_of: _dt.date, days: int = 7, cfg: YieldConfig = DEFAULT) -> DataFrame:
     """Rolling-window sort-test counts (D7), same widening rule as packing."""
     lo, hi = recent_bounds(as_of, days)
-    return sort_test_daily(wl.filter(C.in_range(C.END, F.lit(lo), F.lit(hi))), cfg)
+    return sort_test_daily(wl.filter(C.in_range(C.END, C.ts_lit(lo), C.ts_lit(hi))), cfg)
 
 
 def sort_test_pivot(counts: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:

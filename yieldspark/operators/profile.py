@@ -51,7 +51,7 @@ def record_counts(logs: dict[str, DataFrame], approx_rsd: float | None = None) -
 def recent_activity(logs: dict[str, DataFrame], as_of: _dt.datetime, hours: int = 24) -> DataFrame:
     """Rows created in the ``hours`` before ``as_of`` per table (B7); ``as_of`` replaces NOW()."""
     lo = as_of - _dt.timedelta(hours=hours)
-    parts = [df.filter(F.col("created_at") >= F.lit(lo)).agg(F.count(F.lit(1)).alias("recent_records"))
+    parts = [df.filter(F.col("created_at") >= C.ts_lit(lo)).agg(F.count(F.lit(1)).alias("recent_records"))
              .select(F.lit(name).alias("table_name"), "recent_records") for name, df in logs.items()]
     out = parts[0]
     for p in parts[1:]:

@@ -14,6 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ts_lit
 from . import tables
 
 # The re-export window that the duplicate-laden raw logs repeat,
@@ -114,7 +115,7 @@ def snfn_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_reexport(log: DataFrame) -> DataFrame:
     """The log plus a second copy of one re-exported week, under fresh ids."""
     end = F.col("history_station_end_time")
-    again = (log.filter((end >= F.lit(REEXPORT_FROM)) & (end < F.lit(REEXPORT_TO)))
+    again = (log.filter((end >= ts_lit(REEXPORT_FROM)) & (end < ts_lit(REEXPORT_TO)))
              .withColumn("id", F.col("id") + REISSUE_ID_OFFSET))
     return log.unionByName(again)
 
@@ -129,12 +130,12 @@ def testboard_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def workstation_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows already in the log: everything that ended before OLD_BEFORE."""
-    return workstation_log(spark, sf_dir).filter(F.col("history_station_end_time") < F.lit(OLD_BEFORE))
+    return workstation_log(spark, sf_dir).filter(F.col("history_station_end_time") < ts_lit(OLD_BEFORE))
 
 
 def workstation_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An incoming report that overlaps the log by four days."""
-    return workstation_log(spark, sf_dir).filter(F.col("history_station_end_time") >= F.lit(NEW_FROM))
+    return workstation_log(spark, sf_dir).filter(F.col("history_station_end_time") >= ts_lit(NEW_FROM))
 
 
 def ship_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
