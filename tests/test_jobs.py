@@ -44,3 +44,15 @@ def test_health_gate_rejects_empty(spark):
         jobs.health_gate({"workstation_master_log": empty}, ("workstation_master_log",))
     with pytest.raises(jobs.HealthCheckError):
         jobs.health_gate({"workstation_master_log": None}, ("workstation_master_log",))
+
+
+def test_weekly_current_week_reads_one_week_and_matches_full(spark, scratch):
+    wl = fx.workstation_log(spark, SF)
+    full_root, week_root = os.path.join(scratch, "full"), os.path.join(scratch, "week")
+    jobs.weekly(spark, wl, full_root)
+    jobs.weekly(spark, wl, week_root, as_of=dt.date(2024, 1, 19))
+    cols = lambda df: [c for c in df.columns if c != "created_at"]
+    full = VersionedTable(spark, os.path.join(full_root, "weekly_tpy_metrics")).read()
+    one = VersionedTable(spark, os.path.join(week_root, "weekly_tpy_metrics")).read()
+    assert one.count() == 1
+    assert rows(one.select(*cols(one))) == rows(full.filter("week_id = '2024-W03'").select(*cols(one)))

@@ -349,3 +349,14 @@ def station_metrics_json(wsy: DataFrame) -> DataFrame:
 
 def week_of(as_of: _dt.date) -> _dt.date:
     return as_of - _dt.timedelta(days=as_of.weekday())
+
+
+def week_rows(wl: DataFrame, week: _dt.date) -> DataFrame:
+    """Log rows of the ISO week starting ``week`` (half-open on the end time).
+
+    The weekly record has no full-history term (starters are a daily-table
+    attribute), so the current-week mode reads one week of the log: the
+    bounds reach the Parquet scan and prune day partitions.
+    """
+    lo = _dt.datetime.combine(week_of(week), _dt.time())
+    return wl.filter(C.in_range(C.END, C.ts_lit(lo), C.ts_lit(lo + _dt.timedelta(days=7))))

@@ -101,14 +101,12 @@ def weekly(spark: SparkSession, wl: DataFrame, out_root: str, as_of: _dt.date |
 
 
 def _weekly(spark, wl, out_root, as_of, cfg) -> dict[str, int]:
-    ud, sd = _bases(wl, cfg)
+    src = wl if as_of is None else tpy.week_rows(wl, as_of)  # current week: read one week of the log
+    ud, sd = _bases(src, cfg)
     fa = tpy.first_activity(ud)
-    daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))
+    daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))  # only its totals feed the record
     rec = tpy.tpy_weekly(ud, sd, daily_kpi, cfg)
-    st = packing.sort_test_daily(wl, cfg)
-    if as_of is not None:
-        rec = rec.filter(F.col("week_start") == F.lit(tpy.week_of(as_of)))
-        st = packing.sort_test_recent(wl, as_of, 7, cfg)
+    st = packing.sort_test_daily(wl, cfg) if as_of is None else packing.sort_test_recent(wl, as_of, 7, cfg)
     return {
         "weekly_tpy_metrics": _table(spark, out_root, "weekly_tpy_metrics", schemas.TPY_WEEKLY_KEY)
         .upsert(rec.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))),

@@ -290,11 +290,14 @@ LEFT JOIN summary ON summary.week_start = w.week_start
 {where}"""
 
 
-def _weekly(spark, sf_dir):
+def _weekly(spark, sf_dir, week=None):
     # The record combines ~10 aggregates of two base tables: materialise the
-    # bases once (reliable checkpoint in the shared checkpoint dir), so the
-    # log is scanned twice instead of once per derived aggregate.
+    # bases once (a Parquet lineage cut in the shared checkpoint dir), so the
+    # log is scanned twice instead of once per derived aggregate. The
+    # current-week mode reads only that week's rows.
     wl = fx.workstation_log(spark, sf_dir)
+    if week is not None:
+        wl = tpy.week_rows(wl, week)
     ud = session.cut_lineage(tpy.unit_day(wl), "unit_day")
     sd = session.cut_lineage(tpy.station_day(wl), "station_day")
     fa = tpy.first_activity(ud)
@@ -308,7 +311,7 @@ def q_tpy_weekly(spark, sf_dir):
 
 @register("tpy_weekly_recent", with_views("prod", _weekly_record_sql("WHERE w.week_start = DATE '2024-01-15'")))
 def q_tpy_weekly_recent(spark, sf_dir):
-    return _weekly(spark, sf_dir).filter(F.col("week_start") == F.lit(tpy.week_of(AS_OF)))
+    return _weekly(spark, sf_dir, tpy.week_of(AS_OF))
 
 
 @register("tpy_weekly_json", with_views("prod", f"""{_WSY},
