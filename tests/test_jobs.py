@@ -56,3 +56,23 @@ def test_weekly_current_week_reads_one_week_and_matches_full(spark, scratch):
     one = VersionedTable(spark, os.path.join(week_root, "weekly_tpy_metrics")).read()
     assert one.count() == 1
     assert rows(one.select(*cols(one))) == rows(full.filter("week_id = '2024-W03'").select(*cols(one)))
+
+
+def test_incremental_daily_matches_full_rebuild(spark, scratch):
+    wl = fx.workstation_log(spark, SF)
+    known_19 = wl.filter("history_station_end_time < '2024-01-20'")  # the log as it stands on 2024-01-19
+    full_root, inc_root = os.path.join(scratch, "full"), os.path.join(scratch, "inc")
+    jobs.daily(spark, known_19, full_root)
+    # day 16: bootstraps the kept first-activity table; day 19: merges only the 17th..19th
+    jobs.daily(spark, wl.filter("history_station_end_time < '2024-01-17'"), inc_root,
+               as_of=dt.date(2024, 1, 16), incremental=True)
+    jobs.daily(spark, known_19, inc_root, as_of=dt.date(2024, 1, 19), incremental=True)
+    fa_full = tpy.first_activity(tpy.unit_day(known_19))
+    fa_kept = VersionedTable(spark, os.path.join(inc_root, "first_activity")).read()
+    assert rows(fa_kept) == rows(fa_full.select(*fa_kept.columns))
+    for name in ("daily_tpy_metrics", "daily_completions", "station_hourly_summary"):
+        a = VersionedTable(spark, os.path.join(full_root, name)).read()
+        b = VersionedTable(spark, os.path.join(inc_root, name)).read()
+        day = "date_id" if "date_id" in a.columns else "date"
+        flt = f"{day} >= '2024-01-17' AND {day} <= '2024-01-19'"
+        assert rows(a.filter(flt)) == rows(b.filter(flt).select(*a.columns)), name

@@ -57,6 +57,17 @@ def first_activity(ud: DataFrame) -> DataFrame:
     return ud.groupBy("sn", "model").agg(F.min("first_end").alias("first_activity_time"))
 
 
+def merge_first_activity(current: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Upsert rows that min-merge newly seen first activities into a kept table.
+
+    Only units present in ``fresh`` are returned (with the earlier of the two
+    times); upserting them keeps every other unit as it was.
+    """
+    old = current.select("sn", "model", F.col("first_activity_time").alias("_old"))
+    return (fresh.join(old, ["sn", "model"], "left")
+            .select("sn", "model", F.least("first_activity_time", "_old").alias("first_activity_time")))
+
+
 def weekly_starters(fa: DataFrame) -> DataFrame:
     """Units whose first activity falls in each ISO week, per model and in total.
 

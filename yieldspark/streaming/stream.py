@@ -147,10 +147,7 @@ def refresh_kpis(batch: DataFrame, log: DataFrame, packing_table: VersionedTable
 
     batch_first = tpy.first_activity(tpy.unit_day(batch, cfg))
     if first_activity_table.exists():
-        cur = first_activity_table.read()
-        merged = (batch_first.join(cur.withColumnRenamed("first_activity_time", "old"), ["sn", "model"], "left")
-                  .select("sn", "model", F.least("first_activity_time", "old").alias("first_activity_time")))
-        first_activity_table.upsert(merged)
+        first_activity_table.upsert(tpy.merge_first_activity(first_activity_table.read(), batch_first))
     else:
         first_activity_table.upsert(batch_first)
     sbw = tpy.starters_by_week(first_activity_table.read())
