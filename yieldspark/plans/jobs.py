@@ -101,7 +101,9 @@ def _daily(spark, wl, out_root, tb, as_of, cfg, incremental) -> dict[str, int]:
         daily_kpi = daily_kpi.filter(tpy.recent_dates_filter("date_id", as_of))
         dc = dc.filter(tpy.recent_dates_filter("date_id", as_of))
     out = {
-        "daily_tpy_metrics": _table(spark, out_root, "daily_tpy_metrics", schemas.TPY_DAILY_KEY).upsert(daily_kpi),
+        # created_at is touched on every upsert, like the source's ON CONFLICT ... created_at = NOW() (A10)
+        "daily_tpy_metrics": _table(spark, out_root, "daily_tpy_metrics", schemas.TPY_DAILY_KEY)
+        .upsert(daily_kpi.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))),
         "daily_completions": _table(spark, out_root, "daily_completions", ("date_id", "model"))
         .upsert(dc, null_keys="keep"),
         "station_hourly_summary": _table(spark, out_root, "station_hourly_summary", schemas.STATION_HOURLY_KEY)
