@@ -88,14 +88,29 @@ def starters_by_week(fa: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("total_starters")))
 
 
-def completions_by_unit(ud: DataFrame, fa: DataFrame) -> DataFrame:
-    """Unit-days of units that started in that day's week (C1 semi join on sn only, Q10)."""
-    starters = fa.select("sn", C.week_start("first_activity_time").alias("week_start")).distinct()
-    return (ud.withColumn("week_start", C.week_start("day"))
-            .join(starters, ["sn", "week_start"], "left_semi"))
-
-
-def daily_completions(ud: DataFrame, fa: DataFrame) -> DataFrame:
+def completions_by_unit(ud: DataFrame, fa: DataFrame | None = None) -> DataFrame:
+    """Unit-days of units that started in that day's week (C1: match on sn only, Q10).
+
+    Without ``fa`` the starters test runs on ``ud`` itself: ``ud`` is
+    re-partitioned by sn (a unit holds at most one row per model and day, so
+    no group is hot) and two windows over it give each unit's first week per
+    model and the set of those weeks per sn; one log scan serves both sides.
+    With ``fa`` (a kept first-activity table, incremental mode) it is a semi
+    join on (sn, week).
+    """
+    ud = ud.withColumn("week_start", C.week_start("day"))
+    if fa is not None:
+        starters = fa.select("sn", C.week_start("first_activity_time").alias("week_start")).distinct()
+        return ud.join(starters, ["sn", "week_start"], "left_semi")
+    first_week = C.week_start(F.min("first_end").over(Window.partitionBy("sn", "model")))
+    return (ud.repartition("sn")
+            .withColumn("_first_week", first_week)
+            .withColumn("_start_weeks", F.collect_set("_first_week").over(Window.partitionBy("sn")))
+            .filter(F.array_contains("_start_weeks", F.col("week_start")))
+            .drop("_first_week", "_start_weeks"))
+
+
+def daily_completions(ud: DataFrame, fa: DataFrame | None = None) -> DataFrame:
     """Per day and model: week starters that reached PACKING that day, and those without a failure that day."""
     return (completions_by_unit(ud, fa)
             .filter(F.col("reached_packing") > 0)

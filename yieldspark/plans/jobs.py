@@ -96,7 +96,8 @@ def _daily(spark, wl, out_root, tb, as_of, cfg, incremental) -> dict[str, int]:
         fa = tpy.first_activity(ud)
         hourly_src = wl
     daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))
-    dc = tpy.daily_completions(ud, fa)
+    # incremental: starters come from the kept table; full: one pass over the unit-day base
+    dc = tpy.daily_completions(ud, fa if (incremental and as_of is not None) else None)
     if as_of is not None:
         daily_kpi = daily_kpi.filter(tpy.recent_dates_filter("date_id", as_of))
         dc = dc.filter(tpy.recent_dates_filter("date_id", as_of))

@@ -153,8 +153,7 @@ FROM cc WHERE reached_packing > 0 GROUP BY date_id, model)"""
 {_COMPLETIONS}
 SELECT *, {pct2('first_pass_today', 'completed_today')} AS model_fpy FROM dc"""))
 def q_daily_completions(spark, sf_dir):
-    _, ud, fa = _base(spark, sf_dir)
-    return tpy.daily_completions(ud, fa)
+    return tpy.daily_completions(_base(spark, sf_dir)[1])
 
 
 @register("daily_fpy", with_views("prod", f"""
@@ -164,8 +163,7 @@ SELECT date_id, CAST(sum(completed_today) AS BIGINT) AS completed_today,
   {pct2('sum(first_pass_today)', 'sum(completed_today)')} AS daily_fpy
 FROM dc GROUP BY date_id"""))
 def q_daily_fpy(spark, sf_dir):
-    _, ud, fa = _base(spark, sf_dir)
-    return tpy.daily_fpy(tpy.daily_completions(ud, fa))
+    return tpy.daily_fpy(tpy.daily_completions(_base(spark, sf_dir)[1]))
 
 
 @register("tpy_daily", with_views("prod", f"{_FA}, {_SBW}, {_SD}, {_DAILY} SELECT * FROM daily"))
