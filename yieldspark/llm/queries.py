@@ -6,18 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, secrets, simhash
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, QueryFn]:
-    out = {f.__name__: f for f in (op10_quality_rules,)}
+    out = {f.__name__: f for f in (op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out
