@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets, simhash
+from . import decontam, quality, secrets, simhash
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -25,7 +29,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    out = {f.__name__: f for f in (op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
+    out = {f.__name__: f for f in (op4_benchmark_decontamination, op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out
