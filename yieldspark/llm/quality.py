@@ -203,10 +203,11 @@ def first_rejection(f: Features, rules: tuple[Rule, ...]) -> Column:
 
 def judge(docs: DataFrame, out: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` plus ``out``: the rejecting rule that came first in the cascade, NULL where kept."""
-    t, w = fresh(docs, "t", "w")
     plan = ordered(rules, estimate(docs, text, rules))
-    return (docs.withColumn(t, text_or_empty(text)).withColumn(w, words(F.col(t)))
-            .withColumn(out, first_rejection(Features(F.col(t), F.col(w)), plan)).drop(t, w))
+    t = text_or_empty(text)
+    # The words are bound, not a column: a filter on ``out`` would be pushed below such a column and split the text anew
+    # at every use.
+    return docs.withColumn(out, let(words(t), lambda w: first_rejection(Features(t, w), plan)))
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

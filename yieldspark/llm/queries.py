@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, quality, secrets, simhash
+from . import decontam, pieces, quality, secrets, simhash
 from .common import table
 
+#: File name of the tokenizer model among the installed public tokenizers.
+TOKENIZER = "piece_bpe_32k.model"
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -29,7 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    out = {f.__name__: f for f in (op4_benchmark_decontamination, op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
+    out = {f.__name__: f for f in (op2_sentencepiece, op4_benchmark_decontamination, op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out

@@ -215,13 +215,13 @@ def redact(docs: DataFrame, text: str = "text", allow: tuple[str, ...] = ALLOW)
 
     A column ``n_chars`` follows the text where the text changed.
     """
-    [found] = fresh(docs, "found")
-    hit = F.size(found) > 0
-    d = docs.withColumn(found, spans(text_or_empty(text), allow))
-    d = d.withColumn(text, F.when(hit, redacted(F.col(text), F.col(found))).otherwise(F.col(text)))
+    [clean] = fresh(docs, "clean")
+    d = docs.withColumn(clean, let(spans(text_or_empty(text), allow), lambda found: F.when(
+        F.size(found) > 0, redacted(F.col(text), found)).otherwise(F.col(text))))
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(hit, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return d.select(*docs.columns)
+        d = d.withColumn("n_chars", F.when(F.col(clean) == F.col(text), F.col("n_chars")).when(
+            F.col(clean).isNull(), F.col("n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType))
+    return d.withColumn(text, F.col(clean)).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
