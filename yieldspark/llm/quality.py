@@ -225,17 +225,21 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     document, also for those that the cascade rejects early; the rules then
     read the counts instead of the text.
     """
-    plan = ordered(rules, estimate(docs, text, rules))
-    t, w = F.col("t"), F.col("w")
-    d = (docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("t"))
-         .withColumn("w", words(t))
-         .select("doc_id", "t", "w", F.size(w).cast("long").alias("n_words"), word_chars(t).alias("word_chars"),
-                 n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"),
-                 n_repeat_words(w).alias("n_repeat_words")))
-    known = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_repeat_words")}
-    f = Features(t, w, known)
+    plan = tuple(r for r in ordered(rules, estimate(docs, text, rules)) if r.name not in BASE_RULES)
     base = tuple(r for r in RULES if r.name in BASE_RULES)
-    d = d.withColumn("base_failed", first_rejection(f, base).isNotNull())
-    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(
-        first_rejection(f, tuple(r for r in plan if r.name not in BASE_RULES)).isNull())
-    return d.withColumn("kept", verdict).drop("t", "w")
+    t = F.col("t")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+    def judged(w: Column, c: Column) -> Column:
+        f = Features(t, w, {n: c[n] for n in counts})
+        return let(first_rejection(f, base).isNotNull(), lambda failed: F.struct(
+            *[c[n].alias(n) for n in counts], failed.alias("base_failed"),
+            F.when(failed, F.lit(False)).otherwise(first_rejection(f, plan).isNull()).alias("kept")))
+
+    def counted(w: Column) -> Column:
+        return let(F.struct(F.size(w).cast("long").alias("n_words"), word_chars(t).alias("word_chars"),
+                            n_symbols(t).alias("n_symbols"), n_dup_lines(t).alias("n_dup_lines"),
+                            n_repeat_words(w).alias("n_repeat_words")), lambda c: judged(w, c))
+
+    d = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("t"))
+    return d.select("doc_id", let(words(t), counted).alias("m")).select("doc_id", "m.*")
