@@ -2,7 +2,19 @@
 
 _W = r"[^\x20\x09-\x0D]+"
 
+_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
 SQL = {
+    "op7_warc": f"""
+WITH h AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS x
+           FROM pages),
+d AS (SELECT *, array_to_string(list_transform(range(32), lambda i: substr('{_B32}', 1 +
+        (((('0x' || substr(x, (i // 4) * 5 + 1, 5))::INTEGER) >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')
+        AS payload_digest FROM h),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to, true AS intact
+FROM t""",
     "op10_quality_rules": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, pieces, quality, secrets, simhash
+from . import decontam, langid, pieces, quality, secrets, simhash, warc
 from .common import table
 
 #: File name of the tokenizer model among the installed public tokenizers.
@@ -20,6 +20,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -32,6 +36,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
@@ -41,7 +49,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    out = {f.__name__: f for f in (op2_sentencepiece, op4_benchmark_decontamination, op6_secret_scans, op8_simhash_near_dedup, op10_quality_rules)}
+    out = {f.__name__: f for f in (
+        op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op6_secret_scans, op7_warc,
+        op8_simhash_near_dedup, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out
