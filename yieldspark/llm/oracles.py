@@ -5,6 +5,25 @@ _W = r"[^\x20\x09-\x0D]+"
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 SQL = {
+    "op3_chat_formatting": r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn::BIGINT AS turn, regexp_replace(coalesce(role, 'unknown'), '[\r\n]', '_', 'g') AS speaker,
+         replace(coalesce(text, ''), '<|', '< |') AS body, floor(turn / 256)::BIGINT AS part
+  FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+j AS (
+  SELECT t.*, perspective, speaker = perspective AS mine,
+         CASE WHEN speaker = perspective THEN '<|im_start|>assistant' WHEN speaker = 'system' THEN '<|im_start|>system'
+              ELSE '<|im_start|>user name=' || speaker END || chr(10) AS head, body || '<|im_end|>' || chr(10) AS rest
+  FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id),
+o AS (
+  SELECT *, sum(length(head) + length(rest)) OVER (PARTITION BY conv_id, perspective, part
+    ORDER BY turn NULLS FIRST, speaker, body ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM j)
+SELECT conv_id, perspective, part, 0::INTEGER AS sub, count(*) AS n_turns,
+       string_agg(head || rest, '' ORDER BY turn NULLS FIRST, speaker, body) AS text,
+       coalesce(string_agg((e - length(rest)) || ':' || e, ',' ORDER BY turn NULLS FIRST, speaker, body)
+                FILTER (WHERE mine), '') AS mask
+FROM o GROUP BY conv_id, perspective, part""",
     "op7_warc": f"""
 WITH h AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS x
            FROM pages),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, pieces, quality, secrets, simhash, warc
+from . import chat, decontam, langid, licenses, pieces, quality, secrets, simhash, warc
 from .common import table
 
 #: File name of the tokenizer model among the installed public tokenizers.
@@ -28,6 +28,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,14 +48,18 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, QueryFn]:
     out = {f.__name__: f for f in (
-        op1_language_id, op2_sentencepiece, op4_benchmark_decontamination, op6_secret_scans, op7_warc,
-        op8_simhash_near_dedup, op10_quality_rules)}
+        op1_language_id, op2_sentencepiece, op3_chat_formatting, op4_benchmark_decontamination, op6_secret_scans, op7_warc,
+        op8_simhash_near_dedup, op9_license_scans, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, let, text_or_empty
+from .common import fresh, let, running_sums, text_or_empty
 
 # The three base patterns and their least lengths.
 ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6)
@@ -70,25 +70,6 @@ KINDS = ("assign", "access", "hex", *(c.name for c in CLASSES))
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-_BLOCK = 256
-
-
-def _sums_from_zero(a: Column) -> Column:
-    return F.aggregate(a, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-
-
-def running_sums(a: Column) -> Column:
-    """Inclusive prefix sums of an int array, by blocks: appending to one accumulator would copy it per element."""
-    def build(v: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _BLOCK).cast("int")),
-                             lambda b: _sums_from_zero(F.slice(v, b * _BLOCK + 1, _BLOCK)))
-        return let(blocks, lambda bl: let(
-            _sums_from_zero(F.transform(bl, lambda x: F.element_at(x, -1))), lambda off: F.flatten(F.transform(
-                bl, lambda x, b: F.transform(F.slice(x, 2, _BLOCK), lambda s: s + F.get(off, b))))))
-
-    return let(a, lambda v: F.when(F.size(v) > 0, build(v)).otherwise(v))
-
-
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     """Matches as array<struct<start, end, value>>: leftmost, non-overlapping; ``value`` is the group's text."""
     p = F.lit(pattern)
