@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, licenses, pieces, quality, secrets, simhash, warc
+from . import chat, decontam, langid, licenses, pieces, quality, secrets, simhash, substrings, warc
 from .common import table
 
 #: File name of the tokenizer model among the installed public tokenizers.
@@ -36,6 +36,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -58,8 +62,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     out = {f.__name__: f for f in (
-        op1_language_id, op2_sentencepiece, op3_chat_formatting, op4_benchmark_decontamination, op6_secret_scans, op7_warc,
-        op8_simhash_near_dedup, op9_license_scans, op10_quality_rules)}
+        op1_language_id, op2_sentencepiece, op3_chat_formatting, op4_benchmark_decontamination, op5_suffix_array_dedup,
+        op6_secret_scans, op7_warc, op8_simhash_near_dedup, op9_license_scans, op10_quality_rules)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out
