@@ -37,6 +37,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns that new ones of these names replace (as ``withColumn`` would)."""
+    return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once (bound as a lambda variable)."""
     return F.transform(F.array(value), body)[0]

@@ -24,7 +24,8 @@ Defined cases: a NULL or empty text has no words, no hits and is not
 contaminated; a NULL or empty item gives no phrase; items with equal ids count
 as one, a NULL id as the empty string; repeated rows are judged row by row; an
 empty table gives an empty result and an empty test set no hits; other columns
-are passed through.
+are passed through,
+but for those whose names the output takes.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, without
 
 WINDOW, BLOCK_BYTES, SHARD_BYTES, SAMPLE = 13, 4 << 20, 12 << 20, 32
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -79,7 +80,7 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
     key = np.zeros(n, dtype=np.int64)
     for j in range(k):
         key <<= bits
-        key[:n - j] |= seq[j:]
+        key[:max(n - j, 0)] |= seq[j:]
     order = np.argsort(key)
     sa = order
     key = key[order]
@@ -286,7 +287,7 @@ def _scan_block(df: DataFrame, block, text: str, out: tuple[str, str, str], firs
 def scan(docs: DataFrame, benchmark: DataFrame, out: tuple[str, str, str], text: str = "text", item_id: str = "item_id",
          item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` plus ``out``: words (long), merged word spans of hits, items with occurring windows (sorted strings)."""
-    sc = docs.sparkSession.sparkContext
+    docs, sc = without(docs, *out), docs.sparkSession.sparkContext
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
                              F.coalesce(F.col(item_text), F.lit("")).cast("binary").alias("t"))
     size = items.agg(F.sum(F.length("t") + F.length("name"))).first()[0] or 0

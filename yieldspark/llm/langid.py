@@ -16,7 +16,8 @@ Defined cases: a text that is NULL or has no letter is ``und`` with score 0
 and not accepted; equal sizes go to the first language by name; without any
 labelled row every text is ``und``; rows without id or label are not learned
 from; repeated rows are judged row by row; an empty table gives an empty
-result; other columns are passed through.
+result; other columns are passed through,
+but for those whose names the output takes.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import without
+
 SLOTS, EXCERPT, MAX_LANGUAGES = 512, 256, 1000
 LEVEL, BLOCK, MIN_MARGIN = 6, 4096, 0.01
 UNKNOWN = "und"
@@ -88,6 +91,7 @@ class Classifier:
 def identify(docs: DataFrame, content: dict[str, bytes], out: tuple[str, str, str] = ("lang_pred", "score", "accepted"),
              text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` plus the language of fewest bytes, its margin (0 to 1) and whether the margin is wide enough."""
+    docs = without(docs, *out)
     bc = docs.sparkSession.sparkContext.broadcast(content)
     schema = T.StructType([*docs.schema.fields, T.StructField(out[0], T.StringType()),
                            T.StructField(out[1], T.DoubleType()), T.StructField(out[2], T.BooleanType())])

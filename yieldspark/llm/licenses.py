@@ -15,7 +15,8 @@ templates occur in the paragraph.
 
 Defined cases: a NULL or empty text has no paragraph and no finding; repeated
 rows are scanned row by row; an empty table gives an empty result (the
-classifier then has no background lines); other columns are passed through.
+classifier then has no background lines); other columns are passed through,
+but for those whose names the output takes.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import without
 from .decontam import removal_spans, slices, words
 
 UNKNOWN = "unknown"
-UNIT, SAMPLE_SLOTS, LINES_PER_DOC, LINE_CHARS = 60, 512, 8, 400
+UNIT, SAMPLE_SLOTS, LINES_PER_DOC, LINE_CHARS = 40, 512, 8, 400
 CONFIRM, RIGHT = 0.6, 0.99
 SLICE_BYTES = 2 << 20
 
@@ -191,10 +193,13 @@ class Classifier:
             for t in texts:
                 w = words(t.encode())
                 for v in range(variants):
-                    u = w if v % 3 == 0 else [a for a in w if rng.random() > 0.1] or w
-                    if v % 4 == 3:
-                        f = filler[rng.integers(len(filler))][:8]
-                        u = [*f, *u] if v % 8 == 3 else [*u, *f]
+                    u = w if v % 2 == 0 else [a for a in w if rng.random() > 0.1] or w
+                    if v % 3 == 2:  # inside running text
+                        f = [a for _ in range(6) for a in filler[rng.integers(len(filler))]]
+                        room = max(UNIT - len(u), 4)
+                        f = f[:rng.integers(4, room + 1)]
+                        at = rng.integers(len(f) + 1)
+                        u = [*f[:at], *u, *f[at:]]
                     x.append(u)
                     y.append(self.classes.index(k))
         for w in [*background, *(o for o in other for _ in range(variants))]:
@@ -304,6 +309,7 @@ _FOUND = pa.list_(pa.struct([("family", pa.string()), ("start", pa.int32()), ("e
 
 def scan(docs: DataFrame, classifier: Classifier, out: str = "found", text: str = "text") -> DataFrame:
     """``docs`` plus ``out``: paragraphs that are not unknown, as code-point spans of the text."""
+    docs = without(docs, out)
     bc = docs.sparkSession.sparkContext.broadcast(classifier)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, FOUND)])
 

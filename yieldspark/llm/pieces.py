@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, without
 from .decontam import slices
 
 MARK = "▁".encode()
@@ -358,6 +358,7 @@ def encode(docs: DataFrame, model_path: str, out: tuple[str, str, str] = ("ids",
 
     A piece starts where the one before it ends, the first one at 0.
     """
+    docs = without(docs, *out)
     with open(model_path, "rb") as f:  # the tokenizer file is installed beside the library, on the driver
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
     ints = T.ArrayType(T.IntegerType())
