@@ -34,8 +34,8 @@ from .common import without
 from .decontam import removal_spans, slices, words
 
 UNKNOWN = "unknown"
-UNIT, SAMPLE_SLOTS, LINES_PER_DOC, LINE_CHARS = 40, 512, 8, 400
-CONFIRM, RIGHT = 0.6, 0.99
+UNIT, SAMPLE_SLOTS, LINES_PER_DOC, LINE_CHARS = 24, 512, 8, 400
+CONFIRM, RIGHT = 0.6, 0.98
 SLICE_BYTES = 2 << 20
 
 # Customary notices of public licences by family.
@@ -193,7 +193,7 @@ class Classifier:
             for t in texts:
                 w = words(t.encode())
                 for v in range(variants):
-                    u = w if v % 2 == 0 else [a for a in w if rng.random() > 0.1] or w
+                    u = w if v % 2 == 0 else [a for a in w if rng.random() > 0.05] or w
                     if v % 3 == 2:  # inside running text
                         f = [a for _ in range(6) for a in filler[rng.integers(len(filler))]]
                         room = max(UNIT - len(u), 4)
