@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldspark import schemas
@@ -26,3 +27,20 @@ def wl_rows(spark, rows):
         out.append(tuple(d[c] for c in WL_COLS))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schemas.WORKSTATION_LOG.fields])
     return spark.createDataFrame(out, schema)
+
+
+def text_report(df, schema, skip=("id", "created_at", "data_source")):
+    """Log rows as an exported report of text cells with human headers."""
+    names = [f.name for f in schema.fields if f.name not in skip]
+    return df.select(*[F.coalesce(F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS") if n.endswith("_time") else F.col(n),
+                                  F.lit("")).alias(n.replace("_", " ").title()) for n in names])
+
+
+def testboard_report(spark, sf_dir):
+    from yieldspark.sources import fixtures as fx
+    return text_report(fx.testboard_log(spark, sf_dir), schemas.TESTBOARD_LOG)
+
+
+def snfn_report(spark, sf_dir):
+    from yieldspark.sources import fixtures as fx
+    return text_report(fx.snfn_log(spark, sf_dir), schemas.SNFN_LOG)

@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from tests import helpers
 from yieldspark import cli
 from yieldspark.sources import fixtures as fx
 
@@ -26,3 +27,23 @@ def test_cli_chain(spark, scratch):
     assert rep["daily_tpy_metrics"]["rows_on_as_of"] > 0
     with pytest.raises(SystemExit):
         cli.main(["daily", "--log", log, "--out", out, "--mode", "recent"], spark)
+
+
+@pytest.mark.parametrize("kind", ["testboard", "snfn"])
+def test_cli_ingests_every_kind(spark, scratch, kind):
+    drop, log = os.path.join(scratch, "drop"), os.path.join(scratch, "log")
+    report = {"testboard": helpers.testboard_report, "snfn": helpers.snfn_report}[kind](spark, SF)
+    report.coalesce(1).write.option("header", True).csv(drop)
+    res = cli.main(["ingest", "--drop", drop, "--log", log, "--checkpoint", os.path.join(scratch, "ck"), "--kind", kind], spark)
+    want = report.distinct().count()
+    assert res["rows_in_log"] == want and res["quarantined"] == 0
+    assert {r.data_source for r in spark.read.parquet(log).select("data_source").distinct().collect()} == {kind}
+
+
+def test_cli_ingest_without_a_good_row(spark, scratch):
+    drop, log = os.path.join(scratch, "drop"), os.path.join(scratch, "log")
+    os.makedirs(drop)
+    with open(os.path.join(drop, "a.csv"), "w") as f:
+        f.write("Color,Size\nred,1\n")
+    res = cli.main(["ingest", "--drop", drop, "--log", log, "--checkpoint", os.path.join(scratch, "ck")], spark)
+    assert res == {"rows_read": 1, "added": 0, "quarantined": 1, "rows_in_log": 0}

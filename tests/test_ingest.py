@@ -108,6 +108,75 @@ def test_versioned_upsert_replace_append(spark, scratch):
     t.replace(new)
     assert t.read().count() == new.count()
     assert t.current_version() == 4
+    assert t.vacuum(1) == [1, 2, 3] and t.read().count() == new.count() and t.current_version() == 4
+
+
+def test_a_crash_between_write_and_commit_loses_nothing(spark, scratch, monkeypatch):
+    t = sinks.VersionedTable(spark, os.path.join(scratch, "kpi"), ("k",))
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    t.upsert(rows(("a", 1), ("b", 1)))
+    t.upsert(rows(("b", 2), ("c", 2)))
+
+    def crash(v):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(t, "_commit", crash)
+        with pytest.raises(OSError):
+            t.upsert(rows(("d", 3)))
+    assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 2), ("c", 2)]
+    assert t.upsert(rows(("e", 4))) == 4  # the number of the lost write is not used again
+    assert sorted(r.k for r in t.read().collect()) == ["a", "b", "c", "e"]
+
+
+def test_append_and_insert_ignore(spark, scratch):
+    t = sinks.VersionedTable(spark, os.path.join(scratch, "t"), ("k",))
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    t.insert_ignore(rows(("a", 1), ("a", 1)))
+    t.append(rows((None, 2)))
+    t.insert_ignore(rows(("a", 9), (None, 9), ("b", 3)))
+    assert sorted(map(tuple, t.read().collect()), key=str) == [("a", 1), ("b", 3), (None, 2)]
+
+
+def test_min_table_keeps_minima_over_replays(spark, scratch):
+    t = sinks.MinTable(spark, os.path.join(scratch, "m"), ("k",), "v")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    assert not t.exists()
+    for batch in ((("a", 5), (None, 7)), (("a", 3), ("b", 1)), (("a", 3), ("b", 1))):
+        t.add(rows(*batch))
+    want = [("a", 3), ("b", 1), (None, 7)]
+    assert sorted(map(tuple, t.read().collect()), key=str) == want
+    t.compact()
+    t.add(rows(("b", 0)))
+    assert sorted(map(tuple, t.read().collect()), key=str) == [("a", 3), ("b", 0), (None, 7)]
+
+
+def test_a_log_compared_with_itself_has_no_new_rows(spark):
+    wl = fx.workstation_log(spark, SF)
+    for c in KEY:
+        nulled = wl.withColumn(c, F.when(F.col("id") % 2 == 0, F.col(c)))
+        assert ingest.new_rows(nulled, nulled, KEY).count() == 0, c
+    day = wl.withColumn("end_date", F.to_date("history_station_end_time"))
+    assert ingest.new_rows(wl, day, KEY).count() == 0
+
+
+def test_null_violations_and_day_filter(spark):
+    from yieldspark.functions import columns as C
+    df = spark.createDataFrame([("a", None), (None, None), ("b", 1)], "k string, v int")
+    got = {r[0]: r[1] for r in dedup.null_violations(df, ["k", "v"]).collect()}
+    assert got == {"k": 1, "v": 2}
+    wl = fx.workstation_log(spark, SF)
+    day = wl.filter(C.on_date(C.END, dt.date(2024, 1, 10)))
+    assert day.count() == wl.filter(F.to_date(C.END) == F.lit(dt.date(2024, 1, 10))).count() > 0
+    assert "date(" not in day._jdf.queryExecution().optimizedPlan().toString().lower()  # a range, so it can be pushed
+
+
+def test_slash_and_am_pm_times(spark):
+    from yieldspark.functions import columns as C
+    cells = [("1/5/2024 3:04:05 PM", dt.datetime(2024, 1, 5, 15, 4, 5)), ("01/05/2024 12:00:00 AM", dt.datetime(2024, 1, 5)),
+             ("1/5/2024 15:04", dt.datetime(2024, 1, 5, 15, 4)), ("2024/01/05 15:04:05", dt.datetime(2024, 1, 5, 15, 4, 5))]
+    got = spark.createDataFrame([(c,) for c, _ in cells], "t string").select("t", C.parse_ts("t").alias("v")).collect()
+    assert {r.t: r.v for r in got} == dict(cells)
 
 
 def test_null_key_policy(spark, scratch):

@@ -45,21 +45,73 @@ def test_file_drop_ingest_equals_batch_and_replays_idempotently(spark, scratch):
     assert spark.read.parquet(log_path).count() == expected.count()
 
 
-def test_kpi_refresh_matches_full_rebuild(spark, scratch):
-    log_path = os.path.join(scratch, "log")
+def test_kpi_refresh_with_late_and_null_rows_equals_full_rebuild(spark, scratch):
+    """Two batches; the second holds old rows (first activities move to an earlier week) and rows without a part number."""
+    from yieldspark.plans import jobs
     from yieldspark.sources.logstore import LogStore
-    LogStore(spark, log_path, schemas.WORKSTATION_KEY).append(fx.workstation_log(spark, SF).drop("id"))
-    q = stream.start_kpi_refresh(spark, log_path, os.path.join(scratch, "pk"), os.path.join(scratch, "daily"),
-                                 os.path.join(scratch, "fa"), os.path.join(scratch, "ckpt"))
-    q.awaitTermination(300)
-    pk = VersionedTable(spark, os.path.join(scratch, "pk")).read()
-    full = packing.packing_daily(spark.read.parquet(log_path))
-    assert sorted(tuple(r) for r in pk.collect()) == sorted(tuple(r) for r in full.select(*pk.columns).collect())
-    daily = VersionedTable(spark, os.path.join(scratch, "daily")).read()
-    from yieldspark.operators import tpy
-    log = spark.read.parquet(log_path)
-    ref = tpy.tpy_daily(tpy.station_day(log), tpy.starters_by_week(tpy.first_activity(tpy.unit_day(log))))
-    assert sorted(tuple(r) for r in daily.collect()) == sorted(tuple(r) for r in ref.select(*daily.columns).collect())
+    now = dt.datetime(2024, 2, 1)
+    log_path, out = os.path.join(scratch, "log"), os.path.join(scratch, "out")
+    wl = fx.workstation_log(spark, SF).drop("id")
+    late = (F.crc32(F.col("sn").cast("binary")) % 3 == 0) & (F.hour("history_station_end_time") < 12)
+    log = LogStore(spark, log_path, schemas.WORKSTATION_KEY)
+    log.append(wl.filter(~late))
+    run = lambda: stream.start_kpi_refresh(spark, log_path, out, os.path.join(scratch, "ckpt"), now=now).awaitTermination(300)
+    run()
+    odd = wl.filter(late).withColumn("pn", F.when(F.col("operator").endswith("1"), F.col("pn"))).withColumn(
+        "model", F.when(F.col("operator").endswith("2"), F.lit(None)).otherwise(F.col("model")))
+    log.append(odd)
+    run()
+    ref = os.path.join(scratch, "ref")
+    jobs.daily(spark, log.read(), ref, now)
+    jobs.weekly(spark, log.read(), ref, now)
+    for name in ("daily_tpy_metrics", "daily_completions", "weekly_tpy_metrics", "station_hourly_summary",
+                 "packing_daily_summary"):
+        a, b = (VersionedTable(spark, os.path.join(r, name)).read() for r in (out, ref))
+        cols = sorted(a.columns)
+        assert sorted(map(str, a.select(*cols).collect())) == sorted(map(str, b.select(*cols).collect())), name
+
+
+def _csv(path, header, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(",".join(r) for r in [header, *rows]) + "\n")
+
+
+T1 = "2024-01-05 10:00:00"
+
+
+def test_columns_are_bound_by_name_and_rejected_rows_are_kept(spark, scratch):
+    drop, log_path = os.path.join(scratch, "drop"), os.path.join(scratch, "log")
+    _csv(f"{drop}/a.csv", ["SN", "Model", "Workstation Name", "History Station End Time"],
+         [["S1", "M1", "VI2", T1], ["", "M1", "VI2", T1], ["S9", "M1", "VI2", "not a time"]])
+    _csv(f"{drop}/b.csv", ["Model", "Größe", "History-Station End Time", "SN", "Workstation Name"],
+         [["M2", "x", T1, "S2", "FQC"]])
+    _csv(f"{drop}/c.csv", ["Workstation Name", "SN"], [["VI2", "S3"]])
+    from tests.xlsx_writer import write_xlsx
+    write_xlsx(f"{drop}/d.xlsx", [["SN", "Workstation Name", "Model", "History Station End Time"],
+                                  ["S4", "FI", "M4", dt.datetime(2024, 1, 6)]])
+    with open(f"{drop}/e.xlsx", "wb") as f:
+        f.write(b"no workbook")
+    counts = {}
+    stream.start_report_ingest(spark, drop, log_path, os.path.join(scratch, "ck"),
+                               on_batch=lambda _, n: counts.update(n)).awaitTermination(300)
+    assert counts == {"rows_read": 6, "added": 3, "quarantined": 4}
+    got = {r.sn: (r.model, r.workstation_name) for r in spark.read.parquet(log_path).collect()}
+    assert got == {"S1": ("M1", "VI2"), "S2": ("M2", "FQC"), "S4": ("M4", "FI")}
+    q = spark.read.parquet(f"{log_path}_quarantine").collect()
+    assert sorted(r.reason.split(":")[0] for r in q) == [
+        "null history_station_start_time", "null history_station_start_time", "null sn", "unreadable"]
+    assert all(r.source_file for r in q)
+
+
+def test_file_atomic_ingest_rejects_the_whole_file(spark, scratch):
+    drop, log_path = os.path.join(scratch, "drop"), os.path.join(scratch, "log")
+    head = ["SN", "Workstation Name", "History Station End Time"]
+    _csv(f"{drop}/a.csv", head, [["S1", "VI2", T1], ["", "VI2", T1]])
+    _csv(f"{drop}/b.csv", head, [["S2", "VI2", T1]])
+    stream.start_report_ingest(spark, drop, log_path, os.path.join(scratch, "ck"), file_atomic=True).awaitTermination(300)
+    assert [r.sn for r in spark.read.parquet(log_path).collect()] == ["S2"]
+    assert sorted(r.reason for r in spark.read.parquet(f"{log_path}_quarantine").collect()) == ["file rejected", "null sn"]
 
 
 def test_windowed_hourly_counts_equal_batch(spark, scratch):
@@ -98,20 +150,15 @@ def test_dedup_within_watermark(spark, scratch):
 
 
 def test_testboard_drop_ingest_with_extra_usage_column(spark, scratch):
-    from pyspark.sql import types as T
     from yieldspark.functions import columns as C
     tb = fx.testboard_log(spark, SF)
-    names = [f.name for f in schemas.TESTBOARD_LOG.fields if f.name not in ("id", "created_at", "data_source")]
-    header = {n: n.replace("_", " ").title() for n in names}
-    cells = [F.coalesce(F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS") if n.endswith("_time") else F.col(n),
-                        F.lit("")).alias(header[n]) for n in names]
     usage = (F.col("id") % 5).cast("string").alias("Number of Times Baseboard is Used")
     drop = os.path.join(scratch, "tbdrop")
-    tb.select(*cells, usage).coalesce(2).write.option("header", True).csv(drop)
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in list(header.values())
-                           + ["Number of Times Baseboard is Used"]])
-    q = stream.start_report_ingest(spark, drop, os.path.join(scratch, "tblog"), os.path.join(scratch, "ck"),
-                                   kind="testboard", report_schema=schema)
+    names = [f.name for f in schemas.TESTBOARD_LOG.fields if f.name not in ("id", "created_at", "data_source")]
+    cells = [F.coalesce(F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS") if n.endswith("_time") else F.col(n), F.lit("")).alias(
+        n.replace("_", " ").title()) for n in names]
+    tb.select(usage, *cells[::-1]).coalesce(2).write.option("header", True).csv(drop)
+    q = stream.start_report_ingest(spark, drop, os.path.join(scratch, "tblog"), os.path.join(scratch, "ck"), kind="testboard")
     q.awaitTermination(300)
     log = spark.read.parquet(os.path.join(scratch, "tblog"))
     assert log.count() == tb.count()

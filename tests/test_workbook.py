@@ -30,3 +30,12 @@ def test_scan_and_conform_workbooks(spark, scratch):
     assert got["S2"].history_station_start_time == t - dt.timedelta(minutes=5)
     assert got["S2"].service_flow is None and got["S3"].service_flow is None
     assert got["S3"].history_station_end_time == dt.datetime(2025, 7, 8, 1, 2, 3)
+
+
+def test_broken_workbook_is_one_error_row(spark, scratch):
+    write_xlsx(os.path.join(scratch, "a.xlsx"), [["SN", "sn", "Model"], ["S1", "dup", "M"]])
+    with open(os.path.join(scratch, "b.xlsx"), "wb") as f:
+        f.write(b"PK broken")
+    got = workbook.scan_workbooks(spark, scratch).collect()
+    good = [r for r in got if r.error is None]
+    assert [r.cells["sn"] for r in good] == ["S1"] and [r.source_file[-6:] for r in got if r.error] == ["b.xlsx"]

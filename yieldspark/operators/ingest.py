@@ -31,7 +31,7 @@ def conform(df: DataFrame, schema: T.StructType, data_source: str | None = None,
     text, NULL when unparsable. ``id`` and ``created_at`` are the sink's.
     """
     df = normalize_headers(df)
-    present = set(df.columns)
+    present = set(df.columns)  # the first of two columns with one name counts
     out = []
     for f in schema.fields:
         if f.name in ("id", "created_at"):
@@ -67,15 +67,16 @@ def log_days_of(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> Dat
     """The log rows that can match ``incoming`` at all.
 
     The key holds the end timestamp, so only log rows of a day present in
-    the incoming rows can match. The set of days is bounded by the calendar
-    (a few thousand rows at most), so it is broadcast and the filter runs on
-    the mappers of the log scan; for a log partitioned by day the
-    ``LogStore`` prunes partitions instead.
+    the incoming rows can match (a missing end time matches a missing one).
+    The set of days is bounded by the calendar, so Spark broadcasts it by its
+    own size check and filters on the mappers of the log scan; a log with a
+    day column (``end_date``) is matched on that, which prunes partitions.
     """
     if C.END not in keys:
         return log
     days = incoming.select(C.to_day(C.END).alias("_day")).distinct()
-    return log.join(F.broadcast(days), C.to_day(log[C.END]) == days["_day"], "left_semi")
+    day = log["end_date"] if "end_date" in log.columns else C.to_day(log[C.END])
+    return log.join(days, day.eqNullSafe(days["_day"]), "left_semi")
 
 
 def new_rows(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,29 +106,36 @@ def load_report(incoming: DataFrame, log: DataFrame, keys: Sequence[str], file_c
                  C.count_if(F.col("_hit").isNull()).alias("new_rows")))
 
 
-def quarantine_split(df: DataFrame, required: Sequence[str], file_col: str = FILE_COL,
-                     file_atomic: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined) by the NOT NULL rules.
+def mark_rejected(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``df`` plus ``reason``: the first required column that is NULL, NULL for good rows."""
+    reason = F.lit(None).cast("string")
+    for c in reversed(list(required)):
+        reason = F.when(F.col(c).isNull(), F.lit(f"null {c}")).otherwise(reason)
+    return df.withColumn("reason", reason)
+
+
+def split_marked(marked: DataFrame, file_col: str = FILE_COL, file_atomic: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) of marked rows.
 
-    ``reason`` names the first required column that is NULL. With
-    ``file_atomic`` a single bad row sends its whole file to quarantine: the
-    bad files are found with an aggregate (one row per file) and applied with
-    semi / anti joins, so a huge file is never gathered into one task.
+    With ``file_atomic`` a single bad row sends its whole file to quarantine:
+    the bad files are found with an aggregate (one row per file) and applied
+    with semi / anti joins, so a huge file is never gathered into one task.
     """
-    reason = None
-    for c in required:
-        term = F.when(F.col(c).isNull(), F.lit(f"null {c}"))
-        reason = term if reason is None else F.coalesce(reason, term)
-    tagged = df.withColumn("reason", reason)
     if not file_atomic:
-        return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull())
-    bad_files = tagged.filter(F.col("reason").isNotNull()).select(file_col).distinct()
-    good = tagged.join(bad_files, file_col, "left_anti").drop("reason")
-    bad = (tagged.join(bad_files, file_col, "left_semi")
+        return marked.filter(F.col("reason").isNull()).drop("reason"), marked.filter(F.col("reason").isNotNull())
+    bad_files = marked.filter(F.col("reason").isNotNull()).select(file_col).distinct()
+    good = marked.join(bad_files, file_col, "left_anti").drop("reason")
+    bad = (marked.join(bad_files, file_col, "left_semi")
            .withColumn("reason", F.coalesce("reason", F.lit("file rejected"))))
     return good, bad
 
 
+def quarantine_split(df: DataFrame, required: Sequence[str], file_col: str = FILE_COL,
+                     file_atomic: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) by the NOT NULL rules (A14); write ``mark_rejected`` first to parse the source once."""
+    return split_marked(mark_rejected(df, required), file_col, file_atomic)
+
+
 def renormalize(log: DataFrame, schema: T.StructType) -> DataFrame:
     """Rebuild a log with exactly the schema's columns, in order (A13): columns
     the schema no longer has (e.g. ``day``, a usage counter) are dropped,

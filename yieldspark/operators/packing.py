@@ -81,8 +81,9 @@ def sort_test_daily(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
 
 
 def sort_test_recent(wl: DataFrame, as_of: _dt.date, days: int = 7, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Rolling-window sort-test counts (D7), same widening rule as packing."""
-    lo, hi = recent_bounds(as_of, days)
+    """Sort-test counts of ``as_of`` and the ``days - 1`` days before it (D7): a report, never upserted, so not widened."""
+    lo = _dt.datetime.combine(as_of - _dt.timedelta(days=days - 1), _dt.time())
+    hi = _dt.datetime.combine(as_of + _dt.timedelta(days=1), _dt.time())
     return sort_test_daily(wl.filter(C.in_range(C.END, C.ts_lit(lo), C.ts_lit(hi))), cfg)
 
 

@@ -31,11 +31,13 @@ def required_fields(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return base.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def record_counts(logs: dict[str, DataFrame], approx_rsd: float | None = None) -> DataFrame:
-    """Per table: rows and distinct serial numbers.
+def record_counts(logs: dict[str, DataFrame], approx_rsd: float | None = None,
+                  kpis: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Per table: rows and distinct serial numbers, and the logs' combined rows.
 
-    Exact by default; ``approx_rsd`` switches to HyperLogLog++
-    (``approx_count_distinct``) for a health check that must stay one cheap pass.
+    KPI tables have no serial numbers (NULL there). Exact by default;
+    ``approx_rsd`` switches to HyperLogLog++ (``approx_count_distinct``) for a
+    health check that must stay one cheap pass.
     """
     distinct = (F.countDistinct("sn") if approx_rsd is None
                 else F.approx_count_distinct("sn", rsd=approx_rsd))
@@ -45,6 +47,12 @@ def record_counts(logs: dict[str, DataFrame], approx_rsd: float | None = None) -
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    none = F.lit(None).cast("long").alias("unique_sn")
+    total = out.agg(F.sum("total_records").alias("total_records")).select(F.lit("total").alias("table_name"), "total_records", none)
+    out = out.unionByName(total)
+    for name, df in (kpis or {}).items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("total_records"))
+                              .select(F.lit(name).alias("table_name"), "total_records", none))
     return out
 
 
@@ -59,8 +67,9 @@ def recent_activity(logs: dict[str, DataFrame], as_of: _dt.datetime, hours: int
     return out
 
 
-def freshness_report(logs: dict[str, DataFrame], daily_kpi: DataFrame, as_of: _dt.date) -> DataFrame:
-    """Data range per log and the daily KPI rows of ``as_of``."""
+def freshness_report(logs: dict[str, DataFrame], daily_kpi: DataFrame, as_of: _dt.date,
+                     weekly_kpi: DataFrame | None = None) -> DataFrame:
+    """Data range per log, the daily KPI rows of ``as_of``, and the weekly rows created on it or later."""
     parts = [df.filter(F.col(C.END).isNotNull())
              .agg(F.min(C.END).alias("earliest"), F.max(C.END).alias("latest"),
                   C.count_if(C.to_day(C.END) == F.lit(as_of)).alias("rows_on_as_of"))
@@ -70,6 +79,12 @@ def freshness_report(logs: dict[str, DataFrame], daily_kpi: DataFrame, as_of: _d
                          F.max("date_id").cast("timestamp_ntz").alias("latest"),
                          C.count_if(F.col("date_id") == F.lit(as_of)).alias("rows_on_as_of"))
            .select(F.lit("daily_tpy_metrics").alias("table_name"), "earliest", "latest", "rows_on_as_of"))
+    if weekly_kpi is not None:
+        day = C.ts_lit(_dt.datetime.combine(as_of, _dt.time()))
+        parts.append(weekly_kpi.agg(F.min("week_start").cast("timestamp_ntz").alias("earliest"),
+                                    F.max("week_start").cast("timestamp_ntz").alias("latest"),
+                                    C.count_if(F.col("created_at") >= day).alias("rows_on_as_of"))
+                     .select(F.lit("weekly_tpy_metrics").alias("table_name"), "earliest", "latest", "rows_on_as_of"))
     out = kpi
     for p in parts:
         out = out.unionByName(p)
@@ -77,13 +92,22 @@ def freshness_report(logs: dict[str, DataFrame], daily_kpi: DataFrame, as_of: _d
 
 
 def date_profile(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Per date: production rows, PACKING rows, distinct units, distinct stations."""
-    p = wl.filter(C.is_production(cfg=cfg))
-    return (p.groupBy(C.to_day(C.END).alias("test_date"))
-            .agg(F.count(F.lit(1)).alias("production_records"),
-                 C.count_if(F.col(C.STATION) == cfg.packing_station).alias("packing_records"),
-                 F.countDistinct("sn").alias("unique_parts"),
-                 F.countDistinct(C.STATION).alias("unique_stations")))
+    """Per date: production rows, PACKING rows, distinct units, distinct stations.
+
+    Two distinct counts in one aggregate would multiply the raw rows before
+    their shuffle; here one aggregate per (date, station) gives rows and
+    stations, one per (date, sn) the units, and they meet by date.
+    """
+    p = wl.filter(C.is_production(cfg=cfg)).withColumn("test_date", C.to_day(C.END))
+    by_station = (p.groupBy("test_date", C.STATION).agg(F.count(F.lit(1)).alias("n"))
+                  .groupBy("test_date").agg(
+                      F.sum("n").alias("production_records"),
+                      F.sum(F.when(F.col(C.STATION) == cfg.packing_station, F.col("n")).otherwise(0)).alias("packing_records"),
+                      F.count(C.STATION).alias("unique_stations")))
+    units = p.select("test_date", "sn").distinct().groupBy("test_date").agg(F.count("sn").alias("unique_parts"))
+    return (by_station.join(units, C.null_safe_key(by_station, units, ["test_date"]), "left")
+            .select(by_station["test_date"], "production_records", "packing_records",
+                    F.coalesce("unique_parts", F.lit(0).cast("long")).alias("unique_parts"), "unique_stations"))
 
 
 def _top_per(df: DataFrame, part: str, k: int, order) -> DataFrame:
@@ -127,10 +151,14 @@ def day_flow_profile(wl: DataFrame) -> DataFrame:
 
 
 def top_station_yield(wl: DataFrame, k: int = 20, min_rows: int = 5, per_date: bool = True,
-                      cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Station x model pass/fail with at least ``min_rows`` visits, top k by volume."""
+                      cfg: YieldConfig = DEFAULT, tracked_only: bool = False) -> DataFrame:
+    """Station x model pass/fail with at least ``min_rows`` visits, top k by volume.
+
+    ``tracked_only`` keeps the tracked models (the sample report over all dates).
+    """
     keys = ([C.to_day(C.END).alias("test_date")] if per_date else []) + [F.col(C.STATION), F.col("model")]
-    agg = (wl.filter(C.is_production(cfg=cfg))
+    src = wl.filter(F.col("model").isin(*cfg.tracked_models)) if tracked_only else wl
+    agg = (src.filter(C.is_production(cfg=cfg))
            .groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("total_parts"), C.count_if(C.passed(cfg=cfg)).alias("passed_parts"),
                 C.count_if(C.not_pass(cfg=cfg)).alias("failed_parts"))
@@ -162,12 +190,13 @@ def quality_profile(wl: DataFrame, top_flows: int = 10, top_stations: int = 15,
                       for name, value, cond, _ in specs])
     counts = (wl.select(F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("p"))
               .groupBy("p.field", "p.value").agg(F.count(F.lit(1)).alias("record_count")))
-    ranked = _top_per(counts, "field", 1 << 30, [F.desc("record_count"), F.col("value")])
-    limit = F.lit(1 << 30)
+    w = Window.partitionBy("field").orderBy(F.desc("record_count"), F.col("value"))
+    beyond = F.lit(False)  # only the fields that have a limit are cut at it
     for name, _, _, k in specs:
         if k:
-            limit = F.when(F.col("field") == name, F.lit(k)).otherwise(limit)
-    return ranked.filter(F.col("rank") <= limit).select("field", "value", "record_count", "rank")
+            beyond = beyond | ((F.col("field") == name) & (F.col("rank") > k))
+    return (counts.withColumn("rank", F.row_number().over(w).cast("long")).filter(~beyond)
+            .select("field", "value", "record_count", "rank"))
 
 
 def receive_by_hour(wl: DataFrame, hours: tuple[int, int] = (20, 24), day: _dt.date | None = None,
@@ -176,7 +205,7 @@ def receive_by_hour(wl: DataFrame, hours: tuple[int, int] = (20, 24), day: _dt.d
     src = wl.filter((F.col(C.STATION) == cfg.receive_station) & F.hour(C.END).between(hours[0], hours[1] - 1))
     if day is not None:
         src = src.filter(C.on_date(C.END, day))
-    return src.select("sn", C.END, F.hour(C.END).cast("int").alias("hour"))
+    return src.select("sn", C.END, F.hour(C.END).cast("int").alias("hour")).orderBy(C.END, "sn")
 
 
 def unit_lookup(log: DataFrame, lookup: DataFrame, keys: Sequence[str] = ("sn",)) -> DataFrame:
@@ -194,9 +223,13 @@ def match_diagnostics(incoming: DataFrame, log: DataFrame, full_key: Sequence[st
     """
     widths = {"exact_matches": list(full_key), "sn_matches": ["sn"],
               "four_col_matches": ["sn", "pn", "model", C.STATION]}
+    # Only log rows of incoming units can match at any width; they are counted once at full width and summed up.
+    units = incoming.select("sn").distinct()
+    log = log.join(units, C.null_safe_key(log, units, ["sn"]), "left_semi")
+    full = log.groupBy(*full_key).agg(F.count(F.lit(1)).alias("n"))
     out = incoming.select(id_col, *full_key)
     for name, keys in widths.items():
-        cnt = log.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+        cnt = full.groupBy(*keys).agg(F.sum("n").alias(name))
         out = (out.join(cnt, C.null_safe_key(out, cnt, keys), "left")
                .select(*[out[c] for c in out.columns], F.coalesce(cnt[name], F.lit(0)).alias(name)))
     return out.select(id_col, *widths.keys())

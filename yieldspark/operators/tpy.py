@@ -12,7 +12,7 @@ Plan shape, chosen for a log of billions of station visits:
 * ``station_day``: ONE hash aggregate by (day, model, station) for tracked
   models. Weekly station yields are sums of it (counts are additive), so the
   weekly jobs never rescan the log for station metrics.
-* Week attributes (one row per week, bounded by the calendar) are broadcast.
+* Week attributes are one row per week, bounded by the calendar.
 
 The per-date / per-week loops of a client-driven implementation become group
 keys; nothing is collected to the driver.
@@ -38,8 +38,8 @@ def half_even_div(num: Column, den: Column) -> Column:
 
 
 def prod(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Production rows only (B1)."""
-    return wl.filter(C.is_production(cfg=cfg))
+    """Production rows (B1) that have ended: every yield is counted over a range of end times."""
+    return wl.filter(C.is_production(cfg=cfg) & F.col(C.END).isNotNull())
 
 
 # --------------------------------------------------------------- unit level
@@ -52,20 +52,13 @@ def unit_day(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
                  F.min(C.END).alias("first_end")))
 
 
-def first_activity(ud: DataFrame) -> DataFrame:
-    """First production activity per unit (sn, model) over all history."""
-    return ud.groupBy("sn", "model").agg(F.min("first_end").alias("first_activity_time"))
+def first_activity(rows: DataFrame) -> DataFrame:
+    """First production activity per unit (sn, model) over all history.
 
-
-def merge_first_activity(current: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Upsert rows that min-merge newly seen first activities into a kept table.
-
-    Only units present in ``fresh`` are returned (with the earlier of the two
-    times); upserting them keeps every other unit as it was.
+    ``rows``: production log rows (one aggregate, one shuffle), or unit-day rows where these are at hand.
     """
-    old = current.select("sn", "model", F.col("first_activity_time").alias("_old"))
-    return (fresh.join(old, ["sn", "model"], "left")
-            .select("sn", "model", F.least("first_activity_time", "_old").alias("first_activity_time")))
+    end = "first_end" if "first_end" in rows.columns else C.END
+    return rows.groupBy("sn", "model").agg(F.min(end).alias("first_activity_time"))
 
 
 def weekly_starters(fa: DataFrame) -> DataFrame:
@@ -101,7 +94,7 @@ def completions_by_unit(ud: DataFrame, fa: DataFrame | None = None) -> DataFrame
     ud = ud.withColumn("week_start", C.week_start("day"))
     if fa is not None:
         starters = fa.select("sn", C.week_start("first_activity_time").alias("week_start")).distinct()
-        return ud.join(starters, ["sn", "week_start"], "left_semi")
+        return ud.join(starters, C.null_safe_key(ud, starters, ["sn", "week_start"]), "left_semi")
     first_week = C.week_start(F.min("first_end").over(Window.partitionBy("sn", "model")))
     return (ud.repartition("sn")
             .withColumn("_first_week", first_week)
@@ -161,12 +154,12 @@ def station_day(wl: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
 def tpy_daily(sd: DataFrame, sbw: DataFrame) -> DataFrame:
     """Daily station throughput yield with week attributes and the week's starters.
 
-    ``sbw`` has one row per ISO week, a size bounded by the calendar, so it is
-    broadcast and the join adds no shuffle of the station table.
+    ``sbw`` has one row per ISO week, a size bounded by the calendar, so
+    Spark's own size check broadcasts it.
     """
     return (sd.withColumn("throughput_yield", C.pct2("passed_parts", "total_parts"))
             .withColumn("week_start", C.week_start("date_id"))
-            .join(F.broadcast(sbw), "week_start", "left")
+            .join(sbw, "week_start", "left")
             .select("date_id", "model", "workstation_name", "total_parts", "passed_parts", "failed_parts",
                     "throughput_yield", C.iso_week_label("date_id").alias("week_id"), "week_start",
                     F.date_add("week_start", 6).alias("week_end"),
@@ -319,58 +312,81 @@ def tpy_weekly(ud: DataFrame, sd: DataFrame, daily_kpi: DataFrame, cfg: YieldCon
     pick = []
     for m in cfg.tracked_models:
         s_ = _short(cfg, m)
-        for src, dst in (("fixed_stations_json", f"tpy_hardcoded_{s_}_stations"), ("fixed_tpy", f"tpy_hardcoded_{s_}_tpy"),
-                         ("dynamic_stations_json", f"tpy_dynamic_{s_}_stations"), ("dynamic_tpy", f"tpy_dynamic_{s_}_tpy"),
-                         ("station_count", f"tpy_dynamic_{s_}_station_count")):
+        for src, dst in (("fixed_stations_json", f"weekly_tpy_hardcoded_{s_}_stations"), ("fixed_tpy", f"weekly_tpy_hardcoded_{s_}_tpy"),
+                         ("dynamic_stations_json", f"weekly_tpy_dynamic_{s_}_stations"), ("dynamic_tpy", f"weekly_tpy_dynamic_{s_}_tpy"),
+                         ("station_count", f"weekly_tpy_dynamic_{s_}_station_count")):
             pick.append(F.max(F.when(F.col("model") == m, F.col(src))).alias(dst))
     wide = per_model.groupBy("week_start").agg(*pick)  # one row per week, one column set per model
     out = (weeks.join(fpy, "week_start", "left").join(ovr, "week_start", "left")
-           .join(summ, "week_start", "left").join(wide, "week_start", "left"))
+           .join(summ, "week_start", "left").join(wide, "week_start", "left")
+           .join(weekly_station_json(wsy, cfg), "week_start", "left"))
     zero = F.lit(0).cast("long")
     return out.select(
         C.iso_week_label("week_start").alias("week_id"), "week_start",
         F.date_add("week_start", 6).alias("week_end"), F.lit(7).alias("days_in_week"),
-        F.coalesce("parts_started", zero).alias("fpy_traditional_parts_started"),
-        F.coalesce("first_pass_success", zero).alias("fpy_traditional_first_pass_success"),
-        F.coalesce("traditional_fpy", F.lit(0.0)).alias("fpy_traditional_first_pass_yield"),
-        F.coalesce("active_parts", zero).alias("fpy_completed_only_active_parts"),
-        F.coalesce("first_pass_success", zero).alias("fpy_completed_only_first_pass_success"),
-        F.coalesce("completed_only_fpy", F.lit(0.0)).alias("fpy_completed_only_first_pass_yield"),
-        F.coalesce("parts_completed", zero).alias("fpy_breakdown_parts_completed"),
-        F.coalesce("parts_failed", zero).alias("fpy_breakdown_parts_failed"),
-        F.coalesce("parts_stuck_in_limbo", zero).alias("fpy_breakdown_parts_stuck_in_limbo"),
-        F.coalesce("parts_started", zero).alias("fpy_breakdown_total_parts"),
-        F.coalesce("total_parts", zero).alias("overall_yield_total_parts"),
-        F.coalesce("completed_parts", zero).alias("overall_yield_completed_parts"),
-        F.coalesce("overall_yield", F.lit(0.0)).alias("overall_yield_overall_yield"),
-        F.coalesce("average_yield", F.lit(0.0)).alias("throughput_yield_average_yield"),
+        F.coalesce("parts_started", zero).alias("weekly_first_pass_yield_traditional_parts_started"),
+        F.coalesce("first_pass_success", zero).alias("weekly_first_pass_yield_traditional_first_pass_success"),
+        F.coalesce("traditional_fpy", F.lit(0.0)).alias("weekly_first_pass_yield_traditional_first_pass_yield"),
+        F.coalesce("active_parts", zero).alias("weekly_first_pass_yield_completed_only_active_parts"),
+        F.coalesce("first_pass_success", zero).alias("weekly_first_pass_yield_completed_only_first_pass_success"),
+        F.coalesce("completed_only_fpy", F.lit(0.0)).alias("weekly_first_pass_yield_completed_only_first_pass_yield"),
+        F.coalesce("parts_completed", zero).alias("weekly_first_pass_yield_breakdown_parts_completed"),
+        F.coalesce("parts_failed", zero).alias("weekly_first_pass_yield_breakdown_parts_failed"),
+        F.coalesce("parts_stuck_in_limbo", zero).alias("weekly_first_pass_yield_breakdown_parts_stuck_in_limbo"),
+        F.coalesce("parts_started", zero).alias("weekly_first_pass_yield_breakdown_total_parts"),
+        F.coalesce("total_parts", zero).alias("weekly_overall_yield_total_parts"),
+        F.coalesce("completed_parts", zero).alias("weekly_overall_yield_completed_parts"),
+        F.coalesce("overall_yield", F.lit(0.0)).alias("weekly_overall_yield_overall_yield"),
+        F.coalesce("station_metrics", F.lit("{}")).alias("weekly_throughput_yield_station_metrics"),
+        F.coalesce("average_yield", F.lit(0.0)).alias("weekly_throughput_yield_average_yield"),
+        F.coalesce("model_specific", F.lit("{}")).alias("weekly_throughput_yield_model_specific"),
         *[c for m in cfg.tracked_models for c in (
-            f"tpy_hardcoded_{_short(cfg, m)}_stations", f"tpy_hardcoded_{_short(cfg, m)}_tpy",
-            f"tpy_dynamic_{_short(cfg, m)}_stations", f"tpy_dynamic_{_short(cfg, m)}_tpy",
-            f"tpy_dynamic_{_short(cfg, m)}_station_count")],
+            f"weekly_tpy_hardcoded_{_short(cfg, m)}_stations", f"weekly_tpy_hardcoded_{_short(cfg, m)}_tpy",
+            f"weekly_tpy_dynamic_{_short(cfg, m)}_stations", f"weekly_tpy_dynamic_{_short(cfg, m)}_tpy",
+            f"weekly_tpy_dynamic_{_short(cfg, m)}_station_count")],
         F.coalesce("total_stations", zero).alias("total_stations"),
         "best_station_name", "best_station_yield", "worst_station_name", "worst_station_yield",
     )
 
 
-def station_metrics_json(wsy: DataFrame) -> DataFrame:
-    """Per week, the JSON text of the station metric maps (A16): all-model and per model.
+def _metrics() -> Column:
+    return F.struct(F.col("total_parts").alias("totalParts"), F.col("passed_parts").alias("passedParts"),
+                    F.col("failed_parts").alias("failedParts"),
+                    F.col("throughput_yield").cast("decimal(7,2)").alias("throughputYield"))
+
+
+def _station_maps(wsy: DataFrame) -> DataFrame:
+    """week_start, model (NULL: all models), e: the stations' metrics as sorted map entries.
 
     Entries are sorted by station so the text is deterministic; one map per
     week holds one entry per station, a size bounded by the station list.
     """
-    def metrics(level_filter: Column) -> DataFrame:
-        return wsy.filter(level_filter).select(
-            "week_start", F.coalesce("model", F.lit("overall")).alias("scope"), "workstation_name",
-            F.struct(F.col("total_parts").alias("totalParts"), F.col("passed_parts").alias("passedParts"),
-                     F.col("failed_parts").alias("failedParts"),
-                     F.col("throughput_yield").cast("decimal(7,2)").alias("throughputYield")).alias("m"))
-    both = metrics(F.lit(True))
-    return (both.groupBy("week_start", "scope")
-            .agg(F.array_sort(F.collect_list(F.struct("workstation_name", "m"))).alias("e"))
-            .select(C.iso_week_label("week_start").alias("week_id"), "scope",
-                    F.size("e").cast("long").alias("n_stations"),
-                    F.to_json(F.map_from_entries("e")).alias("station_metrics_json")))
+    return (wsy.select("week_start", "model", "workstation_name", _metrics().alias("m"))
+            .groupBy("week_start", "model")
+            .agg(F.array_sort(F.collect_list(F.struct("workstation_name", "m"))).alias("e")))
+
+
+def station_metrics_json(wsy: DataFrame) -> DataFrame:
+    """Per week, the JSON text of the station metric maps (A16): all-model and per model."""
+    return _station_maps(wsy).select(
+        C.iso_week_label("week_start").alias("week_id"), F.coalesce("model", F.lit("overall")).alias("scope"),
+        F.size("e").cast("long").alias("n_stations"), F.to_json(F.map_from_entries("e")).alias("station_metrics_json"))
+
+
+def weekly_station_json(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Per week the two JSON columns of the weekly record: the all-model map, and the maps by tracked model and overall."""
+    maps = _station_maps(wsy).select("week_start", "model", F.to_json(F.map_from_entries("e")).alias("j"))
+
+    def text(of: Column) -> Column:
+        return F.coalesce(F.first(F.when(of, F.col("j")), ignorenulls=True), F.lit("{}"))
+
+    overall = text(F.col("model").isNull())
+    named = [(m, text(F.col("model") == m)) for m in cfg.tracked_models] + [("overall", overall)]
+    parts = [F.concat(F.to_json(F.array(F.lit(k))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(k)))) - 2), F.lit(":"), v)
+             for k, v in named]
+    return maps.groupBy("week_start").agg(
+        overall.alias("station_metrics"),
+        F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("model_specific"))
 
 
 def week_of(as_of: _dt.date) -> _dt.date:

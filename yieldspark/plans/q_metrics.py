@@ -93,7 +93,7 @@ def q_sort_test_daily(spark, sf_dir):
 
 
 @register("sort_test_recent", with_views("wl", _SORT.format(
-    extra="AND history_station_end_time >= TIMESTAMP '2024-01-12' AND history_station_end_time < TIMESTAMP '2024-01-20'")))
+    extra="AND history_station_end_time >= TIMESTAMP '2024-01-13' AND history_station_end_time < TIMESTAMP '2024-01-20'")))
 def q_sort_test_recent(spark, sf_dir):
     return packing.sort_test_recent(fx.workstation_log(spark, sf_dir), FIXTURE_AS_OF)
 

@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from .. import config
+from .. import config, schemas
 from ..functions import columns as C
 from ..operators import profile, tpy
 from ..sources import fixtures as fx
@@ -24,12 +24,20 @@ def _logs(spark, sf_dir):
             "snfn_master_log": fx.snfn_log(spark, sf_dir)}
 
 
-@register("record_counts", with_views("wl tb sf", """
-SELECT 'workstation_master_log' AS table_name, count(*) AS total_records, count(DISTINCT sn) AS unique_sn FROM wl
+@register("record_counts", with_views("wl tb sf prod", f"""
+logs AS (SELECT 'workstation_master_log' AS table_name, count(*) AS total_records, count(DISTINCT sn) AS unique_sn FROM wl
 UNION ALL SELECT 'testboard_master_log', count(*), count(DISTINCT sn) FROM tb
-UNION ALL SELECT 'snfn_master_log', count(*), count(DISTINCT sn) FROM sf"""))
+UNION ALL SELECT 'snfn_master_log', count(*), count(DISTINCT sn) FROM sf)
+SELECT * FROM logs
+UNION ALL SELECT 'total', CAST(sum(total_records) AS BIGINT), NULL FROM logs
+UNION ALL SELECT 'daily_tpy_metrics', count(*), NULL FROM (
+  SELECT DISTINCT CAST({END} AS DATE), model, workstation_name FROM prod WHERE model IN ('Tesla SXM4', 'Tesla SXM5'))
+UNION ALL SELECT 'weekly_tpy_metrics', count(DISTINCT date_trunc('week', {END})), NULL FROM prod
+  WHERE model IN ('Tesla SXM4', 'Tesla SXM5')"""))
 def q_record_counts(spark, sf_dir):
-    return profile.record_counts(_logs(spark, sf_dir))
+    daily = tpy.station_day(fx.workstation_log(spark, sf_dir))  # the rows of the daily and weekly KPI tables
+    weekly = daily.select(C.week_start("date_id")).distinct()
+    return profile.record_counts(_logs(spark, sf_dir), kpis={"daily_tpy_metrics": daily, "weekly_tpy_metrics": weekly})
 
 
 @register("recent_activity", with_views("wl tb", """
@@ -49,6 +57,8 @@ sd AS (SELECT DISTINCT CAST({END} AS DATE) AS date_id, model, workstation_name F
 SELECT 'daily_tpy_metrics' AS table_name, CAST(min(date_id) AS TIMESTAMP) AS earliest,
   CAST(max(date_id) AS TIMESTAMP) AS latest, count(*) FILTER (WHERE date_id = DATE '2024-01-19') AS rows_on_as_of
 FROM sd
+UNION ALL SELECT 'weekly_tpy_metrics', CAST(min(date_trunc('week', date_id)) AS TIMESTAMP), CAST(max(date_trunc('week', date_id)) AS TIMESTAMP),
+  count(DISTINCT date_trunc('week', date_id)) FILTER (WHERE date_trunc('week', date_id) + INTERVAL 7 DAY >= TIMESTAMP '2024-01-19') FROM sd
 UNION ALL SELECT 'workstation_master_log', min({END}), max({END}),
   count(*) FILTER (WHERE CAST({END} AS DATE) = DATE '2024-01-19') FROM wl WHERE {END} IS NOT NULL
 UNION ALL SELECT 'testboard_master_log', min({END}), max({END}),
@@ -58,7 +68,10 @@ UNION ALL SELECT 'snfn_master_log', min({END}), max({END}),
 def q_freshness_report(spark, sf_dir):
     wl = fx.workstation_log(spark, sf_dir)
     daily = tpy.station_day(wl)  # the daily KPI table's rows (date, model, station)
-    return profile.freshness_report(_logs(spark, sf_dir), daily, AS_OF)
+    # weekly rows as if each were created on the Monday after its week
+    weekly = daily.select(C.week_start("date_id").alias("week_start")).distinct().withColumn(
+        "created_at", F.date_add("week_start", 7).cast("timestamp_ntz"))
+    return profile.freshness_report(_logs(spark, sf_dir), daily, AS_OF, weekly)
 
 
 @register("date_profile", with_views("prod", f"""
@@ -178,9 +191,7 @@ def _nse(a, b, keys):
     return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
 
 
-_KEY = ["sn", "pn", "customer_pn", "outbound_version", "workstation_name", "history_station_start_time",
-        "history_station_end_time", "hours", "service_flow", "model", "history_station_passing_status",
-        "passing_station_method", "operator", "first_station_start_time", "data_source"]
+_KEY = list(schemas.WORKSTATION_KEY)
 _FOUR = ["sn", "pn", "model", "workstation_name"]
 
 
@@ -194,3 +205,32 @@ def q_match_diagnostics(spark, sf_dir):
     from .. import schemas
     return profile.match_diagnostics(fx.workstation_new(spark, sf_dir), fx.workstation_old(spark, sf_dir),
                                      schemas.WORKSTATION_KEY)
+
+
+@register("sample_station_yield", with_views("prod", f"""
+a AS (
+SELECT workstation_name, model, count(*) AS total_parts,
+  count(CASE WHEN history_station_passing_status = 'Pass' THEN 1 END) AS passed_parts,
+  count(CASE WHEN history_station_passing_status <> 'Pass' THEN 1 END) AS failed_parts
+FROM prod WHERE model IN ('Tesla SXM4', 'Tesla SXM5') GROUP BY ALL)
+SELECT *, {pct2('passed_parts', 'total_parts')} AS throughput_yield FROM a
+ORDER BY total_parts DESC, workstation_name, model LIMIT {config.TOP_SAMPLE_YIELD}"""))
+def q_sample_station_yield(spark, sf_dir):
+    # Top-k is the feature here: the sample of the tracked models' busiest stations.
+    return profile.top_station_yield(fx.workstation_log(spark, sf_dir), config.TOP_SAMPLE_YIELD, 1, per_date=False,
+                                     tracked_only=True)
+
+
+def _lookup_oracle(keys):
+    return with_views("wl sf", f"SELECT * FROM wl WHERE ({', '.join(keys)}) IN (SELECT {', '.join(keys)} FROM sf)")
+
+
+@register("unit_lookup_3", _lookup_oracle(["sn", "pn", "model"]))
+def q_unit_lookup_3(spark, sf_dir):
+    return profile.unit_lookup(fx.workstation_log(spark, sf_dir), fx.snfn_log(spark, sf_dir), ("sn", "pn", "model"))
+
+
+@register("unit_lookup_4", with_views("wl wl_new", f"""
+SELECT * FROM wl WHERE ({', '.join(_FOUR)}) IN (SELECT {', '.join(_FOUR)} FROM wl_new)"""))
+def q_unit_lookup_4(spark, sf_dir):
+    return profile.unit_lookup(fx.workstation_log(spark, sf_dir), fx.workstation_new(spark, sf_dir), _FOUR)

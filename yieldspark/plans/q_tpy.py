@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import session
-from ..config import FIXTURE_AS_OF, LATEST_DAILY_ROWS
+from ..config import FIXTURE_AS_OF, FIXTURE_PROFILE_DATE, LATEST_DAILY_ROWS, LATEST_WEEKS, TOP_STATIONS_DATE
 from ..functions import columns as C
 from ..operators import tpy
 from ..sources import fixtures as fx
@@ -16,15 +15,18 @@ from .sqltext import END, NOT_PASS, PASS, TRACKED, iso_label, monday, pct2
 AS_OF = FIXTURE_AS_OF
 
 
-def _base(spark, sf_dir):
-    wl = fx.workstation_log(spark, sf_dir)
-    ud = tpy.unit_day(wl)
-    return wl, ud, tpy.first_activity(ud)
+def _unit_day(spark, sf_dir):
+    return tpy.unit_day(fx.workstation_log(spark, sf_dir))
+
+
+def _first_activity(spark, sf_dir):
+    # one minimum by unit straight from the log: the day level is not needed
+    return tpy.first_activity(tpy.prod(fx.workstation_log(spark, sf_dir)))
 
 
 def _daily_kpi(spark, sf_dir):
-    wl, ud, fa = _base(spark, sf_dir)
-    return tpy.tpy_daily(tpy.station_day(wl), tpy.starters_by_week(fa))
+    sd = tpy.station_day(fx.workstation_log(spark, sf_dir))
+    return tpy.tpy_daily(sd, tpy.starters_by_week(_first_activity(spark, sf_dir)))
 
 
 # Oracle building blocks (DuckDB), written from the report definitions.
@@ -121,7 +123,7 @@ GROUP BY week_start)"""
 @register("first_activity", with_views("prod", f"""
 SELECT sn, model, min({END}) AS first_activity_time FROM prod GROUP BY sn, model"""))
 def q_first_activity(spark, sf_dir):
-    return _base(spark, sf_dir)[2]
+    return _first_activity(spark, sf_dir)
 
 
 @register("weekly_starters", with_views("prod", f"""
@@ -131,7 +133,7 @@ SELECT {iso_label('week_start')} AS week_id, week_start, model, CAST(grouping(we
 FROM (SELECT {monday('first_activity_time')} AS week_start, model FROM fa) s
 GROUP BY GROUPING SETS ((week_start, model), (week_start))"""))
 def q_weekly_starters(spark, sf_dir):
-    return tpy.weekly_starters(_base(spark, sf_dir)[2])
+    return tpy.weekly_starters(_first_activity(spark, sf_dir))
 
 
 _COMPLETIONS = f"""
@@ -153,7 +155,7 @@ FROM cc WHERE reached_packing > 0 GROUP BY date_id, model)"""
 {_COMPLETIONS}
 SELECT *, {pct2('first_pass_today', 'completed_today')} AS model_fpy FROM dc"""))
 def q_daily_completions(spark, sf_dir):
-    return tpy.daily_completions(_base(spark, sf_dir)[1])
+    return tpy.daily_completions(_unit_day(spark, sf_dir))
 
 
 @register("daily_fpy", with_views("prod", f"""
@@ -163,7 +165,7 @@ SELECT date_id, CAST(sum(completed_today) AS BIGINT) AS completed_today,
   {pct2('sum(first_pass_today)', 'sum(completed_today)')} AS daily_fpy
 FROM dc GROUP BY date_id"""))
 def q_daily_fpy(spark, sf_dir):
-    return tpy.daily_fpy(tpy.daily_completions(_base(spark, sf_dir)[1]))
+    return tpy.daily_fpy(tpy.daily_completions(_unit_day(spark, sf_dir)))
 
 
 @register("tpy_daily", with_views("prod", f"{_FA}, {_SBW}, {_SD}, {_DAILY} SELECT * FROM daily"))
@@ -202,7 +204,7 @@ def q_active_weeks(spark, sf_dir):
 
 @register("weekly_fpy", with_views("prod", f"{_FPY} SELECT * FROM fpy"))
 def q_weekly_fpy(spark, sf_dir):
-    return tpy.weekly_fpy(_base(spark, sf_dir)[1])
+    return tpy.weekly_fpy(_unit_day(spark, sf_dir))
 
 
 @register("weekly_station_yield", with_views("prod", f"""{_WSY}
@@ -247,37 +249,55 @@ def q_weekly_station_summary(spark, sf_dir):
     return tpy.weekly_station_summary(tpy.weekly_station_yield(tpy.station_day(wl)))
 
 
+_STATION_JSON = """allrows AS (SELECT week_start, model, workstation_name, total_parts, passed_parts, failed_parts, throughput_yield FROM wmy
+  UNION ALL
+  SELECT week_start, NULL, workstation_name, total_parts, passed_parts, failed_parts, throughput_yield FROM woy),
+sjson AS (SELECT week_start, model, count(*) AS n_stations,
+  '{' || string_agg('"' || workstation_name || '":{"totalParts":' || CAST(total_parts AS VARCHAR)
+    || ',"passedParts":' || CAST(passed_parts AS VARCHAR) || ',"failedParts":' || CAST(failed_parts AS VARCHAR)
+    || ',"throughputYield":' || printf('%.2f', throughput_yield) || '}', ',' ORDER BY workstation_name)
+    || '}' AS station_metrics_json
+FROM allrows GROUP BY week_start, model)"""
+
+
 def _weekly_record_sql(where: str = "") -> str:
     cols = []
     for m, s in (("Tesla SXM4", "sxm4"), ("Tesla SXM5", "sxm5")):
         cols.append(f"""(SELECT stations_json FROM fixed x WHERE x.week_start = w.week_start AND x.model = '{m}')
-                        AS tpy_hardcoded_{s}_stations""")
+                        AS weekly_tpy_hardcoded_{s}_stations""")
         cols.append(f"""(SELECT tpy FROM fixed x WHERE x.week_start = w.week_start AND x.model = '{m}')
-                        AS tpy_hardcoded_{s}_tpy""")
+                        AS weekly_tpy_hardcoded_{s}_tpy""")
         cols.append(f"""(SELECT stations_json FROM dyn x WHERE x.week_start = w.week_start AND x.model = '{m}')
-                        AS tpy_dynamic_{s}_stations""")
+                        AS weekly_tpy_dynamic_{s}_stations""")
         cols.append(f"""(SELECT tpy FROM dyn x WHERE x.week_start = w.week_start AND x.model = '{m}')
-                        AS tpy_dynamic_{s}_tpy""")
+                        AS weekly_tpy_dynamic_{s}_tpy""")
         cols.append(f"""(SELECT station_count FROM dyn x WHERE x.week_start = w.week_start AND x.model = '{m}')
-                        AS tpy_dynamic_{s}_station_count""")
+                        AS weekly_tpy_dynamic_{s}_station_count""")
     return f"""{_FA}, {_SBW}, {_SD}, {_DAILY}, {_OVERALL}, {_WSY}, {_WEEKS}, {_SPINE}, {_FIXED}, {_DYN}, {_FPY},
 {_SUMMARY},
+{_STATION_JSON},
 kweeks AS (SELECT DISTINCT week_start FROM daily)
 SELECT {iso_label('w.week_start')} AS week_id, w.week_start, w.week_start + 6 AS week_end, 7 AS days_in_week,
-  coalesce(fpy.parts_started, 0) AS fpy_traditional_parts_started,
-  coalesce(fpy.first_pass_success, 0) AS fpy_traditional_first_pass_success,
-  coalesce(fpy.traditional_fpy, 0.0) AS fpy_traditional_first_pass_yield,
-  coalesce(fpy.active_parts, 0) AS fpy_completed_only_active_parts,
-  coalesce(fpy.first_pass_success, 0) AS fpy_completed_only_first_pass_success,
-  coalesce(fpy.completed_only_fpy, 0.0) AS fpy_completed_only_first_pass_yield,
-  coalesce(fpy.parts_completed, 0) AS fpy_breakdown_parts_completed,
-  coalesce(fpy.parts_failed, 0) AS fpy_breakdown_parts_failed,
-  coalesce(fpy.parts_stuck_in_limbo, 0) AS fpy_breakdown_parts_stuck_in_limbo,
-  coalesce(fpy.parts_started, 0) AS fpy_breakdown_total_parts,
-  coalesce(ovr.total_parts, 0) AS overall_yield_total_parts,
-  coalesce(ovr.completed_parts, 0) AS overall_yield_completed_parts,
-  coalesce(ovr.overall_yield, 0.0) AS overall_yield_overall_yield,
-  coalesce(summary.average_yield, 0.0) AS throughput_yield_average_yield,
+  coalesce(fpy.parts_started, 0) AS weekly_first_pass_yield_traditional_parts_started,
+  coalesce(fpy.first_pass_success, 0) AS weekly_first_pass_yield_traditional_first_pass_success,
+  coalesce(fpy.traditional_fpy, 0.0) AS weekly_first_pass_yield_traditional_first_pass_yield,
+  coalesce(fpy.active_parts, 0) AS weekly_first_pass_yield_completed_only_active_parts,
+  coalesce(fpy.first_pass_success, 0) AS weekly_first_pass_yield_completed_only_first_pass_success,
+  coalesce(fpy.completed_only_fpy, 0.0) AS weekly_first_pass_yield_completed_only_first_pass_yield,
+  coalesce(fpy.parts_completed, 0) AS weekly_first_pass_yield_breakdown_parts_completed,
+  coalesce(fpy.parts_failed, 0) AS weekly_first_pass_yield_breakdown_parts_failed,
+  coalesce(fpy.parts_stuck_in_limbo, 0) AS weekly_first_pass_yield_breakdown_parts_stuck_in_limbo,
+  coalesce(fpy.parts_started, 0) AS weekly_first_pass_yield_breakdown_total_parts,
+  coalesce(ovr.total_parts, 0) AS weekly_overall_yield_total_parts,
+  coalesce(ovr.completed_parts, 0) AS weekly_overall_yield_completed_parts,
+  coalesce(ovr.overall_yield, 0.0) AS weekly_overall_yield_overall_yield,
+  coalesce(summary.average_yield, 0.0) AS weekly_throughput_yield_average_yield,
+  coalesce((SELECT station_metrics_json FROM sjson x WHERE x.week_start = w.week_start AND x.model IS NULL), '{{}}')
+    AS weekly_throughput_yield_station_metrics,
+  (SELECT CASE WHEN count(*) = 0 THEN '{{}}' ELSE '{{"Tesla SXM4":' || coalesce(max(CASE WHEN model = 'Tesla SXM4' THEN station_metrics_json END), '{{}}')
+     || ',"Tesla SXM5":' || coalesce(max(CASE WHEN model = 'Tesla SXM5' THEN station_metrics_json END), '{{}}')
+     || ',"overall":' || coalesce(max(CASE WHEN model IS NULL THEN station_metrics_json END), '{{}}') || '}}' END
+   FROM sjson x WHERE x.week_start = w.week_start) AS weekly_throughput_yield_model_specific,
   {', '.join(cols)},
   coalesce(summary.total_stations, 0) AS total_stations,
   summary.best_station_name, summary.best_station_yield, summary.worst_station_name, summary.worst_station_yield
@@ -289,17 +309,12 @@ LEFT JOIN summary ON summary.week_start = w.week_start
 
 
 def _weekly(spark, sf_dir, week=None):
-    # The record combines ~10 aggregates of two base tables: materialise the
-    # bases once (a Parquet lineage cut in the shared checkpoint dir), so the
-    # log is scanned twice instead of once per derived aggregate. The
-    # current-week mode reads only that week's rows.
+    # Lazy: nothing is written when the query is built. The job chain derives the same record from its cut bases.
     wl = fx.workstation_log(spark, sf_dir)
     if week is not None:
         wl = tpy.week_rows(wl, week)
-    ud = session.cut_lineage(tpy.unit_day(wl), "unit_day")
-    sd = session.cut_lineage(tpy.station_day(wl), "station_day")
-    fa = tpy.first_activity(ud)
-    return tpy.tpy_weekly(ud, sd, tpy.tpy_daily(sd, tpy.starters_by_week(fa)))
+    ud, sd = tpy.unit_day(wl), tpy.station_day(wl)
+    return tpy.tpy_weekly(ud, sd, tpy.tpy_daily(sd, tpy.starters_by_week(tpy.first_activity(tpy.prod(wl)))))
 
 
 @register("tpy_weekly", with_views("prod", _weekly_record_sql()))
@@ -312,18 +327,29 @@ def q_tpy_weekly_recent(spark, sf_dir):
     return _weekly(spark, sf_dir, tpy.week_of(AS_OF))
 
 
-@register("tpy_weekly_json", with_views("prod", f"""{_WSY},
-allrows AS (SELECT week_start, model AS scope, workstation_name, total_parts, passed_parts, failed_parts,
-                   throughput_yield FROM wmy
-            UNION ALL
-            SELECT week_start, 'overall', workstation_name, total_parts, passed_parts, failed_parts,
-                   throughput_yield FROM woy)
-SELECT {iso_label('week_start')} AS week_id, scope, count(*) AS n_stations,
-  '{{' || string_agg('"' || workstation_name || '":{{"totalParts":' || CAST(total_parts AS VARCHAR)
-    || ',"passedParts":' || CAST(passed_parts AS VARCHAR) || ',"failedParts":' || CAST(failed_parts AS VARCHAR)
-    || ',"throughputYield":' || printf('%.2f', throughput_yield) || '}}', ',' ORDER BY workstation_name)
-    || '}}' AS station_metrics_json
-FROM allrows GROUP BY week_start, scope"""))
+@register("tpy_weekly_json", with_views("prod", f"""{_WSY}, {_STATION_JSON}
+SELECT {iso_label('week_start')} AS week_id, coalesce(model, 'overall') AS scope, n_stations, station_metrics_json
+FROM sjson"""))
 def q_tpy_weekly_json(spark, sf_dir):
     wl = fx.workstation_log(spark, sf_dir)
     return tpy.station_metrics_json(tpy.weekly_station_yield(tpy.station_day(wl)))
+
+
+@register("tpy_weekly_latest", f"""SELECT week_id, week_start, weekly_first_pass_yield_traditional_first_pass_yield AS fpy,
+  weekly_overall_yield_overall_yield AS overall_yield, total_stations
+FROM ({with_views("prod", _weekly_record_sql())}) ORDER BY week_start DESC LIMIT {LATEST_WEEKS}""")
+def q_tpy_weekly_latest(spark, sf_dir):
+    # Top-k is the feature here (the post-load sample of the weekly record).
+    return (_weekly(spark, sf_dir).orderBy(F.desc("week_start")).limit(LATEST_WEEKS)
+            .select("week_id", "week_start", F.col("weekly_first_pass_yield_traditional_first_pass_yield").alias("fpy"),
+                    F.col("weekly_overall_yield_overall_yield").alias("overall_yield"), "total_stations"))
+
+
+@register("tpy_date_sample", with_views("prod", f"""{_FA}, {_SBW}, {_SD}, {_DAILY}
+SELECT model, workstation_name, total_parts, passed_parts, throughput_yield FROM daily
+WHERE date_id = DATE '{FIXTURE_PROFILE_DATE}' ORDER BY total_parts DESC, model, workstation_name LIMIT {TOP_STATIONS_DATE}"""))
+def q_tpy_date_sample(spark, sf_dir):
+    # Top-k is the feature here: the busiest stations of one date.
+    return (_daily_kpi(spark, sf_dir).filter(F.col("date_id") == F.lit(FIXTURE_PROFILE_DATE))
+            .orderBy(F.desc("total_parts"), "model", "workstation_name").limit(TOP_STATIONS_DATE)
+            .select("model", "workstation_name", "total_parts", "passed_parts", "throughput_yield"))

@@ -107,3 +107,16 @@ REQUIRED_WORKSTATION_FIELDS = (
     "sn", "model", "workstation_name", "history_station_end_time",
     "history_station_passing_status", "service_flow",
 )
+
+# NULL-key policy of every KPI table: key columns such as the part number may be NULL in the logs, and such rows count.
+KPI_TABLES = {
+    "daily_tpy_metrics": TPY_DAILY_KEY,
+    "weekly_tpy_metrics": TPY_WEEKLY_KEY,
+    "daily_completions": ("date_id", "model"),
+    "station_hourly_summary": STATION_HOURLY_KEY,
+    "packing_daily_summary": PACKING_DAILY_KEY,
+    "sort_test_daily": ("sort_code", "test_date"),
+    "testboard_station_performance_daily": TESTBOARD_STATION_DAILY_KEY,
+    "fixture_performance_daily": FIXTURE_DAILY_KEY,
+}
+KPI_NULL_KEYS = "keep"

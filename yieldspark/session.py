@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,68 +18,70 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Checkpoint files of lineage cuts are removed once their DataFrame is gone.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def build(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "yieldspark",
+def build(master: str | None = None, shuffle_partitions: int | None = None, app: str = "yieldspark",
           extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the settings above; master and shuffle partitions are the cluster's unless given."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder only when unset (tests)."""
+    """The cluster's shared ``spark.checkpoint.dir``.
+
+    Where it is unset a scratch folder is made, but only for a master whose
+    executors live in this process (tests); anywhere else that is an error,
+    since executors would not see each other's files.
+    """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="yieldspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
     return current
 
 
-def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Materialise ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+def scratch_table_path(spark: SparkSession, name: str) -> str:
+    """A folder under the shared checkpoint dir for intermediate tables."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+class Cuts:
+    """Lineage cuts of one job run: Parquet tables under the shared checkpoint folder, deleted when the run ends.
 
-    One job computes and writes it (a reliable RDD checkpoint would compute
+    One job computes and writes a cut (a reliable RDD checkpoint would compute
     it twice unless cached); later stages read the columnar files, so a lost
     executor re-reads them instead of recomputing from the raw log.
     """
-    spark = df.sparkSession
-    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    _CUTS.append(path)
-    return spark.read.parquet(path)
-
-
-_CUTS: list[str] = []
 
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
 
-def clear_cuts(spark: SparkSession) -> int:
-    """Delete the lineage-cut tables written so far (call once their readers are done)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    n = 0
-    while _CUTS:
-        p = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
-        fs = p.getFileSystem(conf)
-        if fs.exists(p):
-            fs.delete(p, True)
-            n += 1
-    return n
+    def cut(self, df: DataFrame, name: str = "cut") -> DataFrame:
+        path = scratch_table_path(self.spark, f"{name}-{uuid.uuid4().hex}")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Cuts:
+        return self
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint dir for intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    def __exit__(self, *_) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            p.getFileSystem(conf).delete(p, True)

@@ -40,7 +40,10 @@ class LogStore:
             return batch
         # Dates in one batch are bounded by the calendar, so this list is small.
         days = [r[0] for r in batch.select(C.to_day(C.END)).distinct().collect()]
-        lk = log.filter(F.col(PARTITION_COL).isin(days)).select(*self.keys).distinct()
+        on_days = F.col(PARTITION_COL).isin([d for d in days if d is not None])
+        if None in days:
+            on_days = on_days | F.col(PARTITION_COL).isNull()
+        lk = log.filter(on_days).select(*self.keys).distinct()
         return batch.join(lk, C.null_safe_key(batch, lk, self.keys), "left_anti")
 
     def append(self, batch: DataFrame) -> int:
@@ -54,3 +57,26 @@ class LogStore:
         finally:
             new.unpersist()
         return n
+
+    def dedup(self) -> dict[str, int]:
+        """Keep the first row of every key (E1, E2); only the day partitions that hold copies are rewritten.
+
+        The kept rows go through a written table first: Spark cannot replace files that it is reading.
+        """
+        from .. import session
+        from ..operators import dedup
+        log = self.read()
+        if log is None:
+            return {"removed": 0, "days": 0}
+        copies = log.groupBy(PARTITION_COL, *self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        days = [r[0] for r in copies.select(PARTITION_COL).distinct().collect()]  # bounded by the calendar
+        if not days:
+            return {"removed": 0, "days": 0}
+        part = log.filter(F.col(PARTITION_COL).isin(days))
+        order = [c for c in ("id", "created_at") if c in log.columns][:1]
+        kept = dedup.keep_first(part, self.keys, order=order) if order else part.dropDuplicates(self.keys)
+        with session.Cuts(self.spark) as cuts:
+            before, kept = part.count(), cuts.cut(kept, "dedup")
+            after = kept.count()
+            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(self.path)
+        return {"removed": before - after, "days": len(days)}

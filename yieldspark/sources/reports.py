@@ -1,53 +1,119 @@
 """Report scans: a drop directory of exported station reports (A1-A3).
 
-Reports arrive as CSV (or Parquet) files with human headers ("Workstation
-Name", "History Station End Time", ...). The scan reads every cell as text
-and keeps the file of origin and a per-file row ordinal, so the ingest job
-can apply first-row-wins rules and file-scoped quarantine later.
+Reports arrive as CSV, Parquet or workbook files with human headers
+("Workstation Name", "History Station End Time", ...). Every cell is read as
+text and keeps its file of origin and a per-file row ordinal, so the ingest
+job can apply first-row-wins rules and file-scoped quarantine later.
+
+Columns are bound by name: files with the same header are one Spark read, and
+the reads are united by normalised column name, so files whose columns stand
+in another order, are missing or are added can lie in one folder.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_COL = "source_file"
 ROW_COL = "row_ordinal"
+WORKBOOK = ".xlsx"
 
 
 def normalize_header(name: str, strict: bool = True) -> str:
-    """lower case, space/hyphen -> ``_``; strict mode also drops other non-alphanumerics (A3)."""
+    """lower case, space/hyphen -> ``_``; strict mode also drops what is no letter, digit or ``_`` (A3)."""
     out = name.lower().replace(" ", "_").replace("-", "_")
     if strict:
-        out = re.sub(r"[^0-9a-z_]", "", out)
+        out = re.sub(r"[^\w]", "", out)
+    return out
+
+
+def unique_names(names: Sequence[str]) -> list[str]:
+    """The first of several equal names keeps it, later ones get a number."""
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        seen[n] = seen.get(n, 0) + 1
+        out.append(n if seen[n] == 1 else f"{n}__{seen[n]}")
     return out
 
 
 def normalize_headers(df: DataFrame, strict: bool = True) -> DataFrame:
     """Rename columns on the driver (metadata only, no data moves)."""
-    return df.toDF(*[normalize_header(c, strict) for c in df.columns])
-
+    return df.toDF(*unique_names([normalize_header(c, strict) for c in df.columns]))
 
-def scan_reports(spark: SparkSession, path: str, fmt: str = "csv", glob: str | None = None,
-                 recursive: bool = True) -> DataFrame:
-    """All report files under ``path`` as text columns plus file and row ordinal (A1, A2).
 
-    The ordinal is (split start offset, increasing id) inside a file, which
-    preserves file order across the splits of one large file without
-    forcing the file into a single task.
-    """
-    reader = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
+def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> list[str]:
+    """Files under a drop directory (names only; contents are not read)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if fmt == "csv":
+    return sorted(r["path"] for r in reader.load(path).select("path").collect())
+
+
+def _kind(file: str) -> str:
+    name = file.lower()
+    return "xlsx" if name.endswith(WORKBOOK) else "parquet" if name.endswith(".parquet") else "csv"
+
+
+def _read(spark: SparkSession, kind: str, files: list[str]) -> DataFrame:
+    reader = spark.read.format(kind)
+    if kind == "csv":
         reader = reader.option("header", "true").option("inferSchema", "false")
-    df = reader.load(path)
+    df = reader.load(files)
     meta = F.col("_metadata")
-    return (normalize_headers(df)
-            .withColumn(FILE_COL, meta.getField("file_path"))
-            .withColumn("_block", meta.getField("file_block_start"))
-            .withColumn("_mono", F.monotonically_increasing_id())
-            .withColumn(ROW_COL, F.struct("_block", "_mono"))
-            .drop("_block", "_mono"))
+    order = F.struct(meta.getField("file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    df = df.select("*", meta.getField("file_path").alias("__file"), order.alias("__row"))
+    cells = normalize_headers(df.drop("__file", "__row")).columns
+    return df.toDF(*cells, FILE_COL, ROW_COL).select(
+        *[F.col(c).cast("string").alias(c) for c in cells], FILE_COL, ROW_COL)
+
+
+def scan_files(spark: SparkSession, files: Sequence[str], names: Sequence[str] = ()) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows, errors) of report files of any kind, by file extension.
+
+    ``names``: the columns taken from workbooks. ``errors``: source_file and
+    reason of files that cannot be read. The ordinal is (split start offset,
+    increasing id) inside a file, which keeps file order across the splits of
+    one large file without forcing the file into a single task.
+    """
+    groups: dict[tuple, list[str]] = {}
+    empty: list[tuple[str, str]] = []
+    books = [f for f in files if _kind(f) == "xlsx"]
+    for f in files:
+        kind = _kind(f)
+        if kind == "xlsx":
+            continue
+        # One look at the file's own header: its first line, or the Parquet footer.
+        reader = spark.read.format(kind).option("header", "true")
+        header = tuple(reader.load(f).columns)
+        if header:
+            groups.setdefault((kind, header), []).append(f)
+        else:
+            empty.append((f, "no header"))
+    parts = [_read(spark, kind, fs) for (kind, _), fs in groups.items()]
+    errors = [spark.createDataFrame(empty, f"{FILE_COL} string, reason string")] if empty else []
+    if books:
+        from . import workbook
+        cells = workbook.scan_workbooks(spark, books)
+        rows = workbook.cells_to_columns(cells.where("error is null"), names)
+        order = F.struct(F.lit(0).cast("long").alias("block"), F.col(ROW_COL).alias("n"))
+        parts.append(rows.withColumn(ROW_COL, order))
+        errors.append(cells.where("error is not null").select(FILE_COL, F.col("error").alias("reason")))
+    return _union(parts), _union(errors)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame | None:
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def scan_reports(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True,
+                 names: Sequence[str] = ()) -> DataFrame | None:
+    """All readable report files under ``path`` as text columns plus file and row ordinal (A1, A2)."""
+    return scan_files(spark, list_files(spark, path, glob, recursive), names)[0]

@@ -1,15 +1,16 @@
 """Table sinks over Parquet: append, replace, upsert, with key checks.
 
-A KPI table lives in ``<root>/v=<n>/`` folders plus a ``_CURRENT`` pointer
-file. Every write produces a complete new version and only then moves the
-pointer, so a job that dies midway (or loses executors and retries tasks)
-never leaves a half-written table, and an upsert never overwrites the files
-it is reading (Spark would fail with FILE_NOT_EXIST after deleting them).
+A KPI table lives in ``<root>/v=<n>/`` folders; a version counts once the
+empty file ``<root>/_committed/<n>`` exists, which is created (never replaced
+or deleted) after the version is complete. The table is its highest committed
+version, so a job that dies at any point leaves the version before it in
+place, and the next write takes a number that no folder has. An upsert never
+overwrites the files it reads.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
-POINTER = "_CURRENT"
+COMMITTED = "_committed"
 
 
 class NullKeyError(ValueError):
@@ -54,40 +55,51 @@ def check_null_keys(df: DataFrame, keys: Sequence[str], policy: str = "fail") ->
 
 
 class VersionedTable:
-    """A Parquet table with atomic versions: append, replace and upsert all write a new version."""
+    """A Parquet table with atomic versions: append, replace and upsert all write a new version.
+
+    ``null_keys`` is the table's NULL-key policy, unless a call names another.
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
-                 partition_by: Sequence[str] = ()):
+                 partition_by: Sequence[str] = (), null_keys: str = "fail"):
         self.spark, self.root, self.keys, self.partition_by = spark, root.rstrip("/"), list(keys), list(partition_by)
+        self.null_keys = null_keys
 
-    # -- pointer handling through the Hadoop FileSystem, so any shared store works
+    # -- through the Hadoop FileSystem, so any shared store works
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def _numbers(self, folder: str, prefix: str = "") -> list[int]:
+        fs, path = self._fs()
+        if not fs.exists(path(folder)):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(path(folder))]
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
+
+    def versions(self) -> list[int]:
+        """Committed versions that are still there."""
+        return self._numbers(f"{self.root}/{COMMITTED}")
 
     def current_version(self) -> int | None:
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{POINTER}")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
-        finally:
-            stream.close()
-
-    def _set_version(self, v: int) -> None:
-        fs, jvm = self._fs()
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{POINTER}.tmp{v}")
-        out = fs.create(tmp, True)
-        out.write(bytearray(str(v).encode()))
-        out.close()
-        dst = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{POINTER}")
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(tmp, dst)
+        return max(self.versions(), default=None)
+
+    def _next_version(self) -> int:
+        return max([0, *self.versions(), *self._numbers(self.root, "v=")]) + 1
+
+    def _commit(self, v: int) -> None:
+        fs, path = self._fs()
+        fs.create(path(f"{self.root}/{COMMITTED}/{v}"), False).close()  # fails if it exists
+
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the last ``keep`` committed versions; returns the deleted ones."""
+        fs, path = self._fs()
+        old = self.versions()[:-keep]
+        for v in old:  # the data first: a version without data must not become the highest
+            fs.delete(path(self.path(v)), True)
+            fs.delete(path(f"{self.root}/{COMMITTED}/{v}"), False)
+        return old
 
     def path(self, v: int) -> str:
         return f"{self.root}/v={v:06d}"
@@ -102,18 +114,18 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(v))
 
     def _write(self, df: DataFrame) -> int:
-        v = (self.current_version() or 0) + 1
-        w = df.write.mode("overwrite")
+        v = self._next_version()
+        w = df.write
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(self.path(v))
-        self._set_version(v)
+        self._commit(v)
         return v
 
-    def replace(self, df: DataFrame, null_keys: str = "fail") -> int:
+    def replace(self, df: DataFrame, null_keys: str | None = None) -> int:
         """TRUNCATE + INSERT (A8): keys no longer produced disappear (Q19)."""
         if self.keys:
-            df = check_null_keys(df, self.keys, null_keys)
+            df = check_null_keys(df, self.keys, null_keys or self.null_keys)
         return self._write(df)
 
     def append(self, df: DataFrame) -> int:
@@ -122,10 +134,10 @@ class VersionedTable:
             return self._write(df)
         return self._write(self.read().unionByName(df.select(*self.read().columns)))
 
-    def upsert(self, updates: DataFrame, null_keys: str = "fail") -> int:
+    def upsert(self, updates: DataFrame, null_keys: str | None = None) -> int:
         """Upsert by key (A9): rows of other keys stay (Q19)."""
         if self.keys:
-            updates = check_null_keys(updates, self.keys, null_keys)
+            updates = check_null_keys(updates, self.keys, null_keys or self.null_keys)
         if not self.exists():
             return self._write(updates)
         return self._write(merge_upsert(self.read(), updates, self.keys))
@@ -141,5 +153,50 @@ class VersionedTable:
         return self._write(cur.unionByName(new))
 
 
-def local_path(p: str) -> str:
-    return p if "://" in p else os.path.abspath(p)
+class MinTable:
+    """Smallest value per key, kept as appended deltas over a compacted base.
+
+    Adding a batch writes only the batch's rows; reading takes the minimum of
+    all files. Taking a minimum twice changes nothing, so a replayed batch or a
+    crash between the steps of ``compact`` is harmless.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], value: str):
+        self.spark, self.root, self.keys, self.value = spark, root.rstrip("/"), list(keys), value
+        self.base = VersionedTable(spark, f"{self.root}/base", self.keys, null_keys="keep")
+
+    def _deltas(self) -> list[str]:
+        fs, path = self.base._fs()
+        at = path(f"{self.root}/deltas")
+        if not fs.exists(at):
+            return []
+        return [str(f.getPath()) for f in fs.listStatus(at) if fs.exists(path(f"{f.getPath()}/_SUCCESS"))]
+
+    def exists(self) -> bool:
+        return self.base.exists() or bool(self._deltas())
+
+    def _min(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.keys).agg(F.min(self.value).alias(self.value))
+
+    def _read(self, deltas: list[str]) -> DataFrame:
+        parts = ([self.base.read()] if self.base.exists() else []) + ([self.spark.read.parquet(*deltas)] if deltas else [])
+        if not parts:
+            raise FileNotFoundError(f"no table at {self.root}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return self._min(out)
+
+    def read(self) -> DataFrame:
+        return self._read(self._deltas())
+
+    def add(self, df: DataFrame) -> None:
+        self._min(df.select(*self.keys, self.value)).write.parquet(f"{self.root}/deltas/{uuid.uuid4().hex}")
+
+    def compact(self) -> None:
+        deltas = self._deltas()
+        if deltas:
+            self.base.replace(self._read(deltas))
+            fs, path = self.base._fs()
+            for d in deltas:
+                fs.delete(path(d), True)

@@ -21,10 +21,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .reports import FILE_COL, ROW_COL, normalize_header
+from .reports import FILE_COL, ROW_COL, normalize_header, unique_names
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-OUT_SCHEMA = f"{FILE_COL} string, {ROW_COL} long, cells map<string,string>"
+REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+OUT_SCHEMA = f"{FILE_COL} string, {ROW_COL} long, cells map<string,string>, error string"
 # Built-in Excel number formats that display dates or times.
 BUILTIN_DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
@@ -49,6 +50,18 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return {i for i, xf in enumerate(xfs) if int(xf.get("numFmtId", 0)) in BUILTIN_DATE_FORMATS | custom}
 
 
+def _first_sheet(z: zipfile.ZipFile) -> str:
+    """Part name of the sheet that the workbook lists first."""
+    if "xl/workbook.xml" in z.namelist() and "xl/_rels/workbook.xml.rels" in z.namelist():
+        first = ET.fromstring(z.read("xl/workbook.xml")).find("m:sheets/m:sheet", NS)
+        rid = None if first is None else first.get(f"{{{REL}}}id")
+        for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")):
+            if rid is not None and r.get("Id") == rid:
+                target = r.get("Target")
+                return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+    return sorted(n for n in z.namelist() if n.startswith("xl/worksheets/sheet"))[0]
+
+
 def read_first_sheet(data: bytes) -> list[list[str | None]]:
     """Rows of the first worksheet as text (None for empty cells)."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
@@ -57,7 +70,7 @@ def read_first_sheet(data: bytes) -> list[list[str | None]]:
             for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iterfind("m:si", NS):
                 shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
         dates = _date_styles(z)
-        sheet = sorted(n for n in z.namelist() if n.startswith("xl/worksheets/sheet"))[0]
+        sheet = _first_sheet(z)
         rows = []
         for r in ET.fromstring(z.read(sheet)).iterfind("m:sheetData/m:row", NS):
             vals: dict[int, str | None] = {}
@@ -86,19 +99,29 @@ def read_first_sheet(data: bytes) -> list[list[str | None]]:
 def _parse_books(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            rows = read_first_sheet(bytes(content))
+            try:
+                rows = read_first_sheet(bytes(content))
+            except (zipfile.BadZipFile, ET.ParseError, KeyError, IndexError, ValueError, AttributeError) as e:
+                # One unreadable file is one error row; the others are read.
+                yield pd.DataFrame({FILE_COL: [path], ROW_COL: [0], "cells": [None], "error": [f"unreadable: {type(e).__name__}: {e}"]})
+                continue
             if not rows:
                 continue
-            header = [normalize_header(h or "") for h in rows[0]]
+            header = unique_names([normalize_header(h or "") for h in rows[0]])
             out = [{h: (r[i] if i < len(r) else None) for i, h in enumerate(header) if h}
                    for r in rows[1:]]
-            yield pd.DataFrame({FILE_COL: path, ROW_COL: range(1, len(out) + 1), "cells": out})
+            yield pd.DataFrame({FILE_COL: path, ROW_COL: range(1, len(out) + 1), "cells": out, "error": None})
+
 
+def scan_workbooks(spark: SparkSession, path: str | Sequence[str], glob: str = "*.[xX][lL][sS][xX]") -> DataFrame:
+    """Every workbook under ``path`` (recursive, case-insensitive ``.xlsx`` by default), or the given files.
 
-def scan_workbooks(spark: SparkSession, path: str, glob: str = "*.[xX][lL][sS][xX]") -> DataFrame:
-    """Every workbook under ``path`` (recursive, case-insensitive ``.xlsx`` by default)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob).load(path).select("path", "content"))
+    One row per sheet row; a file that cannot be read is one row with ``error``.
+    """
+    reader = spark.read.format("binaryFile")
+    if isinstance(path, str):
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    files = reader.load(path if isinstance(path, str) else list(path)).select("path", "content")
     return files.mapInPandas(_parse_books, OUT_SCHEMA)
 
 

@@ -1,10 +1,11 @@
 """Structured Streaming forms of the file-drop import and the incremental KPIs.
 
 * ``start_report_ingest`` (I1, I2): the polling loop over a drop directory
-  becomes a file-source stream; each micro-batch is conformed, de-duplicated
-  in file and appended to the log through a NULL-safe anti join. The
-  checkpoint replaces deleting imported files; replaying from a fresh
-  checkpoint adds nothing.
+  becomes a file-source stream of file names; each micro-batch reads its files
+  by header, conforms them, sends rejected rows to a quarantine table and
+  appends new rows to the log through a NULL-safe anti join. The checkpoint
+  replaces deleting imported files; replaying from a fresh checkpoint adds
+  nothing to the log.
 * ``dedup_within_watermark`` (I2): bounded-state de-duplication of a
   re-delivered stream, for keys that recur only within the watermark.
 * ``start_kpi_refresh`` (I3): late data re-computes only the affected days /
@@ -16,34 +17,19 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .. import schemas
+from .. import schemas, session
 from ..config import DEFAULT, YieldConfig
 from ..functions import columns as C
-from ..operators import ingest, packing, tpy
-from ..sources.fixtures import WORKSTATION_REPORT_HEADERS
+from ..operators import ingest, packing, station, tpy
+from ..sources import reports
 from ..sources.logstore import LogStore
 from ..sources.reports import FILE_COL, ROW_COL
-from ..sources.sinks import VersionedTable
-
-# Text schema of the exported workstation report (every cell is text).
-REPORT_SCHEMA = T.StructType([T.StructField(h, T.StringType()) for h in WORKSTATION_REPORT_HEADERS.values()]
-                             + [T.StructField("Day", T.StringType())])
-
-
-def report_stream(spark: SparkSession, drop_dir: str, schema: T.StructType = REPORT_SCHEMA,
-                  fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(drop_dir).withColumn(FILE_COL, F.input_file_name())
+from ..sources.sinks import MinTable, VersionedTable
 
 
 # NOT NULL columns of each log (rows missing one go to quarantine, Q21).
@@ -52,41 +38,95 @@ REQUIRED = {
     "testboard": ("sn", "workstation_name", C.START, C.END),
     "snfn": ("workstation_name", "sn", C.START, C.END),
 }
+QUARANTINE_SCHEMA = f"{FILE_COL} string, reason string, row string"
+
+
+def column_names(kind: str) -> list[str]:
+    return [f.name for f in schemas.LOGS[kind][0].fields if f.name not in ("id", "created_at", "data_source")]
 
 
-def ingest_batch(batch: DataFrame, log: LogStore, cfg: YieldConfig = DEFAULT, kind: str = "workstation") -> int:
-    """One micro-batch: conform -> in-file first-row-wins -> anti join against the log -> append.
+def conform_report(rows: DataFrame, kind: str, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Report rows as log rows of their kind (A4).
 
-    The micro-batch is a static DataFrame, so the in-file row ordinal is
-    assigned here (increasing in file order within each file split). Only
-    the workstation report lets a missing start time fall back to the end
-    time (B25); the other logs quarantine such rows.
+    Only the workstation report lets a missing start time fall back to the
+    end time (B25); the other logs quarantine such rows.
     """
-    schema, key = schemas.LOGS[kind]
-    if ROW_COL not in batch.columns:
-        batch = batch.withColumn(ROW_COL, F.monotonically_increasing_id())
-    conformed = ingest.conform(batch, schema, kind, cfg, start_falls_back_to_end=(kind == "workstation"))
-    good, _bad = ingest.quarantine_split(conformed, list(REQUIRED[kind]))
-    first = ingest.infile_dedup(good, list(key))
-    stamped = first.drop(FILE_COL)
-    if "created_at" in schema.fieldNames():
-        stamped = stamped.withColumn("created_at", F.current_timestamp().cast("timestamp_ntz"))
-    return log.append(stamped)
+    return ingest.conform(rows, schemas.LOGS[kind][0], kind, cfg, start_falls_back_to_end=(kind == "workstation"))
+
+
+def ingest_rows(rows: DataFrame, log: LogStore, quarantine: str, cfg: YieldConfig = DEFAULT, kind: str = "workstation",
+                now: _dt.datetime | None = None, file_atomic: bool = False) -> dict[str, int]:
+    """One batch of report rows: conform -> quarantine -> first row per key -> anti join against the log -> append.
+
+    Rejected rows are appended to the quarantine table with file, reason and
+    the row as JSON. ``file_atomic``: one bad row rejects its whole file, as
+    the row-by-row loader with its per-file rollback does. The marked rows are
+    written once and both sides read that table.
+    """
+    schema, _ = schemas.LOGS[kind]
+    spark = rows.sparkSession
+    with session.Cuts(spark) as cuts:
+        marked = cuts.cut(ingest.mark_rejected(conform_report(rows, kind, cfg), list(REQUIRED[kind])), "ingest")
+        good, bad = ingest.split_marked(marked, file_atomic=file_atomic)
+        cells = [c for c in good.columns if c not in (FILE_COL, ROW_COL)]
+        bad = cuts.cut(bad.select(FILE_COL, "reason", F.to_json(F.struct(*cells)).alias("row")), "rejected")
+        n_bad = bad.count()
+        if n_bad:
+            bad.write.mode("append").parquet(quarantine)
+        stamped = good.drop(FILE_COL)
+        if "created_at" in schema.fieldNames():
+            at = C.ts_lit(now) if now else F.current_timestamp().cast("timestamp_ntz")
+            stamped = stamped.withColumn("created_at", at)
+        n = marked.count()
+        return {"rows_read": n, "added": log.append(stamped), "quarantined": n_bad}
+
+
+def ingest_files(spark: SparkSession, files: list[str], log: LogStore, quarantine: str, cfg: YieldConfig = DEFAULT,
+                 kind: str = "workstation", now: _dt.datetime | None = None, file_atomic: bool = False) -> dict[str, int]:
+    """Report files of any kind into the log; an unreadable file is one quarantine row."""
+    rows, errors = reports.scan_files(spark, files, column_names(kind))
+    out = {"rows_read": 0, "added": 0, "quarantined": 0}
+    if errors is not None:
+        broken = errors.select(FILE_COL, "reason", F.lit(None).cast("string").alias("row"))
+        with session.Cuts(spark) as cuts:
+            broken = cuts.cut(broken, "broken")
+            out["quarantined"] = broken.count()
+            if out["quarantined"]:
+                broken.write.mode("append").parquet(quarantine)
+    if rows is not None:
+        for k, v in ingest_rows(rows, log, quarantine, cfg, kind, now, file_atomic).items():
+            out[k] += v
+    return out
+
+
+def file_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """New file names in the drop directory; the contents are read by each batch, by header."""
+    return (spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary")
+            .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .load(drop_dir).select("path"))
 
 
 def start_report_ingest(spark: SparkSession, drop_dir: str, log_path: str, checkpoint: str,
                         available_now: bool = True, processing_time: str = "10 seconds",
-                        on_batch: Callable[[int, int], None] | None = None, kind: str = "workstation",
-                        report_schema: T.StructType = REPORT_SCHEMA, fmt: str = "csv"):
-    """Start the file-drop import stream for one log kind (I1); returns the StreamingQuery."""
+                        on_batch: Callable[[int, dict[str, int]], None] | None = None, kind: str = "workstation",
+                        quarantine: str | None = None, max_files_per_trigger: int = 100, file_atomic: bool = False,
+                        now: _dt.datetime | None = None):
+    """Start the file-drop import stream for one log kind (I1); returns the StreamingQuery.
+
+    ``on_batch`` gets the batch number and its counts; rejected rows go to
+    ``quarantine`` (by default the log's folder name with ``_quarantine``).
+    """
     log = LogStore(spark, log_path, schemas.LOGS[kind][1])
+    rejected = quarantine or f"{log.path}_quarantine"
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        n = ingest_batch(batch, log, kind=kind)
+        files = [r["path"] for r in batch.collect()]  # at most max_files_per_trigger names
+        n = ingest_files(spark, files, log, rejected, kind=kind, file_atomic=file_atomic, now=now) if files else {}
         if on_batch:
             on_batch(batch_id, n)
 
-    w = (report_stream(spark, drop_dir, report_schema, fmt).writeStream.foreachBatch(fn)
+    w = (file_stream(spark, drop_dir, max_files_per_trigger).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
@@ -125,48 +165,87 @@ def _source_days(touched_days: list) -> list:
     return sorted(out)
 
 
-def refresh_kpis(batch: DataFrame, log: DataFrame, packing_table: VersionedTable,
-                 daily_table: VersionedTable, first_activity_table: VersionedTable,
-                 cfg: YieldConfig = DEFAULT) -> None:
-    """Late data (I3): recompute only the days touched by ``batch`` and upsert them.
+def touched_weeks(batch: DataFrame, before: DataFrame | None, first: DataFrame) -> list[_dt.date]:
+    """Weeks whose numbers a batch can change: those of its rows, and both weeks of a first activity that moved."""
+    weeks = batch.select(C.week_start(C.END).alias("w"))
+    new = first.select("sn", "model", F.col("first_activity_time").alias("t"))
+    if before is not None:
+        j = new.join(before, C.null_safe_key(new, before, ["sn", "model"]), "left")
+        moved = j.filter(before["first_activity_time"].isNull() | (F.col("t") < before["first_activity_time"]))
+        weeks = weeks.union(moved.select(C.week_start("t"))).union(moved.select(C.week_start(before["first_activity_time"])))
+    else:
+        weeks = weeks.union(new.select(C.week_start("t")))
+    return sorted(r["w"] for r in weeks.distinct().collect() if r["w"] is not None)  # bounded by the calendar
+
+
+def on_days(log: DataFrame, days: list[_dt.date]) -> DataFrame:
+    from ..sources.logstore import PARTITION_COL
+    day = F.col(PARTITION_COL) if PARTITION_COL in log.columns else C.to_day(C.END)
+    return log.filter(day.isin(days))
+
+
+def kpi_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root.rstrip('/')}/{name}", schemas.KPI_TABLES[name], null_keys=schemas.KPI_NULL_KEYS)
+
+
+def first_activity_table(spark: SparkSession, root: str) -> MinTable:
+    return MinTable(spark, f"{root.rstrip('/')}/first_activity", ("sn", "model"), "first_activity_time")
 
-    * The log is read only for the touched days (partition pruning on
-      ``end_date``); the touched-day list is bounded by the calendar.
+
+def refresh_kpis(batch: DataFrame, log: DataFrame, out_root: str, cfg: YieldConfig = DEFAULT,
+                 now: _dt.datetime | None = None, also_weeks: Sequence[_dt.date] = ()) -> dict[str, int]:
+    """Late data (I3): recompute what ``batch`` (rows already in ``log``) can change, and upsert it.
+
+    * The log is read only for the touched weeks (partition pruning on
+      ``end_date``); the lists of days and weeks are bounded by the calendar.
+    * Starters of a week need first activities over all history: they are kept
+      in their own table, to which a batch adds its rows (minimum at reading).
+      If a first activity moves, the week that it leaves is recomputed, too.
     * Packing re-computes a touched weekend together with its Friday, so the
       upsert never replaces a full count with a partial one (Q5).
-    * Starters need first activity over all history: it is kept as its own
-      table, min-merged with each batch, instead of rescanning the log.
     """
-    from ..sources.logstore import PARTITION_COL
-    touched = sorted(r[0] for r in batch.select(C.to_day(C.END)).distinct().collect())
-    if not touched:
-        return
-    days_log = log.filter(F.col(PARTITION_COL).isin(_source_days(touched)))
-    folded = {d - _dt.timedelta(days=max(d.weekday() - 4, 0)) for d in touched}
-    packing_table.upsert(packing.packing_daily(days_log, cfg).filter(F.col("pack_date").isin(sorted(folded))))
-
-    batch_first = tpy.first_activity(tpy.unit_day(batch, cfg))
-    if first_activity_table.exists():
-        first_activity_table.upsert(tpy.merge_first_activity(first_activity_table.read(), batch_first))
-    else:
-        first_activity_table.upsert(batch_first)
-    sbw = tpy.starters_by_week(first_activity_table.read())
-    today = log.filter(F.col(PARTITION_COL).isin(touched))
-    daily_table.upsert(tpy.tpy_daily(tpy.station_day(today, cfg), sbw))
-
-
-def start_kpi_refresh(spark: SparkSession, log_path: str, packing_path: str, daily_path: str,
-                      first_activity_path: str, checkpoint: str, available_now: bool = True):
-    """Stream over the log directory; each batch refreshes the KPI rows of its days."""
-    packing_table = VersionedTable(spark, packing_path, schemas.PACKING_DAILY_KEY)
-    daily_table = VersionedTable(spark, daily_path, schemas.TPY_DAILY_KEY)
-    fa_table = VersionedTable(spark, first_activity_path, ("sn", "model"))
+    spark = log.sparkSession
+    fa = first_activity_table(spark, out_root)
+    at = C.ts_lit(now) if now else F.current_timestamp().cast("timestamp_ntz")
+    with session.Cuts(spark) as cuts:
+        first = cuts.cut(tpy.first_activity(tpy.prod(batch, cfg)), "first")
+        weeks = sorted({*touched_weeks(batch, fa.read() if fa.exists() else None, first), *also_weeks})
+        days = sorted(r[0] for r in batch.select(C.to_day(C.END)).distinct().collect() if r[0] is not None)
+        fa.add(first)
+        if not weeks:
+            return {}
+        week_days = [w + _dt.timedelta(days=i) for w in weeks for i in range(7)]
+        part = on_days(log, week_days)
+        ud, sd = cuts.cut(tpy.unit_day(part, cfg), "unit_day"), cuts.cut(tpy.station_day(part, cfg), "station_day")
+        kept = cuts.cut(fa.read(), "first_activity")
+        starters = tpy.starters_by_week(kept).filter(F.col("week_start").isin(weeks))
+        daily = cuts.cut(tpy.tpy_daily(sd, starters), "daily")
+        folded = {d - _dt.timedelta(days=max(d.weekday() - 4, 0)) for d in week_days if d in set(days)}
+        out = {
+            "daily_tpy_metrics": kpi_table(spark, out_root, "daily_tpy_metrics").upsert(daily.withColumn("created_at", at)),
+            "daily_completions": kpi_table(spark, out_root, "daily_completions").upsert(tpy.daily_completions(ud, kept)),
+            "weekly_tpy_metrics": kpi_table(spark, out_root, "weekly_tpy_metrics").upsert(
+                tpy.tpy_weekly(ud, sd, daily, cfg).withColumn("created_at", at)),
+        }
+        if days:
+            out["station_hourly_summary"] = kpi_table(spark, out_root, "station_hourly_summary").upsert(
+                station.station_hourly(on_days(log, days)))
+            out["packing_daily_summary"] = kpi_table(spark, out_root, "packing_daily_summary").upsert(
+                packing.packing_daily(on_days(log, _source_days(days)), cfg).filter(F.col("pack_date").isin(sorted(folded))))
+    return out
+
+
+def start_kpi_refresh(spark: SparkSession, log_path: str, out_root: str, checkpoint: str, available_now: bool = True,
+                      cfg: YieldConfig = DEFAULT, now: _dt.datetime | None = None, max_files_per_trigger: int | None = None):
+    """Stream over the log directory; each batch refreshes the KPI rows that it can change."""
     log_schema = spark.read.parquet(log_path).schema
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        refresh_kpis(batch, spark.read.parquet(log_path), packing_table, daily_table, fa_table)
+        refresh_kpis(batch, spark.read.parquet(log_path), out_root, cfg, now)
 
-    w = (spark.readStream.schema(log_schema).parquet(log_path).writeStream.foreachBatch(fn)
-         .option("checkpointLocation", checkpoint))
+    reader = spark.readStream.schema(log_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    w = reader.parquet(log_path).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
