@@ -28,7 +28,13 @@ def test_counts_match_brute_force(make_docs, edge_rows):
     got = {r.doc_id: r for r in q.measure(make_docs(rows)).collect()}
     assert {i: row(got[i]) for i, _ in rows} == {i: brute(t) for i, t in rows}
     assert all(not r.kept for r in got.values() if r.base_failed)
-    assert got[0].kept and got[5 + 1].base_failed is False or got[0].kept
+    assert got[0].kept
+
+
+def test_one_repeated_line_is_no_fault(make_docs):
+    motto, other = "the motto of this small house stands here", "one line of text lies between the two of them today"
+    docs = make_docs([(1, f"{motto}\n{other}\n{motto}"), (2, "\n".join([motto] * 4 + [other]))])
+    assert {r.doc_id: r.why for r in q.judge(docs, "why", rules=q.RULES[2:]).collect()} == {1: None, 2: "repeated_lines"}
 
 
 def test_keep_agrees_with_measure_and_any_rule_order(make_docs, edge_docs):

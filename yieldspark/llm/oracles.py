@@ -55,7 +55,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
        NOT base_failed AND word_chars BETWEEN 2 * n_words AND 25 * n_words
          AND 100 * n_symbols <= 5 * word_chars AND regexp_matches(t, '\p{{L}}')
-         AND 100 * (length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), '')))
-             <= 30 * length(array_to_string(ls, '')) AS kept
+         AND (n_dup_lines < 2 OR 100 * (length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), '')))
+             <= 30 * length(array_to_string(ls, ''))) AS kept
 FROM b""",
 }

@@ -121,7 +121,7 @@ class Rule:
 MIN_WORDS, MAX_REPEAT_PCT = 10, 20
 BASE_RULES = ("few_words", "repeated_windows")
 #: Method's own rules: mean word length, symbols per 100 characters of words, characters in repeated lines
-#: per 100 characters of lines.
+#: per 100 characters of lines (one repeated line, such as a motto at both ends of a short text, is no fault).
 MEAN_WORD, MAX_SYMBOL_PCT, MAX_DUP_LINE_PCT = (2, 25), 5, 30
 
 
@@ -130,7 +130,7 @@ def _dup_lines(f: Features) -> Column:
         return F.length(F.array_join(x, ""))
 
     return let(lines_with_word(f.text), lambda x: let(F.array_distinct(x), lambda u: (
-        (F.size(u) < F.size(x)) & (100 * (chars(x) - chars(u)) > MAX_DUP_LINE_PCT * chars(x)))))
+        (F.size(x) - F.size(u) > 1) & (100 * (chars(x) - chars(u)) > MAX_DUP_LINE_PCT * chars(x)))))
 
 
 RULES = (
