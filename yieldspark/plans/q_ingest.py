@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import schemas
 from ..functions import columns as C
 from ..operators import dedup, ingest, packing
@@ -86,6 +88,47 @@ def q_ingest_quarantine(spark, sf_dir):
     return bad
 
 
+@register("quarantine_file_scope", with_views("wl_conf_raw", """
+t AS (SELECT *, CASE WHEN sn IS NULL THEN 'null sn' WHEN workstation_name IS NULL THEN 'null workstation_name'
+               WHEN history_station_start_time IS NULL THEN 'null history_station_start_time'
+               WHEN history_station_end_time IS NULL THEN 'null history_station_end_time' END AS why FROM wl_conf_raw)
+SELECT * EXCLUDE (why), coalesce(why, 'file rejected') AS reason FROM t
+WHERE source_file IN (SELECT source_file FROM t WHERE why IS NOT NULL)"""))
+def q_quarantine_file_scope(spark, sf_dir):
+    # One bad row rejects its file: what a loader with a rollback per file keeps out.
+    return ingest.quarantine_split(_conformed(spark, sf_dir, fallback=False),
+                                   ["sn", "workstation_name", C.START, C.END], file_atomic=True)[1]
+
+
+def _log_as_report(view: str, kind: str, schema) -> str:
+    names = ", ".join(f.name for f in schema.fields if f.name not in ("id", "created_at", "data_source"))
+    return with_views(view, f"""
+SELECT {names}, '{kind}' AS data_source, '{kind}_' || concat(CAST(isoyear(history_station_end_time) AS VARCHAR), '-W',
+  lpad(CAST(week(history_station_end_time) AS VARCHAR), 2, '0')) || '.csv' AS source_file, id AS row_ordinal FROM {view}""")
+
+
+@register("ingest_conform_testboard", _log_as_report("tb", "testboard", schemas.TESTBOARD_LOG))
+def q_ingest_conform_testboard(spark, sf_dir):
+    return ingest.conform(fx.testboard_report(spark, sf_dir), schemas.TESTBOARD_LOG, "testboard")
+
+
+@register("ingest_conform_snfn", _log_as_report("sf", "snfn", schemas.SNFN_LOG))
+def q_ingest_conform_snfn(spark, sf_dir):
+    return ingest.conform(fx.snfn_report(spark, sf_dir), schemas.SNFN_LOG, "snfn")
+
+
+@register("parse_time_shapes", with_views("wl", """
+SELECT id, CASE id % 4 WHEN 0 THEN date_trunc('second', history_station_end_time)
+  WHEN 1 THEN date_trunc('minute', history_station_end_time) WHEN 2 THEN date_trunc('second', history_station_end_time)
+  ELSE history_station_end_time END AS parsed FROM wl"""))
+def q_parse_time_shapes(spark, sf_dir):
+    # The end time written with AM/PM, month first, year first with slashes, and ISO.
+    end, k = F.col(C.END), F.col("id") % 4
+    text = (F.when(k == 0, F.date_format(end, "M/d/yyyy h:mm:ss a")).when(k == 1, F.date_format(end, "M/d/yyyy HH:mm"))
+            .when(k == 2, F.date_format(end, "yyyy/MM/dd HH:mm:ss")).otherwise(F.date_format(end, fx.TS_TEXT)))
+    return fx.workstation_log(spark, sf_dir).select("id", C.parse_ts(text).alias("parsed"))
+
+
 @register("ingest_new_rows", with_views("wl_old wl_new", f"""
 SELECT * FROM wl_new n WHERE NOT EXISTS (SELECT 1 FROM wl_old o WHERE {_nse('o', 'n', KEY)})"""))
 def q_ingest_new_rows(spark, sf_dir):

@@ -187,3 +187,23 @@ def workstation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(*cells, day.alias("Day"),
                       F.concat(F.lit("workstation_"), iso_week_label(end), F.lit(".csv")).alias("source_file"),
                       F.col("id").alias("row_ordinal"))
+
+
+def _text_report(log: DataFrame, schema, kind: str) -> DataFrame:
+    """A log rendered as an exported report: text cells under human headers, one file per ISO week."""
+    from ..functions.columns import iso_week_label
+    names = [f.name for f in schema.fields if f.name not in ("id", "created_at", "data_source")]
+    cells = [F.coalesce(F.date_format(n, TS_TEXT) if n.endswith("_time") else F.concat(F.lit(" "), n), F.lit("")).alias(
+        n.replace("_", " ").title()) for n in names]
+    return log.select(*cells, F.concat(F.lit(f"{kind}_"), iso_week_label("history_station_end_time"), F.lit(".csv")).alias(
+        "source_file"), F.col("id").alias("row_ordinal"))
+
+
+def testboard_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .. import schemas
+    return _text_report(testboard_log(spark, sf_dir), schemas.TESTBOARD_LOG, "testboard")
+
+
+def snfn_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .. import schemas
+    return _text_report(snfn_log(spark, sf_dir), schemas.SNFN_LOG, "snfn")
