@@ -191,12 +191,6 @@ def weekly_station_yield(sd: DataFrame) -> DataFrame:
             .withColumn("week_id", C.iso_week_label("week_start")))
 
 
-def _week_model_spine(wsy: DataFrame, cfg: YieldConfig) -> DataFrame:
-    """Every (week, tracked model), including models without rows that week (no join needed)."""
-    models = F.array(*[F.lit(m) for m in cfg.tracked_models])
-    return wsy.select("week_start").distinct().select("week_start", F.explode(models).alias("model"))
-
-
 def _fixed_order(cfg: YieldConfig) -> Column:
     pairs = []
     for model, stations in cfg.fixed_tpy_stations.items():
@@ -214,25 +208,27 @@ def _stations_json(entries: Column) -> Column:
 def tpy_per_model(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
     """Fixed-list and dynamic TPY per (week, tracked model) from ONE aggregate.
 
-    Each (week, model) collects its station yields once (one entry per
-    station, a list bounded by the station catalogue); the fixed formula
+    Each week collects its station yields once (one entry per model and
+    station, a list bounded by the station catalogue) and is spread over the
+    tracked models, so a model without rows needs no join; the fixed formula
     takes the configured stations in formula order, the dynamic one takes
     all stations in the source report's order (visits descending, then
     name). A model without rows gets 100.00 over 0 stations (dynamic) and
     NULL (fixed); the fixed TPY is NULL unless every formula station is there.
     """
     per_model = wsy.filter(F.col("level") == 0).withColumn("ord", _fixed_order(cfg))
-    entry = F.struct((-F.col("total_parts")).alias("k"), "workstation_name", "throughput_yield", "ord")
-    found = per_model.groupBy("week_start", "model").agg(F.collect_list(entry).alias("e"))
+    entry = F.struct((-F.col("total_parts")).alias("k"), "workstation_name", "throughput_yield", "ord", "model")
+    weeks = per_model.groupBy("week_start").agg(F.collect_list(entry).alias("all")).select(
+        "week_start", "all", F.explode(F.array(*[F.lit(m) for m in cfg.tracked_models])).alias("model"))
+    found = weeks.withColumn("e", F.filter("all", lambda x: x["model"] == F.col("model")))
     need = F.create_map(*[x for m, st in cfg.fixed_tpy_stations.items() for x in (F.lit(m), F.lit(len(st)))])
-    empty = F.array().cast(found.schema["e"].dataType)
-    e = F.coalesce(F.col("e"), empty)
+    e = F.col("e")
     dyn = F.array_sort(e)
     fixed = F.array_sort(F.transform(F.filter(e, lambda x: x["ord"].isNotNull()),
                                      lambda x: F.struct(x["ord"].alias("ord"), x["workstation_name"].alias(
                                          "workstation_name"), x["throughput_yield"].alias("throughput_yield"))))
     yields = lambda a: F.transform(a, lambda x: x["throughput_yield"])
-    return (_week_model_spine(wsy, cfg).join(found, ["week_start", "model"], "left")
+    return (found
             .select(C.iso_week_label("week_start").alias("week_id"), "week_start", "model",
                     F.size(fixed).cast("long").alias("stations_found"),
                     F.when(F.size(fixed) == F.element_at(need, F.col("model")),
