@@ -9,7 +9,7 @@ from .common import cut
 
 
 def _signature(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+    r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
     return tuple(r)
 
 

@@ -165,7 +165,7 @@ def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     if n == 0:
         return [Estimate(r.name, 0.0, 0.0) for r in rules]
     sample = cut(docs.select(F.col(text).alias("t")).sample(fraction=min(1.0, sample_docs / n), seed=seed)
-                 .coalesce(1), "quality-sample")
+                 .repartition(1), "quality-sample")  # the few sampled rows move, the scan stays spread
     base = sample.select(text_or_empty("t").alias("t")).withColumn("w", words(F.col("t")))
 
     def timed(test: Column) -> tuple[float, float]:
