@@ -8,9 +8,10 @@ conversation of any length is many bounded rows, never one. If a part has more
 than ``MAX_ROWS`` rows (many texts under the same turn numbers), it is dealt
 into sub-parts by hash of speaker and text.
 
-Plan: one aggregate that drops repeated rows, one that gathers a part's turns
-(bounded), and a join of parts with participants by conversation, whose hot
-keys Spark may split. Only DataFrame functions.
+Plan: a count of different rows per part (by hash, no texts move), one
+aggregate that gathers a part's different turns (bounded; repeated rows are
+dropped before the shuffle), and a join of parts with participants by
+conversation, whose hot keys Spark may split. Only DataFrame functions.
 
 Defined cases: equal rows (conversation, turn, speaker, text) count once; rows
 of the same turn are ordered by speaker, then text; a NULL turn comes before
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import let, running_sums
 
+#: Turn numbers per part (a power of two), rows from which a part is dealt out.
 TURNS, MAX_ROWS = 256, 4096
 SYSTEM = ("system",)
 
@@ -38,14 +40,15 @@ def parts(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     d = turns.select(
         F.col(conv_id).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
         F.regexp_replace(F.coalesce(F.col(role).cast("string"), F.lit("unknown")), r"[\r\n]", "_").alias("speaker"),
-        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text")).distinct()
-    d = d.withColumn("part", F.floor(F.col("turn") / TURNS).cast("long"))
-    crowded = (d.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_ROWS)
+        F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
+    d = d.withColumn("part", F.shiftright("turn", TURNS.bit_length() - 1).cast("long"))
+    different = d.select("conv_id", "part", F.xxhash64("turn", "speaker", "text").alias("h")).distinct()
+    crowded = (different.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_ROWS)
                .select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("n") / (MAX_ROWS // 4)).alias("n")))
     d = d.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p")), "left")
     d = d.withColumn("sub", F.coalesce(F.pmod(F.xxhash64("speaker", "text"), F.col("n")), F.lit(0)).cast("int"))
     return d.groupBy("conv_id", "part", "sub").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
+        F.sort_array(F.collect_set(F.struct("turn", "speaker", "text"))).alias("turns"))
 
 
 def participants(turns: DataFrame, conv_id: str = "conv_id", role: str = "role",
