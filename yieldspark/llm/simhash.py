@@ -228,7 +228,9 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     first = d.groupBy("fp").agg(F.min("doc_id").alias("first"))
     named = classes(d, bits).join(first, "fp")
     name = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return d.join(named.join(name, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    # Written first: Spark splits the skewed side of a join (a hot fingerprint) only if both sides come straight from a shuffle.
+    by_fp = cut(named.join(name, "root").select("fp", "component_id"), "components")
+    return d.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
