@@ -62,6 +62,17 @@ def test_heap_and_list_merges_agree():
         assert e.merge(s) == e._merge_long(list(s))
 
 
+def test_many_segments_at_once_agree_with_one_by_one():
+    e = q.Encoder(q.Model(open(PATH, "rb").read()))
+    rnd = random.Random(7)
+    segs = ["▁" + "".join(rnd.choice("theingaé日\n😀ouxsr") for _ in range(rnd.randint(0, 30))) for _ in range(2000)]
+    sym, n = e.pairs.merge(segs)
+    edge = np.concatenate([[0], np.cumsum(n)])
+    for s, lo, hi in zip(segs, edge, edge[1:]):
+        want = [e.pairs.symbol.get(p, -1 - ord(p) if len(p) == 1 else None) for p in e.merge(s)]
+        assert sym[lo:hi].tolist() == want, s
+
+
 def test_query_matches_the_library(make_docs, edge_rows):
     lib = sp.SentencePieceProcessor(model_file=PATH)
     rows = [(i, t) for i, (_, t) in enumerate(edge_rows)]

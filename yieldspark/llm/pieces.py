@@ -44,7 +44,7 @@ from .decontam import slices
 
 MARK = "▁".encode()
 _REPLACEMENT = "�".encode()
-SLICE_BYTES, CACHE_SEGMENTS, HEAP_FROM = 1 << 20, 400_000, 48
+SLICE_BYTES, CACHE_SEGMENTS, HEAP_FROM = 2 << 20, 600_000, 48
 
 
 class CharMap:
@@ -178,6 +178,87 @@ class Model:
         self.splits = not any(mark in p.lstrip(mark) for p in self.ids)
 
 
+class Pairs:
+    """Which two adjacent symbols make which piece, for merging many segments at once.
+
+    Symbols are piece ids, then numbers for characters that only occur inside pieces; any other character is negative.
+    """
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, model: Model):
+        self.symbol = dict(model.ids)
+        n = len(model.out)
+        for c in sorted({c for p in model.ids for c in p} - set(model.ids)):
+            self.symbol[c] = n
+            n += 1
+        self.n = n
+        order = {s: r for r, s in enumerate(sorted(set(model.score.values()), reverse=True))}
+        get = self.symbol.get
+        rows = []
+        for p, i in model.ids.items():
+            for k in range(1, len(p)):
+                left, right = get(p[:k]), get(p[k:])
+                if left is not None and right is not None:
+                    rows.append((left * n + right, i, order[model.score[p]]))
+        rows.sort()
+        self.key, self.piece, self.rank = (np.array(c, dtype=t) for c, t in zip(
+            zip(*rows) if rows else ((), (), ()), (np.int64, np.int32, np.int32)))
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, piece) of each pair; rank NONE for no piece."""
+        key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.n + right)
+        at = np.searchsorted(self.key, key)
+        at[at == len(self.key)] = 0
+        known = self.key[at] == key if len(self.key) else np.zeros(len(key), dtype=bool)
+        return np.where(known, self.rank[at], self.NONE), np.where(known, self.piece[at], -1)
+
+    def merge(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols of all segments in order, symbols per segment): in rounds, each merges a segment's first best pair."""
+        size = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        code, at = np.unique(np.frombuffer("".join(segments).encode("utf-32-le"), dtype="<u4"), return_inverse=True)
+        sym = np.array([self.symbol.get(chr(c), -1 - int(c)) for c in code], dtype=np.int64)[at]
+        seg = np.repeat(np.arange(len(size)), size)
+        rank, piece = np.full(len(sym), self.NONE, dtype=np.int32), np.full(len(sym), -1, dtype=np.int32)
+
+        def renew(i: np.ndarray) -> None:
+            i = i[(i >= 0) & (i < len(sym) - 1)]
+            same = seg[i] == seg[i + 1]
+            rank[i[~same]] = self.NONE
+            i = i[same]
+            rank[i], piece[i] = self.look_up(sym[i], sym[i + 1])
+
+        renew(np.arange(len(sym)))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(sym):
+            first = np.nonzero(np.diff(seg, prepend=-1))[0]
+            n = np.diff(np.append(first, len(seg)))
+            best = np.repeat(np.minimum.reduceat(rank, first), n)
+            over = best == self.NONE
+            if over.any():
+                done.append((seg[over], sym[over]))
+                go = ~over
+                seg, sym, rank, piece, best = seg[go], sym[go], rank[go], piece[go], best[go]
+                if not len(sym):
+                    break
+            hit = np.nonzero(rank == best)[0]
+            hit = hit[np.diff(seg[hit], prepend=-1) != 0]
+            sym[hit] = piece[hit]
+            stay = np.ones(len(sym), dtype=bool)
+            stay[hit + 1] = False
+            seg, sym, rank, piece = seg[stay], sym[stay], rank[stay], piece[stay]
+            hit = hit - np.arange(len(hit))
+            rank[hit[hit == len(sym) - 1]] = self.NONE
+            renew(hit)
+            before = hit - 1
+            renew(before[(before >= 0)])
+        if not done:
+            return sym, size
+        segs, syms = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(segs, kind="stable")
+        return syms[order], np.bincount(segs, minlength=len(size))
+
+
 class Encoder:
     def __init__(self, model: Model):
         self.model, self.normalizer = model, Normalizer(model.rules)
@@ -185,11 +266,43 @@ class Encoder:
         self.byte_of = np.full(len(model.out), -1, dtype=np.int64)
         if model.byte_fallback:
             self.byte_of[model.byte_ids] = np.arange(256)
+        self.pairs = Pairs(model)
+        self.slots: dict = {}
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict = {}
+        """Empty the cache but for segments that were asked for again since they came in."""
+        old = [k for k, s in self.slots.items() if self.again[s]] if self.slots else []
+        keep = old if len(old) <= CACHE_SEGMENTS // 2 else []
+        parts = [self.flat[self.starts[self.slots[k]]:self.starts[self.slots[k] + 1]] for k in keep]
+        self.slots = {k: i for i, k in enumerate(keep)}
         self.flat, self.starts = array("i"), array("q", [0])
+        for p in parts:
+            self.flat.extend(p)
+            self.starts.append(len(self.flat))
+        self.again = np.zeros(len(keep), dtype=bool)
+
+    def learn(self, keys: list) -> None:
+        """Put the ids of new segments into the cache."""
+        text = [k[0].decode() if isinstance(k, tuple) else (MARK + k).decode() for k in keys]
+        short = [i for i, s in enumerate(text) if len(s) < HEAP_FROM]
+        ready: dict[int, list[int]] = {}
+        if short:
+            sym, n = self.pairs.merge([text[i] for i in short])
+            byte_ids = np.array(self.model.byte_ids)
+            if self.model.byte_fallback:  # a character that is no piece, of one byte
+                plain = (sym < 0) & (sym >= -128)
+                sym[plain] = byte_ids[-1 - sym[plain]]
+            odd = (sym < 0) | (sym >= len(self.model.out))
+            edge = np.concatenate([[0], np.cumsum(n)])
+            rest = set(np.repeat(np.arange(len(n)), n)[odd].tolist())
+            flat = sym.tolist()
+            edge = edge.tolist()
+            ready = {i: flat[edge[j]:edge[j + 1]] for j, i in enumerate(short) if j not in rest}
+        for i, k in enumerate(keys):
+            self.flat.extend(ready[i] if i in ready else self.segment_ids(text[i]))
+            self.slots[k] = len(self.starts) - 1
+            self.starts.append(len(self.flat))
 
     def merge(self, s: str) -> list[str]:
         """Pieces of one segment."""
@@ -286,12 +399,12 @@ class Encoder:
             k = self.keys(norm)
             keys += k
             counts.append(len(k))
-        for k in set(keys).difference(slots):
-            s = k[0].decode() if isinstance(k, tuple) else (MARK + k).decode()
-            self.flat.extend(self.segment_ids(s))
-            slots[k] = len(self.starts) - 1
-            self.starts.append(len(self.flat))
+        known = len(slots)
+        if new := list(set(keys).difference(slots)):
+            self.learn(new)
+            self.again = np.concatenate([self.again, np.zeros(len(slots) - len(self.again), dtype=bool)])
         slot = np.fromiter(map(slots.__getitem__, keys), dtype=np.int64, count=len(keys))
+        self.again[slot[slot < known]] = True
         # Copies, so that the arrays can grow again.
         starts, flat = np.array(self.starts), np.array(self.flat, dtype=np.int32)
         size = starts[slot + 1] - starts[slot]
