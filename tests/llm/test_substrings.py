@@ -63,7 +63,7 @@ def test_small_shards_and_pieces_change_nothing(make_docs, monkeypatch):
     batch = [(t or "").encode() for _, t in r]
     whole = []
     for data, _, _, starts, ends in q._pieces(batch, 200):
-        seg, first, n, _ = q.contexts(data, starts, ends)
+        seg, first, n, _, _ = q.contexts(data, starts, ends)
         whole += [data[f + k:f + k + 200] for f, m in zip(first.tolist(), n.tolist()) for k in range(m)]
     want = Counter(b[i:i + 200] for b in batch for i in range(len(b) - 199))
     assert Counter(whole) == want
@@ -76,7 +76,7 @@ def test_equal_windows_have_equal_anchors():
     b = core + bytes(rnd.choice(b"abcd") for _ in range(300))
     at = []
     for data, offset in ((a, 500), (b, 0)):
-        _, first, n, anchor = q.contexts(data, np.array([0]), np.array([len(data)]))
+        _, first, n, _, anchor = q.contexts(data, np.array([0]), np.array([len(data)]))
         by = {f + k: h for f, m, h in zip(first.tolist(), n.tolist(), anchor.tolist()) for k in range(m)}
         at.append([by[offset + k] for k in range(61)])
     assert at[0] == at[1]

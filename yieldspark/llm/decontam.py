@@ -81,29 +81,35 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
     for j in range(k):
         key <<= bits
         key[:max(n - j, 0)] |= seq[j:]
-    order = np.argsort(key)
-    sa = order
-    key = key[order]
-    head = np.ones(n, dtype=bool)
-    head[1:] = key[1:] != key[:-1]
-    rank = np.empty(n, dtype=np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    while True:
-        # Slots of groups with more than one suffix; all others are at their final place.
-        open_ = np.nonzero(~(head & np.append(head[1:], True)))[0]
-        if not len(open_):
-            return sa
-        at = sa[open_]
-        nxt = np.where(at + k < n, rank[np.minimum(at + k, n - 1)], -1)
-        key = rank[at] * (n + 1) + nxt + 1
+    sa = np.argsort(key)
+    key = key[sa]
+    head = np.ones(n + 1, dtype=bool)
+    np.not_equal(key[1:], key[:-1], out=head[1:n])
+    slot = np.arange(n)
+    group = np.maximum.accumulate(np.where(head[:n], slot, 0))
+    rank = np.zeros(2 * n + k, dtype=np.int64)  # one more than the first slot of a suffix's group; 0 beyond the end
+    rank[sa] = group + 1
+    # Slots of groups with more than one suffix; all others are at their final place.
+    rest = ~(head[:n] & head[1:])
+    slot, group = slot[rest], group[rest]
+    width = (n + 1).bit_length()
+    ranks = max(2, 63 // width)  # ranks of following suffixes that fit into one key: each round sees so many times further
+    while len(slot):
+        at = sa[slot]
+        key = group
+        for j in range(1, ranks):
+            key = key << width | rank[np.minimum(at + j * k, 2 * n)]
         order = np.argsort(key)
         at, key = at[order], key[order]
-        sa[open_] = at
-        new = np.ones(len(at), dtype=bool)
-        new[1:] = key[1:] != key[:-1]
-        head[open_] |= new
-        rank[at] = open_[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-        k *= 2
+        sa[slot] = at
+        head = np.ones(len(slot) + 1, dtype=bool)
+        np.not_equal(key[1:], key[:-1], out=head[1:-1])
+        group = slot[np.maximum.accumulate(np.where(head[:-1], np.arange(len(slot)), 0))]
+        rank[at] = group + 1
+        rest = ~(head[:-1] & head[1:])
+        slot, group = slot[rest], group[rest]
+        k *= ranks
+    return sa
 
 
 class Bits:

@@ -34,6 +34,7 @@ empty result; other columns are passed through by ``remove``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,13 +77,13 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(segment, first window, windows, anchor hash) of each context of the segments of ``data``.
+    """(segment, first window, windows, anchor's place in the context, anchor hash) of each context of the segments.
 
     Positions are of ``data``; it must be shorter than 2**24 bytes.
     """
     none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
-        return none, none, none, none
+        return none, none, none, none, none
     b = np.frombuffer(data, dtype=np.uint8)
     h = gram_hashes(b, gram)
     key = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
@@ -95,7 +96,7 @@ def contexts(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int = LE
     at = np.nonzero(first)[0]
     size = np.add.reduceat(inside.astype(np.int64), at)
     at, size = at[size > 0], size[size > 0]
-    return seg[at], at, size, h[anchor[at]].view(np.int64)
+    return seg[at], at, size, anchor[at] - at, h[anchor[at]].view(np.int64)
 
 
 def _pieces(texts: list[bytes | None], length: int) -> Iterator[tuple[bytes, list[int], list[int], np.ndarray, np.ndarray]]:
@@ -125,9 +126,12 @@ def _pieces(texts: list[bytes | None], length: int) -> Iterator[tuple[bytes, lis
 
 
 def anchors(docs: DataFrame, text: str, keys: list[str], length: int = LENGTH) -> DataFrame:
-    """keys, start, n, anchor, context: a row per context of every text (context: hash of its bytes)."""
+    """keys, start, shape, anchor, context: a row per context of every text (context: hash of its bytes).
+
+    shape: the number of windows times ``length`` plus the anchor's place in the context.
+    """
     out = T.StructType([docs.schema[k] for k in keys] + [T.StructField("start", T.LongType()), T.StructField(
-        "n", T.IntegerType()), T.StructField("anchor", T.LongType()), T.StructField("context", T.LongType())])
+        "shape", T.IntegerType()), T.StructField("anchor", T.LongType()), T.StructField("context", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,7 +139,7 @@ def anchors(docs: DataFrame, text: str, keys: list[str], length: int = LENGTH) -
             for b in slices(batch, batch.column(at), SLICE_BYTES):
                 texts = b.column(at).cast(pa.binary()).to_pylist()
                 for data, rows, bases, starts, ends in _pieces(texts, length):
-                    seg, first, n, anchor = contexts(data, starts, ends, length)
+                    seg, first, n, place, anchor = contexts(data, starts, ends, length)
                     if not len(seg):
                         continue
                     row, base = np.array(rows)[seg], np.array(bases)[seg]
@@ -145,7 +149,8 @@ def anchors(docs: DataFrame, text: str, keys: list[str], length: int = LENGTH) -
                     take = pa.array(row)
                     yield pa.RecordBatch.from_arrays([
                         *(b.column(b.schema.get_field_index(k)).take(take) for k in keys),
-                        pa.array(first - starts[seg] + base), pa.array(n.astype(np.int32)), pa.array(anchor), pa.array(ctx)],
+                        pa.array(first - starts[seg] + base), pa.array((n * length + place).astype(np.int32)),
+                        pa.array(anchor), pa.array(ctx)],
                         names=out.names)
 
     return docs.select(*keys, text).mapInArrow(run, out)
@@ -160,14 +165,19 @@ def common_prefix_classes(seq: np.ndarray, length: int) -> tuple[np.ndarray, np.
     """
     sa = suffix_array(seq)
     n, top = len(seq), int(seq.max())
-    wavelet = Wavelet(seq[sa - 1].astype(np.int64), top)
+    before = seq[sa - 1]
+    wavelet = Wavelet(before.astype(np.int64), top)
     less = np.concatenate([[0], np.cumsum(np.bincount(seq, minlength=top + 1))])
+    # Where a string occurs once, its only extension is one step back in the text.
+    back = np.empty(n, dtype=np.int64)
+    back[np.argsort(before.astype(np.uint16) if top < 1 << 16 else before, kind="stable")] = np.arange(n)
     parted = np.zeros(n + 1, dtype=bool)
     parted[0] = True
-    lo, hi = np.array([0]), np.array([n])
+    lo, hi, single = np.array([0]), np.array([n]), np.zeros(0, dtype=np.int64)
     for _ in range(length):
-        if not len(lo):
+        if not len(lo) and not len(single):
             break
+        single = back[single]
         c = np.zeros(len(lo), dtype=np.int64)
         for shift, bits, zeros in wavelet.levels:
             a, b = bits.rank(lo), bits.rank(hi)
@@ -175,12 +185,15 @@ def common_prefix_classes(seq: np.ndarray, length: int) -> tuple[np.ndarray, np.
             c = np.concatenate([c[some0], c[some1] | (1 << shift)])
             lo, hi = (np.concatenate([(lo - a)[some0], zeros + a[some1]]),
                       np.concatenate([(hi - b)[some0], zeros + b[some1]]))
-        shift_to = less[c] - wavelet.start[c]
-        lo, hi = lo + shift_to, hi + shift_to
-        new = ~parted[hi]
-        # One interval per end: equal ends cannot come from different strings of one round.
+        to = less[c] - wavelet.start[c]
+        lo, hi = lo + to, hi + to
+        # An end that is parted already belongs to a shorter string; strings of one round have different ends.
+        new, new_single = ~parted[hi], single[~parted[single + 1]]
         lo, hi = lo[new], hi[new]
-        parted[hi] = True
+        parted[hi] = parted[new_single + 1] = True
+        one = hi - lo == 1
+        single = np.concatenate([new_single, lo[one]])
+        lo, hi = lo[~one], hi[~one]
     return sa, np.cumsum(parted[:n]) - 1
 
 
@@ -189,8 +202,8 @@ def repeated_runs(texts: list[bytes], n: list[int], weight: list[int], length: i
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     data = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
     start = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    used, code = np.unique(data, return_inverse=True)
-    seq = code.astype(np.int32) + 2
+    used = np.bincount(data, minlength=256) > 0
+    seq = (np.cumsum(used) + 1).astype(np.int32)[data]
     seq[start + sizes] = 1                      # after each context
     seq = np.append(seq, 0)
     sa, group = common_prefix_classes(seq, length)
@@ -210,10 +223,27 @@ def repeated_runs(texts: list[bytes], n: list[int], weight: list[int], length: i
     return out
 
 
+def with_partner(rows: list[tuple], length: int = LENGTH, gram: int = GRAM) -> list[tuple]:
+    """The contexts of one anchor that can hold a repeat.
+
+    A window has ``length`` - ``gram`` bytes besides the anchor, so half of them stand on one side of it: a repeat with
+    another context needs equal flanks of that size on the left or on the right.
+    """
+    if len(rows) == 1:
+        return rows if rows[0][3] > 1 else []
+    side = (length - gram + 1) // 2
+    lefts = [r[4][r[5] - side:r[5]] if r[5] >= side else None for r in rows]
+    rights = [r[4][r[5] + gram:r[5] + gram + side] if r[5] + gram + side <= len(r[4]) else None for r in rows]
+    n_left, n_right = Counter(lefts), Counter(rights)
+    return [r for r, a, b in zip(rows, lefts, rights) if r[3] > 1 or (
+        a is not None and n_left[a] > 1) or (b is not None and n_right[b] > 1)]
+
+
 def decide(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """anchor, context, runs of ``ctx`` (anchor, context, n, weight, bytes; each context once)."""
+    """anchor, context, runs of ``ctx`` (anchor, context, n, weight, bytes, place; each context once)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        rows: list[tuple] = []   # of the shard
+        same: list[tuple] = []   # of the anchor that is being read
         size = 0
 
         def done() -> pa.RecordBatch:
@@ -225,16 +255,21 @@ def decide(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES)
                 names=["anchor", "context", "runs"])
 
         for b in batches:
-            for r in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if size >= shard_bytes and r[0] != rows[-1][0]:  # the contexts of an anchor stay together
-                    yield done()
-                    rows, size = [], 0
-                rows.append(r)
-                size += len(r[4])
+            for r in zip(*(b.column(i).to_pylist() for i in range(6))):
+                if same and r[0] != same[0][0]:  # the contexts of an anchor stay together
+                    keep = with_partner(same, length)
+                    rows += keep
+                    size += sum(len(x[4]) for x in keep)
+                    same = []
+                    if size >= shard_bytes:
+                        yield done()
+                        rows, size = [], 0
+                same.append(r)
+        rows += with_partner(same, length) if same else []
         if rows:
             yield done()
 
-    return (ctx.select("anchor", "context", "n", "weight", "bytes").repartition("anchor").sortWithinPartitions("anchor")
+    return (ctx.select("anchor", "context", "n", "weight", "bytes", "place").repartition("anchor").sortWithinPartitions("anchor")
             .mapInArrow(run, f"anchor long, context long, runs {RUNS}"))
 
 
@@ -260,22 +295,28 @@ def decide_hot(ctx: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _read_contexts(rich: DataFrame, length: int) -> DataFrame:
-    """anchor, context, n, weight, hot, bytes from texts with the list of contexts to read (``want``)."""
+    """anchor, context, n, weight, hot, bytes, place from texts with the list of contexts to read (``want``)."""
+    names = ["anchor", "context", "weight", "hot", "start", "shape"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, batch.column(0), 4 * SLICE_BYTES):
-                rows = []
-                for t, want in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist()):
-                    for x in want:
-                        rows.append((x["anchor"], x["context"], x["n"], x["weight"], x["hot"],
-                                     t[x["start"]:x["start"] + x["n"] + length - 1]))
-                if rows:
-                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[
-                        "anchor", "context", "n", "weight", "hot", "bytes"])
-
-    return rich.select("text", "want").mapInArrow(
-        run, "anchor long, context long, n int, weight long, hot boolean, bytes binary")
+                texts, lists = b.column(0).cast(pa.binary()).to_pylist(), b.column(1)
+                row = np.repeat(np.arange(len(texts)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                want = lists.flatten()
+                anchor, context, weight, hot, start, shape = (want.field(i) for i in range(len(names)))
+                n, place = np.divmod(shape.to_numpy(zero_copy_only=False), length)
+                data = [texts[i][s:s + m + length - 1] for i, s, m in zip(
+                    row.tolist(), start.to_numpy(zero_copy_only=False).tolist(), n.tolist())]
+                if data:
+                    yield pa.RecordBatch.from_arrays(
+                        [anchor, context, pa.array(n.astype(np.int32)), weight, hot, pa.array(data, pa.binary()),
+                         pa.array(place.astype(np.int32))],
+                        names=["anchor", "context", "n", "weight", "hot", "bytes", "place"])
+
+    want = F.transform("want", lambda x: F.struct(*[x[c].alias(c) for c in names]))
+    return rich.select("text", want.alias("want")).mapInArrow(
+        run, "anchor long, context long, n int, weight long, hot boolean, bytes binary, place int")
 
 
 def keyed(docs: DataFrame, k1: str, k2: str, doc_id: str, text: str) -> DataFrame:
@@ -290,15 +331,17 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     """
     d = keyed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "k1", "k2", "id", "text")
     a = cut(anchors(d, "text", ["k1", "k2"], length), "anchors")
-    often = a.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c >= 2").select("anchor")
-    a = cut(a.join(often, "anchor"), "candidates")
+    # Written first: Spark splits the skewed side of a join (a hot anchor) only if both sides come straight from a shuffle.
+    often = cut(a.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c >= 2").select("anchor"), "repeated-anchors")
+    a = cut(a.join(often.hint("shuffle_hash"), "anchor"), "candidates")
     # Equal contexts are one row with a weight; any of their places will do to read the bytes.
     c = a.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("weight"), *[F.first(x).alias(x) for x in (
-        "k1", "k2", "start", "n")])
+        "k1", "k2", "start", "shape")])
     c = cut(c, "contexts")
-    crowd = c.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot).select("anchor", F.lit(True).alias("hot"))
+    crowd = c.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
+    crowd = cut(crowd.select("anchor", F.lit(True).alias("hot")), "hot-anchors")
     c = c.join(crowd, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    want = c.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "context", "n", "weight", "hot", "start")).alias("want"))
+    want = c.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "context", "weight", "hot", "start", "shape")).alias("want"))
     # Texts that hold a candidate, once each, with what to read from them (none for most).
     holds = a.select("k1", "k2").distinct().join(want, ["k1", "k2"], "left")
     texts = d.where(F.octet_length("text") >= length).groupBy("k1", "k2").agg(F.first("text").alias("text"))
@@ -367,8 +410,8 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
 
 def digest(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """The columns of the registered query; only digests of the texts are joined back."""
-    done = kept_bytes(find(docs, length=length, hot=hot)).select(
-        "k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha"))
+    done = cut(kept_bytes(find(docs, length=length, hot=hot)).select(
+        "k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")), "kept")
     base = keyed(docs.select("doc_id", "text"), "k1", "k2", "doc_id", "text")
     t = F.coalesce(F.col("text"), F.lit(""))
     base = base.select("doc_id", "k1", "k2", F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t, 256).alias("whole"))
