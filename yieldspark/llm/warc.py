@@ -8,9 +8,9 @@ responses.
 
 Resolution shuffles headers only (id, URL, digest, length): the response of a
 digest is an aggregate, and revisits join it by digest, where Spark may split
-a hot digest. Payloads are then joined to the chosen responses by digest, id
-and URL together, so that a digest which a third of the pages share is spread
-over its pages. Records are text: Spark's text writer writes them with the
+a hot digest. Payloads are then joined to the chosen responses by the record
+id (a hash of id, URL and digest), so that a digest which a third of the pages
+share is spread over its pages. Records are text: Spark's text writer writes them with the
 record end ``CR LF CR LF`` as line separator, gzip-compressed, into files of
 at most ``RECORDS_PER_FILE`` records under the shared folder.
 
@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import session
+from .common import cut
 
 RECORDS_PER_FILE = 2000
 DATE = "2000-01-01T00:00:00Z"
@@ -119,13 +120,14 @@ def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             min_bytes: int = 0) -> DataFrame:
     """One column ``value``: the record of every page, without the record end."""
     h = headers(pages, page_id, url, html)
-    responses, revisits = resolve(h.drop("payload"), min_bytes)
-    r = responses.select(F.col("digest").alias("d"), F.col("id").alias("i"), F.col("url").alias("u"), "one")
-    full = h.join(r, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("i")) & (F.col("url") == F.col("u")))
-    keys = ["digest", "id", "url"]
-    full = full.where("one").dropDuplicates(keys).unionByName(full.where("not one")) if min_bytes > 0 else (
-        full.dropDuplicates(keys))
-    kept = full.select(_record("response", record_id("id", "url", "digest"), F.concat(_http(), F.col("payload"))))
+    # Headers are a small table that several steps read; without it each of them would read and hash all payloads.
+    responses, revisits = resolve(cut(h.drop("payload"), "warc-headers"), min_bytes)
+    # One key that is never NULL: the join and the step that leaves one of identical rows share one exchange of payloads.
+    rid = record_id("id", "url", "digest").alias("rid")
+    full = h.select("*", rid).join(responses.select(rid, "one"), "rid")
+    full = full.where("one").dropDuplicates(["rid"]).unionByName(full.where("not one")) if min_bytes > 0 else (
+        full.dropDuplicates(["rid"]))
+    kept = full.select(_record("response", F.col("rid"), F.concat(_http(), F.col("payload"))))
     again = revisits.select(_record(
         "revisit", record_id("id", "url", "digest", "nr"), _http(), ("WARC-Profile", PROFILE),
         ("WARC-Refers-To", F.concat(F.lit("<"), record_id(
