@@ -51,6 +51,22 @@ def test_crowded_turns_are_dealt_out_whole(spark, monkeypatch):
         r[3] for r in rows)
 
 
+def test_rows_of_a_crowded_part_are_connected(spark, monkeypatch):
+    monkeypatch.setattr(q, "MAX_ROWS", 40)
+    rows = [*[(1, i // 60, f"s{i % 3}", f"text {i * 7919 % 200}") for i in range(200)], *[(1, 0, "s0", "text 0")] * 50,
+            *[(None, None, "ab"[i % 2], f"{'p' * 300} {i}") for i in range(130)], *[(2, i, "user", "x") for i in range(41)],
+            *[(3, i, "user", "x") for i in range(40)], *[(1, 300, "user", f"later {i}") for i in range(25)]]
+    joined, sizes = {}, {}
+    for r in sorted(q.render(frame(spark, rows).repartition(5)).collect(), key=lambda r: r["sub"]):
+        key = (r.conv_id, r.perspective, r.part)
+        n, text, mask = joined.get(key, (0, "", []))
+        joined[key] = (n + r.n_turns, text + r.text, mask + [f"{len(text) + m.start}:{len(text) + m.end}" for m in r.mask])
+        sizes.setdefault(key, []).append((r["sub"], r.n_turns))
+    assert {k: (n, text, ",".join(mask)) for k, (n, text, mask) in joined.items()} == brute(rows)
+    assert all(s == [(i, min(40, joined[k][0] - 40 * i)) for i in range(-(-joined[k][0] // 40))] for k, s in sizes.items())
+    assert len(sizes[None, "a", None]) == 4 and len(sizes[2, "user", 0]) == 2 and len(sizes[3, "user", 0]) == 1
+
+
 def test_masks_cover_the_speaker_only(spark):
     r = {x.perspective: x for x in q.render(frame(spark, [(1, 0, "a", "one"), (1, 1, "b", "two"), (1, 2, "a", "three")])).collect()}
     assert [r["a"].text[m.start:m.end] for m in r["a"].mask] == ["one<|im_end|>\n", "three<|im_end|>\n"]

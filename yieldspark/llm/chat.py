@@ -4,12 +4,15 @@ Each speaker of a conversation but the system is in turn the assistant; the
 others are users under their names, and the mask covers what the assistant
 says (its end mark included). Conversations are laid out in parts of
 ``TURNS`` consecutive turn numbers; a part is one row per participant, so a
-conversation of any length is many bounded rows, never one. If a part has more
-than ``MAX_ROWS`` rows (many texts under the same turn numbers), it is dealt
-into sub-parts by hash of speaker and text.
-
-Plan: a count of different rows per part (by hash, no texts move), one
-aggregate that gathers a part's different turns (bounded; repeated rows are
+conversation of any length is many bounded rows, never one. Within a part,
+``sub`` is the position of a turn (by turn, speaker, text) div ``MAX_ROWS``: the
+texts of a part's rows in the order of ``sub`` are the whole part, whatever its
+size.
+
+Plan: a count of different rows per part (by hash, no texts move); the rows of
+parts that may have more than ``MAX_ROWS`` are dealt out by ranges of their
+order and numbered there, so a hot part is spread over tasks; one aggregate that
+gathers the different turns of a part and sub (bounded; repeated rows are
 dropped before the shuffle), and a join of parts with participants by
 conversation, whose hot keys Spark may split. Only DataFrame functions.
 
@@ -24,13 +27,15 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, running_sums
+from .common import cut, let, running_sums
 
-#: Turn numbers per part (a power of two), rows from which a part is dealt out.
+#: Turn numbers per part (a power of two), turns per row of a part.
 TURNS, MAX_ROWS = 256, 4096
+#: Characters of a text by which ranges are chosen: the bounds are sampled on the driver.
+RANGE_CHARS = 256
 SYSTEM = ("system",)
 
 
@@ -43,14 +48,32 @@ def parts(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
         F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
     d = d.withColumn("part", F.shiftright("turn", TURNS.bit_length() - 1).cast("long"))
     different = d.select("conv_id", "part", F.xxhash64("turn", "speaker", "text").alias("h")).distinct()
-    crowded = (different.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_ROWS)
-               .select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("n") / (MAX_ROWS // 4)).alias("n")))
-    d = d.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p")), "left")
-    d = d.withColumn("sub", F.coalesce(F.pmod(F.xxhash64("speaker", "text"), F.col("n")), F.lit(0)).cast("int"))
-    return d.groupBy("conv_id", "part", "sub").agg(
+    # Half the bound: equal hashes of different rows must not hide a part that goes beyond it.
+    crowded = cut(different.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_ROWS // 2)
+                  .select(F.col("conv_id").alias("c"), F.col("part").alias("p")), "crowded")
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
+    whole = d.join(crowded, same, "left_anti").withColumn("sub", F.lit(0))
+    return whole.unionByName(numbered(d.join(crowded, same, "left_semi"))).groupBy("conv_id", "part", "sub").agg(
         F.sort_array(F.collect_set(F.struct("turn", "speaker", "text"))).alias("turns"))
 
 
+def numbered(d: DataFrame) -> DataFrame:
+    """The different rows of ``d`` with ``sub``, their position in their part div ``MAX_ROWS``."""
+    order = ["conv_id", "part", "turn", "speaker"]
+    # Written once, since a second run would choose other ranges. The number is the task and the place in its sorted range.
+    rows = cut(d.distinct().repartitionByRange(*order, F.substring("text", 1, RANGE_CHARS))
+               .sortWithinPartitions(*order, "text").withColumn("at", F.monotonically_increasing_id()), "turns")
+    rows = rows.withColumn("chunk", F.shiftright("at", 33))
+    chunks = rows.groupBy("conv_id", "part", "chunk").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv_id", "part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("chunk").alias("k"), "first",
+                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    j = rows.join(chunks, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
+                  & (F.col("chunk") == F.col("k")))
+    sub = F.floor((F.col("at") - F.col("first") + F.col("before")) / MAX_ROWS).cast("int")
+    return j.select("conv_id", "turn", "speaker", "text", "part", sub.alias("sub"))
+
+
 def participants(turns: DataFrame, conv_id: str = "conv_id", role: str = "role",
                  system: tuple[str, ...] = SYSTEM) -> DataFrame:
     """(conv_id, perspective): the speakers of each conversation, without the system."""
