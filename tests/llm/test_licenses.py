@@ -42,6 +42,42 @@ def test_spans_in_documents(make_docs, edge_rows, classifier):
     assert all(not found[i] for i in range(len(edge_rows)))
 
 
+WRAPPED = {
+    "GPL": """/* This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License as
+ * published by the Free Software Foundation; either version 2 of
+ * the License, or (at your option) any later version.
+ */""",
+    "LGPL": """# This library is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Lesser General Public License as published
+# by the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "AGPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU Affero General Public License as published
+# by the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "MIT": """// Permission is hereby granted, free of charge, to any person obtaining a
+// copy of this software and associated documentation files (the "Software"),
+// to deal in the Software without restriction, including without limitation""",
+    "BSD": """Redistribution and use in source and binary forms, with or
+without modification, are permitted provided that the following
+conditions are met:""",
+}
+
+
+def test_wrapped_notices(make_docs, classifier):
+    keys = sorted(WRAPPED)
+    rows = [(n * 100 + i, " ".join(PROSE.split()[:n]) + "\n" * (n > 0) + WRAPPED[k] + "\n\n" + PROSE)
+            for n in (0, 3, 7, 11, 20) for i, k in enumerate(keys)]
+    rows.append((9999, f"{PROSE}\nReleased under the MIT License.\r\n{PROSE}\n{PROSE}"))
+    got = {r.doc_id: r for r in q.scan(make_docs(rows), classifier).collect()}
+    for i, _ in rows[:-1]:
+        sure = [f for f in got[i].found if f.confirmed]
+        assert {f.family for f in sure} == {keys[i % 100]}, got[i]
+        assert all("\n" in got[i].text[f.start:f.end] for f in sure)
+    assert [got[9999].text[f.start:f.end] for f in got[9999].found if f.confirmed] == ["Released under the MIT License"]
+
+
 def test_units_cover_every_word():
     text = (" ".join(f"w{i}" for i in range(200)) + "\n\n\none two\n").encode()
     w = q.words(text)

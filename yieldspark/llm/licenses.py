@@ -1,7 +1,11 @@
 """Licence scans by a trained paragraph classifier.
 
 A paragraph is a line; a longer one than ``UNIT`` words is taken in windows of
-``UNIT`` words that overlap by half. Its features are the counts of known word
+``UNIT`` words that overlap by half. Hard-wrapped notices are seen by the same
+windows over the words of each block of lines (up to a line without words;
+comment marks are no words), as far as they hold a line end; such a window is
+left out where it repeats what one of its lines has found. The features of a
+paragraph are the counts of known word
 1- to 3-grams over the root of its length. A softmax regression over licence
 families and the class ``unknown`` is trained on the driver from a bounded
 set: variants of public licence notices (words dropped, put inside other
@@ -11,7 +15,8 @@ held out: there the softmax temperature is fitted and the least probability is
 chosen at which predictions are right; below it a paragraph is ``unknown``.
 
 A predicted family is confirmed if enough of the word pairs of one of its
-templates occur in the paragraph.
+templates occur in the paragraph, and no other family's template has them all
+(the GPL, LGPL and AGPL notices differ in one word).
 
 Defined cases: a NULL or empty text has no paragraph and no finding; repeated
 rows are scanned row by row; an empty table gives an empty result (the
@@ -65,10 +70,14 @@ TEMPLATES = {
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-3.0-only",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation",
     ),
     "AGPL": (
         "This work is licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation",
     ),
     "BSD": (
         "Released under the BSD 3-Clause License.",
@@ -133,6 +142,25 @@ def units(text: bytes | None) -> list[tuple[int, list[bytes]]]:
     return out
 
 
+def crossing(text: bytes | None) -> list[tuple[int, list[bytes]]]:
+    """(number of the first word in the text, words) of the windows over blocks of lines that hold a line end."""
+    out, at = [], 0
+    block: list[bytes] = []
+    line: list[int] = []  # line of each word of the block
+    for i, x in enumerate([*(text or b"").split(b"\n"), b""]):
+        w = words(x)
+        if w:
+            block += w
+            line += [i] * len(w)
+        elif block:
+            for k in range(0, max(len(block) - UNIT // 2, 1), UNIT // 2):
+                if line[k] != line[min(k + UNIT, len(block)) - 1]:
+                    out.append((at + k, block[k:k + UNIT]))
+            at += len(block)
+            block, line = [], []
+    return out
+
+
 class Vocabulary:
     """Numbers of known words, pairs and triples; 0 is none."""
 
@@ -284,6 +312,17 @@ class Classifier:
         have = self.grams(w)
         return max(len(t & have) / len(t) for t in self.pairs[family])
 
+    def confirming(self, w: list[bytes], family: str) -> list[set]:
+        """The word pairs in ``w`` of each template that confirms it, unless another family's template has them all."""
+        have = self.grams(w)
+        found = [t & have for t in self.pairs[family] if len(t & have) >= CONFIRM * len(t)]
+        return [x for x in found if not any(x <= t for k, v in self.pairs.items() if k != family for t in v)]
+
+    def adds(self, w: list[bytes], family: str, lines: list[list[bytes]]) -> bool:
+        """Whether a template confirms ``w`` by word pairs that none of ``lines`` has."""
+        seen = set().union(*map(self.grams, lines))
+        return any(not x <= seen for x in self.confirming(w, family))
+
 
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -321,16 +360,25 @@ def scan(docs: DataFrame, classifier: Classifier, out: str = "found", text: str
                 texts = b.column(at).cast(pa.binary()).to_pylist()
                 place, flat = [], []
                 for i, t in enumerate(texts):
-                    for first, w in units(t):
-                        place.append((i, first))
-                        flat.append(w)
-                rows: list[list] = [[] for _ in texts]
+                    for across, of in enumerate((units, crossing)):
+                        for first, w in of(t):
+                            place.append((i, first, across))
+                            flat.append(w)
+                said: list[list] = [[] for _ in texts]
                 for k, family, p in c.predict(flat):
-                    i, first = place[k]
-                    [(s, e)] = removal_spans(texts[i], [(first, first + len(flat[k]))])
+                    i, first, across = place[k]
                     like = c.likeness(flat[k], family)
-                    rows[i].append({"family": family, "start": s, "end": e, "score": round(p, 6),
-                                    "likeness": round(like, 6), "confirmed": like >= CONFIRM})
+                    # The lines of a text come before the windows across them.
+                    lines = [x for x in said[i] if not x[-1] and x[2] == family and x[0] < first + len(flat[k])
+                             and first < x[0] + len(x[1])] if across else []
+                    if not lines or c.adds(flat[k], family, [x[1] for x in lines if x[5]]):
+                        said[i].append((first, flat[k], family, p, like, bool(c.confirming(flat[k], family)), across))
+                rows: list[list] = [[] for _ in texts]
+                for i, found in enumerate(said):
+                    for first, w, family, p, like, sure, _ in sorted(found, key=lambda x: (x[0], len(x[1]))):
+                        [(s, e)] = removal_spans(texts[i], [(first, first + len(w))])
+                        rows[i].append({"family": family, "start": s, "end": e, "score": round(p, 6),
+                                        "likeness": round(like, 6), "confirmed": sure})
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _FOUND)], names=[f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)
