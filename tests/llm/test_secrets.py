@@ -59,6 +59,22 @@ def test_spans_match_brute_force(make_docs):
     assert sum(r.n_entropy_base64 for r in got.values()) > 3
 
 
+def test_recall_on_random_keys(make_docs):
+    rnd = random.Random(11)
+    alphabets = {"hex": "0123456789abcdef", "upper": "0123456789ABCDEF", "mixed": "0123456789abcdefABCDEF",
+                 "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"}
+    sizes = {"hex": (32, 64), "upper": (32, 40, 64), "mixed": (32, 64), "base32": (20, 32)}
+    of = [(k, n) for k, ns in sizes.items() for n in ns for _ in range(400)]
+    docs = [(i, f"value {''.join(rnd.choice(alphabets[k]) for _ in range(n))} end") for i, (k, n) in enumerate(of)]
+    hit = {r.doc_id: bool(r.found) for r in q.scan(make_docs(docs)).collect()}
+    for k, n in set(of):
+        rate = [hit[i] for i, x in enumerate(of) if x == (k, n)]
+        # A base32 key of 20 has no digit once in 64 times.
+        assert sum(rate) / len(rate) >= (0.96 if n == 20 else 0.99), (k, n, sum(rate) / len(rate))
+    plain = "INTERNATIONALIZATION of CAFEBABECAFEBABECAFE and 20240101120000000000 D41D8CD98F00B204E9800998ECF8427E"
+    assert [r.found for r in q.scan(make_docs([(1, plain)])).collect()] == [[]]
+
+
 def test_redact_replaces_merged_spans_only(make_docs, edge_docs):
     d = make_docs([(1, "a token = abcdef99 b"), (2, "nothing here"), (3, "é " + "0a1b2c3d" * 4 + "!"), (4, None)])
     r = {x.doc_id: x for x in q.redact(d).collect()}
