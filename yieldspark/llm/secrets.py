@@ -8,8 +8,9 @@ Two kinds of findings, as code-point spans (end exclusive) of the whole text:
   a window slides over it and its Shannon entropy is kept up to date by adding
   the count of the character that enters and taking off the one that leaves.
   The span reaches from the first window at or over the class's threshold to
-  the end of the last one. A run that an allow-list pattern finds is
-  suppressed. The allow-list never touches pattern findings.
+  the end of the last one. A window that overlaps a match of the allow-list is
+  suppressed: the stretches of a run between such matches are walked, each with
+  a span of its own. The allow-list never touches pattern findings.
 
 Entropy is held in integers (a table of ``c * log2(c)`` scaled by 2**20), so a
 window's value does not depend on the windows before it.
@@ -61,13 +62,14 @@ CLASSES = (
     CharClass("entropy_base32", "[A-Z2-7]", _UPPER + "234567", 20, 3.2, r"(?=.*[2-7])(?=.*[A-Z])"),
 )
 
-#: Runs that look random and are no secrets: published example keys, UUIDs, digests of the empty input, counting runs.
+#: What looks random in a run and is no secret: published example keys, UUIDs, digests of the empty input, counting runs,
+#: hashes named as such. A pattern that is to suppress a whole run must match all of it.
 ALLOW = (
-    r"(?i)example|sample|placeholder|dummy|changeme|xxxx",
+    r"(?i)example|sample|placeholder|dummy|changeme|x{4,}",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)^(d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"
     r"|e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855)$",
-    r"(?i)0123456789abcdef|abcdefghijklmnop|^sha(256|384|512)-",
+    r"(?i)0123456789abcdef|abcdefghijklmnop|^sha(256|384|512)-.*$",
 )
 
 KINDS = ("assign", "access", "hex", *(c.name for c in CLASSES))
@@ -152,16 +154,30 @@ def hot_range(run: Column, cls: CharClass) -> Column:
 def entropy_spans(text: Column, cls: CharClass, allow: tuple[str, ...] = ALLOW) -> Column:
     run = rf"{cls.chars}{{{cls.window},}}"
 
+    allowed = "|".join(p if not p.startswith("(?i)") else f"(?i:{p[4:]})" for p in allow)
+
     def wanted(m: Column) -> Column:
         ok = m["value"].rlike(cls.mixed)
-        if cls.skip:
-            ok = ok & ~m["value"].rlike(cls.skip)
-        for p in allow:
-            ok = ok & ~m["value"].rlike(p)
-        return ok
+        return ok & ~m["value"].rlike(cls.skip) if cls.skip else ok
+
+    def stretches(m: Column) -> Column:
+        """The parts of a run between matches of the allow-list that have room for a window."""
+        whole = F.array(F.struct(m["start"].alias("start"), m["value"].alias("value")))
+
+        def between(hits: Column) -> Column:
+            starts = F.concat(F.array(F.lit(0)), F.transform(hits, lambda h: h["end"]))
+            ends = F.concat(F.transform(hits, lambda h: h["start"]), F.array(F.length(m["value"])))
+            return F.zip_with(starts, ends, lambda a, e: F.struct(
+                (m["start"] + a).alias("start"), F.substr(m["value"], a + 1, e - a).alias("value")))
+
+        return F.when(m["value"].rlike(allowed), F.filter(let(find_all(m["value"], allowed), between), lambda x: (
+            F.length(x["value"]) >= cls.window))).otherwise(whole)
 
     def build(found: Column) -> Column:
-        hot = F.transform(F.filter(found, wanted), lambda m: let(hot_range(m["value"], cls), lambda h: F.struct(
+        runs = F.filter(found, wanted)
+        if allow:
+            runs = F.flatten(F.transform(runs, stretches))
+        hot = F.transform(runs, lambda m: let(hot_range(m["value"], cls), lambda h: F.struct(
             (m["start"] + h["lo"]).alias("start"), (m["start"] + h["hi"]).alias("end"), h["lo"].alias("lo"))))
         return _spans(F.filter(hot, lambda m: m["lo"] >= 0), cls.name)
 
