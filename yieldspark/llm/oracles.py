@@ -58,4 +58,41 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
          AND (n_dup_lines < 2 OR 100 * (length(array_to_string(ls, '')) - length(array_to_string(list_distinct(ls), '')))
              <= 30 * length(array_to_string(ls, ''))) AS kept
 FROM b""",
+    "op11_filter_interaction_audit": rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_W}') AS w
+  FROM documents),
+m AS (
+  SELECT doc_id, part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e
+  FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+g AS (
+  SELECT part, a, b, c, d, e, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (
+  SELECT x1.f || x2.f || x3.f || x4.f || x5.f AS filter_order FROM x x1, x x2, x x3, x x4, x x5
+  WHERE len(list_distinct([x1.f, x2.f, x3.f, x4.f, x5.f])) = 5),
+r AS (
+  SELECT g.*, filter_order, list_min([
+    CASE WHEN a THEN strpos(filter_order, 'A') END, CASE WHEN b THEN strpos(filter_order, 'B') END,
+    CASE WHEN c THEN strpos(filter_order, 'C') END, CASE WHEN d THEN strpos(filter_order, 'D') END,
+    CASE WHEN e THEN strpos(filter_order, 'E') END]) AS gone
+  FROM g, o),
+s AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS f,
+         sum(n) FILTER (WHERE gone IS NULL OR gone > step) AS kept, sum(n) FILTER (WHERE gone = step) AS removed,
+         sum(n) FILTER (WHERE gone < step AND CASE substr(filter_order, step, 1)
+           WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END) AS redundant,
+         sum(n) FILTER (WHERE a::INT + b::INT + c::INT + d::INT + e::INT = 1 AND CASE substr(filter_order, step, 1)
+           WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END) AS unique_fails,
+         sum(good) FILTER (WHERE gone = step) AS good_lost, sum(toxic) FILTER (WHERE gone = step) AS toxic_lost
+  FROM r, (SELECT unnest(range(1, 6)) AS step) GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM s""",
 }

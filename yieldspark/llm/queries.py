@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, licenses, pieces, quality, secrets, simhash, substrings, warc
+from . import (chat, decontam, interactions, langid, licenses, neighbours, periods, pieces, quality, secrets, simhash,
+               substrings, warc)
 from .common import table
 
 #: File name of the tokenizer model among the installed public tokenizers.
@@ -60,10 +61,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     out = {f.__name__: f for f in (
         op1_language_id, op2_sentencepiece, op3_chat_formatting, op4_benchmark_decontamination, op5_suffix_array_dedup,
-        op6_secret_scans, op7_warc, op8_simhash_near_dedup, op9_license_scans, op10_quality_rules)}
+        op6_secret_scans, op7_warc, op8_simhash_near_dedup, op9_license_scans, op10_quality_rules,
+        op11_filter_interaction_audit, op12_nearest_neighbours, op13_periodic_runs)}
     import corpus_pipeline
     out["pipeline"] = corpus_pipeline.run
     return out
