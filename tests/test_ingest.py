@@ -93,62 +93,115 @@ def test_dedup_report_counts(spark):
     assert before - removed == after and removed > 0 and rep["total"] == rep["wl"]
 
 
-def test_versioned_upsert_replace_append(spark, scratch):
-    t = sinks.VersionedTable(spark, os.path.join(scratch, "pk"), schemas.PACKING_DAILY_KEY)
+def test_period_upsert_replace_append(spark, scratch):
+    t = sinks.PeriodTable(spark, os.path.join(scratch, "pk"), schemas.PACKING_DAILY_KEY, "pack_date", null_keys="keep")
     old = packing.packing_daily(fx.workstation_old(spark, SF))
     new = packing.packing_daily(fx.workstation_new(spark, SF))
-    t.upsert(old)
+    assert not t.exists() and t.upsert(old) == old.count()
     n_old = t.read().count()
     t.upsert(new)
     merged = t.read()
-    assert merged.count() == merged.select(*schemas.PACKING_DAILY_KEY).distinct().count()
-    assert merged.count() >= n_old  # keys not in the update stay (Q19)
+    n_merged = merged.count()
+    assert n_merged == merged.select(*schemas.PACKING_DAILY_KEY).distinct().count()
+    assert n_merged >= n_old  # keys not in the update stay (Q19)
+    rows = sorted(map(str, merged.collect()))
     t.upsert(new)  # idempotent
-    assert t.read().count() == merged.count()
-    t.replace(new)
-    assert t.read().count() == new.count()
-    assert t.current_version() == 4
-    assert t.vacuum(1) == [1, 2, 3] and t.read().count() == new.count() and t.current_version() == 4
+    assert sorted(map(str, t.read().collect())) == rows
+    assert t.replace(new) == new.count() == t.read().count()
+    assert dict(t.read().dtypes)["pack_date"] == "date"
+    with pytest.raises(FileNotFoundError):
+        sinks.PeriodTable(spark, os.path.join(scratch, "none")).read()
 
 
-def test_a_crash_between_write_and_commit_loses_nothing(spark, scratch, monkeypatch):
-    t = sinks.VersionedTable(spark, os.path.join(scratch, "kpi"), ("k",))
-    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
-    t.upsert(rows(("a", 1), ("b", 1)))
-    t.upsert(rows(("b", 2), ("c", 2)))
+D1, D2, D3 = (dt.date(2024, 1, i) for i in (1, 2, 3))
 
-    def crash(v):
-        raise OSError("lost")
 
-    with monkeypatch.context() as m:
-        m.setattr(t, "_commit", crash)
-        with pytest.raises(OSError):
-            t.upsert(rows(("d", 3)))
-    assert sorted(tuple(r) for r in t.read().collect()) == [("a", 1), ("b", 2), ("c", 2)]
-    assert t.upsert(rows(("e", 4))) == 4  # the number of the lost write is not used again
-    assert sorted(r.k for r in t.read().collect()) == ["a", "b", "c", "e"]
+def days(spark, *rows):
+    return spark.createDataFrame(list(rows), "d date, k string, v int")
+
+
+def stored(t):
+    return sorted(((r.d, r.k, r.v) for r in t.read().collect()), key=str)
+
+
+def files(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_upsert_reads_and_writes_the_touched_periods_only(spark, scratch):
+    t = sinks.PeriodTable(spark, os.path.join(scratch, "t"), ("d", "k"), "d", null_keys="keep")
+    t.upsert(days(spark, (D1, "a", 1), (D2, "a", 1), (D2, "b", 1), (None, "a", 1), (D3, None, 1)))
+    before = files(t.root)
+    assert t.upsert(days(spark, (D2, "b", 2), (D2, "c", 2))) == 3  # a day is written whole
+    after = files(t.root)
+    assert {f.split("/d=")[1][:10] for f, _ in set(before.items()) ^ set(after.items())} == {"2024-01-02"}
+    assert stored(t) == sorted([(D1, "a", 1), (D2, "a", 1), (D2, "b", 2), (D2, "c", 2), (None, "a", 1), (D3, None, 1)], key=str)
+    t.upsert(days(spark, (None, "a", 5), (D3, None, 5)))  # NULL periods and keys are equal to themselves
+    assert stored(t)[-1] == (None, "a", 5) and len(stored(t)) == 6
+    plan = t._touched(days(spark, (D1, "x", 0)))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-01" in plan or "19723" in plan
+
+
+def test_a_write_that_fails_while_computing_changes_nothing(spark, scratch):
+    t = sinks.PeriodTable(spark, os.path.join(scratch, "t"), ("d", "k"), "d")
+    t.upsert(days(spark, (D1, "a", 1), (D2, "b", 1)))
+    before = files(t.root)
+    bad = days(spark, (D1, "a", 2), (D2, "x", 2)).withColumn(
+        "v", F.when(F.col("k") == "x", F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")))
+    for write in (t.upsert, t.replace, t.insert_ignore):
+        with pytest.raises(Exception, match="lost"):
+            write(bad)
+    assert files(t.root) == before and stored(t) == [(D1, "a", 1), (D2, "b", 1)]
+
+
+def test_a_period_that_was_lost_is_mended_by_the_same_upsert(spark, scratch):
+    import shutil
+    t = sinks.PeriodTable(spark, os.path.join(scratch, "t"), ("d", "k"), "d")
+    rows = days(spark, (D1, "a", 1), (D2, "b", 1))
+    t.upsert(rows)
+    shutil.move(os.path.join(t.root, "d=2024-01-02"), os.path.join(scratch, "lost"))  # a driver died between delete and rename
+    t.upsert(rows)
+    assert stored(t) == [(D1, "a", 1), (D2, "b", 1)]
 
 
 def test_append_and_insert_ignore(spark, scratch):
-    t = sinks.VersionedTable(spark, os.path.join(scratch, "t"), ("k",))
-    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
-    t.insert_ignore(rows(("a", 1), ("a", 1)))
-    t.append(rows((None, 2)))
-    t.insert_ignore(rows(("a", 9), (None, 9), ("b", 3)))
-    assert sorted(map(tuple, t.read().collect()), key=str) == [("a", 1), ("b", 3), (None, 2)]
-
-
-def test_min_table_keeps_minima_over_replays(spark, scratch):
-    t = sinks.MinTable(spark, os.path.join(scratch, "m"), ("k",), "v")
-    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
-    assert not t.exists()
-    for batch in ((("a", 5), (None, 7)), (("a", 3), ("b", 1)), (("a", 3), ("b", 1))):
-        t.add(rows(*batch))
-    want = [("a", 3), ("b", 1), (None, 7)]
-    assert sorted(map(tuple, t.read().collect()), key=str) == want
-    t.compact()
-    t.add(rows(("b", 0)))
-    assert sorted(map(tuple, t.read().collect()), key=str) == [("a", 3), ("b", 0), (None, 7)]
+    for period in (None, "d"):
+        t = sinks.PeriodTable(spark, os.path.join(scratch, f"t{period}"), ("k",), period)
+        t.insert_ignore(days(spark, (D1, "a", 1), (D1, "a", 1)))
+        before = files(t.root)
+        t.append(days(spark, (D1, None, 2)))
+        assert t.insert_ignore(days(spark, (D1, "a", 9), (D1, None, 9), (D1, "b", 3))) == 1
+        assert before.items() <= files(t.root).items()  # rows are added as files
+        assert stored(t) == sorted([(D1, "a", 1), (D1, "b", 3), (D1, None, 2)], key=str)
+
+
+def test_first_activity_moves(spark, scratch):
+    t = sinks.FirstActivity(spark, os.path.join(scratch, "fa"))
+    at = lambda day: dt.datetime(2024, 1, day, 8)
+
+    def first(*rows):
+        return spark.createDataFrame(list(rows), "sn string, model string, first_activity_time timestamp_ntz")
+
+    def batch(name, *rows):
+        with_moves = spark.createDataFrame(t.moves(first(*rows)).collect(), t.COLUMNS)
+        seen = sorted(map(tuple, t.read(None, with_moves, name).collect()), key=str)
+        t.add(with_moves, name)
+        assert sorted(map(tuple, t.read().collect()), key=str) == seen
+        return sorted((r.sign, r.first_activity_time.day) for r in with_moves.collect())
+
+    assert batch("0", ("A", "m", at(17)), ("B", None, at(9))) == [(1, 9), (1, 17)]
+    assert batch("1", ("A", "m", at(18)), ("B", None, at(9))) == []                       # later or equal: nothing moves
+    assert batch("2", ("A", "m", at(3)), ("A", None, at(17))) == [(-1, 17), (1, 3), (1, 17)]
+    weeks = {d: sorted((r.sn, r.model) for r in t.read([dt.date(2024, 1, d)]).collect()) for d in (1, 8, 15)}
+    assert weeks == {1: [("A", "m")], 8: [("B", None)], 15: [("A", None)]}
+    # The same batch again replaces its own folders; a stale row of a write cut short is taken out.
+    again = spark.createDataFrame([("C", "m", at(10), 1)], t.COLUMNS)
+    t.add(again, "3")
+    t.add(again, "3")
+    t.add(spark.createDataFrame([("C", "m", at(18), 1)], t.COLUMNS), "4")
+    assert t.read().where("sn = 'C'").count() == 2
+    assert batch("5", ("C", "m", at(20))) == [(-1, 18)]
 
 
 def test_a_log_compared_with_itself_has_no_new_rows(spark):
@@ -180,7 +233,7 @@ def test_slash_and_am_pm_times(spark):
 
 
 def test_null_key_policy(spark, scratch):
-    t = sinks.VersionedTable(spark, os.path.join(scratch, "nk"), ("k",))
+    t = sinks.PeriodTable(spark, os.path.join(scratch, "nk"), ("k",))
     df = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     with pytest.raises(sinks.NullKeyError):
         t.upsert(df)

@@ -12,7 +12,6 @@ from yieldspark.operators import packing, tpy
 from yieldspark.plans import catalog, jobs
 from yieldspark.sources import fixtures as fx
 from yieldspark.sources.logstore import LogStore
-from yieldspark.sources.sinks import VersionedTable
 from yieldspark.streaming import stream
 
 SF = "/root/testdata/sf0.001"
@@ -28,18 +27,19 @@ def test_daily_and_weekly_chain(spark, scratch):
     v = jobs.daily(spark, wl, scratch, NOW, tb=tb)
     assert set(v) >= {"daily_tpy_metrics", "packing_daily_summary", "station_hourly_summary",
                       "testboard_station_performance_daily", "fixture_performance_daily"}
-    daily = VersionedTable(spark, os.path.join(scratch, "daily_tpy_metrics")).read().drop("created_at")
+    daily = stream.kpi_table(spark, scratch, "daily_tpy_metrics").read().drop("created_at")
     ud = tpy.unit_day(wl)
     ref = tpy.tpy_daily(tpy.station_day(wl), tpy.starters_by_week(tpy.first_activity(ud)))
-    assert rows(daily) == rows(ref.select(*daily.columns))
+    written = rows(daily)
+    assert written == rows(ref.select(*daily.columns))
     # recent mode re-runs only as_of and the two days before, others stay
     jobs.daily(spark, wl, scratch, NOW, tb=tb, as_of=dt.date(2024, 1, 19))
-    assert rows(VersionedTable(spark, os.path.join(scratch, "daily_tpy_metrics")).read().drop("created_at")) \
-        == rows(daily)
-    pk = VersionedTable(spark, os.path.join(scratch, "packing_daily_summary")).read()
+    assert rows(stream.kpi_table(spark, scratch, "daily_tpy_metrics").read().drop("created_at")) \
+        == written
+    pk = stream.kpi_table(spark, scratch, "packing_daily_summary").read()
     assert rows(pk) == rows(packing.packing_daily(wl).select(*pk.columns))
     jobs.weekly(spark, wl, scratch, NOW, tb=tb)
-    wk = VersionedTable(spark, os.path.join(scratch, "weekly_tpy_metrics")).read()
+    wk = stream.kpi_table(spark, scratch, "weekly_tpy_metrics").read()
     assert wk.count() == 5 and wk.select("week_id").distinct().count() == 5
     assert len(wk.columns) == 36 and {r.created_at for r in wk.collect()} == {NOW}  # 35 columns and the run time
     rep = jobs.report(spark, wl, tb, scratch, dt.date(2024, 1, 19))
@@ -60,8 +60,8 @@ def test_weekly_current_week_reads_one_week_and_matches_full(spark, scratch):
     jobs.weekly(spark, wl, full_root, NOW)
     jobs.weekly(spark, wl, week_root, NOW, as_of=dt.date(2024, 1, 19))
     cols = lambda df: [c for c in df.columns if c != "created_at"]
-    full = VersionedTable(spark, os.path.join(full_root, "weekly_tpy_metrics")).read()
-    one = VersionedTable(spark, os.path.join(week_root, "weekly_tpy_metrics")).read()
+    full = stream.kpi_table(spark, full_root, "weekly_tpy_metrics").read()
+    one = stream.kpi_table(spark, week_root, "weekly_tpy_metrics").read()
     assert one.count() == 1
     assert rows(one.select(*cols(one))) == rows(full.filter("week_id = '2024-W03'").select(*cols(one)))
 
@@ -70,7 +70,7 @@ KPIS = ("daily_tpy_metrics", "daily_completions", "station_hourly_summary", "pac
 
 
 def kpi(spark, root, name):
-    df = VersionedTable(spark, os.path.join(root, name)).read()
+    df = stream.kpi_table(spark, root, name).read()
     return rows(df.select(*sorted(c for c in df.columns if c != "created_at")))
 
 
@@ -92,8 +92,24 @@ def test_incremental_daily_equals_full_rebuild_after_any_gap(spark, scratch, day
     assert rows(fa.read()) == rows(tpy.first_activity(tpy.unit_day(known)))
     for name in KPIS:
         assert kpi(spark, inc, name) == kpi(spark, ref, name), name
-    fa.compact()
-    assert rows(fa.read()) == rows(tpy.first_activity(tpy.unit_day(known)))
+
+
+def test_an_upsert_of_recent_days_leaves_other_files_alone(spark, scratch):
+    wl = fx.workstation_log(spark, SF)
+    jobs.daily(spark, wl, scratch, NOW)
+
+    def files(name):
+        top = os.path.join(scratch, name)
+        return {os.path.relpath(os.path.join(d, f), top): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, fs in os.walk(top) for f in fs if f.endswith(".parquet")}
+
+    before = {n: files(n) for n in ("daily_tpy_metrics", "daily_completions", "station_hourly_summary")}
+    jobs.daily(spark, wl, scratch, NOW, as_of=dt.date(2024, 1, 19))
+    for name, was in before.items():
+        now = files(name)
+        changed = {f.split("=")[1][:10] for f, t in set(was.items()) ^ set(now.items())}
+        assert changed and changed <= {"2024-01-17", "2024-01-18", "2024-01-19"}, name
+        assert len(was) > 20  # one file per day
 
 
 def test_cuts_belong_to_their_run(spark, scratch):

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from yieldspark import schemas
 from yieldspark.operators import packing, station
 from yieldspark.sources import fixtures as fx
-from yieldspark.sources.sinks import VersionedTable
 from yieldspark.streaming import stream
 
 SF = "/root/testdata/sf0.001"
@@ -66,11 +65,61 @@ def test_kpi_refresh_with_late_and_null_rows_equals_full_rebuild(spark, scratch)
     jobs.weekly(spark, log.read(), ref, now)
     for name in ("daily_tpy_metrics", "daily_completions", "weekly_tpy_metrics", "station_hourly_summary",
                  "packing_daily_summary"):
-        a, b = (VersionedTable(spark, os.path.join(r, name)).read() for r in (out, ref))
+        a, b = (stream.kpi_table(spark, r, name).read() for r in (out, ref))
         cols = sorted(a.columns)
         assert sorted(map(str, a.select(*cols).collect())) == sorted(map(str, b.select(*cols).collect())), name
 
 
+def test_first_activities_are_stream_state(spark, scratch):
+    """Late rows, a restart per batch and batches that run again: moves sum up to the batch result."""
+    from yieldspark.operators import tpy
+    from yieldspark.sources.sinks import FirstActivity
+    from yieldspark.streaming import units
+    src, wl = os.path.join(scratch, "log"), fx.workstation_log(spark, SF)
+    h = F.pmod(F.hash("sn", "history_station_end_time"), F.lit(3))
+    firsts = FirstActivity(spark, os.path.join(scratch, "moves"))
+    seen = {}
+
+    def fn(events, batch_id):
+        events = events.persist()
+        for _ in range(2):  # as after a crash behind the write
+            firsts.add(units.moves(events), str(batch_id))
+        seen[batch_id] = {r[0] for r in units.touched_days(events).collect()}
+        events.unpersist()
+
+    for i in (2, 0, 1):  # no order of time
+        part = wl.where(h == i)
+        part.write.mode("append").parquet(src)
+        s = spark.readStream.schema(wl.schema).parquet(src)
+        q = (units.unit_events(s).writeStream.outputMode("update").foreachBatch(fn)
+             .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert seen[max(seen)] == {r[0] for r in part.select(F.to_date("history_station_end_time")).distinct().collect()}
+    want = tpy.first_activity(tpy.prod(wl))
+    assert sorted(map(str, firsts.read().collect())) == sorted(map(str, want.collect()))
+    week = dt.date(2024, 1, 8)
+    assert firsts.read([week]).count() == want.where(F.col("first_activity_time").between("2024-01-08", "2024-01-14 23:59:59")).count()
+
+
+def test_hourly_stream_is_written_and_survives_restarts(spark, scratch):
+    src, out, ck = (os.path.join(scratch, x) for x in ("log", "out", "ck"))
+    wl = fx.workstation_log(spark, SF)
+    lo, hi = (dt.datetime(2024, 1, d) for d in (10, 12))
+    end = F.col("history_station_end_time")
+    # The second part reaches back into hours of the first one, less than the watermark's delay.
+    odd = F.pmod(F.hash("id"), F.lit(2)) == 0
+    for part in (wl.where((end < lo) | ((end < hi) & odd)), wl.where((end >= hi) | ((end >= lo) & ~odd))):
+        part.write.mode("append").parquet(src)
+        stream.start_station_hourly(spark, src, out, ck, delay="5 days").awaitTermination(300)
+    got = stream.kpi_table(spark, out, "station_hourly_summary").read()
+    want = station.station_hourly(wl)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # The whole log again from a new checkpoint changes nothing.
+    stream.start_station_hourly(spark, src, out, ck + "2", max_files_per_trigger=100).awaitTermination(300)
+    again = stream.kpi_table(spark, out, "station_hourly_summary").read()
+    assert sorted(map(str, again.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def _csv(path, header, rows):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:

@@ -21,11 +21,10 @@ from ..functions import columns as C
 from ..operators import dedup, packing, profile, station, tpy
 from ..sources import reports
 from ..sources.logstore import LogStore
-from ..sources.sinks import VersionedTable
+from ..sources.sinks import PeriodTable
 from ..streaming import stream
 
 LOG_NAMES = {"workstation": "workstation_master_log", "testboard": "testboard_master_log", "snfn": "snfn_master_log"}
-KEEP_VERSIONS = 2
 
 
 class HealthCheckError(RuntimeError):
@@ -48,7 +47,7 @@ def health_gate(tables: dict[str, DataFrame | None], required: tuple[str, ...] =
     return profile.record_counts(present, kpis=kpis)
 
 
-def _kpi(spark: SparkSession, root: str, name: str) -> VersionedTable:
+def _kpi(spark: SparkSession, root: str, name: str) -> PeriodTable:
     return stream.kpi_table(spark, root, name)
 
 
@@ -57,15 +56,10 @@ def kpis(spark: SparkSession, root: str, names=("daily_tpy_metrics", "weekly_tpy
     return {n: t.read() for n in names if (t := _kpi(spark, root, n)).exists()}
 
 
-def _vacuum(spark: SparkSession, root: str, names) -> None:
-    for n in names:
-        _kpi(spark, root, n).vacuum(KEEP_VERSIONS)
-
-
 def daily(spark: SparkSession, wl: DataFrame, out_root: str, now: _dt.datetime, tb: DataFrame | None = None,
           as_of: _dt.date | None = None, cfg: YieldConfig = DEFAULT, incremental: bool = False) -> dict[str, int]:
     """K1: daily TPY (all dates, or as_of and the two days before), packing, hourly counts,
-    daily completions / FPY and the test-board tables. Returns table -> written version.
+    daily completions / FPY and the test-board tables. Returns table -> rows written.
 
     ``incremental`` recomputes what changed since the last run instead: rows
     that came into the log since then (by ``created_at``) are merged into the
@@ -79,7 +73,6 @@ def daily(spark: SparkSession, wl: DataFrame, out_root: str, now: _dt.datetime,
         with session.Cuts(spark) as cuts:
             out = _daily(spark, wl, out_root, now, as_of, cfg, cuts)
     out |= testboard(spark, tb, out_root, cfg, as_of) if tb is not None else {}
-    _vacuum(spark, out_root, out)
     return out
 
 
@@ -90,8 +83,9 @@ def recent_rows(wl: DataFrame, as_of: _dt.date, days: int = 3) -> DataFrame:
     return wl.filter(C.in_range(C.END, C.ts_lit(lo), C.ts_lit(hi)))
 
 
-def _mark(spark: SparkSession, out_root: str) -> VersionedTable:
-    return VersionedTable(spark, os.path.join(out_root, "ingest_mark"))
+def _mark(spark: SparkSession, out_root: str) -> PeriodTable:
+    """The newest ``created_at`` of the last run; while there is none, all rows count as new."""
+    return PeriodTable(spark, os.path.join(out_root, "ingest_mark"))
 
 
 def _incremental(spark, wl, out_root, now, as_of, cfg) -> dict[str, int]:
@@ -111,7 +105,6 @@ def _incremental(spark, wl, out_root, now, as_of, cfg) -> dict[str, int]:
             new = new.filter((F.col("created_at") <= C.ts_lit(last)) | F.col("created_at").isNull())
         out = stream.refresh_kpis(new, known, out_root, cfg, now, weeks)
         mark.replace(upto)
-    mark.vacuum(KEEP_VERSIONS)
     return out
 
 
@@ -161,7 +154,6 @@ def weekly(spark: SparkSession, wl: DataFrame, out_root: str, now: _dt.datetime,
         out = _weekly(spark, wl, out_root, now, as_of, cfg, cuts)
     if tb is not None:
         out |= testboard(spark, tb, out_root, cfg)
-    _vacuum(spark, out_root, out)
     return out
 
 

@@ -120,3 +120,14 @@ KPI_TABLES = {
     "fixture_performance_daily": FIXTURE_DAILY_KEY,
 }
 KPI_NULL_KEYS = "keep"
+# The key column by whose values a KPI table lies in folders, and its type.
+KPI_PERIODS = {
+    "daily_tpy_metrics": ("date_id", "date"),
+    "weekly_tpy_metrics": ("week_id", "string"),
+    "daily_completions": ("date_id", "date"),
+    "station_hourly_summary": ("date", "date"),
+    "packing_daily_summary": ("pack_date", "date"),
+    "sort_test_daily": ("test_date", "date"),
+    "testboard_station_performance_daily": ("end_date", "date"),
+    "fixture_performance_daily": ("day", "date"),
+}

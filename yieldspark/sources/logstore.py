@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import columns as C
+from .sinks import in_values
 
 PARTITION_COL = "end_date"
 
@@ -40,23 +41,16 @@ class LogStore:
             return batch
         # Dates in one batch are bounded by the calendar, so this list is small.
         days = [r[0] for r in batch.select(C.to_day(C.END)).distinct().collect()]
-        on_days = F.col(PARTITION_COL).isin([d for d in days if d is not None])
-        if None in days:
-            on_days = on_days | F.col(PARTITION_COL).isNull()
-        lk = log.filter(on_days).select(*self.keys).distinct()
+        lk = log.filter(in_values(PARTITION_COL, days)).select(*self.keys).distinct()
         return batch.join(lk, C.null_safe_key(batch, lk, self.keys), "left_anti")
 
     def append(self, batch: DataFrame) -> int:
-        """Append the batch's new rows; returns how many were written."""
+        """Append the batch's new rows; returns how many, counted by the write itself."""
+        seen = Observation()
         new = self.new_rows(batch).drop("row_ordinal").withColumn(PARTITION_COL, C.to_day(C.END))
-        new = new.persist()
-        try:
-            n = new.count()
-            if n:
-                new.write.mode("append").partitionBy(PARTITION_COL).parquet(self.path)
-        finally:
-            new.unpersist()
-        return n
+        (new.observe(seen, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").partitionBy(PARTITION_COL).parquet(self.path))
+        return seen.get["n"]
 
     def dedup(self) -> dict[str, int]:
         """Keep the first row of every key (E1, E2); only the day partitions that hold copies are rewritten.
@@ -68,15 +62,15 @@ class LogStore:
         log = self.read()
         if log is None:
             return {"removed": 0, "days": 0}
-        copies = log.groupBy(PARTITION_COL, *self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        days = [r[0] for r in copies.select(PARTITION_COL).distinct().collect()]  # bounded by the calendar
+        copies = (log.groupBy(PARTITION_COL, *self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                  .groupBy(PARTITION_COL).agg(F.sum(F.col("n") - 1).alias("removed")).collect())  # a row per day at most
+        days = [r[PARTITION_COL] for r in copies]
         if not days:
             return {"removed": 0, "days": 0}
-        part = log.filter(F.col(PARTITION_COL).isin(days))
+        part = log.filter(in_values(PARTITION_COL, days))
         order = [c for c in ("id", "created_at") if c in log.columns][:1]
         kept = dedup.keep_first(part, self.keys, order=order) if order else part.dropDuplicates(self.keys)
         with session.Cuts(self.spark) as cuts:
-            before, kept = part.count(), cuts.cut(kept, "dedup")
-            after = kept.count()
+            kept = cuts.cut(kept, "dedup")
             kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COL).parquet(self.path)
-        return {"removed": before - after, "days": len(days)}
+        return {"removed": sum(r["removed"] for r in copies), "days": len(days)}

@@ -1,25 +1,26 @@
-"""Table sinks over Parquet: append, replace, upsert, with key checks.
-
-A KPI table lives in ``<root>/v=<n>/`` folders; a version counts once the
-empty file ``<root>/_committed/<n>`` exists, which is created (never replaced
-or deleted) after the version is complete. The table is its highest committed
-version, so a job that dies at any point leaves the version before it in
-place, and the next write takes a number that no folder has. An upsert never
-overwrites the files it reads.
+"""KPI tables in Parquet, one folder per period: append, replace, upsert, insert-ignore.
+
+The period is a key column (the day or the ISO week of a row), so a write
+reads and replaces the folders of its own periods only; the files of all other
+periods are left alone. Replacing is Spark's dynamic partition overwrite.
+Every write is computed into a table under the shared checkpoint folder first
+(Spark cannot replace files that it is reading), so a job that fails while
+computing leaves the table as it was. A driver that is lost while Spark moves
+finished folders into place leaves some periods new and some old; writing the
+same rows again mends that, as an upsert and an insert-ignore are idempotent.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
+from .. import session
 from ..functions import columns as C
 
-COMMITTED = "_committed"
-
 
 class NullKeyError(ValueError):
     pass
@@ -54,149 +55,155 @@ def check_null_keys(df: DataFrame, keys: Sequence[str], policy: str = "fail") ->
     return df
 
 
-class VersionedTable:
-    """A Parquet table with atomic versions: append, replace and upsert all write a new version.
+def in_values(col: str, values: Sequence) -> Column:
+    """NULL-safe ``col IN values``, a filter that prunes partitions."""
+    named = [v for v in values if v is not None]
+    cond = F.col(col).isin(named) if named else F.lit(False)
+    return cond | F.col(col).isNull() if None in values else cond
+
 
-    ``null_keys`` is the table's NULL-key policy, unless a call names another.
+class PeriodTable:
+    """A Parquet table in folders by ``period`` (a column; ``None``: one folder, for tables of a few rows).
+
+    ``null_keys`` is the table's NULL-key policy, unless a call names another. Writes return the number of rows written,
+    as the write itself counted them.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
-                 partition_by: Sequence[str] = (), null_keys: str = "fail"):
-        self.spark, self.root, self.keys, self.partition_by = spark, root.rstrip("/"), list(keys), list(partition_by)
-        self.null_keys = null_keys
-
-    # -- through the Hadoop FileSystem, so any shared store works
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-    def _numbers(self, folder: str, prefix: str = "") -> list[int]:
-        fs, path = self._fs()
-        if not fs.exists(path(folder)):
-            return []
-        names = [f.getPath().getName() for f in fs.listStatus(path(folder))]
-        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
-
-    def versions(self) -> list[int]:
-        """Committed versions that are still there."""
-        return self._numbers(f"{self.root}/{COMMITTED}")
-
-    def current_version(self) -> int | None:
-        return max(self.versions(), default=None)
-
-    def _next_version(self) -> int:
-        return max([0, *self.versions(), *self._numbers(self.root, "v=")]) + 1
-
-    def _commit(self, v: int) -> None:
-        fs, path = self._fs()
-        fs.create(path(f"{self.root}/{COMMITTED}/{v}"), False).close()  # fails if it exists
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the last ``keep`` committed versions; returns the deleted ones."""
-        fs, path = self._fs()
-        old = self.versions()[:-keep]
-        for v in old:  # the data first: a version without data must not become the highest
-            fs.delete(path(self.path(v)), True)
-            fs.delete(path(f"{self.root}/{COMMITTED}/{v}"), False)
-        return old
-
-    def path(self, v: int) -> str:
-        return f"{self.root}/v={v:06d}"
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (), period: str | None = None,
+                 period_type: str = "date", null_keys: str = "fail"):
+        self.spark, self.root, self.keys, self.null_keys = spark, root.rstrip("/"), list(keys), null_keys
+        self.period, self.period_type = period, period_type
+
+    def read_or_none(self) -> DataFrame | None:
+        try:
+            df = self.spark.read.parquet(self.root)
+        except AnalysisException:  # no folder, or none with a file
+            return None
+        # Spark guesses the type of a folder name; a table whose only period is NULL has none to guess from.
+        return df.withColumn(self.period, F.col(self.period).cast(self.period_type)) if self.period else df
 
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return self.read_or_none() is not None
 
     def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
+        df = self.read_or_none()
+        if df is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        return self.spark.read.parquet(self.path(v))
+        return df
 
-    def _write(self, df: DataFrame) -> int:
-        v = self._next_version()
-        w = df.write
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.path(v))
-        self._commit(v)
-        return v
+    def _write(self, df: DataFrame, mode: str, overwrite: str = "static") -> int:
+        seen = Observation()
+        # The rows of a period, a few per station and model, go to one file.
+        df = df.repartition(self.period) if self.period else df.coalesce(1)
+        # Counted on top of the plan: below an exchange that turns out empty, AQE would drop the count with its input.
+        w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
+        if self.period:
+            w = w.option("partitionOverwriteMode", overwrite).partitionBy(self.period)
+        w.mode(mode).parquet(self.root)
+        return seen.get["n"]
+
+    def periods(self, df: DataFrame) -> list:
+        """Distinct periods of ``df``: bounded by the calendar."""
+        return [r[0] for r in df.select(self.period).distinct().collect()]
+
+    def _touched(self, rows: DataFrame) -> DataFrame | None:
+        """The table's rows of the periods of ``rows``; other folders are not read."""
+        cur = self.read_or_none()
+        return cur.filter(in_values(self.period, self.periods(rows))) if self.period and cur is not None else cur
+
+    def _checked(self, df: DataFrame, null_keys: str | None) -> DataFrame:
+        return check_null_keys(df, self.keys, null_keys or self.null_keys) if self.keys else df
 
     def replace(self, df: DataFrame, null_keys: str | None = None) -> int:
-        """TRUNCATE + INSERT (A8): keys no longer produced disappear (Q19)."""
-        if self.keys:
-            df = check_null_keys(df, self.keys, null_keys or self.null_keys)
-        return self._write(df)
+        """TRUNCATE + INSERT (A8): keys and periods no longer produced disappear (Q19)."""
+        with session.Cuts(self.spark) as cuts:
+            return self._write(self._checked(cuts.cut(df, "replace"), null_keys), "overwrite")
 
     def append(self, df: DataFrame) -> int:
-        """Plain append (A7): the new version is old rows + new rows."""
-        if not self.exists():
-            return self._write(df)
-        return self._write(self.read().unionByName(df.select(*self.read().columns)))
+        """Plain append (A7): files are added, none is read or replaced."""
+        cur = self.read_or_none()
+        return self._write(df if cur is None else df.select(*cur.columns), "append")
 
     def upsert(self, updates: DataFrame, null_keys: str | None = None) -> int:
-        """Upsert by key (A9): rows of other keys stay (Q19)."""
-        if self.keys:
-            updates = check_null_keys(updates, self.keys, null_keys or self.null_keys)
-        if not self.exists():
-            return self._write(updates)
-        return self._write(merge_upsert(self.read(), updates, self.keys))
+        """Upsert by key (A9): the folders of the periods of ``updates`` are replaced, rows of other keys stay (Q19)."""
+        with session.Cuts(self.spark) as cuts:
+            updates = self._checked(cuts.cut(updates, "updates"), null_keys)
+            cur = self._touched(updates)
+            if cur is not None:
+                updates = cuts.cut(merge_upsert(cur, updates, self.keys), "merged")
+            return self._write(updates, "overwrite", "dynamic")
 
     def insert_ignore(self, incoming: DataFrame) -> int:
-        """``ON CONFLICT DO NOTHING`` (A6): only keys absent from the table are added."""
-        if not self.exists():
-            return self._write(incoming.dropDuplicates(self.keys) if self.keys else incoming)
-        cur = self.read()
-        inc = incoming.select(*cur.columns)
-        lk = cur.select(*self.keys).distinct()
-        new = inc.dropDuplicates(self.keys).join(lk, C.null_safe_key(inc, lk, self.keys), "left_anti")
-        return self._write(cur.unionByName(new))
-
-
-class MinTable:
-    """Smallest value per key, kept as appended deltas over a compacted base.
-
-    Adding a batch writes only the batch's rows; reading takes the minimum of
-    all files. Taking a minimum twice changes nothing, so a replayed batch or a
-    crash between the steps of ``compact`` is harmless.
+        """``ON CONFLICT DO NOTHING`` (A6): only keys absent from the table are added, as new files."""
+        with session.Cuts(self.spark) as cuts:
+            new = cuts.cut(incoming, "incoming")
+            new = new.dropDuplicates(self.keys) if self.keys else new
+            cur = self._touched(new)
+            if cur is not None:
+                lk = cur.select(*self.keys).distinct()
+                new = new.select(*cur.columns).join(lk, C.null_safe_key(new, lk, self.keys), "left_anti")
+            return self._write(new, "append")
+
+
+class FirstActivity:
+    """First activity per unit (sn, model), kept as signed rows in folders by ISO week.
+
+    A unit enters a week with +1; when an earlier activity turns up, -1 takes
+    it out of the week where it stood and +1 puts it where it belongs. So the
+    starters of a week are read from that week's folder alone, and a batch
+    adds its moves without a rewrite. A batch has folders of its own, so
+    writing a batch again replaces what it wrote.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], value: str):
-        self.spark, self.root, self.keys, self.value = spark, root.rstrip("/"), list(keys), value
-        self.base = VersionedTable(spark, f"{self.root}/base", self.keys, null_keys="keep")
-
-    def _deltas(self) -> list[str]:
-        fs, path = self.base._fs()
-        at = path(f"{self.root}/deltas")
-        if not fs.exists(at):
-            return []
-        return [str(f.getPath()) for f in fs.listStatus(at) if fs.exists(path(f"{f.getPath()}/_SUCCESS"))]
-
-    def exists(self) -> bool:
-        return self.base.exists() or bool(self._deltas())
-
-    def _min(self, df: DataFrame) -> DataFrame:
-        return df.groupBy(*self.keys).agg(F.min(self.value).alias(self.value))
-
-    def _read(self, deltas: list[str]) -> DataFrame:
-        parts = ([self.base.read()] if self.base.exists() else []) + ([self.spark.read.parquet(*deltas)] if deltas else [])
-        if not parts:
-            raise FileNotFoundError(f"no table at {self.root}")
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return self._min(out)
-
-    def read(self) -> DataFrame:
-        return self._read(self._deltas())
-
-    def add(self, df: DataFrame) -> None:
-        self._min(df.select(*self.keys, self.value)).write.parquet(f"{self.root}/deltas/{uuid.uuid4().hex}")
-
-    def compact(self) -> None:
-        deltas = self._deltas()
-        if deltas:
-            self.base.replace(self._read(deltas))
-            fs, path = self.base._fs()
-            for d in deltas:
-                fs.delete(path(d), True)
+    COLUMNS = "sn string, model string, first_activity_time timestamp_ntz, sign int"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _rows(self, weeks: Sequence | None = None, but: str | None = None) -> DataFrame:
+        schema = f"{self.COLUMNS}, week_start date, batch string"
+        try:
+            df = self.spark.read.schema(schema).parquet(self.root)
+        except AnalysisException:
+            return self.spark.createDataFrame([], self.COLUMNS)
+        if weeks is not None:
+            df = df.filter(F.col("week_start").isin(list(weeks)) if weeks else F.lit(False))
+        if but is not None:
+            df = df.filter(F.col("batch") != but)
+        return df.select("sn", "model", "first_activity_time", "sign")
+
+    def read(self, weeks: Sequence | None = None, moves: DataFrame | None = None, batch: str | None = None) -> DataFrame:
+        """sn, model, first_activity_time of the units that start in ``weeks`` (all weeks: ``None``).
+
+        ``moves``: rows of ``batch`` that count as if they were written already.
+        """
+        rows = self._rows(weeks, batch)
+        if moves is not None:
+            more = moves if weeks is None else moves.filter(
+                C.week_start("first_activity_time").isin(list(weeks)) if weeks else F.lit(False))
+            rows = rows.unionByName(more.select(*rows.columns))
+        return (rows.groupBy("sn", "model", "first_activity_time").agg(F.sum("sign").alias("n")).where("n > 0").drop("n"))
+
+    def moves(self, first: DataFrame) -> DataFrame:
+        """Signed rows that bring the units of ``first`` (sn, model, first_activity_time) to their earliest time.
+
+        Also takes out times that a write cut short has left behind.
+        """
+        now = self.read()
+        held = now.join(first.select("sn", "model"), C.null_safe_key(now, first, ["sn", "model"]), "left_semi")
+        both = (held.withColumn("held", F.lit(True)).unionByName(first.select(*held.columns).withColumn("held", F.lit(False))))
+        t = F.col("first_activity_time")
+        unit = both.groupBy("sn", "model").agg(  # a unit holds one time, two after a write that was cut short
+            F.min(t).alias("t"), F.collect_set(F.when(F.col("held"), t)).alias("times"))
+        out = F.transform(F.filter("times", lambda x: x > F.col("t")), lambda x: F.struct(x.alias("t"), F.lit(-1).alias("sign")))
+        into = F.when(F.array_contains("times", F.col("t")), F.array().cast("array<struct<t:timestamp_ntz,sign:int>>")).otherwise(
+            F.array(F.struct(F.col("t").alias("t"), F.lit(1).alias("sign"))))
+        return unit.select("sn", "model", F.explode(F.concat(out, into)).alias("m")).select(
+            "sn", "model", F.col("m.t").alias("first_activity_time"), F.col("m.sign").alias("sign"))
+
+    def add(self, moves: DataFrame, batch: str) -> None:
+        """Write the moves of ``batch``; a second write of the same batch replaces the first."""
+        (moves.select("sn", "model", "first_activity_time", "sign", C.week_start("first_activity_time").alias("week_start"),
+                      F.lit(batch).alias("batch"))
+         .repartition("week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("week_start", "batch").parquet(self.root))

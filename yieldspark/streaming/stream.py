@@ -9,18 +9,22 @@
 * ``dedup_within_watermark`` (I2): bounded-state de-duplication of a
   re-delivered stream, for keys that recur only within the watermark.
 * ``start_kpi_refresh`` (I3): late data re-computes only the affected days /
-  weeks from the log and upserts them into the KPI tables.
-* ``windowed_station_counts`` (I4): hourly and ISO-week tumbling windows with
-  a watermark, for a continuously growing log.
+  weeks from the log and upserts them into the KPI tables; first activities
+  are the stream's state.
+* ``windowed_station_counts``, ``start_station_hourly`` (I4): hourly and
+  ISO-week tumbling windows with a watermark, for a continuously growing log,
+  and their upsert into the hourly table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from .. import schemas, session
 from ..config import DEFAULT, YieldConfig
@@ -29,7 +33,8 @@ from ..operators import ingest, packing, station, tpy
 from ..sources import reports
 from ..sources.logstore import LogStore
 from ..sources.reports import FILE_COL, ROW_COL
-from ..sources.sinks import MinTable, VersionedTable
+from ..sources.sinks import FirstActivity, PeriodTable
+from . import units
 
 
 # NOT NULL columns of each log (rows missing one go to quarantine, Q21).
@@ -165,61 +170,64 @@ def _source_days(touched_days: list) -> list:
     return sorted(out)
 
 
-def touched_weeks(batch: DataFrame, before: DataFrame | None, first: DataFrame) -> list[_dt.date]:
-    """Weeks whose numbers a batch can change: those of its rows, and both weeks of a first activity that moved."""
-    weeks = batch.select(C.week_start(C.END).alias("w"))
-    new = first.select("sn", "model", F.col("first_activity_time").alias("t"))
-    if before is not None:
-        j = new.join(before, C.null_safe_key(new, before, ["sn", "model"]), "left")
-        moved = j.filter(before["first_activity_time"].isNull() | (F.col("t") < before["first_activity_time"]))
-        weeks = weeks.union(moved.select(C.week_start("t"))).union(moved.select(C.week_start(before["first_activity_time"])))
-    else:
-        weeks = weeks.union(new.select(C.week_start("t")))
-    return sorted(r["w"] for r in weeks.distinct().collect() if r["w"] is not None)  # bounded by the calendar
-
-
 def on_days(log: DataFrame, days: list[_dt.date]) -> DataFrame:
     from ..sources.logstore import PARTITION_COL
     day = F.col(PARTITION_COL) if PARTITION_COL in log.columns else C.to_day(C.END)
     return log.filter(day.isin(days))
 
 
-def kpi_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
-    return VersionedTable(spark, f"{root.rstrip('/')}/{name}", schemas.KPI_TABLES[name], null_keys=schemas.KPI_NULL_KEYS)
+def kpi_table(spark: SparkSession, root: str, name: str) -> PeriodTable:
+    period, kind = schemas.KPI_PERIODS[name]
+    return PeriodTable(spark, f"{root.rstrip('/')}/{name}", schemas.KPI_TABLES[name], period, kind, schemas.KPI_NULL_KEYS)
 
 
-def first_activity_table(spark: SparkSession, root: str) -> MinTable:
-    return MinTable(spark, f"{root.rstrip('/')}/first_activity", ("sn", "model"), "first_activity_time")
+def first_activity_table(spark: SparkSession, root: str) -> FirstActivity:
+    return FirstActivity(spark, f"{root.rstrip('/')}/first_activity")
 
 
 def refresh_kpis(batch: DataFrame, log: DataFrame, out_root: str, cfg: YieldConfig = DEFAULT,
                  now: _dt.datetime | None = None, also_weeks: Sequence[_dt.date] = ()) -> dict[str, int]:
-    """Late data (I3): recompute what ``batch`` (rows already in ``log``) can change, and upsert it.
-
-    * The log is read only for the touched weeks (partition pruning on
-      ``end_date``); the lists of days and weeks are bounded by the calendar.
-    * Starters of a week need first activities over all history: they are kept
-      in their own table, to which a batch adds its rows (minimum at reading).
-      If a first activity moves, the week that it leaves is recomputed, too.
-    * Packing re-computes a touched weekend together with its Friday, so the
-      upsert never replaces a full count with a partial one (Q5).
+    """Late data (I3): recompute what ``batch`` (rows already in ``log``) can change, and upsert it; rows written per table.
+
+    The moves of first activities are found by a join with the kept ones and written last, so a run that fails finds the
+    same moves again. ``start_kpi_refresh`` keeps them as state of a stream instead.
+    """
+    spark = log.sparkSession
+    firsts = first_activity_table(spark, out_root)
+    with session.Cuts(spark) as cuts:
+        moves = cuts.cut(firsts.moves(cuts.cut(tpy.first_activity(tpy.prod(batch, cfg)), "first")), "moves")
+        days = [r[0] for r in batch.select(C.to_day(C.END)).distinct().collect() if r[0] is not None]
+        name = uuid.uuid4().hex
+        out = refresh_touched(log, out_root, days, moves, firsts, name, cfg, now, also_weeks)
+        if moves.take(1):
+            firsts.add(moves, name)
+    return out
+
+
+def refresh_touched(log: DataFrame, out_root: str, days: Sequence[_dt.date], moves: DataFrame, firsts: FirstActivity,
+                    batch: str, cfg: YieldConfig = DEFAULT, now: _dt.datetime | None = None,
+                    also_weeks: Sequence[_dt.date] = ()) -> dict[str, int]:
+    """Recompute the KPI rows that depend on ``days`` and on first activities that ``moves`` changes.
+
+    * The weeks are those of the days, and both weeks of every first activity that moves. The log is read for them alone
+      (partition pruning on ``end_date``), and so are the first activities (folders by week); lists of days and weeks are
+      bounded by the calendar.
+    * Packing re-computes a touched weekend together with its Friday, so the upsert never replaces a full count with a
+      partial one (Q5).
     """
     spark = log.sparkSession
-    fa = first_activity_table(spark, out_root)
     at = C.ts_lit(now) if now else F.current_timestamp().cast("timestamp_ntz")
+    moved = [r[0] for r in moves.select(C.week_start("first_activity_time")).distinct().collect()]
+    days = sorted(days)
+    weeks = sorted({*moved, *also_weeks, *(tpy.week_of(d) for d in days)})
+    if not weeks:
+        return {}
     with session.Cuts(spark) as cuts:
-        first = cuts.cut(tpy.first_activity(tpy.prod(batch, cfg)), "first")
-        weeks = sorted({*touched_weeks(batch, fa.read() if fa.exists() else None, first), *also_weeks})
-        days = sorted(r[0] for r in batch.select(C.to_day(C.END)).distinct().collect() if r[0] is not None)
-        fa.add(first)
-        if not weeks:
-            return {}
         week_days = [w + _dt.timedelta(days=i) for w in weeks for i in range(7)]
         part = on_days(log, week_days)
         ud, sd = cuts.cut(tpy.unit_day(part, cfg), "unit_day"), cuts.cut(tpy.station_day(part, cfg), "station_day")
-        kept = cuts.cut(fa.read(), "first_activity")
-        starters = tpy.starters_by_week(kept).filter(F.col("week_start").isin(weeks))
-        daily = cuts.cut(tpy.tpy_daily(sd, starters), "daily")
+        kept = cuts.cut(firsts.read(weeks, moves, batch), "first_activity")
+        daily = cuts.cut(tpy.tpy_daily(sd, tpy.starters_by_week(kept)), "daily")
         folded = {d - _dt.timedelta(days=max(d.weekday() - 4, 0)) for d in week_days if d in set(days)}
         out = {
             "daily_tpy_metrics": kpi_table(spark, out_root, "daily_tpy_metrics").upsert(daily.withColumn("created_at", at)),
@@ -235,17 +243,52 @@ def refresh_kpis(batch: DataFrame, log: DataFrame, out_root: str, cfg: YieldConf
     return out
 
 
+def _log_stream(spark: SparkSession, log_path: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(spark.read.parquet(log_path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(log_path)
+
+
+def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = writer.option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
 def start_kpi_refresh(spark: SparkSession, log_path: str, out_root: str, checkpoint: str, available_now: bool = True,
                       cfg: YieldConfig = DEFAULT, now: _dt.datetime | None = None, max_files_per_trigger: int | None = None):
-    """Stream over the log directory; each batch refreshes the KPI rows that it can change."""
-    log_schema = spark.read.parquet(log_path).schema
+    """Stream over the log directory; each batch refreshes the KPI rows that it can change.
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        refresh_kpis(batch, spark.read.parquet(log_path), out_root, cfg, now)
+    First activities are the state of the stream, one value per unit: a batch looks up its own units, however many there
+    are in all. Their moves are written beside the state, in the checkpoint folder, as both live and die together; a batch
+    that runs again writes the same moves in the same place.
+    """
+    firsts = FirstActivity(spark, f"{checkpoint.rstrip('/')}/first_activity_moves")
 
-    reader = spark.readStream.schema(log_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    w = reader.parquet(log_path).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    def fn(events: DataFrame, batch_id: int) -> None:
+        with session.Cuts(spark) as cuts:
+            events = cuts.cut(events, "events")
+            moves, days = units.moves(events), [r[0] for r in units.touched_days(events).collect()]
+            refresh_touched(spark.read.parquet(log_path), out_root, days, moves, firsts, str(batch_id), cfg, now)
+            if moves.take(1):
+                firsts.add(moves, str(batch_id))
+
+    events = units.unit_events(_log_stream(spark, log_path, max_files_per_trigger), cfg)
+    return _start(events.writeStream.outputMode("update").foreachBatch(fn), checkpoint, available_now)
+
+
+def start_station_hourly(spark: SparkSession, log_path: str, out_root: str, checkpoint: str, available_now: bool = True,
+                         delay: str = "2 days", name: str = "station_hourly_summary", max_files_per_trigger: int | None = None):
+    """Hourly station counts from a growing log into their KPI table.
+
+    Update mode: a batch hands over the windows that it changed, with their whole counts, and these are upserted, so a
+    batch that runs again changes nothing. Rows later than ``delay`` behind the newest are not counted by the stream;
+    ``start_kpi_refresh`` counts their days again from the log.
+    """
+    def fn(windows: DataFrame, batch_id: int) -> None:
+        rows = windows.select(F.to_date("window_start").alias("date"), F.hour("window_start").cast("int").alias("hour"),
+                              C.STATION, "part_count")
+        kpi_table(spark, out_root, name).upsert(rows)
+
+    counts = windowed_station_counts(_log_stream(spark, log_path, max_files_per_trigger), "1 hour", delay)
+    return _start(counts.writeStream.outputMode("update").foreachBatch(fn), checkpoint, available_now)
