@@ -138,7 +138,7 @@ def test_upsert_reads_and_writes_the_touched_periods_only(spark, scratch):
     assert {f.split("/d=")[1][:10] for f, _ in set(before.items()) ^ set(after.items())} == {"2024-01-02"}
     assert stored(t) == sorted([(D1, "a", 1), (D2, "a", 1), (D2, "b", 2), (D2, "c", 2), (None, "a", 1), (D3, None, 1)], key=str)
     t.upsert(days(spark, (None, "a", 5), (D3, None, 5)))  # NULL periods and keys are equal to themselves
-    assert stored(t)[-1] == (None, "a", 5) and len(stored(t)) == 6
+    assert {(None, "a", 5), (D3, None, 5)} < set(stored(t)) and len(stored(t)) == 6
     plan = t._touched(days(spark, (D1, "x", 0)))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "2024-01-01" in plan or "19723" in plan
 

@@ -163,6 +163,66 @@ def test_file_atomic_ingest_rejects_the_whole_file(spark, scratch):
     assert sorted(r.reason for r in spark.read.parquet(f"{log_path}_quarantine").collect()) == ["file rejected", "null sn"]
 
 
+def _damage(src, to, how):
+    with open(src, "rb") as f:
+        data = bytearray(f.read())
+    if how == "tail":      # no footer
+        data = data[:len(data) // 2]
+    elif how == "page":    # the footer is whole, a data page is not
+        data[60:len(data) // 3] = b"\xff" * (len(data) // 3 - 60)
+    with open(to, "wb") as f:
+        f.write(data)
+
+
+def test_broken_files_do_not_stop_the_others(spark, scratch):
+    import glob
+    drop, log_path = os.path.join(scratch, "drop"), os.path.join(scratch, "log")
+    head = ["SN", "Model", "Workstation Name", "History Station End Time"]
+    _csv(f"{drop}/good 1.csv", head, [["S1", "M1", "VI2", T1], ["S2", "M1", "VI2", T1, "too", "many"], ["S3", "M1", "VI2", T1]])
+    with open(f"{drop}/rubbish.csv", "wb") as f:
+        f.write(bytes(range(256)) * 20)
+    with open(f"{drop}/empty.csv", "w") as f:
+        f.write("\n \n")
+    cols = ["SN", "Workstation Name", "History Station End Time"]
+
+    def parquet(name, rows, names=cols):
+        spark.createDataFrame(rows, names).coalesce(1).write.parquet(os.path.join(scratch, name))
+        return glob.glob(os.path.join(scratch, name, "*.parquet"))[0]
+
+    import shutil
+    many = [(f"P{i:05d}{i * i * 7919 % 100003}", "FQC", T1) for i in range(20_000)]
+    shutil.copy(parquet("a", many[:10]), f"{drop}/a.parquet")
+    shutil.copy(parquet("b", [("FI", T1, "x", "Q1")], ["Workstation Name", "History-Station End Time", "Other", "sn"]), f"{drop}/b.parquet")
+    _damage(parquet("c", many), f"{drop}/no footer.parquet", "tail")
+    _damage(parquet("d", many), f"{drop}/bad page.parquet", "page")
+    shutil.copy(parquet("e", [], "SN string"), f"{drop}/no rows.parquet")
+    with open(f"{drop}/text.parquet", "w") as f:
+        f.write("no parquet at all")
+    counts = {}
+    for ck in ("ck1", "ck2"):  # the second time nothing is new
+        stream.start_report_ingest(spark, drop, log_path, os.path.join(scratch, ck),
+                                   on_batch=lambda _, n: counts.update(n)).awaitTermination(300)
+    assert counts["added"] == 0 and counts["quarantined"] == 6
+    assert sorted(r.sn[:2] for r in spark.read.parquet(log_path).collect()) == ["P0"] * 10 + ["Q1", "S1", "S3"]
+    q = spark.read.parquet(f"{log_path}_quarantine").dropDuplicates(["source_file", "reason"]).collect()
+    assert sorted((os.path.basename(r.source_file).replace("%20", " "), r.reason.split(" of ")[0][:23]) for r in q) == [
+        ("bad page.parquet", "unreadable: 0"), ("empty.csv", "unreadable: no header"), ("good 1.csv", "malformed row"),
+        ("no footer.parquet", "unreadable: no Parquet "), ("rubbish.csv", "unreadable: no known co"),
+        ("text.parquet", "unreadable: no Parquet ")]
+
+
+def test_parquet_files_whose_types_differ(spark, scratch):
+    import glob
+    import shutil
+    from yieldspark.sources import reports
+    drop = os.path.join(scratch, "drop")
+    os.makedirs(drop)
+    for i, (row, names) in enumerate([((1, "a"), ["SN", "Model"]), (("x", 2), ["SN", "Model"])]):
+        spark.createDataFrame([row], names).coalesce(1).write.parquet(os.path.join(scratch, str(i)))
+        shutil.copy(glob.glob(os.path.join(scratch, str(i), "*.parquet"))[0], f"{drop}/{i}.parquet")
+    assert sorted((r.sn, r.model) for r in reports.scan_reports(spark, drop).collect()) == [("1", "a"), ("x", "2")]
+
+
 def test_windowed_hourly_counts_equal_batch(spark, scratch):
     src = os.path.join(scratch, "wl")
     fx.workstation_log(spark, SF).write.parquet(src)

@@ -16,12 +16,12 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, YieldConfig
 from ..functions import columns as C
-from ..sources.reports import FILE_COL, ROW_COL, normalize_headers
+from ..sources.reports import BAD_COL, FILE_COL, ROW_COL, normalize_headers
 from . import dedup
 
 
 def conform(df: DataFrame, schema: T.StructType, data_source: str | None = None,
-            cfg: YieldConfig = DEFAULT, keep: Sequence[str] = (FILE_COL, ROW_COL),
+            cfg: YieldConfig = DEFAULT, keep: Sequence[str] = (FILE_COL, ROW_COL, BAD_COL),
             start_falls_back_to_end: bool = False) -> DataFrame:
     """Map any report layout onto ``schema``.
 
@@ -107,11 +107,14 @@ def load_report(incoming: DataFrame, log: DataFrame, keys: Sequence[str], file_c
 
 
 def mark_rejected(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """``df`` plus ``reason``: the first required column that is NULL, NULL for good rows."""
+    """``df`` plus ``reason``: that the row could not be read, or its first required column that is NULL; NULL for good
+    rows (A14, Q21)."""
     reason = F.lit(None).cast("string")
     for c in reversed(list(required)):
         reason = F.when(F.col(c).isNull(), F.lit(f"null {c}")).otherwise(reason)
-    return df.withColumn("reason", reason)
+    if BAD_COL in df.columns:
+        reason = F.coalesce(F.col(BAD_COL), reason)
+    return df.withColumn("reason", reason).drop(BAD_COL)
 
 
 def split_marked(marked: DataFrame, file_col: str = FILE_COL, file_atomic: bool = False) -> tuple[DataFrame, DataFrame]:

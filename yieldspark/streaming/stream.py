@@ -22,7 +22,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -60,46 +60,62 @@ def conform_report(rows: DataFrame, kind: str, cfg: YieldConfig = DEFAULT) -> Da
 
 
 def ingest_rows(rows: DataFrame, log: LogStore, quarantine: str, cfg: YieldConfig = DEFAULT, kind: str = "workstation",
-                now: _dt.datetime | None = None, file_atomic: bool = False) -> dict[str, int]:
+                now: _dt.datetime | None = None, file_atomic: bool = False, expected: DataFrame | None = None) -> dict[str, int]:
     """One batch of report rows: conform -> quarantine -> first row per key -> anti join against the log -> append.
 
     Rejected rows are appended to the quarantine table with file, reason and
     the row as JSON. ``file_atomic``: one bad row rejects its whole file, as
-    the row-by-row loader with its per-file rollback does. The marked rows are
-    written once and both sides read that table.
+    the row-by-row loader with its per-file rollback does. ``expected``: file
+    and number of rows; a file that came up short is damaged, none of its rows
+    is loaded and the file is one quarantine row. The marked rows are written
+    once and all that follows reads that table; counts are taken by the writes
+    themselves (A15), no job only counts.
     """
     schema, _ = schemas.LOGS[kind]
     spark = rows.sparkSession
     with session.Cuts(spark) as cuts:
-        marked = cuts.cut(ingest.mark_rejected(conform_report(rows, kind, cfg), list(REQUIRED[kind])), "ingest")
+        seen = Observation()
+        marked = ingest.mark_rejected(conform_report(rows, kind, cfg), list(REQUIRED[kind]))
+        marked = cuts.cut(marked.observe(seen, F.count(F.lit(1)).alias("n"), F.count("reason").alias("bad")), "ingest")
+        out = {"rows_read": seen.get["n"], "added": 0, "quarantined": 0}
+        n_bad = seen.get["bad"]
+        if expected is not None:
+            damaged = cuts.cut(reports.short_files(marked, expected), "damaged")
+            if damaged.take(1):
+                out["quarantined"] += _quarantine(damaged.withColumn("row", F.lit(None).cast("string")), quarantine)
+                marked = marked.join(damaged.select(FILE_COL), FILE_COL, "left_anti")
         good, bad = ingest.split_marked(marked, file_atomic=file_atomic)
-        cells = [c for c in good.columns if c not in (FILE_COL, ROW_COL)]
-        bad = cuts.cut(bad.select(FILE_COL, "reason", F.to_json(F.struct(*cells)).alias("row")), "rejected")
-        n_bad = bad.count()
         if n_bad:
-            bad.write.mode("append").parquet(quarantine)
+            cells = [c for c in good.columns if c not in (FILE_COL, ROW_COL)]
+            out["quarantined"] += _quarantine(bad.select(FILE_COL, "reason", F.to_json(F.struct(*cells)).alias("row")), quarantine)
         stamped = good.drop(FILE_COL)
         if "created_at" in schema.fieldNames():
             at = C.ts_lit(now) if now else F.current_timestamp().cast("timestamp_ntz")
             stamped = stamped.withColumn("created_at", at)
-        n = marked.count()
-        return {"rows_read": n, "added": log.append(stamped), "quarantined": n_bad}
+        out["added"] = log.append(stamped)
+        return out
+
+
+def _quarantine(rows: DataFrame, path: str) -> int:
+    """Append to the quarantine table; how many rows."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
 
 
 def ingest_files(spark: SparkSession, files: list[str], log: LogStore, quarantine: str, cfg: YieldConfig = DEFAULT,
                  kind: str = "workstation", now: _dt.datetime | None = None, file_atomic: bool = False) -> dict[str, int]:
-    """Report files of any kind into the log; an unreadable file is one quarantine row."""
-    rows, errors = reports.scan_files(spark, files, column_names(kind))
+    """Report files of any kind into the log; a file that cannot be read is one quarantine row, the others are loaded."""
+    scan = reports.scan_files(spark, files, column_names(kind))
     out = {"rows_read": 0, "added": 0, "quarantined": 0}
-    if errors is not None:
-        broken = errors.select(FILE_COL, "reason", F.lit(None).cast("string").alias("row"))
+    if scan.errors is not None:
+        broken = scan.errors.select(FILE_COL, "reason", F.lit(None).cast("string").alias("row"))
         with session.Cuts(spark) as cuts:
             broken = cuts.cut(broken, "broken")
-            out["quarantined"] = broken.count()
-            if out["quarantined"]:
-                broken.write.mode("append").parquet(quarantine)
-    if rows is not None:
-        for k, v in ingest_rows(rows, log, quarantine, cfg, kind, now, file_atomic).items():
+            if broken.take(1):
+                out["quarantined"] = _quarantine(broken, quarantine)
+    if scan.rows is not None:
+        for k, v in ingest_rows(scan.rows, log, quarantine, cfg, kind, now, file_atomic, scan.expected).items():
             out[k] += v
     return out
 
