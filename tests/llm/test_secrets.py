@@ -105,3 +105,21 @@ def test_no_python_in_plan(make_docs):
 
 def test_empty_table(no_docs):
     assert q.digest(no_docs).count() == 0 and q.redact(no_docs).count() == 0
+
+
+def test_long_runs_take_linear_time(make_docs):
+    """A megabyte of one run, with and without digits, of one character and of many."""
+    import string
+    import time
+    rnd = random.Random(11)
+    alphabet = string.ascii_letters + string.digits
+    texts = ["q" * 1_000_000, "Z" * 1_000_000, "".join(rnd.choice(string.ascii_letters) for _ in range(1_000_000)),
+             "".join(rnd.choice(alphabet) for _ in range(1_000_000)), "0" * 1_000_000 + "f", "x1" * 300_000]
+    docs = make_docs([(i, t) for i, t in enumerate(texts)])
+    q.digest(docs.limit(0)).collect()
+    at = time.perf_counter()
+    got = {r.doc_id: r.spans for r in q.digest(docs).collect()}
+    assert time.perf_counter() - at < 120
+    assert got[0] == got[1] == got[2] == "" and got[4] == "hex:0:1000001" and got[5] == ""
+    lo, hi = map(int, got[3].split(":")[1:])
+    assert got[3].startswith("entropy_base64:") and lo < 50 and hi > 999_950

@@ -13,7 +13,9 @@ Two kinds of findings, as code-point spans (end exclusive) of the whole text:
   a span of its own. The allow-list never touches pattern findings.
 
 Entropy is held in integers (a table of ``c * log2(c)`` scaled by 2**20), so a
-window's value does not depend on the windows before it.
+window's value does not depend on the windows before it. The counts of a window
+are packed, ``PER`` symbols of 5 bits to a long, so that a step changes two of a
+few numbers whatever the size of the alphabet.
 
 Defined cases: a NULL or empty text has no spans and stays as it is; every row
 is scanned by itself, so ties, repeated rows and ids need no rule; an empty
@@ -38,6 +40,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 
 SCALE = 1 << 20
+PER, BITS = 12, 5
 
 
 @dataclass(frozen=True)
@@ -47,19 +50,19 @@ class CharClass:
     alphabet: str    # the same characters, listed
     window: int
     bits: float      # least entropy of a window
-    mixed: str       # what a candidate must look like besides (regular expression)
+    mixed: str       # what a candidate must look like besides (regular expression, anchored: one look at a run, not one per place)
     skip: str = ""   # whole runs left to another class
 
 
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 CLASSES = (
-    CharClass("entropy_hex", "[0-9a-f]", _DIGIT + "abcdef", 20, 3.0, r"(?=.*[0-9])(?=.*[a-f])"),
+    CharClass("entropy_hex", "[0-9a-f]", _DIGIT + "abcdef", 20, 3.0, r"^(?=.*[0-9])(?=.*[a-f])"),
     CharClass("entropy_base64", "[A-Za-z0-9+/_=-]", _UPPER + _LOWER + _DIGIT + "+/_=-", 20, 3.75,
-              r"(?=.*[0-9])(?=.*[A-Za-z])", r"^[0-9a-f]+$"),
+              r"^(?=.*[0-9])(?=.*[A-Za-z])", r"^[0-9a-f]+$"),
     # Upper-case and mixed-case keys; 16 symbols of either case never reach the bits of the class above reliably.
-    CharClass("entropy_hex_any", "[0-9A-Fa-f]", _DIGIT + "abcdefABCDEF", 20, 3.0, r"(?=.*[0-9])(?=.*[A-Fa-f])", r"^[0-9a-f]+$"),
+    CharClass("entropy_hex_any", "[0-9A-Fa-f]", _DIGIT + "abcdefABCDEF", 20, 3.0, r"^(?=.*[0-9])(?=.*[A-Fa-f])", r"^[0-9a-f]+$"),
     # At 3.2 bits, 1.5 in 1,000 windows of random base32 are missed (50,000 drawn).
-    CharClass("entropy_base32", "[A-Z2-7]", _UPPER + "234567", 20, 3.2, r"(?=.*[2-7])(?=.*[A-Z])"),
+    CharClass("entropy_base32", "[A-Z2-7]", _UPPER + "234567", 20, 3.2, r"^(?=.*[2-7])(?=.*[A-Z])"),
 )
 
 #: What looks random in a run and is no secret: published example keys, UUIDs, digests of the empty input, counting runs,
@@ -123,23 +126,38 @@ def limit(cls: CharClass) -> int:
 
 def hot_range(run: Column, cls: CharClass) -> Column:
     """struct<lo, hi>: start of the first and end of the last window at or over the threshold; lo is -1 for none."""
-    w, most = cls.window, limit(cls)
+    w, most, n = cls.window, limit(cls), len(cls.alphabet)
+    if w >= 1 << BITS:
+        raise ValueError(f"a window of {w} characters does not fit {BITS} bits")
     table = F.array(*[F.lit(weighted(c)).cast("long") for c in range(w + 2)])
     codes = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(cls.alphabet), c) - 1)
+    # Of each symbol: the long that holds its count, the count's place there and one at that place.
+    word, place = ([f(i) for i in range(n)] for f in (lambda i: i // PER, lambda i: i % PER * BITS))
+    words, places = (F.array(*[F.lit(x) for x in xs]) for xs in (word, place))
+    ones = F.array(*[F.lit(1 << p).cast("long") for p in place])
+    zero_long = F.lit(0).cast("long")
 
     def walk(a: Column, g: Column) -> Column:
-        zero = F.struct(F.array_repeat(F.lit(0), len(cls.alphabet)).alias("cnt"), F.lit(0).cast("long").alias("sum"),
+        zero = F.struct(F.array_repeat(zero_long, word[-1] + 1).alias("cnt"), zero_long.alias("sum"),
                         F.lit(-1).alias("lo"), F.lit(0).alias("hi"))
 
+        def count(cnt: Column, symbol: Column) -> Column:
+            return F.call_function("shiftright", F.get(cnt, F.get(words, symbol)), F.get(places, symbol)).bitwiseAND((1 << BITS) - 1).cast("int")
+
         def step(acc: Column, i: Column) -> Column:
-            enter, leave = F.get(a, i), F.coalesce(F.get(a, i - w), F.lit(-1))
-            cnt, same = acc["cnt"], F.get(a, i) == F.coalesce(F.get(a, i - w), F.lit(-1))
-            n_in, n_out = F.get(cnt, enter), F.get(cnt, leave)
+            return let(F.struct(F.get(a, i).alias("enter"), F.coalesce(F.get(a, i - w), F.lit(-1)).alias("leave")),
+                       lambda x: slide(acc, i, x["enter"], x["leave"]))
+
+        def slide(acc: Column, i: Column, enter: Column, leave: Column) -> Column:
+            cnt, same, full = acc["cnt"], enter == leave, leave >= 0
             total = F.when(same, acc["sum"]).otherwise(
-                acc["sum"] + F.get(g, n_in + 1) - F.get(g, n_in)
-                + F.when(leave >= 0, F.get(g, n_out - 1) - F.get(g, n_out)).otherwise(F.lit(0).cast("long")))
-            counts = F.when(same, cnt).otherwise(F.transform(cnt, lambda c, k: (
-                c + F.when(k == enter, 1).when(k == leave, -1).otherwise(0))))
+                acc["sum"] + let(count(cnt, enter), lambda c: F.get(g, c + 1) - F.get(g, c))
+                + F.when(full, let(count(cnt, leave), lambda c: F.get(g, c - 1) - F.get(g, c))).otherwise(zero_long))
+            change = F.struct(F.get(words, enter).alias("k"), F.get(ones, enter).alias("one"),
+                              F.when(full, F.get(words, leave)).otherwise(-1).alias("l"),
+                              F.when(full, F.get(ones, leave)).otherwise(zero_long).alias("off"))
+            counts = F.when(same, cnt).otherwise(let(change, lambda d: F.transform(cnt, lambda c, k: (
+                c + F.when(k == d["k"], d["one"]).otherwise(zero_long) - F.when(k == d["l"], d["off"]).otherwise(zero_long)))))
             return let(total, lambda s: let((i >= w - 1) & (s <= F.lit(most).cast("long")), lambda hot: F.struct(
                 counts.alias("cnt"), s.alias("sum"),
                 F.when(hot & (acc["lo"] < 0), i - (w - 1)).otherwise(acc["lo"]).alias("lo"),
