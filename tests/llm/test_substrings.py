@@ -51,10 +51,39 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("hot", [q.HOT, 0])
-def test_removal_matches_brute_force(make_docs, hot):
+@pytest.mark.parametrize("shard_bytes", [q.SHARD_BYTES, 2000, 0])
+def test_removal_matches_brute_force(make_docs, shard_bytes):
+    """Also where groups have to be dealt out again, some of them or all of them down to single windows."""
     r = rows()
-    assert result(q.digest(make_docs(r), hot=hot)) == brute(r, 200)
+    assert result(q.digest(make_docs(r), shard_bytes=shard_bytes)) == brute(r, 200)
+
+
+def test_ten_thousand_contexts_of_one_anchor(make_docs):
+    """A passage in very many surroundings: the groups stay within the bound, the result is that of brute force."""
+    rnd = random.Random(4)
+    passage = " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 6) for _ in range(50))[:170]
+    r = [(i, f"{i * 7919 % 100003:06d} {passage} {i * 104729 % 1000003:07d} " + "z" * (i % 3) + str(i)) for i in range(10_000)]
+    r += [(20_000 + i, "left " * 8 + passage + " right" * 8) for i in range(3)]
+    assert result(q.digest(make_docs(r))) == brute(r, 200)
+
+
+def test_halves_keep_every_window_once_and_equal_ones_together():
+    rnd = random.Random(9)
+    core = bytes(rnd.choice(b"ab") for _ in range(32))
+    todo = [(1, core.join((bytes(rnd.choice(b"ab") for _ in range(168)), bytes(rnd.choice(b"ab") for _ in range(168)))), 169, 168, 200, 0)
+            for _ in range(3)]
+    want = sorted(d[i:i + 200] for _, d, n, *_ in todo for i in range(n))
+    rounds = 0
+    while todo[0][4] - todo[0][3] < 200:
+        rounds += 1
+        todo = [(g, d, m, a, b, 0) for g0, d0, n, lo, hi, _ in todo for g, _, at, m, d, a, b in q.halves(g0, d0, n, lo, hi)]
+        assert all(i <= a and b <= i + 200 for _, _, n, a, b, _ in todo for i in range(n))  # what is shared is in every window
+        assert sorted(d[i:i + 200] for _, d, n, *_ in todo for i in range(n)) == want
+    assert rounds == 8 and all(n == 1 and len(d) == 200 for _, d, n, *_ in todo)
+    by_group = {}
+    for g, d, *_ in todo:
+        by_group.setdefault(g, set()).add(d)
+    assert all(len(x) == 1 for x in by_group.values()) and len(by_group) == len(set(want))
 
 
 def test_small_shards_and_pieces_change_nothing(make_docs, monkeypatch):

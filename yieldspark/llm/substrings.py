@@ -13,8 +13,18 @@ contexts of the rest are counted (combined before the shuffle, so a text with
 a million copies is one context of weight a million), and one occurrence each
 is read from its text.
 
-Deciding. Contexts are dealt out by anchor and taken in shards of at most
-``SHARD_BYTES``. Over a shard's contexts a Burrows-Wheeler transform is built
+Dealing. Contexts are dealt out by what they are known to share: first the
+anchor. Contexts of one anchor that are more than ``SHARD_BYTES`` together (a
+passage in very many surroundings) are dealt out again by more of it: a window
+has bytes left and right of what is shared, and half of them stand on one side,
+so each context is cut into the windows that have that half on the left and
+those that have it on the right, and the half joins what is shared. Equal
+windows are cut alike and still meet; equal pieces are counted into one. What
+is left open halves each time, so after eight rounds nothing is, and every
+group is within the bound at every size of the input.
+
+Deciding. Groups are taken in shards of about ``SHARD_BYTES``. Over a shard's
+contexts or pieces a Burrows-Wheeler transform is built
 in a wavelet matrix; intervals of suffixes are extended backwards, breadth
 first, by all symbols that occur in them. The intervals found in round ``l``
 are where neighbouring suffixes have exactly ``l`` bytes in common, so common
@@ -22,10 +32,6 @@ prefixes are found by increasing value; after ``length`` rounds the search
 stops, and suffixes not parted by then share their first ``length`` bytes.
 Such a class is a repeat if its windows weigh two or more.
 
-An anchor with more than ``HOT`` different contexts (a passage in very many
-surroundings) is not taken into one shard: its windows are counted by a
-128-bit hash over all tasks instead.
-
 Defined cases: a NULL or empty text has no bytes; a text shorter than
 ``length`` loses nothing; rows are told apart by id and text, rows equal in
 both are repeats of each other like any other rows; an empty table gives an
@@ -48,7 +54,7 @@ from .common import cut, fresh
 from .decontam import Wavelet, slices, suffix_array
 
 LENGTH, GRAM = 200, 32
-SLICE_BYTES, PIECE, SHARD_BYTES, HOT = 1 << 20, 1 << 20, 1 << 20, 2000
+SLICE_BYTES, PIECE, SHARD_BYTES = 1 << 20, 1 << 20, 1 << 20
 _RUNS = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 RUNS = "array<struct<lo:int,hi:int>>"
 
@@ -223,27 +229,90 @@ def repeated_runs(texts: list[bytes], n: list[int], weight: list[int], length: i
     return out
 
 
-def with_partner(rows: list[tuple], length: int = LENGTH, gram: int = GRAM) -> list[tuple]:
-    """The contexts of one anchor that can hold a repeat.
+def with_partner(rows: list[tuple], length: int = LENGTH) -> list[tuple]:
+    """The pieces of one group (group, piece, n, weight, bytes, left, right) that can hold a repeat.
 
-    A window has ``length`` - ``gram`` bytes besides the anchor, so half of them stand on one side of it: a repeat with
-    another context needs equal flanks of that size on the left or on the right.
+    A window has ``length`` bytes less the shared ones besides these, so half of them stand on one side: a repeat with
+    another piece needs equal flanks of that size on the left or on the right.
     """
     if len(rows) == 1:
         return rows if rows[0][3] > 1 else []
-    side = (length - gram + 1) // 2
+    side = (length - rows[0][6] + rows[0][5] + 1) // 2
     lefts = [r[4][r[5] - side:r[5]] if r[5] >= side else None for r in rows]
-    rights = [r[4][r[5] + gram:r[5] + gram + side] if r[5] + gram + side <= len(r[4]) else None for r in rows]
+    rights = [r[4][r[6]:r[6] + side] if r[6] + side <= len(r[4]) else None for r in rows]
     n_left, n_right = Counter(lefts), Counter(rights)
     return [r for r, a, b in zip(rows, lefts, rights) if r[3] > 1 or (
         a is not None and n_left[a] > 1) or (b is not None and n_right[b] > 1)]
 
 
-def decide(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """anchor, context, runs of ``ctx`` (anchor, context, n, weight, bytes, place; each context once)."""
+def halves(group: int, data: bytes, n: int, left: int, right: int, length: int = LENGTH
+           ) -> Iterator[tuple[int, int, int, int, bytes, int, int]]:
+    """(group, piece, first window, windows, bytes, left, right) of the one or two pieces of a piece.
+
+    ``data[left:right]`` is in all ``n`` windows. Left of it a window has some of the open bytes, right of it the rest.
+    """
+    half = (length - right + left + 1) // 2
+    cut_at = left - half + 1  # windows before it have half of the open bytes on the left
+    for side, lo, hi, a, b in ((b"<", 0, min(n, cut_at), left - half, right), (b">", max(0, cut_at), n, left, right + half)):
+        if hi > lo:
+            part = data[lo:hi + length - 1]
+            a, b = a - lo, b - lo
+            yield (xxhash.xxh3_64_intdigest(side + part[a:b], group & ((1 << 64) - 1)),
+                   xxhash.xxh3_64_intdigest(part, a), lo, hi - lo, part, a, b)
+
+
+_PIECE_ROW = "gid long, pid long, n int, weight long, bytes binary, lo int, hi int"
+
+
+def _halved(pieces: DataFrame, length: int) -> DataFrame:
+    """up_gid, up_pid, at and a piece (``_PIECE_ROW``) for each half of ``pieces``."""
+    names = ["up_gid", "up_pid", "at", "gid", "pid", "n", "weight", "bytes", "lo", "hi"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(),
+                 pa.int32(), pa.int32()]
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        for b in batches:
+            rows = []
+            for gid, pid, n, weight, data, left, right in zip(*(b.column(i).to_pylist() for i in range(7))):
+                for g, p, at, m, part, lo, hi in halves(gid, data, n, left, right, length):
+                    rows.append((gid, pid, at, signed(g), signed(p), m, weight, part, lo, hi))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return pieces.select("gid", "pid", "n", "weight", "bytes", "lo", "hi").mapInArrow(
+        run, "up_gid long, up_pid long, at int, " + _PIECE_ROW)
+
+
+def refine(pieces: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES
+           ) -> tuple[DataFrame, list[DataFrame]]:
+    """(pieces in groups of at most ``shard_bytes``, for each round the pieces with those that they were cut from)."""
+    small, rounds, left_open = [], [], length - gram
+    while True:
+        size = F.sum(F.octet_length("bytes").cast("long"))
+        big = pieces.groupBy("gid").agg(size.alias("size"), F.count(F.lit(1)).alias("c"))
+        big = cut(big.where((F.col("size") > shard_bytes) & (F.col("c") > 1)).select("gid"), "crowded-groups")
+        if not left_open or not big.take(1):  # a piece with nothing left open is one window, the only one of its group
+            small.append(pieces)
+            break
+        small.append(pieces.join(big, "gid", "left_anti"))
+        halved = cut(_halved(pieces.join(big, "gid", "left_semi"), length), "halves")
+        rounds.append(halved.select("up_gid", "up_pid", "at", "gid", "pid"))
+        one = [F.first(c).alias(c) for c in ("n", "bytes", "lo", "hi")]
+        merged = halved.groupBy("gid", "pid").agg(F.sum("weight").alias("weight"), *one)
+        pieces = cut(merged.select("gid", "pid", "n", "weight", "bytes", "lo", "hi"), "pieces")
+        left_open //= 2
+    out = small[0]
+    for x in small[1:]:
+        out = out.unionByName(x)
+    return out, rounds
+
+
+def decide(pieces: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """gid, pid, runs of ``pieces`` (each piece once, groups within the bound)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []   # of the shard
-        same: list[tuple] = []   # of the anchor that is being read
+        same: list[tuple] = []   # of the group that is being read
         size = 0
 
         def done() -> pa.RecordBatch:
@@ -252,11 +321,11 @@ def decide(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES)
             return pa.RecordBatch.from_arrays([
                 pa.array([rows[i][0] for i in keep], pa.int64()), pa.array([rows[i][1] for i in keep], pa.int64()),
                 pa.array([[{"lo": a, "hi": b} for a, b in runs[i]] for i in keep], _RUNS)],
-                names=["anchor", "context", "runs"])
+                names=["gid", "pid", "runs"])
 
         for b in batches:
-            for r in zip(*(b.column(i).to_pylist() for i in range(6))):
-                if same and r[0] != same[0][0]:  # the contexts of an anchor stay together
+            for r in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if same and r[0] != same[0][0]:  # the pieces of a group stay together
                     keep = with_partner(same, length)
                     rows += keep
                     size += sum(len(x[4]) for x in keep)
@@ -269,34 +338,31 @@ def decide(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES)
         if rows:
             yield done()
 
-    return (ctx.select("anchor", "context", "n", "weight", "bytes", "place").repartition("anchor").sortWithinPartitions("anchor")
-            .mapInArrow(run, f"anchor long, context long, runs {RUNS}"))
-
+    return (pieces.select("gid", "pid", "n", "weight", "bytes", "lo", "hi").repartition("gid").sortWithinPartitions("gid")
+            .mapInArrow(run, f"gid long, pid long, runs {RUNS}"))
 
-def decide_hot(ctx: DataFrame, length: int = LENGTH) -> DataFrame:
-    """The same by counting the hash of every window, for anchors with too many contexts for one shard."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for anchor, context, n, weight, data in zip(*(b.column(i).to_pylist() for i in range(5))):
-                h = np.array([divmod(xxhash.xxh3_128_intdigest(data[i:i + length]), 1 << 64) for i in range(n)],
-                             dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, anchor)), pa.array(np.full(n, context)), pa.array(np.arange(n, dtype=np.int32)),
-                    pa.array(np.full(n, weight)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())],
-                    names=["anchor", "context", "at", "weight", "h1", "h2"])
 
-    w = ctx.select("anchor", "context", "n", "weight", "bytes").mapInArrow(
-        run, "anchor long, context long, at int, weight long, h1 long, h2 long")
-    w = cut(w, "hot-windows")
-    twice = w.groupBy("h1", "h2").agg(F.sum("weight").alias("total")).where("total >= 2").select("h1", "h2")
-    hit = w.join(twice, ["h1", "h2"])
-    one = F.transform(F.sort_array(F.collect_list("at")), lambda x: F.struct(x.alias("lo"), x.alias("hi")))
-    return hit.groupBy("anchor", "context").agg(one.alias("runs"))
+def decided(ctx: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """anchor, context, runs of ``ctx`` (anchor, context, n, weight, bytes, place; each context once)."""
+    whole = ctx.select(F.col("anchor").alias("gid"), F.col("context").alias("pid"), "n", "weight", "bytes",
+                       F.col("place").alias("lo"), (F.col("place") + GRAM).alias("hi"))
+    pieces, rounds = refine(whole, length, shard_bytes=shard_bytes)
+    runs = cut(decide(pieces, length, shard_bytes), "runs")
+    found, up = runs, None
+    for r in reversed(rounds):  # from pieces back to what they were cut from
+        moved = F.transform("runs", lambda x: F.struct((x["lo"] + F.col("at")).alias("lo"), (x["hi"] + F.col("at")).alias("hi")))
+        up = cut(found.join(r, ["gid", "pid"]).select(
+            F.col("up_gid").alias("gid"), F.col("up_pid").alias("pid"), moved.alias("runs")), "runs-of-pieces")
+        found = runs.unionByName(up)
+    if up is not None:  # a context has at most ``length`` windows, so at most as many runs
+        up = up.groupBy("gid", "pid").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+        found = runs.unionByName(up)
+    return found.select(F.col("gid").alias("anchor"), F.col("pid").alias("context"), "runs")
 
 
 def _read_contexts(rich: DataFrame, length: int) -> DataFrame:
-    """anchor, context, n, weight, hot, bytes, place from texts with the list of contexts to read (``want``)."""
-    names = ["anchor", "context", "weight", "hot", "start", "shape"]
+    """anchor, context, n, weight, bytes, place from texts with the list of contexts to read (``want``)."""
+    names = ["anchor", "context", "weight", "start", "shape"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,19 +370,19 @@ def _read_contexts(rich: DataFrame, length: int) -> DataFrame:
                 texts, lists = b.column(0).cast(pa.binary()).to_pylist(), b.column(1)
                 row = np.repeat(np.arange(len(texts)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 want = lists.flatten()
-                anchor, context, weight, hot, start, shape = (want.field(i) for i in range(len(names)))
+                anchor, context, weight, start, shape = (want.field(i) for i in range(len(names)))
                 n, place = np.divmod(shape.to_numpy(zero_copy_only=False), length)
                 data = [texts[i][s:s + m + length - 1] for i, s, m in zip(
                     row.tolist(), start.to_numpy(zero_copy_only=False).tolist(), n.tolist())]
                 if data:
                     yield pa.RecordBatch.from_arrays(
-                        [anchor, context, pa.array(n.astype(np.int32)), weight, hot, pa.array(data, pa.binary()),
+                        [anchor, context, pa.array(n.astype(np.int32)), weight, pa.array(data, pa.binary()),
                          pa.array(place.astype(np.int32))],
-                        names=["anchor", "context", "n", "weight", "hot", "bytes", "place"])
+                        names=["anchor", "context", "n", "weight", "bytes", "place"])
 
     want = F.transform("want", lambda x: F.struct(*[x[c].alias(c) for c in names]))
     return rich.select("text", want.alias("want")).mapInArrow(
-        run, "anchor long, context long, n int, weight long, hot boolean, bytes binary, place int")
+        run, "anchor long, context long, n int, weight long, bytes binary, place int")
 
 
 def keyed(docs: DataFrame, k1: str, k2: str, doc_id: str, text: str) -> DataFrame:
@@ -324,7 +390,8 @@ def keyed(docs: DataFrame, k1: str, k2: str, doc_id: str, text: str) -> DataFram
     return docs.withColumn(k1, F.xxhash64(doc_id, text)).withColumn(k2, F.hash(text, doc_id))
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
+         shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """k1, k2, text, spans of every different (id, text) that loses bytes.
 
     spans: array<struct<start, end>>, the maximal runs to remove, in bytes, in order.
@@ -338,17 +405,13 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: in
     c = a.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("weight"), *[F.first(x).alias(x) for x in (
         "k1", "k2", "start", "shape")])
     c = cut(c, "contexts")
-    crowd = c.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot)
-    crowd = cut(crowd.select("anchor", F.lit(True).alias("hot")), "hot-anchors")
-    c = c.join(crowd, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    want = c.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "context", "weight", "hot", "start", "shape")).alias("want"))
+    want = c.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "context", "weight", "start", "shape")).alias("want"))
     # Texts that hold a candidate, once each, with what to read from them (none for most).
     holds = a.select("k1", "k2").distinct().join(want, ["k1", "k2"], "left")
     texts = d.where(F.octet_length("text") >= length).groupBy("k1", "k2").agg(F.first("text").alias("text"))
     rich = cut(texts.join(holds, ["k1", "k2"]), "texts")
     ctx = cut(_read_contexts(rich.where("want is not null"), length), "context-bytes")
-    runs = decide(ctx.where("not hot"), length).unionByName(decide_hot(ctx.where("hot"), length))
-    runs = cut(runs, "runs")
+    runs = decided(ctx, length, shard_bytes)
     hits = a.select("anchor", "context", "k1", "k2", "start").join(runs, ["anchor", "context"])
     # Rows equal in id and text have the same places.
     hits = hits.groupBy("k1", "k2", "start").agg(F.first("runs").alias("runs"))
@@ -408,9 +471,9 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
             .withColumn(out, F.coalesce(F.col(out), F.col(text).cast("binary"))).select(*docs.columns, out))
 
 
-def digest(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def digest(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The columns of the registered query; only digests of the texts are joined back."""
-    done = cut(kept_bytes(find(docs, length=length, hot=hot)).select(
+    done = cut(kept_bytes(find(docs, length=length, shard_bytes=shard_bytes)).select(
         "k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("sha")), "kept")
     base = keyed(docs.select("doc_id", "text"), "k1", "k2", "doc_id", "text")
     t = F.coalesce(F.col("text"), F.lit(""))
