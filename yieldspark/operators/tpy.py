@@ -293,29 +293,103 @@ def _short(cfg: YieldConfig, model: str) -> str:
     return cfg.model_short_names.get(model, model).lower()
 
 
-def tpy_weekly(ud: DataFrame, sd: DataFrame, daily_kpi: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """The full weekly KPI record, one row per week with daily KPI rows.
+def _week_stations(sd: DataFrame) -> DataFrame:
+    """One row per week: ``stations``, each with its counts over all models and by model.
 
-    Every input is already aggregated to a few rows per week, so the joins
-    are between small tables keyed by ``week_start``.
+    A week's list has one entry per station, each with one per tracked model: a size bounded by the station list. All
+    station figures of the weekly record are array expressions over it, so the week is shuffled once, not per figure.
     """
-    wsy = weekly_station_yield(sd)
-    weeks = daily_kpi.select(C.week_start("date_id").alias("week_start")).distinct()
-    fpy = weekly_fpy(ud).drop("week_id")
-    ovr = weekly_overall_yield(daily_kpi).drop("week_id")
-    summ = weekly_station_summary(wsy).drop("week_id")
-    per_model = tpy_per_model(wsy, cfg)
-    pick = []
+    counts = [F.sum(c).cast("long").alias(c) for c in ("total_parts", "passed_parts", "failed_parts")]
+    by_model = (sd.withColumn("week_start", C.week_start("date_id"))
+                .groupBy("week_start", "workstation_name", "model").agg(*counts))
+    cols = ["model", "total_parts", "passed_parts", "failed_parts"]
+    station = by_model.groupBy("week_start", "workstation_name").agg(*counts, F.collect_list(F.struct(*cols)).alias("models"))
+    return station.groupBy("week_start").agg(
+        F.sum("total_parts").cast("long").alias("total_parts"), F.sum("passed_parts").cast("long").alias("completed_parts"),
+        F.collect_list(F.struct("workstation_name", *cols[1:], "models")).alias("stations"))
+
+
+def _entry(name: Column, c: Column) -> Column:
+    """A station's metrics as a map entry."""
+    return F.struct(name.alias("workstation_name"), F.struct(
+        c["total_parts"].alias("totalParts"), c["passed_parts"].alias("passedParts"), c["failed_parts"].alias("failedParts"),
+        C.pct2(c["passed_parts"], c["total_parts"]).cast("decimal(7,2)").alias("throughputYield")).alias("m"))
+
+
+def _map_json(entries: Column) -> Column:
+    """JSON of map entries by station, ``{}`` for none."""
+    return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(F.array_sort(entries)))).otherwise("{}")
+
+
+def _quoted(k: str) -> Column:
+    return F.to_json(F.array(F.lit(k))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(k)))) - 2)
+
+
+def weekly_stations(sd: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """Per week all station figures of the weekly record, from one list per week.
+
+    The same figures as ``weekly_overall_yield``, ``weekly_station_summary``, ``tpy_per_model`` and ``station_metrics_json``.
+    """
+    st = F.col("stations")
+
+    def of_model(m: str) -> Column:
+        """Stations of one model: k orders them by visits, then name."""
+        return F.array_sort(F.flatten(F.transform(st, lambda s: F.transform(
+            F.filter(s["models"], lambda x: x["model"] == m), lambda x: F.struct(
+                (-x["total_parts"]).alias("k"), s["workstation_name"].alias("workstation_name"),
+                C.pct2(x["passed_parts"], x["total_parts"]).alias("throughput_yield"), x.alias("c"))))))
+
+    def fixed_of(m: str) -> Column:
+        """The formula's stations that the week has, in formula order."""
+        order = F.array(*[F.lit(x) for x in cfg.fixed_tpy_stations.get(m, ())])
+        return F.array_sort(F.filter(F.transform(F.col(f"_{_short(cfg, m)}"), lambda x: F.struct(
+            F.array_position(order, x["workstation_name"]).alias("ord"), x["workstation_name"].alias("workstation_name"),
+            x["throughput_yield"].alias("throughput_yield"))), lambda x: x["ord"] > 0))
+
+    # Ties keep the station seen first in the source report's order: lowest model, most visits in it, name.
+    ranked = F.transform(st, lambda s: F.struct(
+        C.pct2(s["passed_parts"], s["total_parts"]).alias("y"),
+        F.array_min(F.transform(s["models"], lambda x: F.struct(x["model"].alias("model"), (-x["total_parts"]).alias("n")))).alias("fs"),
+        s["workstation_name"].alias("name")))
+    worst, best = F.col("_worst"), F.col("_best")
+    yields = lambda a: F.transform(a, lambda x: x["throughput_yield"])
+    out = (_week_stations(sd)
+           .withColumns({f"_{_short(cfg, m)}": of_model(m) for m in cfg.tracked_models} | {"_ranked": ranked})
+           .withColumns({f"_fixed_{_short(cfg, m)}": fixed_of(m) for m in cfg.tracked_models} | {
+               "_worst": F.array_min("_ranked"),
+               "_best": F.array_min(F.transform("_ranked", lambda x: F.struct((-x["y"]).alias("y"), x["fs"].alias("fs"),
+                                                                              x["name"].alias("name")))),
+               "_all": F.transform(st, lambda s: _entry(s["workstation_name"], s)),
+               "total_stations": F.size(st).cast("long"),
+               "_sum": F.aggregate("_ranked", F.lit(0).cast("long"), lambda acc, x: acc + F.round(x["y"] * 100).cast("long"))}))
+    cols = []
     for m in cfg.tracked_models:
-        s_ = _short(cfg, m)
-        for src, dst in (("fixed_stations_json", f"weekly_tpy_hardcoded_{s_}_stations"), ("fixed_tpy", f"weekly_tpy_hardcoded_{s_}_tpy"),
-                         ("dynamic_stations_json", f"weekly_tpy_dynamic_{s_}_stations"), ("dynamic_tpy", f"weekly_tpy_dynamic_{s_}_tpy"),
-                         ("station_count", f"weekly_tpy_dynamic_{s_}_station_count")):
-            pick.append(F.max(F.when(F.col("model") == m, F.col(src))).alias(dst))
-    wide = per_model.groupBy("week_start").agg(*pick)  # one row per week, one column set per model
-    out = (weeks.join(fpy, "week_start", "left").join(ovr, "week_start", "left")
-           .join(summ, "week_start", "left").join(wide, "week_start", "left")
-           .join(weekly_station_json(wsy, cfg), "week_start", "left"))
+        k = _short(cfg, m)
+        dyn, fixed = F.col(f"_{k}"), F.col(f"_fixed_{k}")
+        cols += [_stations_json(fixed).alias(f"weekly_tpy_hardcoded_{k}_stations"),
+                 F.when(F.size(fixed) == len(cfg.fixed_tpy_stations.get(m, ())), C.ordered_product_pct(yields(fixed))).alias(
+                     f"weekly_tpy_hardcoded_{k}_tpy"),
+                 _stations_json(dyn).alias(f"weekly_tpy_dynamic_{k}_stations"),
+                 C.ordered_product_pct(yields(dyn)).alias(f"weekly_tpy_dynamic_{k}_tpy"),
+                 F.size(dyn).cast("long").alias(f"weekly_tpy_dynamic_{k}_station_count")]
+    named = [(m, F.transform(F.col(f"_{_short(cfg, m)}"), lambda x: _entry(x["workstation_name"], x["c"])))
+             for m in cfg.tracked_models] + [("overall", F.col("_all"))]
+    model_json = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(_quoted(k), F.lit(":"), _map_json(e)) for k, e in named]), F.lit("}"))
+    return out.select(
+        "week_start", "total_parts", "completed_parts", C.pct2("completed_parts", "total_parts").alias("overall_yield"),
+        _map_json(F.col("_all")).alias("station_metrics"), model_json.alias("model_specific"),
+        (half_even_div(F.col("_sum"), F.col("total_stations")).cast("double") / 100).alias("average_yield"), *cols, "total_stations",
+        best["name"].alias("best_station_name"), (-best["y"]).alias("best_station_yield"),
+        worst["name"].alias("worst_station_name"), worst["y"].alias("worst_station_yield"))
+
+
+def tpy_weekly(ud: DataFrame, sd: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
+    """The full weekly KPI record, one row per week with station rows, i.e. with daily KPI rows.
+
+    Two aggregates, of the units and of the stations, each down to one row per week, and one join of the two.
+    """
+    fpy = weekly_fpy(ud).drop("week_id")
+    out = weekly_stations(sd, cfg).join(fpy, "week_start", "left")
     zero = F.lit(0).cast("long")
     return out.select(
         C.iso_week_label("week_start").alias("week_id"), "week_start",
@@ -330,18 +404,17 @@ def tpy_weekly(ud: DataFrame, sd: DataFrame, daily_kpi: DataFrame, cfg: YieldCon
         F.coalesce("parts_failed", zero).alias("weekly_first_pass_yield_breakdown_parts_failed"),
         F.coalesce("parts_stuck_in_limbo", zero).alias("weekly_first_pass_yield_breakdown_parts_stuck_in_limbo"),
         F.coalesce("parts_started", zero).alias("weekly_first_pass_yield_breakdown_total_parts"),
-        F.coalesce("total_parts", zero).alias("weekly_overall_yield_total_parts"),
-        F.coalesce("completed_parts", zero).alias("weekly_overall_yield_completed_parts"),
-        F.coalesce("overall_yield", F.lit(0.0)).alias("weekly_overall_yield_overall_yield"),
-        F.coalesce("station_metrics", F.lit("{}")).alias("weekly_throughput_yield_station_metrics"),
-        F.coalesce("average_yield", F.lit(0.0)).alias("weekly_throughput_yield_average_yield"),
-        F.coalesce("model_specific", F.lit("{}")).alias("weekly_throughput_yield_model_specific"),
+        F.col("total_parts").alias("weekly_overall_yield_total_parts"),
+        F.col("completed_parts").alias("weekly_overall_yield_completed_parts"),
+        F.col("overall_yield").alias("weekly_overall_yield_overall_yield"),
+        F.col("station_metrics").alias("weekly_throughput_yield_station_metrics"),
+        F.col("average_yield").alias("weekly_throughput_yield_average_yield"),
+        F.col("model_specific").alias("weekly_throughput_yield_model_specific"),
         *[c for m in cfg.tracked_models for c in (
             f"weekly_tpy_hardcoded_{_short(cfg, m)}_stations", f"weekly_tpy_hardcoded_{_short(cfg, m)}_tpy",
             f"weekly_tpy_dynamic_{_short(cfg, m)}_stations", f"weekly_tpy_dynamic_{_short(cfg, m)}_tpy",
             f"weekly_tpy_dynamic_{_short(cfg, m)}_station_count")],
-        F.coalesce("total_stations", zero).alias("total_stations"),
-        "best_station_name", "best_station_yield", "worst_station_name", "worst_station_yield",
+        "total_stations", "best_station_name", "best_station_yield", "worst_station_name", "worst_station_yield",
     )
 
 
@@ -369,22 +442,6 @@ def station_metrics_json(wsy: DataFrame) -> DataFrame:
         F.size("e").cast("long").alias("n_stations"), F.to_json(F.map_from_entries("e")).alias("station_metrics_json"))
 
 
-def weekly_station_json(wsy: DataFrame, cfg: YieldConfig = DEFAULT) -> DataFrame:
-    """Per week the two JSON columns of the weekly record: the all-model map, and the maps by tracked model and overall."""
-    maps = _station_maps(wsy).select("week_start", "model", F.to_json(F.map_from_entries("e")).alias("j"))
-
-    def text(of: Column) -> Column:
-        return F.coalesce(F.first(F.when(of, F.col("j")), ignorenulls=True), F.lit("{}"))
-
-    overall = text(F.col("model").isNull())
-    named = [(m, text(F.col("model") == m)) for m in cfg.tracked_models] + [("overall", overall)]
-    parts = [F.concat(F.to_json(F.array(F.lit(k))).substr(F.lit(2), F.length(F.to_json(F.array(F.lit(k)))) - 2), F.lit(":"), v)
-             for k, v in named]
-    return maps.groupBy("week_start").agg(
-        overall.alias("station_metrics"),
-        F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("model_specific"))
-
-
 def week_of(as_of: _dt.date) -> _dt.date:
     return as_of - _dt.timedelta(days=as_of.weekday())
 

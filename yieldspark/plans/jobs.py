@@ -160,9 +160,7 @@ def weekly(spark: SparkSession, wl: DataFrame, out_root: str, now: _dt.datetime,
 def _weekly(spark, wl, out_root, now, as_of, cfg, cuts) -> dict[str, int]:
     src = wl if as_of is None else tpy.week_rows(wl, as_of)  # current week: read one week of the log
     ud, sd = cuts.cut(tpy.unit_day(src, cfg), "unit_day"), cuts.cut(tpy.station_day(src, cfg), "station_day")
-    fa = tpy.first_activity(ud)
-    daily_kpi = tpy.tpy_daily(sd, tpy.starters_by_week(fa))  # only its totals feed the record
-    rec = tpy.tpy_weekly(ud, sd, daily_kpi, cfg)
+    rec = tpy.tpy_weekly(ud, sd, cfg)
     st = packing.sort_test_daily(wl, cfg) if as_of is None else packing.sort_test_recent(wl, as_of, 7, cfg)
     pk = _kpi(spark, out_root, "packing_daily_summary")
     return {

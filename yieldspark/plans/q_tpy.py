@@ -314,7 +314,7 @@ def _weekly(spark, sf_dir, week=None):
     if week is not None:
         wl = tpy.week_rows(wl, week)
     ud, sd = tpy.unit_day(wl), tpy.station_day(wl)
-    return tpy.tpy_weekly(ud, sd, tpy.tpy_daily(sd, tpy.starters_by_week(tpy.first_activity(tpy.prod(wl)))))
+    return tpy.tpy_weekly(ud, sd)
 
 
 @register("tpy_weekly", with_views("prod", _weekly_record_sql()))

@@ -249,7 +249,7 @@ def refresh_touched(log: DataFrame, out_root: str, days: Sequence[_dt.date], mov
             "daily_tpy_metrics": kpi_table(spark, out_root, "daily_tpy_metrics").upsert(daily.withColumn("created_at", at)),
             "daily_completions": kpi_table(spark, out_root, "daily_completions").upsert(tpy.daily_completions(ud, kept)),
             "weekly_tpy_metrics": kpi_table(spark, out_root, "weekly_tpy_metrics").upsert(
-                tpy.tpy_weekly(ud, sd, daily, cfg).withColumn("created_at", at)),
+                tpy.tpy_weekly(ud, sd, cfg).withColumn("created_at", at)),
         }
         if days:
             out["station_hourly_summary"] = kpi_table(spark, out_root, "station_hourly_summary").upsert(
