@@ -39,3 +39,37 @@ def test_broken_workbook_is_one_error_row(spark, scratch):
     got = workbook.scan_workbooks(spark, scratch).collect()
     good = [r for r in got if r.error is None]
     assert [r.cells["sn"] for r in good] == ["S1"] and [r.source_file[-6:] for r in got if r.error] == ["b.xlsx"]
+
+
+def _rows(n):
+    return [["SN", "Model", "When"], *([f"S{i}", "M", dt.datetime(2025, 7, 7, 1, 2, i % 60)] for i in range(n))]
+
+
+def test_long_sheets_are_read_row_by_row(scratch):
+    import tracemalloc
+    peaks = []
+    for n in (2_000, 40_000):
+        path = os.path.join(scratch, f"{n}.xlsx")
+        write_xlsx(path, _rows(n))
+        with open(path, "rb") as f:
+            data = f.read()
+        tracemalloc.start()
+        assert sum(1 for _ in workbook.first_sheet_rows(data)) == n + 1
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < peaks[0] + 2_000_000  # twenty times the rows
+
+
+def test_a_sheet_that_breaks_off_gives_no_rows(spark, scratch):
+    import zipfile
+    good, bad = (os.path.join(scratch, x) for x in ("good.xlsx", "bad.xlsx"))
+    write_xlsx(good, _rows(10_000))
+    with zipfile.ZipFile(good) as a, zipfile.ZipFile(bad, "w") as b:
+        for name in a.namelist():
+            part = a.read(name)
+            b.writestr(name, part[:len(part) * 9 // 10] if "sheet1" in name else part)
+    got = workbook.scan_workbooks(spark, scratch)
+    assert {(r.source_file[-9:], r.error is None): r["count"] for r in got.groupBy("source_file", "error").count().collect()} == {
+        ("good.xlsx", True): 10_000, ("/bad.xlsx", False): 1}
+    rows = got.where("error is null").orderBy("row_ordinal").collect()
+    assert [r.row_ordinal for r in rows] == list(range(1, 10_001)) and rows[-1].cells["sn"] == "S9999"

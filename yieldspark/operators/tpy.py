@@ -442,6 +442,23 @@ def station_metrics_json(wsy: DataFrame) -> DataFrame:
         F.size("e").cast("long").alias("n_stations"), F.to_json(F.map_from_entries("e")).alias("station_metrics_json"))
 
 
+def station_yield_from_record(record: DataFrame) -> DataFrame:
+    """The station yields per week (``weekly_station_yield``) read back from the weekly record's JSON maps.
+
+    The text is parsed once into a VARIANT, whose maps become rows; a map holds one entry per station.
+    """
+    metrics = "struct<totalParts:bigint,passedParts:bigint,failedParts:bigint,throughputYield:decimal(7,2)>"
+    maps = F.variant_get(F.parse_json("weekly_throughput_yield_model_specific"), "$", f"map<string,map<string,{metrics}>>")
+    rows = (record.select("week_id", "week_start", F.explode(maps).alias("scope", "stations"))
+            .select("week_id", "week_start", "scope", F.explode("stations").alias("workstation_name", "m")))
+    overall = F.col("scope") == "overall"
+    return rows.select(
+        "week_start", F.when(~overall, F.col("scope")).alias("model"), "workstation_name",
+        F.col("m.totalParts").alias("total_parts"), F.col("m.passedParts").alias("passed_parts"),
+        F.col("m.failedParts").alias("failed_parts"), overall.cast("long").alias("level"),
+        F.col("m.throughputYield").cast("double").alias("throughput_yield"), "week_id")
+
+
 def week_of(as_of: _dt.date) -> _dt.date:
     return as_of - _dt.timedelta(days=as_of.weekday())
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config, schemas
 from ..functions import columns as C
-from ..operators import profile, tpy
+from ..operators import profile, sketches, tpy
 from ..sources import fixtures as fx
 from .catalog import register
 from .oracle_views import with_views
@@ -83,6 +83,23 @@ def q_date_profile(spark, sf_dir):
     return profile.date_profile(fx.workstation_log(spark, sf_dir))
 
 
+@register("unit_ranges", with_views("prod", f"""
+r AS (SELECT DISTINCT k.kind AS range_kind, CAST(date_trunc(k.kind, {END}) AS DATE) AS range_start, sn
+  FROM prod, (VALUES ('week'), ('month')) k(kind) WHERE {END} IS NOT NULL AND sn IS NOT NULL),
+n AS (SELECT k.kind AS range_kind, CAST(date_trunc(k.kind, {END}) AS DATE) AS range_start, count(*) AS production_records,
+    count(CASE WHEN workstation_name = 'PACKING' THEN 1 END) AS packing_records
+  FROM prod, (VALUES ('week'), ('month')) k(kind) WHERE {END} IS NOT NULL GROUP BY ALL),
+u AS (SELECT r.range_kind, r.range_start, count(*) AS unique_parts, count(b.sn) AS returning_parts
+  FROM r LEFT JOIN r b ON b.sn = r.sn AND b.range_kind = r.range_kind AND r.range_start =
+    CASE b.range_kind WHEN 'week' THEN b.range_start + 7 ELSE CAST(b.range_start + INTERVAL 1 MONTH AS DATE) END
+  GROUP BY ALL)
+SELECT range_kind, range_start, production_records, packing_records, unique_parts, returning_parts
+FROM n JOIN u USING (range_kind, range_start)"""))
+def q_unit_ranges(spark, sf_dir):
+    # A sketch is exact up to 65,536 units a range; beyond, this query is an estimate (0.4 % standard error).
+    return sketches.unit_ranges(sketches.unit_sketches(fx.workstation_log(spark, sf_dir)))
+
+
 @register("date_top_stations", with_views("prod", f"""
 SELECT CAST({END} AS DATE) AS test_date, workstation_name, count(*) AS n,
   row_number() OVER (PARTITION BY CAST({END} AS DATE) ORDER BY count(*) DESC, workstation_name) AS rank

@@ -207,12 +207,15 @@ def q_weekly_fpy(spark, sf_dir):
     return tpy.weekly_fpy(_unit_day(spark, sf_dir))
 
 
-@register("weekly_station_yield", with_views("prod", f"""{_WSY}
+_STATION_YIELD = with_views("prod", f"""{_WSY}
 SELECT week_start, model, workstation_name, total_parts, passed_parts, failed_parts, CAST(0 AS BIGINT) AS level,
   throughput_yield, {iso_label('week_start')} AS week_id FROM wmy
 UNION ALL
 SELECT week_start, NULL, workstation_name, total_parts, passed_parts, failed_parts, CAST(1 AS BIGINT),
-  throughput_yield, {iso_label('week_start')} FROM woy"""))
+  throughput_yield, {iso_label('week_start')} FROM woy""")
+
+
+@register("weekly_station_yield", _STATION_YIELD)
 def q_weekly_station_yield(spark, sf_dir):
     wl = fx.workstation_log(spark, sf_dir)
     return tpy.weekly_station_yield(tpy.station_day(wl))
@@ -335,6 +338,11 @@ def q_tpy_weekly_json(spark, sf_dir):
     return tpy.station_metrics_json(tpy.weekly_station_yield(tpy.station_day(wl)))
 
 
+@register("weekly_record_read_back", _STATION_YIELD)
+def q_weekly_record_read_back(spark, sf_dir):
+    return tpy.station_yield_from_record(_weekly(spark, sf_dir))
+
+
 @register("tpy_weekly_latest", f"""SELECT week_id, week_start, weekly_first_pass_yield_traditional_first_pass_yield AS fpy,
   weekly_overall_yield_overall_yield AS overall_yield, total_stations
 FROM ({with_views("prod", _weekly_record_sql())}) ORDER BY week_start DESC LIMIT {LATEST_WEEKS}""")
