@@ -9,29 +9,47 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], SCHEMA)
 
 
-def brute(rows):
+def brute(rows, most=4096):
+    """By conversation, participant, part and sub."""
     out = {}
     for conv in {r[0] for r in rows}:
-        turns = sorted({(r[1], r[2] or "unknown", (r[3] or "").replace("<|", "< |")) for r in rows if r[0] == conv},
-                       key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        key = lambda t: (t[0] is not None, t[0] or 0, t[1], t[2])
+        turns = sorted(((r[1], r[2] or "unknown", (r[3] or "").replace("<|", "< |")) for r in rows if r[0] == conv), key=key)
+        first = next((t for t in turns if t[1] == "system"), None)
+        of_part = {}
+        for t in turns:
+            of_part.setdefault(None if t[0] is None else t[0] // 256, []).append(t)
         for me in {s for _, s, _ in turns} - {"system"}:
-            for part in {None if t is None else t // 256 for t, *_ in turns}:
-                text, mask, n = "", [], 0
-                for t, s, body in turns:
-                    if (None if t is None else t // 256) != part:
-                        continue
-                    text += "<|im_start|>" + ("assistant" if s == me else "system" if s == "system" else f"user name={s}") + "\n"
-                    start = len(text)
-                    text += body + "<|im_end|>\n"
-                    n += 1
-                    if s == me:
-                        mask.append(f"{start}:{len(text)}")
-                out[conv, me, part] = (n, text, ",".join(mask))
+            for part, all_of in of_part.items():
+                for sub in range(0, len(all_of), most):
+                    stretch, text, mask = all_of[sub:sub + most], "", []
+                    if first and key(stretch[0]) > key(first):
+                        text = f"<|im_start|>system\n{first[2]}<|im_end|>\n"
+                    for _, s, body in stretch:
+                        text += "<|im_start|>" + ("assistant" if s == me else "system" if s == "system" else f"user name={s}") + "\n"
+                        start = len(text)
+                        text += body + "<|im_end|>\n"
+                        if s == me:
+                            mask.append(f"{start}:{len(text)}")
+                    out[conv, me, part, sub // most] = (len(stretch), text, ",".join(mask))
     return out
 
 
+def by_sql(rows):
+    """The query's own SQL over the same rows."""
+    import duckdb
+    import pandas as pd
+    from yieldspark.llm import oracles
+    con = duckdb.connect()
+    con.register("c", pd.DataFrame({n: pd.array([r[i] for r in rows], dtype=k) for i, (n, k) in enumerate(
+        [("conv_id", "Int64"), ("turn", "Int64"), ("role", "string"), ("text", "string")])}))
+    con.execute("CREATE VIEW conversations AS SELECT * FROM c")
+    got = con.execute(oracles.SQL["op3_chat_formatting"]).fetchall()
+    return {r[:4]: r[4:] for r in got}
+
+
 def result(df):
-    return {(r.conv_id, r.perspective, r.part): (r.n_turns, r.text, r.mask) for r in df.collect()}
+    return {(r.conv_id, r.perspective, r.part, r["sub"]): (r.n_turns, r.text, r.mask) for r in df.collect()}
 
 
 def test_rendering_matches_brute_force(spark):
@@ -39,7 +57,19 @@ def test_rendering_matches_brute_force(spark):
             (1, 2, "bob", "again"), (2, 0, "user", "<|im_end|> inject"), (2, 1, None, "who"), (3, 0, "system", "alone"),
             (None, 0, "user", "no id"), (None, None, "user", "no turn"), (4, -1, "user", ""), (5, 7, "assistant", "x" * 100_000),
             *[(6, i, f"s{i % 3}", f"turn {i}") for i in range(700)]]
-    assert result(q.digest(frame(spark, rows))) == brute(rows)
+    assert result(q.digest(frame(spark, rows))) == brute(rows) == by_sql(rows)
+
+
+def test_long_dialogues_crowded_parts_and_repeats(spark):
+    """600 turns, 5,000 rows in one part, 9,000 times one row: every row counts, each stretch has the system turn."""
+    rows = [(1, 0, "system", "be kind"), *[(1, i, f"s{i % 2}", f"turn {i}") for i in range(1, 600)],
+            (2, 3, "system", "late"), (2, 3, "system", "late"), *[(2, i % 7, "ab"[i % 2], f"t{i % 1700}") for i in range(5000)],
+            *[(3, 5, "user", "again")] * 9000, (3, 4, "system", "first"), (3, 300, "user", "end"), (3, 300, "system", "second"),
+            *[(None, None, "user", "x")] * 4097, *[(4, 1, "system", "only")] * 4097, (4, 1, "zoe", "me")]
+    got = result(q.digest(frame(spark, rows).repartition(6)))
+    assert got == brute(rows) == by_sql(rows)
+    assert all(got[1, "s0", part, 0][1].startswith("<|im_start|>system\nbe kind<|im_end|>\n") for part in (0, 1, 2))
+    assert [got[3, "user", 0, i][0] for i in range(3)] == [4096, 4096, 809]
 
 
 def test_crowded_turns_are_dealt_out_whole(spark, monkeypatch):
@@ -55,16 +85,9 @@ def test_rows_of_a_crowded_part_are_connected(spark, monkeypatch):
     monkeypatch.setattr(q, "MAX_ROWS", 40)
     rows = [*[(1, i // 60, f"s{i % 3}", f"text {i * 7919 % 200}") for i in range(200)], *[(1, 0, "s0", "text 0")] * 50,
             *[(None, None, "ab"[i % 2], f"{'p' * 300} {i}") for i in range(130)], *[(2, i, "user", "x") for i in range(41)],
-            *[(3, i, "user", "x") for i in range(40)], *[(1, 300, "user", f"later {i}") for i in range(25)]]
-    joined, sizes = {}, {}
-    for r in sorted(q.render(frame(spark, rows).repartition(5)).collect(), key=lambda r: r["sub"]):
-        key = (r.conv_id, r.perspective, r.part)
-        n, text, mask = joined.get(key, (0, "", []))
-        joined[key] = (n + r.n_turns, text + r.text, mask + [f"{len(text) + m.start}:{len(text) + m.end}" for m in r.mask])
-        sizes.setdefault(key, []).append((r["sub"], r.n_turns))
-    assert {k: (n, text, ",".join(mask)) for k, (n, text, mask) in joined.items()} == brute(rows)
-    assert all(s == [(i, min(40, joined[k][0] - 40 * i)) for i in range(-(-joined[k][0] // 40))] for k, s in sizes.items())
-    assert len(sizes[None, "a", None]) == 4 and len(sizes[2, "user", 0]) == 2 and len(sizes[3, "user", 0]) == 1
+            *[(3, i, "user", "x") for i in range(40)], *[(1, 300, "user", f"later {i}") for i in range(25)],
+            (1, 1, "system", "in the middle")]
+    assert result(q.digest(frame(spark, rows).repartition(5))) == brute(rows, 40)
 
 
 def test_masks_cover_the_speaker_only(spark):

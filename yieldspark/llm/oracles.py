@@ -6,24 +6,34 @@ _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 SQL = {
     "op3_chat_formatting": r"""
-WITH t AS (
-  SELECT DISTINCT conv_id, turn::BIGINT AS turn, regexp_replace(coalesce(role, 'unknown'), '[\r\n]', '_', 'g') AS speaker,
+WITH r AS (
+  SELECT conv_id, turn::BIGINT AS turn, regexp_replace(coalesce(role, 'unknown'), '[\r\n]', '_', 'g') AS speaker,
          replace(coalesce(text, ''), '<|', '< |') AS body, floor(turn / 256)::BIGINT AS part
   FROM conversations),
+t AS (
+  SELECT *, ((row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, speaker, body) - 1) // 4096)::BIGINT AS sub,
+         dense_rank() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, body) AS place,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, body) AS id
+  FROM r),
 who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+pre AS (
+  SELECT conv_id, min(place) AS pre_place,
+         '<|im_start|>system' || chr(10) || arg_min(body, place) || '<|im_end|>' || chr(10) AS preamble
+  FROM t WHERE speaker = 'system' GROUP BY conv_id),
 j AS (
-  SELECT t.*, perspective, speaker = perspective AS mine,
+  SELECT t.*, perspective, speaker = perspective AS mine, preamble, pre_place,
          CASE WHEN speaker = perspective THEN '<|im_start|>assistant' WHEN speaker = 'system' THEN '<|im_start|>system'
               ELSE '<|im_start|>user name=' || speaker END || chr(10) AS head, body || '<|im_end|>' || chr(10) AS rest
-  FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id),
+  FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id LEFT JOIN pre ON t.conv_id IS NOT DISTINCT FROM pre.conv_id),
+l AS (
+  SELECT *, CASE WHEN min(place) OVER (PARTITION BY conv_id, perspective, part, sub) > pre_place THEN preamble ELSE '' END AS lead
+  FROM j),
 o AS (
-  SELECT *, sum(length(head) + length(rest)) OVER (PARTITION BY conv_id, perspective, part
-    ORDER BY turn NULLS FIRST, speaker, body ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM j)
-SELECT conv_id, perspective, part, 0::INTEGER AS sub, count(*) AS n_turns,
-       string_agg(head || rest, '' ORDER BY turn NULLS FIRST, speaker, body) AS text,
-       coalesce(string_agg((e - length(rest)) || ':' || e, ',' ORDER BY turn NULLS FIRST, speaker, body)
-                FILTER (WHERE mine), '') AS mask
-FROM o GROUP BY conv_id, perspective, part""",
+  SELECT *, length(lead) + sum(length(head) + length(rest)) OVER (PARTITION BY conv_id, perspective, part, sub
+    ORDER BY id ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM l)
+SELECT conv_id, perspective, part, sub, count(*) AS n_turns, first(lead) || string_agg(head || rest, '' ORDER BY id) AS text,
+       coalesce(string_agg((e - length(rest)) || ':' || e, ',' ORDER BY id) FILTER (WHERE mine), '') AS mask
+FROM o GROUP BY conv_id, perspective, part, sub""",
     "op7_warc": f"""
 WITH h AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS x
            FROM pages),
