@@ -269,3 +269,21 @@ def test_renormalize_drops_and_adds_columns(spark):
     out = ingest.renormalize(df, schemas.SNFN_LOG)
     assert out.columns == [f.name for f in schemas.SNFN_LOG.fields]
     assert out.first().sn == "S1" and out.first().model == "2024-01-01" and out.first().fixture_no is None
+
+
+def test_old_and_new_layouts_are_read_together_without_a_rewrite(spark, scratch):
+    log = LogStore(spark, os.path.join(scratch, "log"), schemas.SNFN_KEY)
+    old = spark.createDataFrame([("S1", "M1", "7/7/2025", 3, dt.date(2025, 7, 7))],
+                                "sn string, model string, day string, number_of_times_baseboard_is_used int, end_date date")
+    new = spark.createDataFrame([("S2", "F2", "W", dt.date(2025, 7, 8))],
+                                "sn string, fixture_no string, workstation_name string, end_date date")
+    for part in (old, new):
+        part.write.mode("append").partitionBy("end_date").parquet(log.path)
+    before = files(log.path)
+    got = log.read(schemas.SNFN_LOG)
+    assert got.columns == [*[f.name for f in schemas.SNFN_LOG.fields], "end_date"]
+    assert {r.sn: (r.model, r.fixture_no, r.workstation_name, r.end_date.day) for r in got.collect()} == {
+        "S1": ("M1", None, None, 7), "S2": (None, "F2", "W", 8)}
+    assert files(log.path) == before and LogStore(spark, os.path.join(scratch, "none"), ()).read(schemas.SNFN_LOG) is None
+    assert sorted(map(str, ingest.renormalize(old, schemas.SNFN_LOG).collect())) == sorted(
+        map(str, got.where("sn = 'S1'").drop("end_date").collect()))

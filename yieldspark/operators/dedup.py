@@ -57,8 +57,9 @@ def dedup_report(parts: Sequence[DataFrame]) -> DataFrame:
     per_table = parts[0]
     for p in parts[1:]:
         per_table = per_table.unionByName(p)
-    total = per_table.agg(*[F.sum(c).cast("long").alias(c) for c in ("before_count", "removed", "after_count")])
-    return per_table.unionByName(total.withColumn("table_name", F.lit("total")))
+    return (per_table.rollup("table_name")  # one pass: the tables' rows are not computed again for their sum
+            .agg(*[F.sum(c).cast("long").alias(c) for c in ("before_count", "removed", "after_count")])
+            .withColumn("table_name", F.coalesce("table_name", F.lit("total"))))
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

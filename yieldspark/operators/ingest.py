@@ -140,10 +140,9 @@ def quarantine_split(df: DataFrame, required: Sequence[str], file_col: str = FIL
 
 
 def renormalize(log: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rebuild a log with exactly the schema's columns, in order (A13): columns
-    the schema no longer has (e.g. ``day``, a usage counter) are dropped,
-    missing ones come back as typed NULLs. Write the result as a new table
-    version; the old one stays readable until the pointer moves."""
+    """A log in exactly the schema's columns, in order (A13): columns the schema no longer has (e.g. ``day``, a usage
+    counter) are dropped, missing ones come back as typed NULLs. For rows at hand; a stored log is read that way, old and
+    new layouts together and without a rewrite, by ``LogStore.read(schema)``."""
     present = set(log.columns)
     return log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in present
                         else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

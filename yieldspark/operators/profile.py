@@ -217,19 +217,14 @@ def match_diagnostics(incoming: DataFrame, log: DataFrame, full_key: Sequence[st
                       id_col: str = "id") -> DataFrame:
     """Per incoming row: log rows matching on the full key, on sn, and on (sn, pn, model, station).
 
-    The log is first counted per key at each width, so the joins attach one
-    count per key instead of pairing every incoming row with every log row
-    of the same unit.
+    The log is counted per full key, its rows and the incoming ones are united, and sums over the rows of a key give the
+    matches at every width: grouping treats NULL keys as equal, and no join pairs incoming rows with log rows. All widths
+    begin with the unit, so one exchange by unit serves them.
     """
     widths = {"exact_matches": list(full_key), "sn_matches": ["sn"],
               "four_col_matches": ["sn", "pn", "model", C.STATION]}
-    # Only log rows of incoming units can match at any width; they are counted once at full width and summed up.
-    units = incoming.select("sn").distinct()
-    log = log.join(units, C.null_safe_key(log, units, ["sn"]), "left_semi")
-    full = log.groupBy(*full_key).agg(F.count(F.lit(1)).alias("n"))
-    out = incoming.select(id_col, *full_key)
-    for name, keys in widths.items():
-        cnt = full.groupBy(*keys).agg(F.sum("n").alias(name))
-        out = (out.join(cnt, C.null_safe_key(out, cnt, keys), "left")
-               .select(*[out[c] for c in out.columns], F.coalesce(cnt[name], F.lit(0)).alias(name)))
-    return out.select(id_col, *widths.keys())
+    full = log.groupBy(*full_key).agg(F.count(F.lit(1)).alias("n")).withColumn("in", F.lit(False))
+    asked = incoming.select(id_col, *full_key).withColumns({"n": F.lit(0).cast("long"), "in": F.lit(True)})
+    both = asked.unionByName(full, allowMissingColumns=True).repartition("sn")
+    return both.withColumns({name: F.sum("n").over(Window.partitionBy(*keys)) for name, keys in widths.items()}).where(
+        "in").select(id_col, *widths)

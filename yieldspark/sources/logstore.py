@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import columns as C
@@ -25,9 +26,19 @@ class LogStore:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
 
-    def read(self) -> DataFrame | None:
+    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
+        """The log; with ``schema`` in exactly these columns, whatever layout its files were written in.
+
+        Parquet columns are bound by name, so files with columns that the schema has dropped and files without columns that
+        it has gained are read together, and none is rewritten.
+        """
+        reader = self.spark.read
+        if schema is not None:
+            fields = [T.StructField(f.name, f.dataType, True) for f in schema.fields if f.name != PARTITION_COL]
+            reader = reader.schema(T.StructType([*fields, T.StructField(PARTITION_COL, T.DateType())]))
         try:
-            return self.spark.read.parquet(self.path)
+            df = reader.parquet(self.path)
+            return df if schema is None else df.select(*[f.name for f in fields], PARTITION_COL)
         except AnalysisException:
             return None
 
