@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-K, FACTOR = 10, 4.0
+K, FACTOR = 10, 1.25
 SAMPLE, MAX_CELLS, SHARD_POINTS, LEAF = 8192, 256, 20_000, 256
 QUERY_BLOCK = 512
 _ROUND = 1e-12  # of the sum of two squared norms: more than what their product can lose
