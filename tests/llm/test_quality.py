@@ -55,5 +55,16 @@ def test_order_is_by_rejection_per_cost():
     assert [r.name for r in q.ordered(rules, est)] == [rules[1].name, rules[0].name, rules[2].name]
 
 
+def test_order_does_not_hang_on_the_noise_of_a_run(make_docs):
+    """Costs that differ by what a busy machine adds give one order; rules of clearly different cost are told apart."""
+    rules = q.RULES[:3]
+    for busy in (0.8, 1.0, 1.7):
+        est = [q.Estimate(r.name, s * busy * noise, 0.1) for r, s, noise in zip(rules, (0.01, 0.16, 0.08), (1.2, 0.9, 1.1))]
+        assert [r.name for r in q.ordered(rules, est)] == [rules[0].name, rules[2].name, rules[1].name]
+    docs = make_docs([(i, f"{'word of a text ' * (20 + i % 9)} {i} {'same line again' if i % 3 else 'other'}\n") for i in range(120)])
+    got = {e.name: e for e in q.estimate(docs)}
+    assert got["repeated_windows"].seconds > 5 * got["few_words"].seconds and got["repeated_windows"].rejected == 1.0
+
+
 def test_empty_table(no_docs):
     assert q.measure(no_docs).count() == 0 and q.keep(no_docs).count() == 0

@@ -3,9 +3,11 @@
 Each rule says when a text is rejected. Before the run every rule is timed on
 a sample of the documents and its rejection rate is counted there; the rules
 then run ordered by rejection per cost, so that cheap rules that reject much
-come first and a rejected text never reaches the dear ones. The order decides
-how much is computed, never what is kept: a document is kept if no rule
-rejects it, under every order.
+come first and a rejected text never reaches the dear ones. A rule is repeated
+on each sampled text until its time stands above that of the job around it,
+and costs are compared as powers of two of the dearest, so the order does not
+hang on the noise of a run. The order decides how much is computed, never what is kept: a
+document is kept if no rule rejects it, under every order.
 
 Words are the runs of characters other than the space and U+0009..U+000D.
 
@@ -18,6 +20,7 @@ ignored by ``measure``.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -35,6 +38,8 @@ WINDOW = 5
 
 #: Documents in the sample on which cost and selectivity are estimated (expected number).
 SAMPLE_DOCS = 400
+#: A rule is repeated until it takes this many times the job without a rule, and so many seconds; at most so often.
+FLOORS, LEAST_SECONDS, MOST_REPEATS = 1, 0.15, 256
 
 
 def _replace_each(c: Column, chars: str, to: str) -> Column:
@@ -149,17 +154,13 @@ class Estimate:
     seconds: float   # over the sample
     rejected: float  # share of the sample
 
-    @property
-    def worth(self) -> float:
-        return self.rejected / max(self.seconds, 1e-6)
-
 
 def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
              sample_docs: int = SAMPLE_DOCS, seed: int = 7) -> list[Estimate]:
     """Time and rejection rate of each rule on about ``sample_docs`` documents, in the order of ``rules``.
 
-    The time of a rule is that of a pass over the sample less the time of a
-    pass without a rule (the word split is shared, so it counts for neither).
+    The time of a rule is that of a pass over the sample in which each text is judged several times, less the time of a
+    pass without a rule, divided by the number of times (the word split is shared, so it counts for neither).
     """
     n = docs.count()
     if n == 0:
@@ -168,29 +169,39 @@ def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
                  .repartition(1), "quality-sample")  # the few sampled rows move, the scan stays spread
     base = sample.select(text_or_empty("t").alias("t")).withColumn("w", words(F.col("t")))
 
-    def timed(test: Column) -> tuple[float, float]:
-        df = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("w") + F.length("t")),
-                      F.count_if(test).alias("hit"))
+    def timed(test: Column | None, times: int = 1) -> tuple[float, float]:
+        hit = F.lit(0).cast("long")
+        if test is not None:
+            hit = F.aggregate(F.sequence(F.lit(1), F.lit(times)), hit, lambda acc, _: acc + test.cast("long"))
+        df = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("w") + F.length("t")), F.sum(hit).alias("hit"))
         best = None
         for _ in range(2):
             t0 = time.perf_counter()
             row = df.first()
             best = min(best or 1e9, time.perf_counter() - t0)
-        return best, (row["hit"] / row["n"] if row["n"] else 0.0)
+        return best, (row["hit"] / row["n"] / times if row["n"] else 0.0)
 
-    floor, _ = timed(F.lit(False))
+    floor, _ = timed(None)
     out = []
     for r in rules:
-        s, rate = timed(r.rejects(Features(F.col("t"), F.col("w"))))
-        out.append(Estimate(r.name, max(s - floor, 1e-4), rate))
+        test, times = r.rejects(Features(F.col("t"), F.col("w"))), 1
+        while True:
+            s, rate = timed(test, times)
+            if s - floor >= max(FLOORS * floor, LEAST_SECONDS) or times >= MOST_REPEATS:
+                break
+            # As often as the time so far asks for, between twice and sixteen times as often.
+            want = 1.5 * max(FLOORS * floor, LEAST_SECONDS) / max(s - floor, 1e-3)
+            times = min(MOST_REPEATS, times * min(16, max(2, math.ceil(want))))
+        out.append(Estimate(r.name, max(s - floor, 1e-6) / times, rate))
     return out
 
 
 def ordered(rules: tuple[Rule, ...], estimates: list[Estimate]) -> tuple[Rule, ...]:
     """Rules by falling rejection per cost; rules that reject nothing in the sample go last, the cheapest first."""
-    by = {e.name: e for e in estimates}
-    place = {r.name: i for i, r in enumerate(rules)}
-    return tuple(sorted(rules, key=lambda r: (-by[r.name].worth, by[r.name].seconds, place[r.name])))
+    by, place = {e.name: e for e in estimates}, {r.name: i for i, r in enumerate(rules)}
+    dearest = max((e.seconds for e in estimates), default=0) or 1.0
+    cost = {k: 2.0 ** round(math.log2(max(e.seconds / dearest, 1e-6))) for k, e in by.items()}
+    return tuple(sorted(rules, key=lambda r: (-by[r.name].rejected / cost[r.name], cost[r.name], place[r.name])))
 
 
 def first_rejection(f: Features, rules: tuple[Rule, ...]) -> Column:
@@ -221,20 +232,19 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Counts of every document and the cascade's verdict.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept. All counts are computed for every
-    document, also for those that the cascade rejects early; the rules then
-    read the counts instead of the text.
+    n_repeat_words, base_failed, kept. All counts are asked for every
+    document, so rules that need no more read them; the others (repeated
+    lines, a letter) are reached by the texts that no earlier rule rejects.
     """
-    plan = tuple(r for r in ordered(rules, estimate(docs, text, rules)) if r.name not in BASE_RULES)
+    plan = ordered(rules, estimate(docs, text, rules))
     base = tuple(r for r in RULES if r.name in BASE_RULES)
     t = F.col("t")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def judged(w: Column, c: Column) -> Column:
         f = Features(t, w, {n: c[n] for n in counts})
-        return let(first_rejection(f, base).isNotNull(), lambda failed: F.struct(
-            *[c[n].alias(n) for n in counts], failed.alias("base_failed"),
-            F.when(failed, F.lit(False)).otherwise(first_rejection(f, plan).isNull()).alias("kept")))
+        return F.struct(*[c[n].alias(n) for n in counts], first_rejection(f, base).isNotNull().alias("base_failed"),
+                        first_rejection(f, plan).isNull().alias("kept"))
 
     def counted(w: Column) -> Column:
         return let(F.struct(F.size(w).cast("long").alias("n_words"), word_chars(t).alias("word_chars"),
