@@ -207,7 +207,7 @@ def test_broken_files_do_not_stop_the_others(spark, scratch):
     q = spark.read.parquet(f"{log_path}_quarantine").dropDuplicates(["source_file", "reason"]).collect()
     assert sorted((os.path.basename(r.source_file).replace("%20", " "), r.reason.split(" of ")[0][:23]) for r in q) == [
         ("bad page.parquet", "unreadable: 0"), ("empty.csv", "unreadable: no header"), ("good 1.csv", "malformed row"),
-        ("no footer.parquet", "unreadable: no Parquet "), ("rubbish.csv", "unreadable: no known co"),
+        ("no footer.parquet", "unreadable: no Parquet "), ("rubbish.csv", "unreadable: no text"),
         ("text.parquet", "unreadable: no Parquet ")]
 
 

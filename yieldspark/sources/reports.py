@@ -10,8 +10,8 @@ the reads are united by normalised column name, so files whose columns stand
 in another order, are missing or are added can lie in one folder.
 
 A file that cannot be read does not stop the others (A14). The headers of all
-CSV files come from one job; a file without a line, or without a known column,
-is an error, and a row that does not fit its header is marked. Parquet files
+CSV files come from one job; a file without a line, or whose first line is no
+text, is an error, and a row that does not fit its header is marked. Parquet files
 are read with merged schemas and ``ignoreCorruptFiles``, and then reconciled:
 their footers say how many rows each file holds, so a file that is missing or
 comes up short is found and reported instead of being left out in silence.
@@ -35,6 +35,7 @@ FILE_COL = "source_file"
 ROW_COL = "row_ordinal"
 BAD_COL = "read_error"
 _CORRUPT = "__corrupt"
+_NO_TEXT = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffd]")  # control characters, or bytes that are no UTF-8
 WORKBOOK = ".xlsx"
 
 
@@ -112,15 +113,15 @@ def _csv_headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
     return {_local(r["file"]): r["value"] for r in lines.groupBy("file").agg(F.min_by("value", "at").alias("value")).collect()}
 
 
-def _scan_csv(spark: SparkSession, files: list[str], names: Sequence[str]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+def _scan_csv(spark: SparkSession, files: list[str]) -> tuple[list[DataFrame], list[tuple[str, str]]]:
     headers, groups, errors = _csv_headers(spark, files), {}, []
     for f in files:
         line = headers.get(_local(f))
-        cells = next(csv.reader([line.replace("\0", "")]), []) if line else []
+        cells = next(csv.reader([line.replace("\0", " ")]), []) if line else []
         if not cells:
             errors.append((f, "unreadable: no header"))
-        elif names and not set(names) & {normalize_header(c) for c in cells}:
-            errors.append((f, "unreadable: no known column"))
+        elif _NO_TEXT.search(line):
+            errors.append((f, "unreadable: no text"))
         else:
             groups.setdefault(tuple(cells), []).append(f)
     parts = []
@@ -130,7 +131,9 @@ def _scan_csv(spark: SparkSession, files: list[str], names: Sequence[str]) -> tu
         df = (spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", _CORRUPT).option("ignoreCorruptFiles", "true").csv(fs))
         columns = {n: [f"c{i}"] for i, n in enumerate(unique_names([normalize_header(c) for c in cells]))}
-        parts.append(_cells(df, columns, F.when(F.col(_CORRUPT).isNotNull(), F.lit("malformed row"))))
+        # Spark does not read the corrupt-record column alone, so the condition names a cell as well.
+        read = F.length(F.concat_ws("", "c0", _CORRUPT)) >= 0
+        parts.append(_cells(df, columns, F.when(F.col(_CORRUPT).isNotNull() & read, F.lit("malformed row"))))
     return parts, errors
 
 
@@ -175,9 +178,8 @@ def _scan_parquet(spark: SparkSession, files: list[str]) -> tuple[list[DataFrame
 def scan_files(spark: SparkSession, files: Sequence[str], names: Sequence[str] = ()) -> Scan:
     """Report files of any kind, by file extension.
 
-    ``names``: the columns taken from workbooks; a CSV file that has none of them is an error. The ordinal is (split start
-    offset, increasing id) inside a file, which keeps file order across the splits of one large file without forcing the
-    file into a single task.
+    ``names``: the columns taken from workbooks. The ordinal is (split start offset, increasing id) inside a file, which
+    keeps file order across the splits of one large file without forcing the file into a single task.
     """
     kinds: dict[str, list[str]] = {}
     for f in files:
@@ -186,7 +188,7 @@ def scan_files(spark: SparkSession, files: Sequence[str], names: Sequence[str] =
     bad: list[tuple[str, str]] = []
     errors, expected = [], None
     if "csv" in kinds:
-        parts, bad = _scan_csv(spark, kinds["csv"], names)
+        parts, bad = _scan_csv(spark, kinds["csv"])
     if "parquet" in kinds:
         more, broken, expected = _scan_parquet(spark, kinds["parquet"])
         parts, bad = parts + more, bad + broken
