@@ -49,9 +49,9 @@ def text_filters(t: Column) -> dict[str, Column]:
     """Failure conditions that one text decides: few words, few different words, capitals, symbols."""
     words = F.filter(F.split(t, SPACE), lambda w: w != "")
     flags = let(words, lambda w: F.struct(
-        (F.size(w) < 200).alias("A"), (100 * F.size(F.array_distinct(w)) < 50 * F.size(w)).alias("B")))
+        (F.size(w) < 200).alias("A"), (2 * F.size(F.array_distinct(w)).cast("long") < F.size(w)).alias("B")))
     return {"A": flags["A"], "B": flags["B"],
-            "C": 100 * F.length(F.regexp_replace(t, "[^A-Z]+", "")) > 2 * F.length(t), "D": t.rlike("[#$%&*|]")}
+            "C": 50 * F.length(F.regexp_replace(t, "[^A-Z]+", "")).cast("long") > F.length(t), "D": t.rlike("[#$%&*|]")}
 
 
 def mark_copies(rows: DataFrame, doc_id: str, key: str, out: str = "is_copy") -> DataFrame:
