@@ -1,4 +1,5 @@
 import base64
+import datetime as dt
 import glob
 import gzip
 import hashlib
@@ -41,7 +42,7 @@ def test_round_trip(pages):
 
 def test_payloads_and_least_size(spark, pages):
     path = session.scratch_table_path(spark, f"warc-test-{uuid.uuid4().hex}")
-    q.write(pages, path, min_bytes=5, records_per_file=3)
+    q.write(pages, path, min_bytes=5, file_bytes=300, small=100, at=dt.datetime(2024, 5, 6, 7, 8, 9, tzinfo=dt.UTC))
     got = q.read(spark, path, with_payload=True).collect()
     assert {bytes(r.payload).decode() for r in got if r.record_type == "response"} == {r.html or "" for r in pages.collect()}
     short = [r for r in got if r.payload_bytes < 5]
@@ -51,6 +52,26 @@ def test_payloads_and_least_size(spark, pages):
         with gzip.open(f) as g:
             data = g.read()
         assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
+        assert data.count(b"WARC-Date: 2024-05-06T07:08:09Z\r\n") == data.count(b"WARC-Record-ID: ")
+
+
+def test_files_are_bounded_by_bytes(spark):
+    rows = [(i, f"http://{i}", f"{i:04d}" * n, None, None, None) for i, n in enumerate([10] * 300 + [250] * 10 + [10_000] * 3)]
+    path = session.scratch_table_path(spark, f"warc-test-{uuid.uuid4().hex}")
+    q.write(spark.createDataFrame(rows, SCHEMA).coalesce(1), path, file_bytes=45_000, small=900)
+    payload = [sorted(len(p) for _, _, p in q.parse(gzip.open(f))) for f in glob.glob(path.removeprefix("file:") + "/*.gz")]
+    assert sorted(x for p in payload for x in p) == [40] * 300 + [1000] * 10 + [40_000] * 3
+    assert all(sum(p) <= 45_000 for p in payload) and len(payload) > 5
+    assert {len(p) for p in payload if p[-1] > 900} == {1}
+
+
+def test_identical_rows_are_reduced_before_the_shuffle(spark):
+    rows = [(1, "http://a", "same" * 1000, None, None, None)] * 3000 + [(2, "http://b", "other", None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    plan = q.records(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_first" in plan
+    got = q.digest(df).groupBy("record_type").count().collect()
+    assert {r.record_type: r["count"] for r in got} == {"response": 2, "revisit": 2999}
 
 
 def test_damage_is_seen():

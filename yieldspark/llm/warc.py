@@ -10,9 +10,15 @@ Resolution shuffles headers only (id, URL, digest, length): the response of a
 digest is an aggregate, and revisits join it by digest, where Spark may split
 a hot digest. Payloads are then joined to the chosen responses by the record
 id (a hash of id, URL and digest), so that a digest which a third of the pages
-share is spread over its pages. Records are text: Spark's text writer writes them with the
-record end ``CR LF CR LF`` as line separator, gzip-compressed, into files of
-at most ``RECORDS_PER_FILE`` records under the shared folder.
+share is spread over its pages; identical rows, which share one, are reduced to
+one row by each task before the shuffle. Records are text: Spark's text writer
+writes them with the record end ``CR LF CR LF`` as line separator,
+gzip-compressed, under the shared folder.
+
+Files are bounded by bytes. Payloads of up to ``SMALL`` bytes go to files of at
+most ``FILE_BYTES / SMALL`` records; longer ones to files of their own, with as
+many records as the longest payload lets into ``FILE_BYTES``, one at least. A
+reader holds one compressed file and one record at a time.
 
 Reading back takes files as binary rows and walks their records by
 Content-Length; the digest of a response is computed again from its payload.
@@ -26,6 +32,7 @@ others revisit it; an empty table gives no record; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import gzip
 import hashlib
 import io
@@ -39,8 +46,7 @@ from pyspark.sql import functions as F
 from .. import session
 from .common import cut
 
-RECORDS_PER_FILE = 2000
-DATE = "2000-01-01T00:00:00Z"
+FILE_BYTES, SMALL = 512 << 20, 256 << 10
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -107,8 +113,8 @@ def _http() -> Column:
         ("Content-Type", "text/html; charset=utf-8"), ("Content-Length", F.col("n_bytes").cast("string"))), F.lit(_END))
 
 
-def _record(kind: str, rid: Column, block: Column, *more: tuple[str, Column | str]) -> Column:
-    head = _lines(("WARC-Type", kind), ("WARC-Record-ID", F.concat(F.lit("<"), rid, F.lit(">"))), ("WARC-Date", DATE),
+def _record(kind: str, date: str, rid: Column, block: Column, *more: tuple[str, Column | str]) -> Column:
+    head = _lines(("WARC-Type", kind), ("WARC-Record-ID", F.concat(F.lit("<"), rid, F.lit(">"))), ("WARC-Date", date),
                   ("WARC-Target-URI", _url("url")), ("X-Page-ID", F.col("id").cast("string")),
                   ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))), *more,
                   ("Content-Type", "application/http; msgtype=response"),
@@ -116,31 +122,59 @@ def _record(kind: str, rid: Column, block: Column, *more: tuple[str, Column | st
     return F.concat(F.lit("WARC/1.1\r\n"), head, F.lit(_END), block).alias("value")
 
 
-def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-            min_bytes: int = 0) -> DataFrame:
-    """One column ``value``: the record of every page, without the record end."""
+def _resolved(pages: DataFrame, page_id: str, url: str, html: str, min_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(headers with payload, responses, revisits); headers are a small table that is written once, as several steps read
+    it and each would read and hash all payloads."""
     h = headers(pages, page_id, url, html)
-    # Headers are a small table that several steps read; without it each of them would read and hash all payloads.
-    responses, revisits = resolve(cut(h.drop("payload"), "warc-headers"), min_bytes)
-    # One key that is never NULL: the join and the step that leaves one of identical rows share one exchange of payloads.
-    rid = record_id("id", "url", "digest").alias("rid")
-    full = h.select("*", rid).join(responses.select(rid, "one"), "rid")
-    full = full.where("one").dropDuplicates(["rid"]).unionByName(full.where("not one")) if min_bytes > 0 else (
-        full.dropDuplicates(["rid"]))
-    kept = full.select(_record("response", F.col("rid"), F.concat(_http(), F.col("payload"))))
-    again = revisits.select(_record(
-        "revisit", record_id("id", "url", "digest", "nr"), _http(), ("WARC-Profile", PROFILE),
+    return (h, *resolve(cut(h.drop("payload"), "warc-headers"), min_bytes))
+
+
+def _kept(h: DataFrame, responses: DataFrame, date: str, min_bytes: int) -> DataFrame:
+    """Response records of ``h``: all short pages, and the chosen one of each other payload."""
+    rid = record_id("id", "url", "digest").alias("rid")  # never NULL
+    # The step that leaves one of identical rows combines before its shuffle, and the join reads the same shuffle.
+    full = h.where(F.col("n_bytes") >= min_bytes).select("*", rid).dropDuplicates(["rid"])
+    full = full.join(responses.where("one").select(rid), "rid", "left_semi")
+    if min_bytes > 0:
+        full = full.unionByName(h.where(F.col("n_bytes") < min_bytes).select("*", rid))
+    return full.select(_record("response", date, F.col("rid"), F.concat(_http(), F.col("payload"))))
+
+
+def _again(revisits: DataFrame, date: str) -> DataFrame:
+    return revisits.select(_record(
+        "revisit", date, record_id("id", "url", "digest", "nr"), _http(), ("WARC-Profile", PROFILE),
         ("WARC-Refers-To", F.concat(F.lit("<"), record_id(
             F.col("to_id").alias("id"), F.col("to_url").alias("url"), "digest"), F.lit(">"))),
-        ("WARC-Refers-To-Target-URI", _url("to_url")), ("X-Refers-To-Page-ID", F.col("to_id").cast("string"))))
-    return kept.unionByName(again)
+        ("WARC-Refers-To-Target-URI", _url("to_url")), ("WARC-Refers-To-Date", date),
+        ("X-Refers-To-Page-ID", F.col("to_id").cast("string"))))
+
+
+def written_at(at: dt.datetime | None = None) -> str:
+    """The date of a record: ``at``, or now."""
+    return (at or dt.datetime.now(dt.UTC)).astimezone(dt.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
+            min_bytes: int = 0, at: dt.datetime | None = None) -> DataFrame:
+    """One column ``value``: the record of every page, without the record end."""
+    h, responses, revisits = _resolved(pages, page_id, url, html, min_bytes)
+    return _kept(h, responses, written_at(at), min_bytes).unionByName(_again(revisits, written_at(at)))
 
 
 def write(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-          min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
+          min_bytes: int = 0, file_bytes: int = FILE_BYTES, small: int = SMALL, at: dt.datetime | None = None) -> None:
     """Archives of all pages as gzip files under ``path`` (a folder that does not exist yet)."""
-    (records(pages, page_id, url, html, min_bytes).write.option("lineSep", _END).option("compression", "gzip")
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    h, responses, revisits = _resolved(pages, page_id, url, html, min_bytes)
+    date, n = written_at(at), F.col("n_bytes")
+    longest = responses.agg(F.max("n_bytes")).first()[0] or 0
+
+    def save(df: DataFrame, size: int, mode: str) -> None:
+        (df.write.mode(mode).option("lineSep", _END).option("compression", "gzip")
+         .option("maxRecordsPerFile", max(1, file_bytes // size)).text(path))
+
+    save(_kept(h.where(n <= small), responses, date, min_bytes).unionByName(_again(revisits, date)), small, "errorifexists")
+    if longest > small:
+        save(_kept(h.where(n > small), responses, date, min_bytes), longest, "append")
 
 
 def parse(f) -> Iterator[tuple[dict[str, str], dict[str, str], bytes]]:
