@@ -68,6 +68,33 @@ def test_blocks_of_the_test_set_give_the_same(case):
     assert one == many
 
 
+def test_passes_and_blocks_within_a_pass_give_the_same(case):
+    docs, items, d, b = case
+    names = ("n", "s", "i")
+    one = {r.doc_id: (r.n, r.s, r.i) for r in q.scan(d, b, names).collect()}
+    assert one == {r.doc_id: (r.n, r.s, r.i) for r in q.scan(d, b, names, block_bytes=200, pass_blocks=3).collect()}
+
+
+def test_index_is_built_once_per_shard(monkeypatch):
+    built = []
+    index = q.FMIndex
+    monkeypatch.setattr(q, "FMIndex", lambda *a: built.append(1) or index(*a))
+    blocks = [q.Phrases([(str(i), f"w{i} w{i + 1} w{i + 2} w{i + 3}".encode())], 3) for i in range(40)]
+    known = q.Known(np.unique(np.concatenate([q.crc(p.vocabulary) for p in blocks])), 3)
+    shard = q.Shard([b"x w0 w1 w2 y", b"w5 w6 w7 w8 w9", None, b"w9 w8"], known)
+    found = {i: f for i, p in enumerate(blocks) if (f := shard.search(p))}
+    assert len(built) == 1 and shard.n_words.tolist() == [5, 5, 0, 2]
+    assert found == {0: {0: ([[1, 4]], {"0"})}, 4: {1: ([[0, 3]], {"4"})}, 5: {1: ([[0, 4]], {"5"})}, 6: {1: ([[1, 5]], {"6"})}, 7: {1: ([[2, 5]], {"7"})}}
+
+
+def test_items_that_share_windows():
+    p = q.Phrases([("x", b"a b c d"), ("y", b"z b c d"), ("w", b"b c d"), ("y", b"b c d")], 3)
+    k = next(i for i in range(len(p.size)) if [p.vocabulary[n - 2] for n in p.words[i]] == [b"b", b"c", b"d"])
+    place, item = p.items_of(np.array([k, k]))
+    for j in (0, 1):
+        assert {p.names[i] for i in item[place == j]} == {"x", "y", "w"}
+
+
 def test_index_finds_every_occurrence():
     rnd = np.random.default_rng(4)
     seq = rnd.integers(1, 5, 3000).astype(np.int32)

@@ -5,20 +5,25 @@ character. A test item gives one phrase per window of ``window`` consecutive
 words, or one phrase for the whole item if it is shorter. The texts of one
 shard (a slice of an Arrow batch, at most ``SHARD_BYTES`` of text unless one
 text is longer) become one sequence of word numbers, over which an FM-index is
-built: suffix array by prefix doubling, Burrows-Wheeler transform in a wavelet
-matrix, every 32nd text position sampled. All phrases are searched backwards
-at once by wavelet ranks; the rows of a found phrase walk back to a sampled
-position, and the found word ranges of a text are merged into removal spans.
+built once: suffix array by prefix doubling, Burrows-Wheeler transform in a
+wavelet matrix, every 32nd text position sampled. The phrases of one block of
+the test set after the other are searched backwards, all of a block at once, by
+wavelet ranks; the rows of a found phrase walk back to a sampled position, and
+the found word ranges of a text are merged into removal spans.
 
 The sequence keeps what can match: a word that no phrase has breaks the
 sequence like a text's end, and a stretch between breaks that is shorter than
-the shortest phrase is left out. Neither can hide an occurrence.
+the shortest phrase is left out. Neither can hide an occurrence. Words of
+phrases are known by their CRC-32 (a word that only shares one is kept, too);
+numbers are given to the words of a shard, and a phrase with a word that the
+shard has not is not searched there.
 
 The test set is read in blocks of at most ``BLOCK_BYTES`` of text, whatever
-its size; each block is collected, broadcast and searched in a pass of its own
-over the texts (a narrow operation, nothing is shuffled), and its findings are
-merged into those of the passes before. A window of words belongs to one item,
-so no phrase spans blocks.
+its size; each block is collected and broadcast in a compact form (about three
+times its text), and ``PASS_BLOCKS`` of them, 128 MB of text, are searched in
+one pass over the texts (a narrow operation, nothing is shuffled). A larger
+test set takes further passes, whose findings are merged into those of the
+passes before. A window of words belongs to one item, so no phrase spans blocks.
 
 Defined cases: a NULL or empty text has no words, no hits and is not
 contaminated; a NULL or empty item gives no phrase; items with equal ids count
@@ -31,8 +36,10 @@ but for those whose names the output takes.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +50,7 @@ from pyspark.sql import types as T
 
 from .common import fresh, without
 
-WINDOW, BLOCK_BYTES, SHARD_BYTES, SAMPLE = 13, 4 << 20, 12 << 20, 32
+WINDOW, BLOCK_BYTES, PASS_BLOCKS, SHARD_BYTES, SAMPLE = 13, 4 << 20, 32, 12 << 20, 32
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -54,22 +61,70 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
+class Windows(NamedTuple):
+    """Phrases as rows of word numbers, 0 beyond a phrase's ``size``."""
+
+    words: np.ndarray
+    size: np.ndarray
+
+
 class Phrases:
-    """Distinct windows of the items as rows of word numbers (2 and up), with the items that have them."""
+    """Distinct windows of a block of items.
+
+    ``vocabulary``: the block's words, numbered from 2; ``flat``: the words of all items in a row. Window k is the ``size[k]``
+    words from ``start[k]`` on and belongs to the item ``names[item[k]]``; ``more`` has the further (window, item).
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
-        self.ids: dict[bytes, int] = {}
-        rows: dict[tuple, set] = {}
+        ids: dict[bytes, int] = {}
+        names: dict[str, int] = {}
+        seen: dict[tuple, int] = {}
+        flat: list[int] = []
+        start, size, item, more = [], [], [], set()
         for name, text in items:
-            w = [self.ids.setdefault(x, len(self.ids) + 2) for x in words(text)]
+            w = [ids.setdefault(x, len(ids) + 2) for x in words(text)]
+            who = names.setdefault(name, len(names))
             for i in range(max(len(w) - window, 0) + 1 if w else 0):
-                rows.setdefault(tuple(w[i:i + window]), set()).add(name)
-        self.size = np.array([len(r) for r in rows], dtype=np.int32)
-        self.words = np.zeros((len(rows), window), dtype=np.int32)
-        for i, r in enumerate(rows):
-            self.words[i, :len(r)] = r
-        self.items = [sorted(x) for x in rows.values()]
-        self.shortest = int(self.size.min()) if rows else 0
+                row = tuple(w[i:i + window])
+                k = seen.setdefault(row, len(seen))
+                if k == len(start):
+                    start.append(len(flat) + i)
+                    size.append(len(row))
+                    item.append(who)
+                elif item[k] != who:
+                    more.add((k, who))
+            flat += w
+        self.window, self.vocabulary, self.names = window, list(ids), list(names)
+        self.flat, self.start = np.array(flat, dtype=np.int32), np.array(start, dtype=np.int32)
+        self.size, self.item = np.array(size, dtype=np.int32), np.array(item, dtype=np.int32)
+        self.more = np.array(sorted(more), dtype=np.int32).reshape(-1, 2)
+        self.shortest = int(self.size.min()) if len(start) else 0
+
+    @property
+    def words(self) -> np.ndarray:
+        return self._rows(self.flat, np.arange(len(self.start)))
+
+    def _rows(self, flat: np.ndarray, some: np.ndarray) -> np.ndarray:
+        step = np.arange(self.window)
+        at = np.minimum(self.start[some, None] + step, max(len(flat) - 1, 0))
+        return np.where(step < self.size[some, None], flat[at], 0)
+
+    def possible(self, ids: dict[bytes, int]) -> tuple[np.ndarray, Windows]:
+        """The windows all of whose words are in ``ids``, and these in the numbers of ``ids``."""
+        number = np.zeros(len(self.vocabulary) + 2, dtype=np.int32)
+        number[2:] = np.fromiter(map(ids.get, self.vocabulary, repeat(0)), dtype=np.int32, count=len(self.vocabulary))
+        flat = number[self.flat]
+        absent = np.concatenate([[0], np.cumsum(flat == 0)])
+        some = np.nonzero(absent[self.start + self.size] == absent[self.start])[0]
+        return some, Windows(self._rows(flat, some), self.size[some])
+
+    def items_of(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``windows``, item) of every item that has one of the windows."""
+        lo, hi = (np.searchsorted(self.more[:, 0], windows, side=x) for x in ("left", "right"))
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        place = np.arange(len(windows))
+        return np.concatenate([place, np.repeat(place, n)]), np.concatenate([self.item[windows], self.more[at, 1]])
 
 
 def suffix_array(seq: np.ndarray) -> np.ndarray:
@@ -175,14 +230,14 @@ class FMIndex:
         self.marked, self.at = Bits(sampled), sa[sampled]
         self.n = len(seq)
 
-    def search(self, p: Phrases) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, p: Phrases | Windows) -> tuple[np.ndarray, np.ndarray]:
         """(phrase, sequence position) of every occurrence."""
-        alive = np.arange(len(p.size))
+        words, alive = p.words, np.arange(len(p.size))
         lo, hi = np.zeros(len(alive), dtype=np.int64), np.full(len(alive), self.n, dtype=np.int64)
-        for step in range(p.words.shape[1]):
+        for step in range(words.shape[1]):
             j = p.size[alive] - 1 - step
             busy = j >= 0
-            c = p.words[alive[busy], j[busy]].astype(np.int64)
+            c = words[alive[busy], j[busy]].astype(np.int64)
             lo[busy] = self.less[c] + self.wavelet.rank(c, lo[busy])
             hi[busy] = self.less[c] + self.wavelet.rank(c, hi[busy])
             found = lo < hi
@@ -205,43 +260,71 @@ class FMIndex:
         return out
 
 
-def search_shard(texts: list[bytes | None], p: Phrases) -> tuple[np.ndarray, dict[int, tuple[list, set]]]:
-    """Words per text, and for texts with a hit the merged word spans and the items."""
-    get, sizes, parts = p.ids.get, [], []
-    for t in texts:
-        w = words(t)
-        sizes.append(len(w))
-        parts.append(np.fromiter(map(get, w, repeat(1)), dtype=np.int32, count=len(w)))
-        parts.append(np.ones(1, dtype=np.int32))  # a break after every text
-    n_words = np.array(sizes, dtype=np.int64)
-    stream = np.concatenate([np.ones(1, dtype=np.int32), *parts])
-    begin = np.concatenate([[0], np.cumsum(n_words + 1)]) + 1  # of each text in the stream
-    # Stretches between breaks that hold the shortest phrase, each kept with the break after it.
-    breaks = np.nonzero(stream == 1)[0]
-    long_ = np.diff(breaks) - 1 >= max(p.shortest, 1)
-    if not p.shortest or not long_.any():
-        return n_words, {}
-    mark = np.zeros(len(stream) + 1, dtype=np.int8)
-    mark[breaks[:-1][long_] + 1] += 1
-    mark[breaks[1:][long_] + 1] -= 1
-    kept = np.nonzero(np.cumsum(mark[:-1], dtype=np.int8))[0]
-    phrase, at = FMIndex(stream[kept], len(p.ids) + 1).search(p)
-    if not len(at):
-        return n_words, {}
-    start = kept[at]
-    end = start + p.size[phrase]
-    doc = np.searchsorted(begin, start, side="right") - 1
-    found: dict[int, tuple[list, set]] = {}
-    order = np.lexsort((end, start))
-    for d, s, e in zip(doc[order].tolist(), (start - begin[doc])[order].tolist(), (end - begin[doc])[order].tolist()):
-        spans = found.setdefault(d, ([], set()))[0]
-        if spans and s <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], e)
-        else:
-            spans.append([s, e])
-    for d, k in set(zip(doc.tolist(), phrase.tolist())):
-        found[d][1].update(p.items[k])
-    return n_words, found
+def crc(found: Sequence[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, found), dtype=np.uint32, count=len(found))
+
+
+class Known(NamedTuple):
+    """What the shards of a pass have to know of all its blocks: CRCs of the phrases' words, ascending, and the least size."""
+
+    words: np.ndarray
+    shortest: int
+
+
+class Shard:
+    """The words of some texts, and an FM-index of those that phrases may match."""
+
+    def __init__(self, texts: list[bytes | None], known: Known):
+        all_: set[bytes] = set()
+        for t in texts:
+            all_.update(words(t))
+        found = list(all_)
+        have = np.isin(crc(found), known.words)
+        self.ids = {found[i]: n + 2 for n, i in enumerate(np.nonzero(have)[0].tolist())}
+        get, sizes, parts = self.ids.get, [], []
+        for t in texts:
+            w = words(t)
+            sizes.append(len(w))
+            parts.append(np.fromiter(map(get, w, repeat(1)), dtype=np.int32, count=len(w)))
+            parts.append(np.ones(1, dtype=np.int32))  # a break after every text
+        self.n_words = np.array(sizes, dtype=np.int64)
+        stream = np.concatenate([np.ones(1, dtype=np.int32), *parts])
+        self.begin = np.concatenate([[0], np.cumsum(self.n_words + 1)]) + 1  # of each text in the stream
+        # Stretches between breaks that hold the shortest phrase, each kept with the break after it.
+        breaks = np.nonzero(stream == 1)[0]
+        long_ = np.diff(breaks) - 1 >= max(known.shortest, 1)
+        self.index = None
+        if known.shortest and long_.any():
+            mark = np.zeros(len(stream) + 1, dtype=np.int8)
+            mark[breaks[:-1][long_] + 1] += 1
+            mark[breaks[1:][long_] + 1] -= 1
+            self.kept = np.nonzero(np.cumsum(mark[:-1], dtype=np.int8))[0]
+            self.index = FMIndex(stream[self.kept], len(self.ids) + 1)
+
+    def search(self, p: Phrases) -> dict[int, tuple[list, set]]:
+        """For texts with a hit the merged word spans and the items."""
+        found: dict[int, tuple[list, set]] = {}
+        if self.index is None:
+            return found
+        some, windows = p.possible(self.ids)
+        phrase, at = self.index.search(windows)
+        if not len(at):
+            return found
+        start = self.kept[at]
+        end = start + windows.size[phrase]
+        doc = np.searchsorted(self.begin, start, side="right") - 1
+        order = np.lexsort((end, start))
+        for d, s, e in zip(doc[order].tolist(), (start - self.begin[doc])[order].tolist(), (end - self.begin[doc])[order].tolist()):
+            spans = found.setdefault(d, ([], set()))[0]
+            if spans and s <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], e)
+            else:
+                spans.append([s, e])
+        pairs = np.unique(np.stack([doc, some[phrase]]), axis=1)
+        place, item = p.items_of(pairs[1])
+        for d, k in set(zip(pairs[0][place].tolist(), item.tolist())):
+            found[d][1].add(p.names[k])
+        return found
 
 
 def merge(a: list, b: list) -> list:
@@ -264,44 +347,51 @@ def slices(b: pa.RecordBatch, col: pa.Array, most: int) -> Iterator[pa.RecordBat
             yield b.slice(lo, hi - lo)
 
 
-def _scan_block(df: DataFrame, block, text: str, out: tuple[str, str, str], first: bool) -> DataFrame:
+def _scan_pass(df: DataFrame, blocks: list, known, text: str, out: tuple[str, str, str], first: bool) -> DataFrame:
     n, spans, items = out
     schema = df.schema if not first else T.StructType([*df.schema.fields, T.StructField(n, T.LongType()), T.StructField(
         spans, SPANS), T.StructField(items, T.ArrayType(T.StringType()))])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = block.value
         for batch in batches:
             at = batch.schema.get_field_index(text)
             for b in slices(batch, batch.column(at), SHARD_BYTES):
-                n_words, found = search_shard(b.column(at).cast(pa.binary()).to_pylist(), p)
+                shard = Shard(b.column(at).cast(pa.binary()).to_pylist(), known.value)
                 s_col, i_col = [[] for _ in range(b.num_rows)], [[] for _ in range(b.num_rows)]
                 if not first:
                     s_col = [[[x["start"], x["end"]] for x in v] for v in b.column(names.index(spans)).to_pylist()]
                     i_col = b.column(names.index(items)).to_pylist()
-                for d, (more, who) in found.items():
-                    s_col[d], i_col[d] = merge(s_col[d], more), sorted({*i_col[d], *who})
+                for block in blocks:
+                    for d, (more, who) in shard.search(block.value).items():
+                        s_col[d], i_col[d] = merge(s_col[d], more), sorted({*i_col[d], *who})
                 cols = [b.column(i) for i in range(b.num_columns - (0 if first else 3))]
                 yield pa.RecordBatch.from_arrays([
-                    *cols, pa.array(n_words), pa.array([[{"start": s, "end": e} for s, e in v] for v in s_col], _SPANS),
+                    *cols, pa.array(shard.n_words), pa.array([[{"start": s, "end": e} for s, e in v] for v in s_col], _SPANS),
                     pa.array(i_col, pa.list_(pa.string()))], names=names)
 
     return df.mapInArrow(run, schema)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, out: tuple[str, str, str], text: str = "text", item_id: str = "item_id",
-         item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+         item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, pass_blocks: int = PASS_BLOCKS
+         ) -> DataFrame:
     """``docs`` plus ``out``: words (long), merged word spans of hits, items with occurring windows (sorted strings)."""
     docs, sc = without(docs, *out), docs.sparkSession.sparkContext
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
                              F.coalesce(F.col(item_text), F.lit("")).cast("binary").alias("t"))
     size = items.agg(F.sum(F.length("t") + F.length("name"))).first()[0] or 0
     n_blocks = max(1, -(-int(size) // block_bytes))
-    for k in range(n_blocks):
-        part = items.where(F.pmod(F.xxhash64("name", "t"), F.lit(n_blocks)) == k).distinct().collect()
-        block = sc.broadcast(Phrases([(r["name"], bytes(r["t"])) for r in part], window))
-        docs = _scan_block(docs, block, text, out, first=k == 0)
+    for lo in range(0, n_blocks, pass_blocks):
+        blocks, have, shortest = [], np.zeros(0, dtype=np.uint32), []
+        for k in range(lo, min(lo + pass_blocks, n_blocks)):
+            part = items.where(F.pmod(F.xxhash64("name", "t"), F.lit(n_blocks)) == k).distinct().collect()
+            p = Phrases([(r["name"], bytes(r["t"])) for r in part], window)
+            have = np.union1d(have, crc(p.vocabulary))
+            if p.shortest:
+                shortest.append(p.shortest)
+                blocks.append(sc.broadcast(p))
+        docs = _scan_pass(docs, blocks, sc.broadcast(Known(have, min(shortest, default=0))), text, out, first=lo == 0)
     return docs
 
 
