@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
 from samples import PROSE
 
 from yieldspark.llm import langid as q
@@ -54,3 +55,27 @@ def test_edges(make_docs, edge_docs, no_docs):
 def test_ties_go_to_the_first_name_and_are_rejected():
     c = q.Classifier({"b": PROSE.encode(), "a": PROSE.encode()})
     assert c.predict("lazy dog") == ("a", 0.0)
+
+
+def test_query_matches_plain_compression(spark):
+    """Every document of the smallest table, each block compressed by a new compressor per language."""
+    import zstandard
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    content = q.learn(docs.where(~q.held_out(F.col("doc_id"))))
+
+    def size(data, lang):
+        d = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters.from_level(
+            q.LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return sum(len(zstandard.ZstdCompressor(dict_data=d, compression_params=how).compress(data[i:i + q.BLOCK]))
+                   for i in range(0, len(data), q.BLOCK))
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in q.digest(docs).collect()}
+    rows = docs.collect()
+    assert len(got) == len(rows) and len(content) > 1
+    for r in rows:
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        sizes = sorted((size(r.text.lower().encode(), k), k) for k in content)
+        assert got[r.doc_id] == (sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0])

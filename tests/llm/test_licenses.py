@@ -17,6 +17,39 @@ def test_held_out_accuracy(classifier):
     assert classifier.accuracy > 0.95 and 0.5 <= classifier.least <= 0.95
 
 
+def test_notices_that_were_not_learned():
+    """Whole notices left out, each once: families are often wrong; a template confirms one only where the telling word was dropped."""
+    got = q.unseen_notices([q.words(PROSE.encode())] * 20, variants=6)
+    assert got["variants"] == 6 * sum(map(len, q.TEMPLATES.values()))
+    assert got["wrong_confirmed"] <= 0.01 * got["variants"] and 0 < got["recall"] <= got["right"] < 1
+
+
+def test_background_lines_come_from_any_place(make_docs):
+    text = "\n".join(f"line{i} " + " ".join(f"w{i}x{k}" for k in range(300)) for i in range(400))
+    got = q.background(make_docs([(1, text), (2, None), (3, ""), (4, " \n "), (5, "one line"), (None, "no id")]))
+    place = [tuple(map(int, w[1][1:].split(b"x"))) for w in got if w[1].startswith(b"w")]
+    assert len(place) == q.LINES_PER_DOC and max(i for i, _ in place) > 100 and max(k for _, k in place) > 100
+    assert sum(w == [b"one", b"line"] for w in got) == 1 and all(len(w) <= q.UNIT for w in got)
+    assert got == q.background(make_docs([(5, "one line"), (1, text), (None, "no id")]))
+
+
+def test_families_of_documents_with_known_lines(spark):
+    """Every document of the small table against a plain search for the notices, line by line."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    notices = sorted(((q.words(t.encode()), k) for k, v in q.TEMPLATES.items() for t in v), key=lambda x: -len(x[0]))
+
+    def known(text):
+        out = set()
+        for line in (text or "").encode().split(b"\n"):
+            w = b" ".join([b"", *q.words(line), b""])
+            out.update(next(([k] for t, k in notices if b" ".join([b"", *t, b""]) in w), []))
+        return ",".join(sorted(out))
+
+    got = {r.doc_id: r.families for r in q.digest(docs).collect()}
+    want = {r.doc_id: known(r.text) for r in docs.collect()}
+    assert got == want and sum(map(bool, want.values())) > 20
+
+
 def test_unseen_wordings_and_other_uses(classifier):
     said = {"This software is released under the MIT License, see the file.": "MIT",
             "The data are licensed under the Apache License, Version 2.0": "Apache",
