@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from yieldspark.llm import components, simhash as q
@@ -70,6 +71,41 @@ def test_shards_lose_no_pair(spark):
     assert len(edges) <= 20 * len(v)
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2, 5])
+def test_values_that_share_a_block_are_dealt_by_whole_fingerprints(spark, bits):
+    rnd = np.random.default_rng(bits)
+    far = rnd.integers(0, 1 << 63, 1000, dtype=np.uint64) << np.uint64(1)
+    shared = (rnd.integers(0, 1 << 63, 1500, dtype=np.uint64) << np.uint64(22)) | np.uint64(0x155555)
+    v = np.concatenate([far, shared])
+    for _ in range(bits):
+        v = np.concatenate([v[:2500], v[-500:] ^ (np.uint64(1) << rnd.integers(0, 64, 500).astype(np.uint64))])
+    v = np.unique(v)
+    points = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp long")
+    got = {r.a: r.b for r in components.stars(q.links(points, bits, shard_points=200, min_depth=2)).collect()}
+    want = {}
+    for x, r in zip(v.view(np.int64).tolist(), roots(v, bits)):
+        want.setdefault(r, set()).add(x)
+    assert got == {x: min(c) for c in want.values() for x in c if x != min(c)}
+
+
+def test_search_tests_grow_little_faster_than_the_points(monkeypatch):
+    tests, inner = [0], q.distance
+
+    def counted(*a):
+        d = inner(*a)
+        tests[0] += d.size
+        return d
+    monkeypatch.setattr(q, "distance", counted)
+
+    def cost(n):
+        v = np.unique(np.random.default_rng(3).integers(0, 1 << 63, n, dtype=np.uint64))
+        tests[0] = 0
+        for m in q.block_masks(2):
+            q.link_shard(v, v, 2, m)
+        return tests[0]
+    assert cost(80_000) < 4.6 * cost(20_000)
+
+
 def test_dense_ball_gives_a_forest():
     ball = np.array([0, *[1 << i for i in range(64)], *[(1 << i) | (1 << j) for i in range(64) for j in range(i)]], dtype=np.uint64)
     a, b = q.link_shard(ball, ball)

@@ -5,14 +5,19 @@ A text (A-Z lower-cased) is split at the space and U+0009..U+000D; its
 42) and a fingerprint bit is 1 if more than half of the hashes have it. A text
 of fewer words is one shingle; a text without a word has fingerprint 0.
 
-Search. Equal fingerprints are one point. A vantage-point tree of fixed depth,
-built on the driver from a bounded sample of the points, deals the points out:
-at a node with vantage point v and radius mu a point goes near if
-d(point, v) <= mu and far otherwise, so each leaf of the tree is one shard. A
-point is looked up in every shard that its ball of radius ``bits`` can touch:
-by the triangle inequality the near side if d - bits <= mu, the far side if
-d + bits > mu. Inside a shard another vantage-point tree is built over all of
-the shard's points and every arriving query walks it under the same bounds;
+Search. Equal fingerprints are one point. The 64 bits are cut into
+``bits`` + 1 blocks (``MAX_BLOCKS`` at most), so of two linked fingerprints
+one block differs by ``bits`` // blocks bits at most: by none for radius 2.
+For each block a vantage-point tree, built on the driver from a bounded sample
+of the points, deals all points out: at a node with vantage point v and radius
+mu a point goes near if d(point, v) <= mu and far otherwise, so each leaf is
+one shard. A point is looked up in every shard that its ball of radius r can
+touch: by the triangle inequality the near side if d - r <= mu, the far side
+if d + r > mu. A node measures d over the bits of its block, with r as above;
+where all sampled points agree in the block (a value that very many
+fingerprints share), the nodes below measure whole fingerprints, with r =
+``bits``. Inside a shard another tree of both kinds of nodes is built over all
+of the shard's points and every arriving query walks it under the same bounds;
 what is left is compared exactly. The sample only shapes the shards: no pair
 is lost, whatever the sample.
 
@@ -20,10 +25,12 @@ A shard returns a spanning forest of its links (at most one edge per point),
 never all pairs; forests are joined by star contraction. A ball of radius 2
 holds 2,081 distinct fingerprints at most, so no shard can be one dense ball.
 
-Cost. A boundary of width 2 * bits + 1 crosses about two fifths of random
-fingerprints, so a level halves a shard but sends on 1.4 queries per query:
-the search costs about n ** 1.49 distance tests for n distinct fingerprints,
-and 1.4 ** depth copies of 8 bytes are shuffled.
+Cost. Whole random fingerprints lie about 32 bits from any vantage point, and a
+boundary of width 2 * bits + 1 crosses two fifths of them; over a block the
+ball has radius 0 and no boundary crosses it. A point is so sent once per
+block and descends to one side, and the search costs about n log n tests until
+the values of a block (2 ** 21) hold more than ``BUCKET`` points each; from
+there on the nodes over whole fingerprints prune inside one value only.
 
 Defined cases: a NULL text has no word (fingerprint 0, linked like any
 other); a NULL id never names a component unless no member has an id; of
@@ -51,8 +58,10 @@ SHINGLE, BITS, SEED = 3, 2, 42
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 1 << 15  # shingles hashed at a time
 
-#: Depth of the dealing tree: points per shard aimed at, least depth, sample points per shard.
-SHARD_POINTS, MIN_DEPTH, SAMPLE_PER_SHARD = 200_000, 6, 64
+#: Blocks at most; all bits of a fingerprint.
+MAX_BLOCKS, ALL = 4, (1 << 64) - 1
+#: Dealing trees: points per shard aimed at, least and greatest depth, sample points per shard and in all.
+SHARD_POINTS, MIN_DEPTH, MAX_DEPTH, SAMPLE_PER_SHARD, MAX_SAMPLE = 200_000, 6, 40, 64, 1 << 18
 #: Points below which a shard's tree compares directly; pairs compared at a time.
 BUCKET, PAIRS = 128, 1 << 21
 
@@ -91,15 +100,27 @@ def with_fingerprint(docs: DataFrame, out: str, text: str = "text", shingle: int
     return docs.mapInArrow(run, schema)
 
 
-def distance(a: np.ndarray, b) -> np.ndarray:
-    return np.bitwise_count(np.bitwise_xor(a, b)).astype(np.int16)
+def block_masks(bits: int) -> list[int]:
+    n = min(bits + 1, MAX_BLOCKS)
+    edges = [64 * i // n for i in range(n + 1)]
+    return [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
 
 
-def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
+def reach(mask: int, bits: int) -> int:
+    """Radius of a search over the bits of ``mask``: all, or the block in which a linked pair differs least."""
+    return bits if mask == ALL else bits // min(bits + 1, MAX_BLOCKS)
+
+
+def distance(a: np.ndarray, b, mask: int = ALL) -> np.ndarray:
+    x = np.bitwise_xor(a, b)
+    return np.bitwise_count(x if mask == ALL else x & np.uint64(mask)).astype(np.int16)
+
+
+def split(points: np.ndarray, mask: int = ALL) -> tuple[np.uint64, int] | None:
     """Vantage point and radius that halve ``points`` best among a few; None if none of them splits."""
     best = None
     for v in points[:: max(1, len(points) // 5)][:5]:
-        d = distance(points, v)
+        d = distance(points, v, mask)
         mu = int(np.median(d))
         for m in (mu, mu - 1):
             near = int((d <= m).sum())
@@ -110,20 +131,29 @@ def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
     return best and (best[1], best[2])
 
 
-def plan_shards(sample: np.ndarray, depth: int) -> list:
-    """Nested [vantage, mu, near, far]; a leaf is its number."""
-    n = [0]
+def plan_shards(sample: np.ndarray, block: int, bits: int, most: float, min_depth: int) -> list:
+    """Nested [mask, vantage, mu, near, far]; a leaf is its number, which modulo the blocks is ``block``.
 
-    def grow(points: np.ndarray, left: int):
-        cutp = split(points) if left and len(points) > 1 else None
-        if cutp is None:
+    A node is split while more than ``most`` sample points can arrive there, and to ``min_depth`` at least.
+    """
+    masks, n = block_masks(bits), [0]
+
+    def grow(home: np.ndarray, arriving: np.ndarray, depth: int, mask: int):
+        at = None
+        if len(home) > 1 and depth < MAX_DEPTH and (depth < min_depth or len(arriving) > most):
+            at = split(home, mask)
+            if at is None:
+                mask = ALL
+                at = split(home)
+        if at is None:
             n[0] += 1
-            return n[0] - 1
-        v, mu = cutp
-        d = distance(points, v)
-        return [int(v), mu, grow(points[d <= mu], left - 1), grow(points[d > mu], left - 1)]
+            return (n[0] - 1) * len(masks) + block
+        v, mu = at
+        r, dh, da = reach(mask, bits), distance(home, v, mask), distance(arriving, v, mask)
+        return [mask, int(v), mu, grow(home[dh <= mu], arriving[da - r <= mu], depth + 1, mask),
+                grow(home[dh > mu], arriving[da + r > mu], depth + 1, mask)]
 
-    return grow(sample, depth)
+    return grow(sample, sample, 0, masks[block])
 
 
 def deal(points: np.ndarray, tree, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -136,10 +166,11 @@ def deal(points: np.ndarray, tree, bits: int) -> Iterator[tuple[int, np.ndarray,
         if not isinstance(node, list):
             yield node, idx, home
             continue
-        d = distance(points[idx], np.uint64(node[0]))
-        near, far = d - bits <= node[1], d + bits > node[1]
-        todo.append((node[2], idx[near], (home & (d <= node[1]))[near]))
-        todo.append((node[3], idx[far], (home & (d > node[1]))[far]))
+        mask, v, mu, left, right = node
+        d, r = distance(points[idx], np.uint64(v), mask), reach(mask, bits)
+        near, far = d - r <= mu, d + r > mu
+        todo.append((left, idx[near], (home & (d <= mu))[near]))
+        todo.append((right, idx[far], (home & (d > mu))[far]))
 
 
 class Forest:
@@ -163,28 +194,47 @@ class Forest:
                 self.label = nxt
 
 
-def link_shard(points: np.ndarray, queries: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links (value, root) among the values of both that the shard's pairs connect."""
+def link_shard(points: np.ndarray, queries: np.ndarray, bits: int = BITS,
+               mask: int = ALL) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links (value, root) among the values of both that the pairs near each other in ``mask`` connect."""
     values = np.union1d(points, queries)
     forest = Forest(len(values))
-    todo = [(points, queries)]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def join_found() -> None:
+        if found:
+            x, y = (np.searchsorted(values, np.concatenate(side)) for side in zip(*found))
+            forest.link(x, y)
+            found.clear()
+
+    todo = [(points, queries, mask)]
     while todo:
-        p, q = todo.pop()
+        p, q, over = todo.pop()
         if not len(p) or not len(q):
             continue
-        cutp = split(p) if len(p) > BUCKET else None
-        if cutp is None:
+        at = split(p, over) if len(p) > BUCKET else None
+        if at is None and len(p) > BUCKET and over != ALL:
+            over = ALL
+            at = split(p)
+        if at is None:
             step = max(1, PAIRS // len(p))
-            for at in range(0, len(q), step):
-                i, j = np.nonzero(distance(q[at:at + step, None], p[None, :]) <= bits)
-                x, y = q[at:at + step][i], p[j]
+            for k in range(0, len(q), step):
+                i, j = np.nonzero(distance(q[k:k + step, None], p[None, :]) <= bits)
+                x, y = q[k:k + step][i], p[j]
                 other = x != y
-                forest.link(np.searchsorted(values, x[other]), np.searchsorted(values, y[other]))
+                if other.any():
+                    found.append((x[other], y[other]))
+                    waiting += len(found[-1][0])
+                if waiting > PAIRS:  # a link costs a pass over all labels, so links are made many at a time
+                    join_found()
+                    waiting = 0
             continue
-        v, mu = cutp
-        dp, dq = distance(p, v), distance(q, v)
-        todo.append((p[dp <= mu], q[dq - bits <= mu]))
-        todo.append((p[dp > mu], q[dq + bits > mu]))
+        v, mu = at
+        r, dp, dq = reach(over, bits), distance(p, v, over), distance(q, v, over)
+        todo.append((p[dp <= mu], q[dq - r <= mu], over))
+        todo.append((p[dp > mu], q[dq + r > mu], over))
+    join_found()
     moved = forest.label != np.arange(len(values))
     return values[moved], values[forest.label[moved]]
 
@@ -192,21 +242,24 @@ def link_shard(points: np.ndarray, queries: np.ndarray, bits: int = BITS) -> tup
 def links(points: DataFrame, bits: int = BITS, shard_points: int = SHARD_POINTS, min_depth: int = MIN_DEPTH) -> DataFrame:
     """Links (a, b) that connect all fingerprints of ``points`` (column fp, distinct) within ``bits``."""
     n = points.count()
-    depth = max(min_depth, int(np.ceil(np.log2(max(n, 1) / shard_points) / np.log2(1 / 0.7))) if n > shard_points else 0)
-    some = points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_PER_SHARD << min(depth, 12)).collect()
-    tree = plan_shards(np.array([r["fp"] for r in some], dtype=np.int64).view(np.uint64), depth)
+    size = min(SAMPLE_PER_SHARD * max(1 << min_depth, -(-n // shard_points)), MAX_SAMPLE)
+    some = points.orderBy(F.xxhash64("fp"), "fp").limit(size).collect()
+    sample = np.array([r["fp"] for r in some], dtype=np.int64).view(np.uint64)
+    masks = block_masks(bits)
+    trees = [plan_shards(sample, b, bits, shard_points * len(sample) / max(n, 1), min_depth) for b in range(len(masks))]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for shard, idx, home in deal(fp.view(np.uint64), tree, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(idx), shard, dtype=np.int32)), pa.array(fp[idx]), pa.array(home)],
-                    names=["shard", "fp", "home"])
+            for tree in trees:
+                for shard, idx, home in deal(fp.view(np.uint64), tree, bits):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(idx), shard, dtype=np.int32)), pa.array(fp[idx]), pa.array(home)],
+                        names=["shard", "fp", "home"])
 
-    def shard_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    def shard_links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         fp = pdf["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-        a, b = link_shard(fp[pdf["home"].to_numpy(dtype=bool)], fp, bits)
+        a, b = link_shard(fp[pdf["home"].to_numpy(dtype=bool)], fp, bits, masks[int(key[0]) % len(masks)])
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return (points.select("fp").mapInArrow(route, "shard int, fp long, home boolean")
