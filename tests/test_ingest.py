@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yieldspark import schemas
+from yieldspark.functions import columns as C
 from yieldspark.operators import dedup, ingest, packing
 from yieldspark.sources import fixtures as fx
 from yieldspark.sources import reports, sinks
@@ -287,3 +288,16 @@ def test_old_and_new_layouts_are_read_together_without_a_rewrite(spark, scratch)
     assert files(log.path) == before and LogStore(spark, os.path.join(scratch, "none"), ()).read(schemas.SNFN_LOG) is None
     assert sorted(map(str, ingest.renormalize(old, schemas.SNFN_LOG).collect())) == sorted(
         map(str, got.where("sn = 'S1'").drop("end_date").collect()))
+
+
+def test_insert_ignore_adds_the_first_row_of_each_unknown_key(spark):
+    at = dt.datetime(2024, 1, 17, 8)
+    schema = f"sn string, {C.END} timestamp_ntz, note string, id long"
+    incoming = spark.createDataFrame([("a", at, "later", 2), ("a", at, None, 1), (None, at, "x", 3), (None, None, None, None),
+                                      ("b", None, "known", 4), ("c", at, "y", 5), ("c", None, "z", 6)], schema)
+    log = spark.createDataFrame([("b", None, "old", 1), ("b", None, "old", 2), ("c", at, "old", 3), ("d", at, "old", 4)], schema)
+    got = sorted(map(tuple, ingest.insert_ignore(incoming, log, ("sn", C.END)).collect()), key=str)
+    assert got == sorted([("a", at, None, 1), (None, at, "x", 3), (None, None, None, None), ("c", None, "z", 6)], key=str)
+    assert ingest.insert_ignore(incoming, log, ("sn", C.END)).columns == incoming.columns
+    assert ingest.insert_ignore(incoming.limit(0), log, ("sn", C.END)).count() == 0
+    assert ingest.insert_ignore(incoming, log.limit(0), ("sn", C.END)).count() == 6

@@ -91,9 +91,21 @@ def new_rows(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def insert_ignore(incoming: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` would add (A6, C3): de-duplicated, then anti-joined."""
-    first = dedup.keep_first(incoming, keys, order=(ROW_COL, "id"))
-    return new_rows(first, log, keys)
+    """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` would add (A6, C3): the first row of each key that the log lacks.
+
+    Incoming rows and the log's keys meet in one aggregate by key, so both sides are shuffled once, copies are combined
+    before that on either side, and no join follows (grouping takes NULLs as equal).
+    """
+    keys = list(keys)
+    rest = [c for c in incoming.columns if c not in keys]
+    order = [c for c in (ROW_COL, "id") if c in rest]
+    # The constant keeps a row of NULLs apart from a key that has no incoming row.
+    row = F.struct(F.lit(0).alias("_in"), *[F.col(c) for c in order + [c for c in rest if c not in order]])
+    new = incoming.select(*keys, row.alias("_row"), F.lit(False).alias("_known"))
+    old = log_days_of(incoming, log, keys).select(*keys, F.lit(None).cast(new.schema["_row"].dataType).alias("_row"),
+                                                  F.lit(True).alias("_known"))
+    both = new.union(old).groupBy(*keys).agg(F.min("_row").alias("_first"), F.max("_known").alias("_known"))
+    return both.where("not _known").select(*[F.col(c if c in keys else f"_first.{c}").alias(c) for c in incoming.columns])
 
 
 def load_report(incoming: DataFrame, log: DataFrame, keys: Sequence[str], file_col: str = FILE_COL) -> DataFrame:
