@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 from samples import PROSE
 
@@ -79,3 +80,13 @@ def test_query_matches_plain_compression(spark):
             continue
         sizes = sorted((size(r.text.lower().encode(), k), k) for k in content)
         assert got[r.doc_id] == (sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0])
+
+
+def test_many_languages_share_the_excerpts(make_docs):
+    rows = corpus()
+    content = q.learn(make_docs(rows), most=60)
+    assert sorted(content) == ["de", "en", "es"] and all(1 <= c.count(b"\n") + 1 <= 20 for c in content.values())
+    many = q.learn(make_docs([(i, f"text of label {i}", f"l{i:04}") for i in range(1500)]))
+    assert len(many) == 1500 and many["l0007"] == b"text of label 7"
+    with pytest.raises(ValueError, match="3 labels"):
+        q.learn(make_docs(rows), most=2)

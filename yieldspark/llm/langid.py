@@ -9,7 +9,9 @@ saves) tells how sure that is; a margin under ``min_margin`` is rejected.
 Learning reads id and label of every labelled row and keeps, per language, the
 rows with the smallest id hash of ``SLOTS`` hash slots (a bounded sample,
 combined before the shuffle), then one excerpt of at most ``EXCERPT``
-characters of each: at most 128 K characters per language, on the driver.
+characters of each: at most 128 K characters per language, on the driver. Where
+that would be more than ``MAX_EXCERPTS`` excerpts in all (over 1,000
+languages), every language gets an equal share of them as its slots.
 Prediction reads nothing but the text.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0
@@ -32,7 +34,7 @@ from pyspark.sql import types as T
 
 from .common import without
 
-SLOTS, EXCERPT, MAX_LANGUAGES = 512, 256, 1000
+SLOTS, EXCERPT, MAX_EXCERPTS = 512, 256, 512_000
 LEVEL, BLOCK, MIN_MARGIN = 6, 4096, 0.01
 UNKNOWN = "und"
 
@@ -43,14 +45,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-          slots: int = SLOTS) -> dict[str, bytes]:
-    """Dictionary content per language from rows with an id, a text and a label."""
+          slots: int = SLOTS, most: int = MAX_EXCERPTS) -> dict[str, bytes]:
+    """Dictionary content per language from rows with an id, a text and a label; ``most`` excerpts in all."""
     d = labelled.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("t"))
     d = d.where("id is not null and lang is not null and t is not null").withColumn("h", F.xxhash64("id"))
     chosen = d.groupBy("lang", F.pmod("h", F.lit(slots)).alias("slot")).agg(F.min("h").alias("h"))
-    keys = [(r["lang"], r["h"]) for r in chosen.limit(slots * MAX_LANGUAGES + 1).collect()]
-    if len({k for k, _ in keys}) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    keys = [(r["lang"], r["h"]) for r in chosen.limit(most + 1).collect()]
+    if len(keys) > most:
+        n = d.select("lang").distinct().count()
+        if n > most:
+            raise ValueError(f"{n} labels, more than the {most} excerpts that are learned from")
+        return learn(labelled, doc_id, text, lang, most // n, most)
     # One excerpt per chosen id (ids may repeat), from a place that depends on the id only.
     some = d.where(F.col("h").isin([h for _, h in keys]) if keys else F.lit(False))
     at = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("t") - EXCERPT, F.lit(0)) + 1).cast("int") + 1
