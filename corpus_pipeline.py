@@ -33,7 +33,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their token ids and the number of these."""
+    """All documents with their token ids, the pieces' ends in the source, the decoded text and the number of ids."""
     return pieces.with_ids(docs, tokenizer_path())
 
 

@@ -96,3 +96,24 @@ def test_with_ids_keeps_columns(edge_docs, no_docs):
     out = q.with_ids(edge_docs, PATH)
     assert out.columns[:len(edge_docs.columns)] == edge_docs.columns and out.count() == edge_docs.count()
     assert q.digest(no_docs, PATH).count() == 0
+
+
+def test_with_ids_gives_offsets_and_decoded_texts(make_docs, edge_rows):
+    lib = sp.SentencePieceProcessor(model_file=PATH)
+    rows = [(i, t) for i, (_, t) in enumerate(edge_rows)]
+    docs = make_docs(rows)
+    out = q.with_ids(docs, PATH)
+    assert out.columns[len(docs.columns):] == ["_ids", "ends", "decoded", "n_tokens"]  # these documents have ids of their own
+    got = {r.doc_id: r for r in out.collect()}
+    for i, t in rows:
+        pieces = lib.encode(t or "", return_type="proto").pieces
+        want = [p.id for p in pieces]
+        assert got[i].text == t and got[i].ids == "x" and got[i]._ids == want and got[i].n_tokens == len(want)
+        assert got[i].decoded == lib.decode(want)
+        assert got[i].ends == [p.end for p in pieces], i
+
+
+def test_with_ids_leaves_columns_of_its_names_alone(make_docs):
+    docs = make_docs([(1, "one two")]).withColumnRenamed("t", "Ends").withColumnRenamed("w", "decoded")
+    [r] = q.with_ids(docs, PATH).collect()
+    assert (r["Ends"], r["decoded"], r["_ends"][-1], r["_decoded"]) == ("x", "x", 7, "one two")

@@ -76,3 +76,11 @@ def test_clean_documents_stay(spark, make_docs):
     for _, stage in cp.STAGES:
         d = stage(spark, d, SF)
     assert {r.doc_id: r.text for r in d.collect()} == dict(rows)
+
+
+def test_last_stage_encodes_aligns_and_decodes(spark, make_docs):
+    rows = dict([(1, PROSE), (2, "  ünïcödé 日本語\n😀 "), (3, "")])
+    for r in cp.STAGES[-1][1](spark, make_docs(rows.items()), SF).collect():
+        size = len(rows[r.doc_id].encode())
+        assert r.decoded == rows[r.doc_id] and r.n_tokens == len(r.ends)
+        assert r.ends == sorted(r.ends) and (r.ends or [0])[-1] == size

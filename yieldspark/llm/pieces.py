@@ -466,7 +466,7 @@ def _encoder(blob: bytes) -> Encoder:
 
 
 def encode(docs: DataFrame, model_path: str, out: tuple[str, str, str] = ("ids", "ends", "decoded"),
-           text: str = "text", with_ends: bool = True, with_decoded: bool = True) -> DataFrame:
+           text: str = "text") -> DataFrame:
     """``docs`` plus ids (array<int>), the source byte end of each piece (array<int>) and the decoded text.
 
     A piece starts where the one before it ends, the first one at 0.
@@ -475,8 +475,7 @@ def encode(docs: DataFrame, model_path: str, out: tuple[str, str, str] = ("ids",
     with open(model_path, "rb") as f:  # the tokenizer file is installed beside the library, on the driver
         blob = docs.sparkSession.sparkContext.broadcast(f.read())
     ints = T.ArrayType(T.IntegerType())
-    new = [T.StructField(out[0], ints), *([T.StructField(out[1], ints)] if with_ends else []),
-           *([T.StructField(out[2], T.StringType())] if with_decoded else [])]
+    new = [T.StructField(out[0], ints), T.StructField(out[1], ints), T.StructField(out[2], T.StringType())]
     schema = T.StructType([*docs.schema.fields, *new])
     names = [f.name for f in schema.fields]
 
@@ -486,20 +485,15 @@ def encode(docs: DataFrame, model_path: str, out: tuple[str, str, str] = ("ids",
             at = batch.schema.get_field_index(text)
             for b in slices(batch, batch.column(at), SLICE_BYTES):
                 texts = [x or b"" for x in b.column(at).cast(pa.binary()).to_pylist()]
-                if with_ends:
-                    norms, backs = zip(*map(e.normalizer.normalise, texts))
-                else:
-                    norms = [e.normalizer.normalise(t)[0] for t in texts]
+                norms, backs = zip(*map(e.normalizer.normalise, texts))
                 ids, n = e.encode(norms)
                 edge = np.concatenate([[0], np.cumsum(n)])
                 offsets = pa.array(edge.astype(np.int32))
-                cols = [pa.ListArray.from_arrays(offsets, pa.array(ids))]
-                if with_ends:
-                    ends = [e.ends(ids[lo:hi], back) for lo, hi, back in zip(edge, edge[1:], backs)]
-                    cols.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ends).astype(np.int32))))
-                if with_decoded:
-                    plain = [decode(e.model, ids[lo:hi].tolist()) for lo, hi in zip(edge, edge[1:])]
-                    cols.append(pa.array(plain, pa.binary()).cast(pa.string()))
+                ends = [e.ends(ids[lo:hi], back) for lo, hi, back in zip(edge, edge[1:], backs)]
+                plain = [decode(e.model, ids[lo:hi].tolist()) for lo, hi in zip(edge, edge[1:])]
+                cols = [pa.ListArray.from_arrays(offsets, pa.array(ids)),
+                        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ends).astype(np.int32))),
+                        pa.array(plain, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=names)
 
     return docs.mapInArrow(run, schema)
@@ -515,7 +509,6 @@ def digest(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def with_ids(docs: DataFrame, model_path: str) -> DataFrame:
-    """``docs`` plus its ids and their number."""
-    ids, n = fresh(docs, "ids", "n_tokens")
-    return encode(docs, model_path, (ids, "", ""), with_ends=False, with_decoded=False).withColumn(
-        n, F.size(ids).cast("long"))
+    """``docs`` plus its ids, the source byte end of each piece, the decoded text and the number of ids."""
+    ids, n, ends, decoded = fresh(docs, "ids", "n_tokens", "ends", "decoded")
+    return encode(docs, model_path, (ids, ends, decoded)).withColumn(n, F.size(ids).cast("long"))
